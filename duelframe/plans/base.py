@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe.operators import clean, contest
+from duelframe.session import tune
 from duelframe.sources.adapter import Contest, DETAILS_SQL, GAMES_SQL, TEAMS_SQL
 
 ROUND = 6
@@ -32,7 +33,7 @@ def sql_round(cols, digits: int = ROUND) -> str:
 
 class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.c = Contest(spark, sf_dir)
 
     @cached_property
@@ -134,10 +135,16 @@ def _gl_sql() -> str:
 
 GL_SQL = _gl_sql()
 
+DC_SQL = """
+SELECT GAME_ID, TEAM_ID, PLAYER_ID, PLAYER_NAME, coalesce(PTS, 0) AS PTS, coalesce(REB, 0) AS REB,
+       coalesce(AST, 0) AS AST
+FROM details
+"""
+
 # named stages in dependency order
 STAGE_SQL = {
     "games": GAMES_SQL, "details": DETAILS_SQL, "teams": TEAMS_SQL,
-    "gc": GC_SQL, "gv": GV_SQL, "tc": TC_SQL,
+    "gc": GC_SQL, "gv": GV_SQL, "tc": TC_SQL, "dc": DC_SQL,
     "home_perf": HOME_SQL, "away_perf": AWAY_SQL, "tf": TF_SQL, "gl": GL_SQL,
 }
 

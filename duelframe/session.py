@@ -28,6 +28,7 @@ def get_session(master: str | None = None, app: str = "duelframe",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DUELFRAME_DRIVER_MEMORY", "16g"))
@@ -37,6 +38,20 @@ def get_session(master: str | None = None, app: str = "duelframe",
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime SQL settings the library's plans need on any session.
+
+    Constraint propagation is exponential in the number of aliased columns
+    that carry NOT NULL constraints; the wide feature tables (70+ columns,
+    role-playing joins, rounding projections) make the optimizer spin for
+    minutes.  Filters the library needs are written explicitly instead.
+    """
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    if spark.conf.get("spark.sql.adaptive.enabled", "true") != "true":
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
