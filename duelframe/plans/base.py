@@ -154,4 +154,8 @@ def sql_with(body: str, upto: str = "gl", extra: list[tuple[str, str]] | None =
     names = list(STAGE_SQL)
     ctes = [(n, STAGE_SQL[n]) for n in names[: names.index(upto) + 1]]
     ctes += extra or []
-    return "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in ctes) + "\n" + body.strip()
+    head = "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in ctes)
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        return head + ",\n" + body[5:]
+    return head + "\n" + body
