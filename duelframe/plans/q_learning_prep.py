@@ -1 +1,135 @@
-"""(filled in below)"""
+"""Model-input preparation: scaling, segment features, splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from duelframe.operators import cluster_features as cf
+from duelframe.operators import scaling, split
+from duelframe.plans.base import TF_FEATURES, Stages, round_doubles, sql_with
+from duelframe.plans.registry import query
+
+_FILL = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM tf)) AS {c}" for c in TF_FEATURES)
+_STD = ", ".join(
+    f"round_even(CASE WHEN (SELECT stddev_pop({c}) FROM filled) = 0 THEN 0.0 ELSE "
+    f"({c} - (SELECT avg({c}) FROM filled)) / (SELECT stddev_pop({c}) FROM filled) END, 6) AS {c}"
+    for c in TF_FEATURES)
+
+
+def standardized_team_features(st: Stages):
+    tf = scaling.median_fill(st.team_features, TF_FEATURES)
+    return scaling.standardize(tf, TF_FEATURES).select("TEAM_ID", "SEASON", *TF_FEATURES)
+
+
+@query("clustering_input", "K1 X1 C2 P11", sql=sql_with(
+    f"SELECT TEAM_ID, SEASON, {_STD} FROM filled", upto="tf",
+    extra=[("filled", f"SELECT TEAM_ID, SEASON, {_FILL} FROM tf")]))
+def clustering_input(spark, sf_dir):
+    """The 23 team-season features, NULLs filled by the median, standardised
+    with the population std (constant column -> 0); keys kept."""
+    return round_doubles(standardized_team_features(Stages(spark, sf_dir)))
+
+
+# Segments for the oracle-checked feature queries: the sign of the home
+# win-share advantage of each team-season (a two-segment labelling computed
+# from the data).  The K-means jobs feed the same operators with model labels.
+SEGMENT_SQL = "SELECT TEAM_ID, SEASON, CASE WHEN HOME_ADVANTAGE_WIN > 0 THEN 1 ELSE 0 END AS label FROM tf"
+
+
+def edge_segments(st: Stages):
+    return st.team_features.select("TEAM_ID", "SEASON",
+                                   F.when(F.col("HOME_ADVANTAGE_WIN") > 0, 1).otherwise(0).alias("label"))
+
+
+@query("team_segment_map", "J11", sql=sql_with(
+    "SELECT TEAM_ID, arg_max(label, SEASON) AS CLUSTER FROM seg GROUP BY TEAM_ID", upto="tf",
+    extra=[("seg", SEGMENT_SQL)]))
+def team_segment_map(spark, sf_dir):
+    """Team -> segment of its latest season (last season wins)."""
+    return cf.team_cluster_map(edge_segments(Stages(spark, sf_dir)))
+
+
+_NUM_TF = ["HOME_PTS_MEAN", "HOME_PTS_STD", "HOME_GAMES_COUNT", "HOME_FG_PCT", "HOME_FT_PCT", "HOME_FG3_PCT",
+           "HOME_REB_MEAN", "HOME_AST_MEAN", "HOME_WIN_PCT", "HOME_PT_DIFF_MEAN", "AWAY_PTS_MEAN", "AWAY_PTS_STD",
+           "AWAY_GAMES_COUNT", "AWAY_FG_PCT", "AWAY_FT_PCT", "AWAY_FG3_PCT", "AWAY_REB_MEAN", "AWAY_AST_MEAN",
+           "AWAY_WIN_PCT", "AWAY_PT_DIFF_MEAN", "HOME_ADVANTAGE_PTS", "HOME_ADVANTAGE_WIN", "HOME_ADVANTAGE_REB"]
+
+_LONG_SQL = ("SELECT TEAM_ID, SEASON, label, FEATURE, CAST(VALUE AS DOUBLE) AS VALUE, POS FROM ("
+             + " UNION ALL ".join(f"SELECT t.TEAM_ID, t.SEASON, s.label, '{c}' AS FEATURE, t.{c} AS VALUE, {i} AS POS "
+                                  f"FROM tf t JOIN seg s ON s.TEAM_ID = t.TEAM_ID AND s.SEASON = t.SEASON"
+                                  for i, c in enumerate(_NUM_TF)) + ")")
+_TOPVAR_SQL = ("SELECT FEATURE FROM (SELECT FEATURE, POS, var_samp(VALUE) AS v FROM long GROUP BY FEATURE, POS) "
+               "ORDER BY v DESC NULLS LAST, POS LIMIT 5")
+_STATS_LONG_SQL = ("SELECT label AS CLUSTER, FEATURE, avg(VALUE) AS MEAN, stddev_samp(VALUE) AS STD, "
+                   "median(VALUE) AS MEDIAN FROM long WHERE label <> -1 AND FEATURE IN (SELECT FEATURE FROM topvar) "
+                   "GROUP BY label, FEATURE")
+
+
+@query("segment_cluster_statistics", "A21 A20", sql=sql_with(
+    "SELECT CLUSTER, FEATURE, round_even(MEAN, 6) AS MEAN, round_even(STD, 6) AS STD, "
+    "round_even(MEDIAN, 6) AS MEDIAN FROM stats_long", upto="tf",
+    extra=[("seg", SEGMENT_SQL), ("long", _LONG_SQL), ("topvar", _TOPVAR_SQL), ("stats_long", _STATS_LONG_SQL)]))
+def segment_cluster_statistics(spark, sf_dir):
+    """Per segment: mean, sample std and median of the five team-season
+    features with the largest variance (long form: one row per segment and
+    feature)."""
+    st = Stages(spark, sf_dir)
+    wide = cf.cluster_statistics(st.team_features, edge_segments(st))
+    feats = sorted({c.rsplit("_", 1)[0] for c in wide.columns if c != "CLUSTER"})
+    structs = [F.struct(F.lit(f).alias("FEATURE"), F.col(f"{f}_MEAN").alias("MEAN"),
+                        F.col(f"{f}_STD").alias("STD"), F.col(f"{f}_MEDIAN").cast("double").alias("MEDIAN"))
+               for f in feats]
+    return round_doubles(wide.select("CLUSTER", F.inline(F.array(*structs))))
+
+
+@query("segment_enhanced_classification", "X2 X3 P17 J8 J9 C6 U3")
+def segment_enhanced_classification(spark, sf_dir):
+    """Classification set plus segment one-hots for both sides, SAME_CLUSTER,
+    CLUSTER_DIFF and both sides' segment statistics; NULLs -> 0."""
+    from duelframe.operators import contest
+    st = Stages(spark, sf_dir)
+    cls, _ = contest.model_inputs(st.game_features)
+    return round_doubles(cf.enhance_classification(cls, edge_segments(st), st.team_features))
+
+
+@query("segment_enhanced_regression", "X4 X5 J8 J9 C6 U3")
+def segment_enhanced_regression(spark, sf_dir):
+    """Regression set plus the home side's segment one-hots, statistics,
+    IN_CLUSTER flags and (parity) CLUSTER_DIST columns; NULLs -> 0."""
+    from duelframe.operators import contest
+    st = Stages(spark, sf_dir)
+    _, reg = contest.model_inputs(st.game_features)
+    return round_doubles(cf.enhance_regression(reg, edge_segments(st), st.team_features))
+
+
+@query("regression_sample_10000", "M1")
+def regression_sample_10000(spark, sf_dir):
+    """Exactly min(10000, n) regression rows chosen by key hash (seed 42)."""
+    from duelframe.operators import contest
+    st = Stages(spark, sf_dir)
+    reg = st.game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.REGRESSION_FEATURES,
+                                  *contest.REGRESSION_TARGETS.values()).dropna()
+    return round_doubles(split.sample_n(reg, 10000, ["GAME_ID"], 42))
+
+
+@query("stratified_split_sizes", "M2 M4")
+def stratified_split_sizes(spark, sf_dir):
+    """Train/test sizes and fold sizes per class of a class-salted hash split
+    (test share 0.2, 5 folds) of the classification set."""
+    st = Stages(spark, sf_dir)
+    data = st.game_features.select("GAME_ID", F.col("HOME_TEAM_WINS").cast("int").alias("label"))
+    train, test = split.split_frac(data, ["GAME_ID"], 0.2, 42, label="label")
+    tr = split.fold_ids(train, ["GAME_ID"], 5, 42, label="label")
+    a = tr.groupBy("label", F.concat(F.lit("train_fold_"), F.col("FOLD").cast("string")).alias("PART")).count()
+    b = test.groupBy("label", F.lit("test").alias("PART")).count()
+    return a.unionByName(b)
+
+
+@query("random_split_sizes", "M3")
+def random_split_sizes(spark, sf_dir):
+    """Train/test sizes of the plain 80/20 key-hash split of the regression set."""
+    st = Stages(spark, sf_dir)
+    data = st.game_features.select("GAME_ID")
+    train, test = split.split_frac(data, ["GAME_ID"], 0.2, 42)
+    return train.agg(F.count(F.lit(1)).alias("N")).withColumn("PART", F.lit("train")).unionByName(
+        test.agg(F.count(F.lit(1)).alias("N")).withColumn("PART", F.lit("test")))
