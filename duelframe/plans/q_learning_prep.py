@@ -30,15 +30,18 @@ def clustering_input(spark, sf_dir):
     return round_doubles(standardized_team_features(Stages(spark, sf_dir)))
 
 
-# Segments for the oracle-checked feature queries: the sign of the home
-# win-share advantage of each team-season (a two-segment labelling computed
-# from the data).  The K-means jobs feed the same operators with model labels.
-SEGMENT_SQL = "SELECT TEAM_ID, SEASON, CASE WHEN HOME_ADVANTAGE_WIN > 0 THEN 1 ELSE 0 END AS label FROM tf"
+# Segments for the oracle-checked feature queries: team-seasons whose home
+# win share is above the league mean (1) or not (0), a two-segment labelling
+# computed from the data.  The K-means jobs feed the same operators with
+# model labels.
+SEGMENT_SQL = ("SELECT TEAM_ID, SEASON, CASE WHEN HOME_WIN_PCT > (SELECT avg(HOME_WIN_PCT) FROM tf) THEN 1 ELSE 0 END "
+               "AS label FROM tf")
 
 
 def edge_segments(st: Stages):
+    mean = st.team_features.agg(F.avg("HOME_WIN_PCT")).first()[0]
     return st.team_features.select("TEAM_ID", "SEASON",
-                                   F.when(F.col("HOME_ADVANTAGE_WIN") > 0, 1).otherwise(0).alias("label"))
+                                   F.when(F.col("HOME_WIN_PCT") > F.lit(mean), 1).otherwise(0).alias("label"))
 
 
 @query("team_segment_map", "J11", sql=sql_with(

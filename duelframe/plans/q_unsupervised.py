@@ -1 +1,219 @@
-"""(filled in below)"""
+"""Clustering, metrics, PCA and interpretation queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from duelframe.operators import cluster
+from duelframe.plans.base import TF_FEATURES, Stages, round_doubles, sql_with
+from duelframe.plans.q_learning_prep import SEGMENT_SQL, edge_segments, standardized_team_features
+from duelframe.plans.registry import query
+
+EMB_DIM = 64  # fixed value: width of the driver's embedding vectors
+
+
+def embedding_points(spark, sf_dir):
+    """Embeddings as (vec_id, label, e0..e63) doubles."""
+    e = Stages(spark, sf_dir).c.table("embeddings")
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
+
+
+_EMB_METRICS_SQL = """
+WITH pts AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS j
+             FROM embeddings),
+     px AS (SELECT vec_id, label, sum(x * x) AS x2 FROM pts GROUP BY vec_id, label),
+     cent AS (SELECT label, j, avg(x) AS mu FROM pts GROUP BY label, j),
+     cl AS (SELECT label, count(*) AS n, avg(x2) AS msq FROM px GROUP BY label),
+     dots AS (SELECT p.vec_id, c.label AS other, sum(p.x * c.mu) AS dot FROM pts p JOIN cent c ON p.j = c.j
+              GROUP BY p.vec_id, c.label),
+     md AS (SELECT d.vec_id, px.label AS own, d.other, px.x2 - 2 * d.dot + cl.msq AS m, cl.n
+            FROM dots d JOIN px ON px.vec_id = d.vec_id JOIN cl ON cl.label = d.other),
+     sil AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN m * n / (n - 1) END) AS a,
+                    min(CASE WHEN own <> other THEN m END) AS b FROM md GROUP BY vec_id),
+     gmu AS (SELECT j, avg(x) AS g FROM pts GROUP BY j),
+     between_ss AS (SELECT sum(cl.n * s) AS bss FROM (SELECT label, sum((mu - g) * (mu - g)) AS s FROM cent JOIN gmu USING (j)
+                    GROUP BY label) t JOIN cl USING (label)),
+     within_ss AS (SELECT sum(power(p.x - c.mu, 2)) AS wss FROM pts p JOIN cent c ON c.label = p.label AND c.j = p.j),
+     spread AS (SELECT label, avg(d) AS s FROM (SELECT p.vec_id, p.label, sqrt(sum(power(p.x - c.mu, 2))) AS d
+                FROM pts p JOIN cent c ON c.label = p.label AND c.j = p.j GROUP BY p.vec_id, p.label) GROUP BY label),
+     cdist AS (SELECT a.label AS l1, b.label AS l2, sqrt(sum(power(a.mu - b.mu, 2))) AS m
+               FROM cent a JOIN cent b ON a.j = b.j AND a.label <> b.label GROUP BY a.label, b.label),
+     db AS (SELECT avg(w) AS dbi FROM (SELECT l1, max((s1.s + s2.s) / m) AS w FROM cdist
+            JOIN spread s1 ON s1.label = l1 JOIN spread s2 ON s2.label = l2 GROUP BY l1))
+SELECT CAST((SELECT count(*) FROM cl WHERE label <> -1) AS INT) AS N_CLUSTERS,
+       CAST((SELECT count(*) FROM embeddings WHERE label = -1) AS INT) AS N_NOISE,
+       round_even((SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM sil), 4) AS SILHOUETTE,
+       round_even((SELECT bss FROM between_ss) * ((SELECT count(*) FROM embeddings) - (SELECT count(*) FROM cl))
+                  / ((SELECT wss FROM within_ss) * ((SELECT count(*) FROM cl) - 1)), 4) AS CALINSKI_HARABASZ,
+       round_even((SELECT dbi FROM db), 4) AS DAVIES_BOULDIN
+"""
+
+
+@query("cluster_metrics_embeddings", "E1 E2 E3 A26 F5", sql=_EMB_METRICS_SQL)
+def cluster_metrics_embeddings(spark, sf_dir):
+    """Squared-Euclidean silhouette, Calinski-Harabasz and Davies-Bouldin of
+    the labelled embedding vectors, with cluster and noise counts."""
+    pts = embedding_points(spark, sf_dir).cache()
+    m = cluster.evaluate(pts, [f"e{i}" for i in range(EMB_DIM)], "label")
+    pts.unpersist()
+    row = [(m["N_CLUSTERS"], m["N_NOISE"], *(None if m[k] is None else round(float(m[k]), 4)
+                                           for k in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")))]
+    out = spark.createDataFrame(row, "N_CLUSTERS int, N_NOISE int, SILHOUETTE double, CALINSKI_HARABASZ double, "
+                                     "DAVIES_BOULDIN double")
+    return out.withColumns({c: F.bround(c, 4) for c in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")})
+
+
+@query("kmeans_k_selection", "K2 K3 W1")
+def kmeans_k_selection(spark, sf_dir):
+    """Elbow (cost for k = 1..10, drops, second differences, suggested k)
+    and squared-Euclidean silhouette for k = 2..10 on the team-season
+    clustering input."""
+    st = Stages(spark, sf_dir)
+    data = standardized_team_features(st).cache()
+    cols = TF_FEATURES
+    vec = cluster.assemble(data, cols).cache()
+    costs, sils = [(1, cluster.total_sum_of_squares(data, cols))], {}
+    for k in range(2, 11):
+        model = cluster.kmeans_best_of(vec, k, 42, n_init=1)
+        costs.append((k, float(model.summary.trainingCost)))
+        lab = model.transform(vec).select(*cols, F.col("prediction").alias("label"))
+        sils[k] = cluster.silhouette_sq(lab, cols)
+    rows = [(k, c, sils.get(k)) for k, c in costs]
+    t = spark.createDataFrame(rows, "K int, COST double, SILHOUETTE double")
+    out = cluster.elbow_choice(t)
+    every = W.orderBy("K").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    out = out.withColumn("BEST_K_SILHOUETTE", F.max_by("K", F.struct("SILHOUETTE", -F.col("K"))).over(every))
+    return round_doubles(out)
+
+
+def segmentations(st, k: int | None = None):
+    """Labels of K-means, bisecting (hierarchical) and PCA + K-means."""
+    data = standardized_team_features(st).cache()
+    cols = TF_FEATURES
+    if k is None:
+        vec = cluster.assemble(data, cols).cache()
+        costs = [(1, cluster.total_sum_of_squares(data, cols))]
+        for kk in range(2, 11):
+            costs.append((kk, float(cluster.kmeans_best_of(vec, kk, 42, n_init=1).summary.trainingCost)))
+        t = st.spark.createDataFrame(costs, "K int, COST double")
+        k = int(cluster.elbow_choice(t).first()["SUGGESTED_K"])
+    km, model = cluster.kmeans_labels(data, cols, k)
+    bk = cluster.bisecting_labels(data, cols, k)
+    p = cluster.pca(data, cols, len(cols))
+    m = cluster.components_for_share(p.variance, 0.95)
+    pcs = [f"PC_{i + 1}" for i in range(m)]
+    pk, _ = cluster.kmeans_labels(p.scores, pcs, k)
+    return data, {"kmeans": km, "agglo": bk, "pca_kmeans": pk}, k
+
+
+@query("segmentation_evaluation", "K4 K6 K7 K8 F7 T7 A26")
+def segmentation_evaluation(spark, sf_dir):
+    """K-means, hierarchical (bisecting) and PCA(95 %) + K-means with the
+    elbow's k: cluster counts, silhouette, Calinski-Harabasz, Davies-Bouldin
+    and the best algorithm by silhouette (ties: declared order)."""
+    st = Stages(spark, sf_dir)
+    data, labs, k = segmentations(st)
+    rows = []
+    for i, (name, lab) in enumerate(labs.items()):
+        pts = data.join(lab, ["TEAM_ID", "SEASON"]).cache()
+        m = cluster.evaluate(pts, TF_FEATURES)
+        rows.append((name, i, k, m["N_CLUSTERS"], m["N_NOISE"], m["SILHOUETTE"], m["CALINSKI_HARABASZ"],
+                     m["DAVIES_BOULDIN"]))
+    t = spark.createDataFrame(rows, "ALGORITHM string, ORDINAL int, K int, N_CLUSTERS int, N_NOISE int, "
+                                    "SILHOUETTE double, CALINSKI_HARABASZ double, DAVIES_BOULDIN double")
+    every = W.orderBy("ORDINAL").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    valid = F.when((F.col("N_CLUSTERS") >= 2) & F.col("SILHOUETTE").isNotNull(),
+                   F.struct("SILHOUETTE", -F.col("ORDINAL")))
+    best = F.coalesce(F.max_by("ALGORITHM", valid).over(every), F.lit("kmeans"))
+    return round_doubles(t.withColumn("BEST_ALGORITHM", best))
+
+
+@query("kmeans_team_segments", "K4 J10")
+def kmeans_team_segments(spark, sf_dir):
+    """Team-season features with their K-means segment (k from the elbow)."""
+    st = Stages(spark, sf_dir)
+    _, labs, _ = segmentations(st)
+    return round_doubles(st.team_features.join(labs["kmeans"], ["TEAM_ID", "SEASON"]))
+
+
+@query("pca_team_features", "D1 D2 D4 W2")
+def pca_team_features(spark, sf_dir):
+    """PCA (10 components) of the standardised team-season features:
+    per component the variance share, running share, and the five largest
+    loadings (component x sqrt(eigenvalue))."""
+    st = Stages(spark, sf_dir)
+    data = standardized_team_features(st).cache()
+    p = cluster.pca(data, TF_FEATURES, 10)
+    pcs = [f"PC_{i + 1}" for i in range(p.n_components)]
+    eig = p.scores.agg(*[F.var_samp(c).alias(c) for c in pcs]).first()
+    sqrt_eig = F.sqrt(F.coalesce(*[F.when(F.col("PC") == i + 1, F.lit(float(eig[c]))) for i, c in enumerate(pcs)]))
+    load = p.loadings.withColumn("LOADING", F.col("COMPONENT") * sqrt_eig)
+    w = W.partitionBy("PC").orderBy(F.abs("LOADING").desc(), "FEATURE")
+    top = load.withColumn("RANK", F.row_number().over(w)).where(F.col("RANK") <= 5)
+    return round_doubles(top.join(p.variance, "PC").select("PC", "RANK", "FEATURE", "LOADING", "VARIANCE_SHARE",
+                                                           "CUMULATIVE"))
+
+
+@query("pca_scores_joined", "D4 J10")
+def pca_scores_joined(spark, sf_dir):
+    """Team-season features with the first ten principal-component scores
+    and the total explained variance."""
+    st = Stages(spark, sf_dir)
+    data = standardized_team_features(st).cache()
+    p = cluster.pca(data, TF_FEATURES, 10)
+    total = p.variance.agg(F.sum("VARIANCE_SHARE")).first()[0]
+    return round_doubles(st.team_features.join(p.scores, ["TEAM_ID", "SEASON"])
+                         .withColumn("PCA_TOTAL_VARIANCE", F.lit(float(total))))
+
+
+@query("method_comparison", "D3")
+def method_comparison(spark, sf_dir):
+    """Dimensionality methods side by side: PCA with its measured variance
+    share; t-SNE and UMAP listed as not run (no scalable Spark form)."""
+    st = Stages(spark, sf_dir)
+    p = cluster.pca(standardized_team_features(st), TF_FEATURES, 10)
+    total = float(p.variance.agg(F.sum("VARIANCE_SHARE")).first()[0])
+    rows = [("PCA", p.n_components, total, "linear; preserves global variance; use for features"),
+            ("t-SNE", 2, None, "not run: single-machine embedding"),
+            ("UMAP", 2, None, "not run: single-machine embedding")]
+    return round_doubles(spark.createDataFrame(rows, "METHOD string, COMPONENTS int, EXPLAINED_VARIANCE double, "
+                                                     "ADVICE string"))
+
+
+_PROFILE_SQL = """
+WITH seg AS ({seg}),
+     overall AS (SELECT {overall} FROM tf),
+     per AS (SELECT s.label AS CLUSTER, count(*) AS SIZE, {per} FROM tf t JOIN seg s ON s.TEAM_ID = t.TEAM_ID AND s.SEASON = t.SEASON
+             WHERE s.label <> -1 GROUP BY s.label),
+     long AS ({long}),
+     ranked AS (SELECT *, abs(CLUSTER_MEAN - OVERALL_MEAN) AS ABS_DIFF,
+                       (CLUSTER_MEAN - OVERALL_MEAN) / OVERALL_MEAN * 100 AS DIFF_PCT FROM long)
+SELECT CLUSTER, SIZE, FEATURE, POS, round_even(CLUSTER_MEAN, 6) AS CLUSTER_MEAN, round_even(OVERALL_MEAN, 6) AS OVERALL_MEAN,
+       round_even(ABS_DIFF, 6) AS ABS_DIFF, round_even(DIFF_PCT, 6) AS DIFF_PCT,
+       row_number() OVER (PARTITION BY CLUSTER ORDER BY ABS_DIFF DESC, POS) AS RANK
+FROM ranked
+""".format(seg=SEGMENT_SQL,
+           overall=", ".join(f"avg({c}) AS {c}" for c in TF_FEATURES),
+           per=", ".join(f"avg(t.{c}) AS {c}" for c in TF_FEATURES),
+           long=" UNION ALL ".join(f"SELECT per.CLUSTER, per.SIZE, '{c}' AS FEATURE, {i} AS POS, per.{c} AS CLUSTER_MEAN, "
+                                   f"overall.{c} AS OVERALL_MEAN FROM per, overall" for i, c in enumerate(TF_FEATURES)))
+
+
+@query("segment_profile", "A22 K9", sql=sql_with(_PROFILE_SQL, upto="tf"))
+def segment_profile(spark, sf_dir):
+    """Per segment and feature: segment mean, overall mean, |difference|,
+    percent difference and rank of the difference within the segment."""
+    st = Stages(spark, sf_dir)
+    prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES)
+    return round_doubles(prof.withColumn("RANK", F.col("RANK").cast("bigint")))
+
+
+@query("segment_descriptions", "P20 P21 K9")
+def segment_descriptions(spark, sf_dir):
+    """Description, insight and recommendation sentences per segment plus
+    the most-common vs most-exclusive line."""
+    st = Stages(spark, sf_dir)
+    prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES).cache()
+    desc = cluster.describe_clusters(prof)
+    return cluster.insights(desc, prof).join(desc.select("CLUSTER", "DESCRIPTION"), "CLUSTER", "left")
