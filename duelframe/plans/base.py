@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,10 @@ class Stages:
 
     @cached_property
     def games_cleaned(self) -> DataFrame:
-        return clean.clean_games(self.c.games)
+        # fan-out point: the median pass, both side aggregations and the
+        # game-level joins all read it, so it is computed once and kept
+        # (memory, spilling to disk; lost blocks are recomputed from lineage)
+        return clean.clean_games(self.c.games).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def games_validated(self) -> DataFrame:
