@@ -1 +1,175 @@
-"""(filled in below)"""
+"""Supervised learning queries.
+
+The model inputs are the segment-enhanced sets of ``q_learning_prep``.  The
+registered queries run the quick-test grids (first value of every grid axis,
+the reference's quick-test composition); ``models.classifier/regressor``
+hold the full configured grids for the jobs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from duelframe.operators import cluster_features as cf
+from duelframe.operators import contest, metrics, models, split
+from duelframe.plans.base import Stages, round_doubles
+from duelframe.plans.q_learning_prep import edge_segments
+from duelframe.plans.registry import query
+from duelframe.session import checkpoint_dir, cut_lineage
+
+CLASSIFIERS = ["logistic_regression", "random_forest", "decision_tree", "svm_linear", "naive_bayes"]
+REGRESSORS = ["ridge", "lasso", "elastic_net", "random_forest", "gradient_boosting"]
+
+
+def classification_data(st: Stages):
+    """Enhanced classification set with label, key and fold columns."""
+    cls = st.game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.CLASSIFICATION_FEATURES,
+                                  "HOME_TEAM_WINS").dropna()
+    enh = cf.enhance_classification(cls, edge_segments(st), st.team_features)
+    enh = enh.withColumn("label", F.col("HOME_TEAM_WINS").cast("double")).drop("HOME_TEAM_WINS")
+    feats = [c for c in enh.columns if c not in ("GAME_ID", "label")]
+    # the enhanced set is a deep plan (feature joins); fits read it many
+    # times, so it is written once to the shared checkpoint folder
+    enh = cut_lineage(split.fold_ids(enh, ["GAME_ID"], 5, 42, label="label"))
+    train, test = split.split_frac(enh, ["GAME_ID"], 0.2, 42, label="label")
+    return train, test.drop("FOLD"), feats
+
+
+def run_classifiers(st: Stages, names=CLASSIFIERS, quick: bool = True):
+    train, test, feats = classification_data(st)
+    n = train.count()
+    rows, fitted = [], {}
+    for i, name in enumerate(names):
+        est, grid = models.classifier(name, n, quick)
+        best, avg, std = models.cross_validate(train, feats, est, grid, models.accuracy_eval())
+        j = max(range(len(avg)), key=lambda t: avg[t])
+        scored = models.scored_classification(best, test, ["GAME_ID"])
+        m = models.classification_test_metrics(scored)
+        rows.append((name, i, float(avg[j]), float(std[j]), m["ACCURACY"], m["PRECISION"], m["RECALL"], m["F1"],
+                     m["ROC_AUC"]))
+        fitted[name] = best
+    return rows, fitted, feats, test
+
+
+@query("classifier_comparison", "L0 L1 L2 L3 L4 L5 L8 L9 M2 M4 X6 V1 V2")
+def classifier_comparison(spark, sf_dir):
+    """Home-win classifiers (logistic, forest, tree, linear SVM, Gaussian
+    NB) on the segment-enhanced set: 5-fold CV accuracy (mean, std) and
+    exact test accuracy/precision/recall/F1/AUC."""
+    rows, _, _, _ = run_classifiers(Stages(spark, sf_dir))
+    return round_doubles(spark.createDataFrame(
+        rows, "MODEL string, ORDINAL int, CV_ACCURACY double, CV_STD double, ACCURACY double, PRECISION double, "
+              "RECALL double, F1 double, ROC_AUC double"), 4)
+
+
+@query("best_classifier_importance", "L10 L11 T6 T7 A25")
+def best_classifier_importance(spark, sf_dir):
+    """Best classifier by test accuracy (ties: declared order), the
+    majority baseline and lift, and its ten most important features."""
+    st = Stages(spark, sf_dir)
+    names = ["logistic_regression", "random_forest"]
+    rows, fitted, feats, test = run_classifiers(st, names)
+    best = max(rows, key=lambda r: (r[4], -r[1]))
+    base = test.agg(F.avg("label")).first()[0]
+    baseline = max(base, 1 - base)
+    imp = models.importances(fitted[best[0]], feats, 10)
+    out = [(best[0], best[4], baseline, (best[4] - baseline) / baseline * 100, r + 1, f, v)
+           for r, (f, v) in enumerate(imp)]
+    return round_doubles(spark.createDataFrame(
+        out, "BEST_MODEL string, ACCURACY double, BASELINE double, LIFT_PCT double, RANK int, FEATURE string, "
+             "IMPORTANCE double"), 4)
+
+
+def regression_data(st: Stages, target: str):
+    reg = st.game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.REGRESSION_FEATURES,
+                                  *contest.REGRESSION_TARGETS.values()).dropna()
+    reg = split.sample_n(reg, 10000, ["GAME_ID"], 42)
+    enh = cf.enhance_regression(reg, edge_segments(st), st.team_features)
+    others = [t for t in contest.REGRESSION_TARGETS.values() if t != target]
+    enh = enh.withColumn("label", F.col(target).cast("double")).drop(target, *others)
+    feats = [c for c in enh.columns if c not in ("GAME_ID", "label")]
+    enh = cut_lineage(split.fold_ids(enh, ["GAME_ID"], 5, 42))
+    train, test = split.split_frac(enh, ["GAME_ID"], 0.2, 42)
+    return train, test.drop("FOLD"), feats
+
+
+def run_regressors(st: Stages, target: str, names=REGRESSORS, quick: bool = True):
+    train, test, feats = regression_data(st, target)
+    n = train.count()
+    sd = train.agg(F.stddev_pop("label")).first()[0] or 1.0
+    rows, fitted = [], {}
+    for i, name in enumerate(names):
+        est, grid = models.regressor(name, sd, n, quick)
+        best, avg, std = models.cross_validate(train, feats, est, grid, models.r2_eval(), scale=True)
+        j = max(range(len(avg)), key=lambda t: avg[t])
+        scored = best.transform(test).select("label", "prediction")
+        m = metrics.regression_scores(scored).first()
+        rows.append((target, name, i, float(avg[j]), float(std[j]), m["R2"], m["MAE"], m["MSE"], m["RMSE"]))
+        fitted[name] = best
+    return rows, fitted, feats
+
+
+@query("regressor_comparison", "R0 R1 R2 R3 R4 R5 R7 R8 V5 M1 M3")
+def regressor_comparison(spark, sf_dir):
+    """Ridge, lasso, elastic net, forest and boosting for home points, away
+    points and the differential (10,000-row key-hash sample, 80/20 split,
+    5-fold CV R2) with exact test R2/MAE/MSE/RMSE and the best model per
+    target by test R2."""
+    st = Stages(spark, sf_dir)
+    rows = []
+    for t in contest.REGRESSION_TARGETS.values():
+        r, _, _ = run_regressors(st, t, ["ridge", "lasso", "elastic_net", "random_forest"])
+        rows += r
+    df = spark.createDataFrame(rows, "TARGET string, MODEL string, ORDINAL int, CV_R2 double, CV_STD double, "
+                                     "R2 double, MAE double, MSE double, RMSE double")
+    best = df.groupBy("TARGET").agg(F.max_by("MODEL", F.struct("R2", -F.col("ORDINAL"))).alias("BEST_MODEL"))
+    return round_doubles(df.join(best, "TARGET"), 4)
+
+
+@query("regression_cluster_importance", "R9 R10 T6")
+def regression_cluster_importance(spark, sf_dir):
+    """Forest importances for home points: top ten features and the share
+    of segment-derived (CLUSTER) features in the total importance."""
+    st = Stages(spark, sf_dir)
+    rows, fitted, feats = run_regressors(st, "PTS_home", ["random_forest"])
+    imp = models.importances(fitted["random_forest"], feats, len(feats))
+    total = sum(v for _, v in imp) or 1.0
+    share = sum(v for f, v in imp if "CLUSTER" in f) / total
+    out = [(r + 1, f, v, share) for r, (f, v) in enumerate(imp[:10])]
+    return round_doubles(spark.createDataFrame(out, "RANK int, FEATURE string, IMPORTANCE double, "
+                                                    "CLUSTER_SHARE double"), 4)
+
+
+@query("home_win_as_number", "R11")
+def home_win_as_number(spark, sf_dir):
+    """Ridge and forest regression of the home-win outcome taken as a number."""
+    st = Stages(spark, sf_dir)
+    rows = []
+    train, test, feats = classification_data(st)
+    n = train.count()
+    sd = train.agg(F.stddev_pop("label")).first()[0] or 1.0
+    for i, name in enumerate(["ridge", "random_forest"]):
+        est, grid = models.regressor(name, sd, n, True)
+        best, avg, std = models.cross_validate(train, feats, est, grid, models.r2_eval())
+        m = metrics.regression_scores(best.transform(test).select("label", "prediction")).first()
+        rows.append(("home_advantage", name, float(max(avg)), m["R2"], m["MAE"], m["RMSE"]))
+    return round_doubles(spark.createDataFrame(rows, "TARGET string, MODEL string, CV_R2 double, R2 double, "
+                                                     "MAE double, RMSE double"), 4)
+
+
+@query("saved_model_scoring", "S5 S6 R12")
+def saved_model_scoring(spark, sf_dir):
+    """Fit ridge for home points, save it under a version folder in the
+    shared checkpoint location, load the latest version and score every
+    regression-set game with the training columns."""
+    st = Stages(spark, sf_dir)
+    train, test, feats = regression_data(st, "PTS_home")
+    n = train.count()
+    sd = train.agg(F.stddev_pop("label")).first()[0] or 1.0
+    est, grid = models.regressor("ridge", sd, n, True)
+    best, _, _ = models.cross_validate(train, feats, est, grid, models.r2_eval())
+    root = checkpoint_dir(spark) + "/models"
+    models.save_versioned(best, root, "local_strength")
+    loaded = models.load_latest(spark, root, "local_strength")
+    full = train.drop("FOLD").unionByName(test)
+    return round_doubles(loaded.transform(full).select("GAME_ID", "HOME_TEAM_ID", "label", "prediction"), 4)
