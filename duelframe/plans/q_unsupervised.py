@@ -217,3 +217,59 @@ def segment_descriptions(spark, sf_dir):
     prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES).cache()
     desc = cluster.describe_clusters(prof)
     return cluster.insights(desc, prof).join(desc.select("CLUSTER", "DESCRIPTION"), "CLUSTER", "left")
+
+
+# ------------------------------------------------------------ anomalies
+def _detectors(st):
+    from duelframe.operators import anomaly
+    data = standardized_team_features(st).cache()
+    keys = ["TEAM_ID", "SEASON"]
+    return {
+        "isolation_forest": anomaly.isolation_forest(data, TF_FEATURES, keys, 100, 256, 0.1, 42),
+        "one_class_rff": anomaly.rff_one_class(data, TF_FEATURES, keys, 0.1),
+        "distance": anomaly.zscore_detector(data, TF_FEATURES, keys, 0.1),
+    }
+
+
+@query("isolation_forest_team_seasons", "N1")
+def isolation_forest_team_seasons(spark, sf_dir):
+    """Isolation forest (100 trees, 256 samples, contamination 0.1) on the
+    standardised team-season features: score, decision and label."""
+    from duelframe.operators import anomaly
+    data = standardized_team_features(Stages(spark, sf_dir))
+    return round_doubles(anomaly.isolation_forest(data, TF_FEATURES, ["TEAM_ID", "SEASON"]))
+
+
+@query("one_class_team_seasons", "N3")
+def one_class_team_seasons(spark, sf_dir):
+    """RBF-kernel one-class scoring (random Fourier features, nu 0.1)."""
+    from duelframe.operators import anomaly
+    data = standardized_team_features(Stages(spark, sf_dir))
+    return round_doubles(anomaly.rff_one_class(data, TF_FEATURES, ["TEAM_ID", "SEASON"], 0.1))
+
+
+@query("anomaly_comparison", "N4 N5")
+def anomaly_comparison(spark, sf_dir):
+    """Rows flagged per detector (count and %) and the number of team-seasons
+    flagged by at least two of the three detectors."""
+    from duelframe.operators import anomaly
+    det = _detectors(Stages(spark, sf_dir))
+    comp = anomaly.compare_detectors(det)
+    cons = anomaly.consensus(det, ["TEAM_ID", "SEASON"]).agg(
+        F.count(F.lit(1)).alias("ROWS"), F.sum("IS_CONSENSUS").alias("ANOMALIES")).withColumn(
+        "DETECTOR", F.lit("consensus_2_of_3")).withColumn("ANOMALY_PCT", F.col("ANOMALIES") * F.lit(100.0) / F.col("ROWS"))
+    return round_doubles(comp.unionByName(cons))
+
+
+@query("anomaly_features", "N6 P18 J10")
+def anomaly_features(spark, sf_dir):
+    """Team-season features with the isolation-forest score, label and
+    confidence 1 - 1/(1 + exp(-|decision|))."""
+    from duelframe.functions.columns import anomaly_confidence
+    from duelframe.operators import anomaly
+    st = Stages(spark, sf_dir)
+    data = standardized_team_features(st)
+    s = anomaly.isolation_forest(data, TF_FEATURES, ["TEAM_ID", "SEASON"])
+    out = st.team_features.join(s, ["TEAM_ID", "SEASON"]).withColumn("ANOMALY_CONFIDENCE",
+                                                                    anomaly_confidence("DECISION"))
+    return round_doubles(out)
