@@ -22,7 +22,7 @@ def games_cleaned(spark, sf_dir):
     return round_doubles(Stages(spark, sf_dir).games_cleaned)
 
 
-@query("games_validated", "C1 C2 C3", sql=sql_with(
+@query("games_validated", "C1 C2 C3 P13", sql=sql_with(
     f"SELECT * REPLACE ({_GV_ROUND}) FROM gv", upto="gv"))
 def games_validated(spark, sf_dir):
     """Cleaned games with numeric NULLs filled by the exact column median and
@@ -160,3 +160,33 @@ def redundant_id_mismatches(spark, sf_dir):
     g = Stages(spark, sf_dir).games_validated
     return g.agg(quality.mismatch_count("HOME_TEAM_ID", "VISITOR_TEAM_ID").alias("MISMATCHES"),
                  quality.mismatch_count("HOME_TEAM_ID", "HOME_TEAM_ID").alias("SELF_MISMATCHES"))
+
+
+# fixed values: the reference configuration's required game columns and drop / rename lists
+REQUIRED_GAME_COLS = ["GAME_ID", "SEASON", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "PTS_home",
+                      "PTS_away", "HOME_TEAM_WINS"]
+GAMES_DROP = ["TEAM_ID_home", "TEAM_ID_away", "GAME_STATUS_TEXT"]
+FINAL_DROP = ["ABBREVIATION", "CITY"]
+
+
+@query("required_columns_contract", "Z7 P9 P10", sql=sql_with("""
+SELECT GAME_ID, SEASON, GAME_DATE_EST, HOME_TEAM_ID, VISITOR_TEAM_ID AS AWAY_TEAM_ID,
+       round_even(PTS_home, 6) AS PTS_home, round_even(PTS_away, 6) AS PTS_away, HOME_TEAM_WINS
+FROM gv""", upto="gv"))
+def required_columns_contract(spark, sf_dir):
+    """Games checked against the required-column contract (raises when one
+    is missing), redundant columns dropped where present, visitor id
+    renamed to AWAY_TEAM_ID."""
+    g = Stages(spark, sf_dir).games_validated
+    missing = [c for c in REQUIRED_GAME_COLS if c not in g.columns]
+    if missing:
+        raise KeyError(f"required game columns missing: {missing}")
+    out = drop_existing(g.select(*REQUIRED_GAME_COLS), GAMES_DROP + FINAL_DROP)
+    return round_doubles(out.withColumnRenamed("VISITOR_TEAM_ID", "AWAY_TEAM_ID"))
+
+
+@query("games_head", "T8", sql=sql_with(
+    f"SELECT * REPLACE ({_GV_ROUND}) FROM gv ORDER BY GAME_ID LIMIT 5", upto="gv"))
+def games_head(spark, sf_dir):
+    """The first five games by id (head sample)."""
+    return round_doubles(Stages(spark, sf_dir).games_validated.orderBy("GAME_ID").limit(5))

@@ -173,3 +173,21 @@ def saved_model_scoring(spark, sf_dir):
     loaded = models.load_latest(spark, root, "local_strength")
     full = train.drop("FOLD").unionByName(test)
     return round_doubles(loaded.transform(full).select("GAME_ID", "HOME_TEAM_ID", "label", "prediction"), 4)
+
+
+@query("gbt_classifier", "L6")
+def gbt_classifier(spark, sf_dir):
+    """Gradient-boosted trees for the home win (registered in the model
+    factory though not configured): CV accuracy and exact test metrics."""
+    rows, _, _, _ = run_classifiers(Stages(spark, sf_dir), ["gradient_boosting"])
+    return round_doubles(spark.createDataFrame(
+        rows, "MODEL string, ORDINAL int, CV_ACCURACY double, CV_STD double, ACCURACY double, PRECISION double, "
+              "RECALL double, F1 double, ROC_AUC double"), 4)
+
+
+@query("association_rules", "Z5")
+def association_rules(spark, sf_dir):
+    """Association rules over discretised game facts (FP-growth: support
+    0.01, confidence 0.5, lift >= 1, at most 3 items)."""
+    from duelframe.operators import rules
+    return round_doubles(rules.game_fact_rules(Stages(spark, sf_dir).games_validated), 6)
