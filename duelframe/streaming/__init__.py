@@ -1 +1,2 @@
-
+"""Streaming: the reference has no streaming surface (no streams, watermarks
+or state), so nothing is built here; every job is a batch DataFrame job."""
