@@ -67,25 +67,30 @@ def impute_median_mode(df: DataFrame) -> DataFrame:
     columns with their mode (smallest value on ties), only in columns that
     hold a NULL.  Booleans are not numeric and stay as they are.
 
-    All statistics come from ONE aggregation pass; the exact median/mode
-    aggregates combine map-side, their buffers grow with the number of
-    distinct values per column (not with rows).
+    Two narrow passes: NULL counts of every column (cheap counters), then
+    the exact median / mode of only the columns that need filling.  Those
+    aggregates combine map-side and their buffers grow with the number of
+    distinct values of the column, so key columns without NULLs (ids) never
+    get one.
     """
     nums = numeric_columns(df)
     strs = string_columns(df)
     cols = nums + strs
     if not cols:
         return df
-    stats = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"n__{i}") for i, c in enumerate(cols)],
-        *[F.median(c).alias(f"m__{i}") for i, c in enumerate(nums)],
-        *[F.mode(c, True).alias(f"o__{i}") for i, c in enumerate(strs)],
-    ).first()
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n__{i}") for i, c in enumerate(cols)]).first()
+    need = {c for i, c in enumerate(cols) if counts[f"n__{i}"] > 0}
+    fill_nums = [c for c in nums if c in need]
+    fill_strs = [c for c in strs if c in need]
+    if not need:
+        return df
+    stats = df.agg(*[F.median(c).alias(f"m__{i}") for i, c in enumerate(fill_nums)],
+                   *[F.mode(c, True).alias(f"o__{i}") for i, c in enumerate(fill_strs)]).first()
     fills = {}
-    for i, c in enumerate(cols):
-        if stats[f"n__{i}"] == 0:
-            continue
-        v = stats[f"m__{i}"] if i < len(nums) else stats[f"o__{i - len(nums)}"]
-        if v is not None:
-            fills[c] = v
+    for i, c in enumerate(fill_nums):
+        if stats[f"m__{i}"] is not None:
+            fills[c] = stats[f"m__{i}"]
+    for i, c in enumerate(fill_strs):
+        if stats[f"o__{i}"] is not None:
+            fills[c] = stats[f"o__{i}"]
     return df.fillna(fills) if fills else df
