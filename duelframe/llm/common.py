@@ -37,6 +37,14 @@ def core(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which nulls are equal; the right side's key columns are dropped."""
+    named = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__r_{k}`")) for k in keys]
+    out = left.join(named, on, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
+
+
 # -- byte views -------------------------------------------------------------
 
 def utf8_view(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelframe.llm import decontaminate, simhash
+from duelframe.llm import decontaminate, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,53 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+@register
+def op4_source_mixing(spark, sf_dir):
+    """Words taken of every document so that each source meets its target."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id AS id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT source, source_size, 3.0::DOUBLE * source_size AS cap,
+         CAST((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1 AS DOUBLE) AS w FROM s),
+l AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+  FROM w WINDOW o AS (ORDER BY cap / w, source IS NULL, encode(source))),
+g AS (
+  SELECT source, source_size, least((SELECT arg_min(level, cap / w) FROM l WHERE level * w <= cap) * w, cap) AS target FROM l),
+goal AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+         target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END * source_size AS rest FROM g),
+cl AS (
+  SELECT source, CAST(floor(log2(size)) AS INT) AS class, CAST(sum(size) AS BIGINT) AS words FROM d WHERE size > 0 GROUP BY ALL),
+cc AS (
+  SELECT cl.*, rest, power(2.0::DOUBLE, class) AS step,
+    (rest - coalesce(sum(words) OVER (PARTITION BY cl.source ORDER BY class DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(words * power(2.0::DOUBLE, class)) OVER (PARTITION BY cl.source ORDER BY class DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c
+  FROM cl JOIN goal ON cl.source IS NOT DISTINCT FROM goal.source),
+p AS (
+  SELECT source, class, rest, least(1.0, step * arg_max(c, class) FILTER (WHERE c * step <= 1) OVER (PARTITION BY source)) AS p FROM cc),
+u AS (
+  SELECT id, d.source, size, p, rest,
+         (CAST('0x' || substr(md5('42:' || coalesce(CAST(id AS VARCHAR), '') || ':1'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND CAST(floor(log2(size)) AS INT) = class
+  WHERE size > 0 AND p > 0 AND rest > 0),
+q AS (SELECT *, CASE WHEN p >= 1 THEN 0.0::DOUBLE ELSE (u / (1 - u)) / (p / (1 - p)) END AS q FROM u),
+r AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, id ROWS UNBOUNDED PRECEDING) AS upto FROM q),
+chosen AS (
+  SELECT id, source FROM r
+  WHERE upto <= rest OR (upto - size < rest AND 2 * (rest - upto) + size >= 0))
+SELECT d.id AS doc_id, d.size, goal.source_size, goal.target,
+       CAST(CASE WHEN d.size > 0 THEN (whole + CASE WHEN chosen.id IS NULL THEN 0 ELSE 1 END) * d.size ELSE 0 END AS BIGINT) AS taken
+FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
+LEFT JOIN chosen ON chosen.id = d.id AND chosen.source IS NOT DISTINCT FROM d.source
+"""
