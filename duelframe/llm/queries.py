@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, mixing, simhash
+from duelframe.llm import decontaminate, mixing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +113,60 @@ SELECT d.id AS doc_id, d.size, goal.source_size, goal.target,
 FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
 LEFT JOIN chosen ON chosen.id = d.id AND chosen.source IS NOT DISTINCT FROM d.source
 """
+
+
+@register
+def op9_secret_scan(spark, sf_dir):
+    """Secrets and linked credential parts in all documents."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+                        secrets.listed(F.col("spans")).alias("spans"))
+
+
+def _secret_sql() -> str:
+    """The scan in SQL: RE2 folds case beyond ASCII, so letters are spelt out in both cases."""
+    def both(pattern: str) -> str:
+        if not pattern.startswith("(?i)"):
+            return pattern
+        body, out, inside = pattern[4:], "", False
+        for ch in body:
+            inside = (inside or ch == "[") and ch != "]"
+            out += f"[{ch.upper()}{ch.lower()}]" if ch.isalpha() and not inside and out[-1:] != "\\" else ch
+        return out.replace("\\[Xx]", "\\x")
+
+    parts = []
+    for kind, (pattern, group, least, also, role) in secrets.KINDS.items():
+        p = both(pattern).replace("'", "''")
+        test = f" AND regexp_matches(m[i], '{also}')" if also else ""
+        parts.append(f"""
+SELECT doc_id, '{kind}' AS kind, '{role}' AS role, {list(secrets.KINDS).index(kind)} AS rank, "end" - length(m[i]) AS start, "end"
+FROM (SELECT doc_id, m, g, i, sum(length(b[i]) + length(m[i])) OVER (PARTITION BY doc_id ORDER BY i) AS "end"
+      FROM (SELECT doc_id, m, g, b, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{p}') AS m, regexp_extract_all(coalesce(text, ''), '{p}', {group}) AS g,
+                         string_split_regex(coalesce(text, ''), '{p}') AS b FROM documents)))
+WHERE length(g[i]) >= {least}{test}""")
+    base = "kind IN ('assign', 'access', 'hex')"
+    apart = f"((p.start >= w.\"end\" AND p.start <= w.\"end\" + {secrets.SCOPE}) OR (p.\"end\" <= w.start AND p.\"end\" >= w.start - {secrets.SCOPE}))"
+    item = "kind || ':' || CAST(start AS BIGINT) || ':' || CAST(\"end\" AS BIGINT)"
+    return f"""
+WITH s AS ({' UNION ALL '.join(parts)}),
+near AS (
+  SELECT w.doc_id, w.kind, w.rank, w.start, w."end", bool_or(p.role = 'secret') AS has_s,
+         bool_or(p.role = 'identifier') AS has_i, bool_or(p.role = 'endpoint') AS has_e
+  FROM s w JOIN s p ON w.doc_id = p.doc_id AND {apart} WHERE NOT w.{base} GROUP BY ALL),
+r AS (
+  SELECT doc_id, kind, rank, start, "end" FROM s WHERE {base}
+  UNION ALL SELECT doc_id, kind, rank, start, "end" FROM near
+  WHERE CASE kind WHEN 'ident' THEN has_s WHEN 'opaque' THEN has_i OR has_e ELSE has_i AND has_s END),
+a AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg({item}, ',' ORDER BY start, rank) FILTER (WHERE {base}) AS b,
+         string_agg({item}, ',' ORDER BY start, rank) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN a USING (doc_id)
+"""
+
+
+ORACLES["op9_secret_scan"] = _secret_sql()
