@@ -37,6 +37,11 @@ def core(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def row_key(text: Column) -> Column:
+    """With the id, names a row by its content, so that results can be joined back to repeated rows."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` in which nulls are equal; the right side's key columns are dropped."""
     named = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, mixing, secrets, simhash
+from duelframe.llm import decontaminate, licences, mixing, secrets, simhash
+from duelframe.llm.licence_texts import LICENCES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +171,42 @@ FROM documents d LEFT JOIN a USING (doc_id)
 
 
 ORACLES["op9_secret_scan"] = _secret_sql()
+
+
+@register
+def op10_license_scan(spark, sf_dir):
+    """Known licence texts and notices in all documents."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def _licence_sql() -> str:
+    def quoted(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    def canonical(t: str) -> str:
+        plain = (f"trim(regexp_replace(regexp_replace(lower({t}), {quoted(licences.COPYRIGHT_LINE)}, ' ', 'g'), "
+                 f"{quoted(licences.OTHER)}, ' ', 'g'))")
+        return f"array_to_string(list_transform(string_split({plain}, ' '), lambda w: coalesce(spelt[w], w)), ' ')"
+
+    spelt = "MAP {" + ", ".join(f"{quoted(a)}: {quoted(b)}" for a, b in SPELLINGS.items()) + "}"
+    known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in LICENCES)
+    return f"""
+WITH s AS (SELECT {spelt} AS spelt),
+k AS (SELECT DISTINCT licence, sha256({canonical('text')}) AS digest FROM (VALUES {known}) v(licence, text), s),
+u AS (
+  SELECT doc_id, 'whole' AS unit, text AS t FROM documents
+  UNION SELECT doc_id, 'paragraph', unnest(string_split_regex(text, '\\n[ \\t\\r]*\\n')) FROM documents
+  UNION SELECT doc_id, 'line', unnest(string_split_regex(text, '\\r?\\n')) FROM documents),
+m AS (
+  SELECT doc_id, unit, licence, digest FROM (SELECT doc_id, unit, sha256({canonical('t')}) AS digest FROM u, s) JOIN k USING (digest)),
+a AS (
+  SELECT doc_id, min(licence) FILTER (WHERE unit = 'whole') AS whole_license,
+         string_agg(DISTINCT licence, ',' ORDER BY licence) AS licenses, count(DISTINCT licence) AS n_licenses,
+         count(DISTINCT digest) AS n_units FROM m GROUP BY doc_id)
+SELECT d.doc_id, whole_license, coalesce(licenses, '') AS licenses, coalesce(n_licenses, 0) AS n_licenses,
+       coalesce(n_units, 0) AS n_units
+FROM documents d LEFT JOIN a USING (doc_id)
+"""
+
+
+ORACLES["op10_license_scan"] = _licence_sql()

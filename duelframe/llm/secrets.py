@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import join_on, save
+from duelframe.llm.common import join_on, row_key, save
 
 # The base patterns of the contract; a match counts if its
 # checked group has the least length.
@@ -58,10 +58,6 @@ def _matches(text: Column, kind: str) -> Column:
     return F.when(text.rlike(pattern), F.transform(whole, one))
 
 
-def row_key(text: Column) -> Column:
-    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
-
-
 def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Distinct (id, key, kind, start, end) of all counted matches, base and weak; code points, end exclusive."""
     text = F.coalesce(F.col(text_col), F.lit(""))
