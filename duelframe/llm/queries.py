@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, licences, mixing, secrets, simhash
+from duelframe.llm import decontaminate, licences, mixing, secrets, simhash, toxicity
+from duelframe.llm.common import fold_remainder
 from duelframe.llm.licence_texts import LICENCES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +211,12 @@ FROM documents d LEFT JOIN a USING (doc_id)
 
 
 ORACLES["op10_license_scan"] = _licence_sql()
+
+
+@register
+def op3_toxicity(spark, sf_dir):
+    """Toxicity scores of all documents from a field trained on the rows that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = toxicity.fit(docs, labels, learn=fold_remainder("doc_id", 5) != 0)
+    scored = toxicity.score(docs, field)
+    return scored.select("doc_id", F.coalesce(fold_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
