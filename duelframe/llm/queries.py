@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, licences, mixing, secrets, simhash, toxicity
+from duelframe.llm import decontaminate, language, licences, mixing, quality, secrets, simhash, toxicity
 from duelframe.llm.common import fold_remainder
 from duelframe.llm.licence_texts import LICENCES, SPELLINGS
 
@@ -220,3 +220,21 @@ def op3_toxicity(spark, sf_dir):
     field = toxicity.fit(docs, labels, learn=fold_remainder("doc_id", 5) != 0)
     scored = toxicity.score(docs, field)
     return scored.select("doc_id", F.coalesce(fold_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@register
+def op5_quality(spark, sf_dir):
+    """Quality scores of all documents by votes of the labelled ones that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    voters = quality.fit(docs, labels, learn=fold_remainder("doc_id", 3) != 1)
+    scored = quality.score(docs, voters)
+    return scored.select("doc_id", F.coalesce(fold_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@register
+def op6_language(spark, sf_dir):
+    """Languages of all documents from filters filled with documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    filters = language.fit(docs, fold_remainder("doc_id", 4) != 2)
+    named = language.predict(docs, filters)
+    return named.select("doc_id", F.coalesce(fold_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
