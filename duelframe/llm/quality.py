@@ -1,8 +1,9 @@
 """Quality scores by nearest-neighbour voting among latent-semantic vectors.
 
-A text's byte trigrams are counted in hashed buckets, weighed by log
-frequency and by inverse document frequency over all documents, and projected
-on the leading singular vectors of a labelled sample.  The labelled vectors
+A text's terms are its byte trigrams, counted in hashed buckets, and for each
+short gap the share of words that repeat the word so many places before.
+They are weighed by log frequency and by inverse document frequency over all
+documents, and projected on the leading singular vectors of a labelled sample.  The labelled vectors
 are broadcast; each block of documents is multiplied with all of them (exact
 cosines), and the nearest vote for their label with their similarity.
 """
@@ -17,10 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import core, slices
+from duelframe.llm.common import NONSPACE, SpanHash, core, slices, word_spans
 from duelframe.llm.toxicity import labelled_sample
 
 BUCKETS = 4096
+GAPS = 8                       # repeats of a word 1 to 8 places after it are terms too
+GAP_SCALE, GAP_WEIGHT = 200.0, 6.0
+TERMS = BUCKETS + GAPS
 DIMENSIONS = 48
 NEIGHBOURS = 15
 SAMPLE = 2000                  # labelled documents of each label used at most, by smallest hash of the id
@@ -40,24 +44,40 @@ def trigram_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.bincount((doc[:-2] * BUCKETS + bucket)[inside], minlength=n * BUCKETS).reshape(n, BUCKETS).astype(np.float32)
 
 
+def repeat_shares(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """(texts, GAPS): share of a text's words that equal the word 1, 2, ... places before, scaled."""
+    s, e = word_spans(data, off, NONSPACE)
+    n = len(off) - 1
+    first = np.searchsorted(s, off)
+    words = np.diff(first)
+    out = np.zeros((n, GAPS), np.float32)
+    h = SpanHash(data).of(s, e)
+    doc = np.repeat(np.arange(n), words)
+    for k in range(1, GAPS + 1):
+        same = (h[k:] == h[:-k]) & (doc[k:] == doc[:-k])
+        out[:, k - 1] = np.bincount(doc[k:][same], minlength=n) * (GAP_SCALE / np.maximum(words, 1))
+    return out
+
+
 def _blocks(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
     for a in range(0, len(off) - 1, BLOCK):
         b = min(a + BLOCK, len(off) - 1)
-        yield a, b, trigram_counts(data[off[a]:off[b]], off[a:b + 1] - off[a])
+        own = data[off[a]:off[b]], off[a:b + 1] - off[a]
+        yield a, b, np.concatenate((trigram_counts(*own), repeat_shares(*own)), axis=1)
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int]:
-    """How many of all documents hold each bucket, and their number; tasks add up before the shuffle."""
+    """How many of all documents hold each term, and their number; tasks add up before the shuffle."""
     def run(batches):
-        df, n = np.zeros(BUCKETS, np.int64), 0
+        df, n = np.zeros(TERMS, np.int64), 0
         for part, data, off in slices(batches, text_col):
             for _, _, c in _blocks(data, off):
                 df += (c > 0).sum(axis=0)
             n += part.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, BUCKETS)), pa.array(np.concatenate(([n], df)))], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, TERMS)), pa.array(np.concatenate(([n], df)))], ["bucket", "n"])
 
     rows = core(docs, text_col).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    full = np.zeros(BUCKETS + 1, np.int64)
+    full = np.zeros(TERMS + 1, np.int64)
     for r in rows:
         full[r["bucket"]] = r["n"]
     return full[:-1], int(full[-1])
@@ -97,12 +117,13 @@ def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def train(rows: list[tuple[str | None, int]], totals: dict[int, int], df: np.ndarray, n_docs: int, seed: int = 42) -> Voters:
     """Fit the projection on the labelled texts; votes are weighed back to the labels' true shares."""
     idf = np.log((1 + n_docs) / (1 + df)).astype(np.float32)
+    idf[BUCKETS:] = GAP_WEIGHT
     labels = np.array([y for _, y in rows], np.float32)
     parts = [c for _, data, off in slices(iter([pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.string())], ["text"])] if rows else []))
              for _, _, c in _blocks(data, off)]
-    a = _weigh(np.concatenate(parts), idf) if parts else np.zeros((0, BUCKETS), np.float32)
+    a = _weigh(np.concatenate(parts), idf) if parts else np.zeros((0, TERMS), np.float32)
     k = min(DIMENSIONS, max(1, len(a)))
-    q = np.random.default_rng(seed).normal(size=(BUCKETS, k + 8)).astype(np.float32)
+    q = np.random.default_rng(seed).normal(size=(TERMS, k + 8)).astype(np.float32)
     for _ in range(4):                                          # subspace iteration on a.T @ a
         q, _ = np.linalg.qr(a.T @ (a @ q))
     _, _, vt = np.linalg.svd(a @ q, full_matrices=False)
