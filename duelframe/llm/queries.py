@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, language, licences, mixing, quality, secrets, simhash, toxicity
+from duelframe.llm import decontaminate, language, licences, mixing, quality, secrets, simhash, substrings, toxicity
 from duelframe.llm.common import fold_remainder
 from duelframe.llm.licence_texts import LICENCES, SPELLINGS
 
@@ -238,3 +238,12 @@ def op6_language(spark, sf_dir):
     filters = language.fit(docs, fold_remainder("doc_id", 4) != 2)
     named = language.predict(docs, filters)
     return named.select("doc_id", F.coalesce(fold_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op8_suffix_array_dedup(spark, sf_dir):
+    """Bytes of all documents that lie in 400-byte strings occurring more than once."""
+    cut = substrings.deduplicate(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("span_ends", "span_starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("span_starts").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
