@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, language, licences, mixing, quality, secrets, simhash, substrings, toxicity
+from duelframe.llm import decontaminate, language, licences, mixing, neighbours, quality, secrets, simhash, substrings, toxicity
 from duelframe.llm.common import fold_remainder
 from duelframe.llm.licence_texts import LICENCES, SPELLINGS
 
@@ -247,3 +247,9 @@ def op8_suffix_array_dedup(spark, sf_dir):
     removed = F.aggregate(F.zip_with("span_ends", "span_starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("span_starts").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op7_embedding_near_duplicates(spark, sf_dir):
+    """Near-duplicate vectors of all embeddings by NN-descent."""
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
