@@ -37,6 +37,11 @@ def core(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def ddl(df: DataFrame, cols: list[str]) -> str:
+    """Schema text of the named columns."""
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
+
+
 def row_key(text: Column) -> Column:
     """With the id, names a row by its content, so that results can be joined back to repeated rows."""
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))

@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, merge_spans, slices, word_spans
+from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, ddl, join_on, merge_spans, row_key, slices, word_spans
 
 WINDOW = 13
-SHARD_WORDS = 1 << 19          # indexed words of a shard
+SHARD_WORDS = 1 << 19          # a shard ends at so many indexed words, documents, or bytes of text
+SHARD_DOCS, SHARD_BYTES = 1 << 14, 1 << 25
 BLOCK_WORDS = 1 << 20          # benchmark words sent to the tasks at once; more go in further blocks
 SAMPLE = 16                    # every 16th text position keeps its suffix-array entry
 
@@ -200,13 +201,19 @@ class Shard:
 
     def __init__(self, tests: TestSet):
         self.tests, self.rows, self.n_words = tests, [], []
-        self.text, self.place, self.size, self.docs = [], [], 0, 0
+        self.text, self.place, self.size, self.docs, self.bytes = [], [], 0, 0, 0
 
-    def add(self, ids: pa.Array, data: np.ndarray, off: np.ndarray) -> None:
+    @property
+    def full(self) -> bool:
+        return self.size >= SHARD_WORDS or self.docs >= SHARD_DOCS or self.bytes >= SHARD_BYTES
+
+    def add(self, kept: pa.RecordBatch, data: np.ndarray, off: np.ndarray) -> None:
+        """Take documents in; ``kept`` has the columns that are returned with them."""
         low = LOWER[data]
         s, e = word_spans(low, off, ALNUM)
         first = np.searchsorted(s, off)                       # first word of each document
-        self.rows.append(ids)
+        self.rows.append(kept)
+        self.bytes += len(data)
         self.n_words.append(np.diff(first))
         num = self.tests.numbers(SpanHash(low).of(s, e))
         m = len(num)
@@ -258,7 +265,7 @@ class Shard:
             out.append(np.stack([np.repeat(x, size) for x in (run_doc[run], word, word + n)] + [items]))
         return tuple(np.concatenate(out, axis=1)) if out else (none, none, none, none)
 
-    def result(self, id_col: str) -> pa.RecordBatch:
+    def result(self) -> pa.RecordBatch:
         """One row per document: merged word spans and the items found."""
         doc, start, end, item = self.spans()
         n_words = np.concatenate(self.n_words)
@@ -271,35 +278,33 @@ class Shard:
             s, e = merge_spans(start[k], end[k])
             starts[d], ends[d] = s.tolist(), e.tolist()
             names[d] = [self.tests.names[i] for i in np.unique(item[k])]
-        ids = pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in self.rows])
+        kept = pa.Table.from_batches(self.rows).combine_chunks().to_batches()[0]
         longs = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(n_words, pa.int64()), pa.array(starts, longs), pa.array(ends, longs),
-             pa.array(names, pa.list_(pa.string()))], [id_col, "n_words", "span_starts", "span_ends", "items"])
+            [*kept.columns, pa.array(n_words, pa.int64()), pa.array(starts, longs), pa.array(ends, longs),
+             pa.array(names, pa.list_(pa.string()))], [*kept.schema.names, "n_words", "span_starts", "span_ends", "items"])
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, str | None]], id_col: str, text_col: str, window: int) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[str, str | None]], text_col: str, kept: list[str], window: int) -> DataFrame:
     tests = docs.sparkSession.sparkContext.broadcast(TestSet.build(items, window))
 
     def run(batches: Iterator[pa.RecordBatch]):
         shard = Shard(tests.value)
         for part, data, off in slices(batches, text_col):
-            shard.add(part.column(id_col), data, off)
-            if shard.size >= SHARD_WORDS or shard.docs >= 1 << 14:
-                yield shard.result(id_col)
+            shard.add(part.select(kept), data, off)
+            if shard.full:
+                yield shard.result()
                 shard = Shard(tests.value)
         if shard.docs:
-            yield shard.result(id_col)
+            yield shard.result()
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.mapInArrow(run, f"`{id_col}` {kind}, n_words long, span_starts array<long>, "
-                                "span_ends array<long>, items array<string>")
+    return docs.mapInArrow(run, ddl(docs, kept) + ", n_words long, span_starts array<long>, span_ends array<long>, items array<string>")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: id, n_words, merged word spans (span_starts, span_ends) and sorted items found.
+                  block_words: int = BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: id, the ``carry`` columns, n_words, merged word spans (span_starts, span_ends) and sorted items found.
 
     A test window is ``window`` consecutive words of an item, or the whole of
     a shorter one; words are runs of ASCII letters, digits and non-ASCII
@@ -312,7 +317,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     memory; each block is one pass over the documents, and the passes' spans
     are merged per document row.
     """
-    src, bench = core(docs, id_col, text_col), core(benchmark, item_col, item_text).where(F.col(item_col).isNotNull())
+    kept = list(dict.fromkeys((id_col, *carry)))
+    src, bench = core(docs, *dict.fromkeys((*kept, text_col))), core(benchmark, item_col, item_text).where(F.col(item_col).isNotNull())
     bench = bench.withColumn("_n", F.ceil(F.coalesce(F.length(item_text), F.lit(0)) / 4) + 1)
     total = bench.agg(F.sum("_n")).first()[0] or 0
     n_blocks = max(1, -(-int(total) // block_words))
@@ -322,12 +328,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return [(str(r[0]), r[1]) for r in own.select(F.col(item_col).cast("string"), item_text).collect()]
 
     if n_blocks == 1:
-        return _scan(src, items(0), id_col, text_col, window)
+        return _scan(src, items(0), text_col, kept, window)
     # further blocks: rows with spans meet by their document row's key
-    keyed = src.withColumn("_row", F.struct(F.col(id_col).alias("id"), F.md5(F.coalesce(text_col, F.lit(""))).alias("t")))
+    keyed = src.withColumn("_row", F.struct(F.col(id_col).alias("id"), row_key(F.col(text_col)).alias("t")))
     parts = None
     for k in range(n_blocks):
-        one = _scan(keyed.select("_row", text_col), items(k), "_row", text_col, window).where(F.size("items") > 0)
+        one = _scan(keyed.select("_row", text_col), items(k), text_col, ["_row"], window).where(F.size("items") > 0)
         one = one.dropDuplicates(["_row"])
         parts = one if parts is None else parts.unionByName(one)
 
@@ -339,18 +345,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kind = keyed.schema["_row"].dataType.simpleString()
     merged = parts.groupBy("_row").applyInPandas(
         unite, f"_row {kind}, span_starts array<long>, span_ends array<long>, items array<string>")
-    empty = _scan(keyed.select("_row", text_col), [], "_row", text_col, window).select("_row", "n_words")
-    out = empty.join(merged, empty["_row"].eqNullSafe(merged["_row"]), "left").drop(merged["_row"])
+    every = _scan(keyed, [], text_col, [*kept, "_row"], window).select(*kept, "_row", "n_words")
+    out = join_on(every, merged, ["_row"], "left")
     none, no_item = F.array().cast("array<long>"), F.array().cast("array<string>")
-    return out.select(F.col("_row.id").alias(id_col), "n_words", F.coalesce("span_starts", none).alias("span_starts"),
+    return out.select(*kept, "n_words", F.coalesce("span_starts", none).alias("span_starts"),
                       F.coalesce("span_ends", none).alias("span_ends"), F.coalesce("items", no_item).alias("items"))
 
 
-def digest(names: DataFrame) -> DataFrame:
-    """Contract columns of ``contamination``'s rows: n_hit, n_items, items_sha256, contaminated."""
+def digest(found: DataFrame) -> DataFrame:
+    """``contamination``'s rows with n_hit, n_items, items_sha256 and contaminated in place of spans and items."""
     hit = F.aggregate(F.zip_with("span_ends", "span_starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
-    out = names.withColumn("n_hit", hit)
+    out = found.withColumn("n_hit", hit)
     return out.select(
-        names.columns[0], "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        *[c for c in found.columns if c not in ("n_words", "span_starts", "span_ends", "items")], "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))

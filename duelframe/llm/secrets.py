@@ -127,8 +127,9 @@ def listed(spans: Column) -> Column:
     return F.coalesce(F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","), F.lit(""))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = MARK, scope: int = SCOPE) -> DataFrame:
-    """``docs`` with every reported span's text replaced by ``mark`` (overlapping spans by one)."""
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = MARK, scope: int = SCOPE,
+           flag: str = "redacted") -> DataFrame:
+    """``docs`` with every reported span's text replaced by ``mark`` (overlapping spans by one), and whether a text changed."""
     found = find(docs, id_col, text_col, scope)
     order = Window.partitionBy("id", "key").orderBy("start", "end")
     last = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -143,4 +144,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
         F.substring(text, F.when(i > 0, F.get(cuts, i - 1)["e"]).otherwise(0).cast("int") + 1,
                     (r["s"] - F.when(i > 0, F.get(cuts, i - 1)["e"]).otherwise(0)).cast("int")), F.lit(mark)))
     clean = F.concat(F.array_join(before, ""), F.substring(text, F.element_at(cuts, -1)["e"].cast("int") + 1, F.length(text)))
-    return out.withColumn(text_col, F.when(cuts.isNull(), text).otherwise(clean)).select(*docs.columns)
+    return out.withColumn(text_col, F.when(cuts.isNull(), text).otherwise(clean)).withColumn(flag, cuts.isNotNull()).select(*docs.columns, flag)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, mix, slices, word_spans
+from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, ddl, mix, slices, word_spans
 
 AFFIXES = (3, 4, 5, 6)         # bytes of a word's first and last characters used as features
 WIDTH = 1 << 18                # hashed feature weights
@@ -336,14 +336,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
     return [(r["text"], r["label"]) for r in found]
 
 
-def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, score in [0, 1], predicted 0/1 and the offending spans (byte offsets) of the text.
+def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: id, score in [0, 1], predicted 0/1, the offending spans (byte offsets) of the text, and the ``carry`` columns.
 
     A null or empty text, or one without words, has no spans and the score
     of a text without toxic tokens.  Repeated rows are each scored; other
     columns are ignored; an empty table gives no rows.
     """
-    src = core(docs, id_col, text_col)
+    src = core(docs, *dict.fromkeys((id_col, text_col, *carry)))
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -361,11 +361,12 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
             owner = doc[begin]
             cut = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(v - off[owner], pa.int64())) for v in (s[begin], e[end])]
-            yield pa.RecordBatch.from_arrays([part.column(id_col), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), *lists],
-                                             [id_col, "score", "predicted", "span_starts", "span_ends"])
+            own = [pa.array(p), pa.array((p >= 0.5).astype(np.int32)), *lists]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *own], [*kept, *added])
 
-    kind = src.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int, span_starts array<long>, span_ends array<long>")
+    kept = list(dict.fromkeys((id_col, *carry)))
+    added = ["score", "predicted", "span_starts", "span_ends"]
+    return src.mapInArrow(run, f"{ddl(src, kept)}, score double, predicted int, span_starts array<long>, span_ends array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", learn: Column | None = None, id_col: str = "doc_id",
