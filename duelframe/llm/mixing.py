@@ -6,7 +6,9 @@ the remainder a document's inclusion probability is in proportion to its
 size class (the power of two at or below its size), cut at 1; the constant
 of proportion solves "expected words = remainder".  Documents are ranked by
 random odds over inclusion odds, u/(1-u) : p/(1-p), and taken in that order
-up to the fixed size, which is counted in words as the targets are.
+up to the fixed size, which is counted in words as the targets are.  The
+first document that does not fit ends a pass; further passes go on in the
+same order with the documents that fit what is left.
 
 The rank's running sums are built in two levels: sums by bucket of the rank
 first (combined map-side), then rows of the one bucket in which the fixed
@@ -26,6 +28,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 BUCKETS = 1 << 16
+PASSES = 4
 
 
 def word_count(text: Column) -> Column:
@@ -69,6 +72,19 @@ def unit(*keys: Column) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
+def _prefix(pool: DataFrame) -> DataFrame:
+    """(source, id, size, copy) of the documents, in order of rank, whose running words stay within ``rest``."""
+    sums = pool.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("most"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(
+        Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    sums = sums.where("before < most").withColumn("fits", F.col("before") + F.col("words") <= F.col("most"))
+    inside = join_on(pool, sums, ["source", "bucket"])
+    run = Window.partitionBy("source", "bucket").orderBy("q", "id", "copy").rowsBetween(Window.unboundedPreceding, 0)
+    cut = inside.where("not fits").withColumn("upto", F.col("before") + F.sum("size").over(run)).where("upto <= most")
+    cols = ["source", "id", "size", "copy"]
+    return inside.where("fits").select(*cols).union(cut.select(*cols))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = WEIGHTS, share: float = 1.0, most: int = MOST_COPIES, seed: int = 42,
         buckets: int = BUCKETS) -> DataFrame:
@@ -109,17 +125,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ranked = ranked.select("source", "id", "size", "copy", "rest", q.alias("q"))
     ranked = ranked.withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * buckets))
     ranked = save(ranked, "mix-ranked")
-    sums = ranked.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(
-        Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sums = sums.where("before < rest").withColumn("whole_in", F.col("before") + F.col("words") <= F.col("rest"))
-    inside = join_on(ranked.drop("rest"), sums, ["source", "bucket"])
-    # in the bucket where the size is reached: running words, and the last one only if that comes nearer
-    run = Window.partitionBy("source", "bucket").orderBy("q", "id", "copy").rowsBetween(Window.unboundedPreceding, 0)
-    cut = inside.where("not whole_in").withColumn("upto", F.col("before") + F.sum("size").over(run))
-    cut = cut.where((F.col("upto") <= F.col("rest")) |
-                    ((F.col("upto") - F.col("size") < F.col("rest")) & (2 * (F.col("rest") - F.col("upto")) + F.col("size") >= 0)))
-    chosen = inside.where("whole_in").select("source", "id", "size", "copy").union(cut.select("source", "id", "size", "copy"))
+    left = save(goal.select("source", "rest"), "mix-left")
+    pool, chosen = ranked.drop("rest"), None
+    for _ in range(PASSES):
+        pool = join_on(pool, left, ["source"]).where(F.col("size") <= F.col("rest"))
+        part = save(_prefix(pool), "mix-chosen")
+        chosen = part if chosen is None else chosen.unionByName(part)
+        used = part.groupBy("source").agg(F.sum("size").alias("used"))
+        left = save(join_on(left, used, ["source"], "left").select(
+            "source", (F.col("rest") - F.coalesce("used", F.lit(0))).alias("rest")), "mix-left")
+        pool = join_on(pool.drop("rest"), part, ["source", "id", "size", "copy"], "left_anti")
 
     # whole copies for every row, one more for the chosen ones
     n = chosen.groupBy("source", "id", "size").agg(F.collect_set("copy").alias("picked"))
