@@ -10,8 +10,8 @@ segment, and only segments with the same anchor gram can hold equal strings.
    Anchors whose segments all agree are settled by that alone.
 3. The distinct segments of the other anchors are fetched and dealt to
    shards by anchor; an anchor with more bytes than a shard is split over
-   several.  A shard sorts its suffixes by Larsson-Sadakane refinement and
-   takes common prefixes of neighbours by Kasai's method; a start whose
+   several.  A shard sets pieces aside that can match no other, sorts
+   the others' suffixes by Larsson-Sadakane refinement and takes common prefixes of neighbours by Kasai's method; a start whose
    common prefix reaches ``length`` is repeated.
 4. Shards of a split anchor are merged: the sorted digests of their distinct
    strings are cut by ranges and each shard's run is searched by bisection
@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import SpanHash, core, join_on, merge_spans, save, slices
+from duelframe.llm.common import SpanHash, core, join_on, merge_spans, mix, save, slices
 
 LENGTH = 400
 GRAM = 32
+STEP = 64                      # offsets of a piece
 SHARD_BYTES = 1 << 20
-RANGES = 16                    # digest ranges of a split anchor
 
 
 # -- segments -----------------------------------------------------------------
@@ -101,7 +101,7 @@ def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(6):
         key = key << 10 | padded[k:n + k]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     ks = key[sa]
     head = np.concatenate(([True], ks[1:] != ks[:-1]))
     number = np.maximum.accumulate(np.where(head, np.arange(n), 0))
@@ -111,12 +111,12 @@ def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
     open_ = sa[~single]                                        # still in groups of several, in sorted order
     h = 6
     while len(open_) and h < depth:
-        group = rank[open_]
-        o = np.lexsort((rank[np.minimum(open_ + h, n)], group))
-        open_, group = open_[o], group[o]
-        then = rank[np.minimum(open_ + h, n)]
+        pair = rank[open_] * (n + 1) + rank[np.minimum(open_ + h, n)] + 1
+        o = np.argsort(pair)
+        open_, pair = open_[o], pair[o]
+        group = pair // (n + 1)
         fresh = np.concatenate(([True], group[1:] != group[:-1]))
-        head = fresh | np.concatenate(([True], then[1:] != then[:-1]))
+        head = np.concatenate(([True], pair[1:] != pair[:-1]))
         at = np.arange(len(open_))
         base = np.maximum.accumulate(np.where(fresh, at, 0))
         rank[open_] = group + np.maximum.accumulate(np.where(head, at, 0)) - base
@@ -152,22 +152,68 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, first: np.ndarray, size: n
     return out
 
 
-def shard_starts(contents: list[bytes], counts: list[int], length: int) -> list[np.ndarray]:
-    """For each segment which of its starts begin a string that another segment of the shard holds."""
-    size = np.array([len(c) for c in contents])
+def suffix_starts(contents: list[bytes], length: int) -> list[np.ndarray]:
+    """For each text, which of its ``len - length + 1`` starts begin a string that also starts elsewhere in them."""
+    size = np.array([len(c) for c in contents], np.int64)
     first = np.concatenate(([0], np.cumsum(size[:-1] + 1)))
     text = np.zeros(int((size + 1).sum()), np.int64)
     for c, at in zip(contents, first.tolist()):
         text[at:at + len(c)] = np.frombuffer(c, np.uint8).astype(np.int64) + 1
     rank = sort_suffixes(text, length)
-    sa = np.lexsort((np.arange(len(text)), rank))
-    # only starts can have ``length`` bytes before their segment's end, so neighbours suffice
+    sa = np.argsort(rank, kind="stable")
+    # a string with fewer bytes before its text's end never reaches ``length``, so neighbours suffice
     lcp = common_prefixes(text, sa, first, size, length)
     same = lcp[sa] >= length
     hit = np.zeros(len(text), bool)
     hit[sa[same]] = True
     hit[sa[np.flatnonzero(same) - 1]] = True
-    return [hit[a:a + k] for a, k in zip(first.tolist(), counts)]
+    return [hit[a:a + k - length + 1] for a, k in zip(first.tolist(), size.tolist())]
+
+
+def shard_starts(contents: list[bytes], counts: list[int], anchors: list[int], length: int, gram: int) -> list[np.ndarray]:
+    """For each segment of a shard which of its starts begin a string that another segment holds.
+
+    Equal strings lie at equal offsets from equal anchors, so a segment is
+    cut into pieces of STEP offsets.  All strings of a piece share its
+    middle bytes; a piece whose middle no other segment has at these offsets
+    is settled.  The runs of the other pieces are sorted, equal runs once.
+    """
+    size = np.array([len(c) for c in contents], np.int64)
+    begin = np.concatenate(([0], np.cumsum(size)))
+    data = np.frombuffer(b"".join(contents), np.uint8)
+    n, anchor = np.array(counts, np.int64), np.array(anchors, np.int64)
+    h = SpanHash(data)
+    # the anchor's place: the first gram of the segment with its hash
+    g = h.grams(gram)
+    owner = np.repeat(np.arange(len(size)), size)[:len(g)]
+    at = np.flatnonzero(g.view(np.int64) == anchor[owner])
+    who, index = np.unique(owner[at], return_index=True)
+    offset = np.zeros(len(size), np.int64)
+    offset[who] = at[index] - begin[who]
+    # pieces: starts t in [lo, hi) have offsets offset - t within [k * STEP, (k + 1) * STEP)
+    low, high = (offset - n + 1) // STEP, offset // STEP
+    seg = np.repeat(np.arange(len(n)), high - low + 1)
+    k = np.arange(len(seg)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[seg]
+    lo, hi = np.maximum(offset[seg] - (k + 1) * STEP + 1, 0), np.minimum(offset[seg] - k * STEP + 1, n[seg])
+    mid = begin[seg] + offset[seg] - k * STEP
+    key = mix(h.of(mid, mid + length - STEP + 1) + mix(anchor[seg].view(np.uint64)) * np.uint64(STEP) + k.astype(np.uint64))
+    _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
+    keep = times[inverse] > 1
+    out = [np.zeros(c, bool) for c in counts]
+    # runs of kept pieces (pieces of a segment are in order of falling start)
+    seg, lo, hi = seg[keep][::-1], lo[keep][::-1], hi[keep][::-1]
+    if len(seg) == 0:
+        return out
+    new = np.concatenate(([True], (seg[1:] != seg[:-1]) | (lo[1:] != hi[:-1])))
+    at = np.flatnonzero(new)
+    seg, lo, hi = seg[at], lo[at], hi[np.append(at[1:], len(hi)) - 1]
+    texts: dict[bytes, list[int]] = {}
+    for r, (s, a, b) in enumerate(zip(seg.tolist(), lo.tolist(), hi.tolist())):
+        texts.setdefault(contents[s][a:b + length - 1], []).append(r)
+    for (text, members), hit in zip(texts.items(), suffix_starts(list(texts), length)):
+        for r in members:
+            out[seg[r]][lo[r]:hi[r]] = True if len(members) > 1 else hit
+    return out
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,40 +225,50 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _RANGE_COLS = "anchor long, seg long, lo int, hi int"
 
 
-def _solve(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
+def _solve(pdf: pd.DataFrame, length: int, gram: int) -> pd.DataFrame:
     """Repeated start ranges of one shard's segments."""
     pdf = pdf.drop_duplicates(["anchor", "seg"])
-    marks = shard_starts(pdf["content"].tolist(), pdf["n"].tolist(), length)
+    marks = shard_starts(pdf["content"].tolist(), pdf["n"].tolist(), pdf["anchor"].tolist(), length, gram)
     out = [(a, s, lo, hi) for a, s, m in zip(pdf["anchor"], pdf["seg"], marks) for lo, hi in zip(*runs(m))]
     return pd.DataFrame(out, columns=["anchor", "seg", "lo", "hi"])
 
 
+_STRING = np.dtype([("digest", "S16"), ("seg", "<i8"), ("at", "<i4")])
+
+
 def _sorted_strings(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
-    """One part of a split anchor: the digests of its strings, sorted within each digest range."""
+    """One part of a split anchor: its strings' digests, sorted and cut into as many ranges as the anchor has parts."""
     pdf = pdf.drop_duplicates(["anchor", "seg"])
-    rows = []
-    for a, s, n, c in zip(pdf["anchor"], pdf["seg"], pdf["n"], pdf["content"]):
-        d = np.frombuffer(b"".join(hashlib.blake2b(c[i:i + length], digest_size=16).digest() for i in range(n)), "V16")
-        rows.append(pd.DataFrame({"anchor": a, "seg": s, "at": np.arange(n, dtype=np.int32), "digest": [x.tobytes() for x in d]}))
-    out = pd.concat(rows) if rows else pd.DataFrame({"anchor": [], "seg": [], "at": [], "digest": []})
-    out["part"] = int(pdf["part"].iloc[0])
-    out["range"] = [x[0] * RANGES >> 8 for x in out["digest"]]
-    return out.sort_values("digest")[["anchor", "part", "range", "seg", "at", "digest"]]
+    rows = np.empty(int(pdf["n"].sum()), _STRING)
+    i = 0
+    for s, n, c in zip(pdf["seg"], pdf["n"], pdf["content"]):
+        rows["digest"][i:i + n] = [hashlib.blake2b(c[t:t + length], digest_size=16).digest() for t in range(n)]
+        rows["seg"][i:i + n], rows["at"][i:i + n] = s, np.arange(n)
+        i += n
+    rows = rows[np.argsort(rows["digest"], kind="stable")]
+    n_ranges = int(pdf["parts"].iloc[0])
+    top = rows.view(np.uint8).reshape(len(rows), -1)[:, :4].astype(np.uint64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], np.uint64)
+    cut = np.searchsorted(top, (np.arange(1, n_ranges, dtype=np.uint64) << np.uint64(32)) // np.uint64(n_ranges))
+    return pd.DataFrame({"anchor": int(pdf["anchor"].iloc[0]), "part": int(pdf["part"].iloc[0]), "range": np.arange(n_ranges),
+                         "strings": [x.tobytes() for x in np.split(rows, cut)]})
 
 
 def _merge_strings(pdf: pd.DataFrame) -> pd.DataFrame:
     """One digest range of a split anchor: search each part's sorted run in the others' runs."""
-    parts = [(g, np.array(g["digest"].tolist(), "S16")) for _, g in pdf.sort_values("digest").groupby("part", sort=True)]
+    parts = [np.frombuffer(x, _STRING) for x in pdf["strings"]]
     found = []
-    for k, (g, own) in enumerate(parts):
+    for k, own in enumerate(parts):
         hit = np.zeros(len(own), bool)
-        for j, (_, other) in enumerate(parts):
+        for j, other in enumerate(parts):
             if j != k and len(other):
-                at = np.minimum(np.searchsorted(other, own), len(other) - 1)
-                hit |= other[at] == own
-        found.append(g[hit])
-    out = pd.concat(found)
-    return pd.DataFrame({"anchor": out["anchor"], "seg": out["seg"], "lo": out["at"], "hi": out["at"] + 1})
+                at = np.minimum(np.searchsorted(other["digest"], own["digest"]), len(other) - 1)
+                hit |= other["digest"][at] == own["digest"]
+        found.append(own[hit])
+    rows = np.sort(np.concatenate(found), order=["seg", "at"])
+    first = np.concatenate(([True], (rows["seg"][1:] != rows["seg"][:-1]) | (rows["at"][1:] != rows["at"][:-1] + 1)))[:len(rows)]
+    lo = np.flatnonzero(first)
+    hi = np.append(lo[1:], len(rows)) - 1
+    return pd.DataFrame({"anchor": int(pdf["anchor"].iloc[0]), "seg": rows["seg"][lo], "lo": rows["at"][lo], "hi": rows["at"][hi] + 1 if len(lo) else []})
 
 
 # -- the whole -------------------------------------------------------------------------
@@ -235,28 +291,28 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
         F.col("rep.id").alias("id"), F.col("rep.key").alias("key"), F.struct(
             "anchor", "seg", "n", F.col("rep.start").alias("start"),
             F.when(F.col("parts") > 1, F.col("anchor")).otherwise(F.pmod(F.hash("anchor"), F.lit(n_shards)).cast("long")).alias("shard"),
-            F.when(F.col("parts") > 1, F.pmod(F.hash("seg"), F.col("parts"))).otherwise(-1).alias("part")).alias("want"))
+            F.when(F.col("parts") > 1, F.pmod(F.hash("seg"), F.col("parts"))).otherwise(-1).alias("part"), "parts").alias("want"))
     wanted = dealt.groupBy("id", "key").agg(F.collect_list("want").alias("want"))
     held = join_on(docs, wanted, ["id", "key"])
 
     def fetch(batches: Iterator[pa.RecordBatch]):
         for part, data, off in slices(batches):
             raw = data.tobytes()
-            rows = [(w["shard"], w["part"], w["anchor"], w["seg"], w["n"], raw[off[i] + w["start"]:off[i] + w["start"] + w["n"] + length - 1])
+            rows = [(w["shard"], w["part"], w["parts"], w["anchor"], w["seg"], w["n"], raw[off[i] + w["start"]:off[i] + w["start"] + w["n"] + length - 1])
                     for i, want in enumerate(part.column("want").to_pylist()) for w in want]
-            cols = list(zip(*rows)) or [()] * 6
-            kinds_ = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            cols = list(zip(*rows)) or [()] * 7
+            kinds_ = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_)],
-                                             ["shard", "part", "anchor", "seg", "n", "content"])
+                                             ["shard", "part", "parts", "anchor", "seg", "n", "content"])
 
     content = held.select("text", "want").mapInArrow(
-        fetch, "shard long, part int, anchor long, seg long, n int, content binary")
-    solved = content.groupBy("shard", "part").applyInPandas(lambda pdf: _solve(pdf, length), _RANGE_COLS)
+        fetch, "shard long, part int, parts int, anchor long, seg long, n int, content binary")
+    solved = content.groupBy("shard", "part").applyInPandas(lambda pdf: _solve(pdf, length, gram), _RANGE_COLS)
     ranges = solved
     if open_.where(F.col("bytes") > shard_bytes).limit(1).count():
         split = content.where("part >= 0")
         strings = split.groupBy("shard", "part").applyInPandas(
-            lambda pdf: _sorted_strings(pdf, length), "anchor long, part int, range int, seg long, at int, digest binary")
+            lambda pdf: _sorted_strings(pdf, length), "anchor long, part int, range int, strings binary")
         ranges = ranges.unionByName(strings.groupBy("anchor", "range").applyInPandas(_merge_strings, _RANGE_COLS))
     # to all places of the segments
     twice = segs.where("times > 1").select("anchor", "seg", F.lit(0).alias("lo"), F.col("n").alias("hi"))
