@@ -79,9 +79,12 @@ def weekday_monday0(c: Column | str) -> Column:
     return F.weekday(c)
 
 
-def round_half_even(c: Column | str, digits: int) -> Column:
-    """NumPy/pandas rounding: halves go to the even neighbour (2.5 -> 2)."""
-    return F.bround(c, digits)
+def round_even(c: Column | str, digits: int) -> Column:
+    """NumPy/pandas rounding of doubles: scale, round halves to even, scale
+    back (2.5 -> 2).  The same three double operations as the SQL engine's
+    ``round_even``, so equal inputs round alike."""
+    scale = F.lit(float(10 ** digits))
+    return F.rint((F.col(c) if isinstance(c, str) else c) * scale) / scale
 
 
 def concat_null(*parts: Column | str) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions.columns import drop_existing, existing, prefix_columns
@@ -23,6 +23,13 @@ SIDE_STATS = [("FG_PCT", "FG_PCT"), ("FT_PCT", "FT_PCT"), ("FG3_PCT", "FG3_PCT")
 KEY_COLS = ["TEAM_ID", "SEASON"]
 
 
+def exact_mean(col: str) -> Column:
+    """Mean whose sum is taken over 12-digit decimals, so it does not depend
+    on the order in which tasks add up; NULL without values."""
+    total = F.sum(F.col(col).cast("decimal(28,12)")).cast("double")
+    return total / F.nullif(F.count(col), F.lit(0))
+
+
 def side_performance(games: DataFrame, side: str, entity_col: str, season_col: str = "SEASON",
                      outcome_col: str = "HOME_TEAM_WINS", diff_col: str = "POINT_DIFFERENTIAL",
                      suffix: str | None = None) -> DataFrame:
@@ -42,7 +49,7 @@ def side_performance(games: DataFrame, side: str, entity_col: str, season_col: s
         F.avg(f"PTS_{sfx}").alias(f"{side}_PTS_MEAN"),
         F.stddev_samp(f"PTS_{sfx}").alias(f"{side}_PTS_STD"),
         F.count(f"PTS_{sfx}").alias(f"{side}_GAMES_COUNT"),
-        *[F.avg(f"{src}_{sfx}").alias(f"{side}_{dst}") for src, dst in SIDE_STATS],
+        *[exact_mean(f"{src}_{sfx}").alias(f"{side}_{dst}") for src, dst in SIDE_STATS],
         win.alias(f"{side}_WIN_PCT"),
         dif.alias(f"{side}_PT_DIFF_MEAN"),
     ]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from duelframe.functions.columns import columns_containing, round_half_even
+from duelframe.functions.columns import columns_containing, round_even
 
 
 def entity_all_season_means(features: DataFrame, cols: Sequence[str], entity: str = "TEAM_ID",
@@ -22,7 +22,7 @@ def entity_all_season_means(features: DataFrame, cols: Sequence[str], entity: st
     """Mean of each column over all seasons of an entity, rounded half-even."""
     aggs = [F.avg(c) for c in cols]
     if digits is not None:
-        aggs = [round_half_even(a, digits) for a in aggs]
+        aggs = [round_even(a, digits) for a in aggs]
     return features.groupBy(entity).agg(*[a.alias(c) for a, c in zip(aggs, cols)])
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from duelframe.functions.columns import round_even
 from duelframe.operators import clean, contest
 from duelframe.session import tune
 from duelframe.sources.adapter import Contest, DETAILS_SQL, GAMES_SQL, TEAMS_SQL
@@ -23,7 +24,7 @@ ROUND = 6
 
 def round_doubles(df: DataFrame, digits: int = ROUND) -> DataFrame:
     """Round every DOUBLE column half-even (stable value hashes)."""
-    return df.withColumns({f.name: F.bround(f.name, digits) for f in df.schema.fields
+    return df.withColumns({f.name: round_even(F.col(f"`{f.name}`"), digits) for f in df.schema.fields
                            if isinstance(f.dataType, (T.DoubleType, T.FloatType))})
 
 
@@ -90,6 +91,11 @@ SELECT TEAM_ID, NICKNAME, coalesce(CITY, 'Unknown') AS CITY,
 FROM teams
 """
 
+def _exact_avg(col: str) -> str:
+    """Mean of a rate whose sum does not depend on the order of rows."""
+    return f"CAST(sum(CAST({col} AS DECIMAL(28, 12))) AS DOUBLE) / count({col})"
+
+
 _RATES = [("FG_PCT", "FG_PCT"), ("FT_PCT", "FT_PCT"), ("FG3_PCT", "FG3_PCT"),
           ("REB", "REB_MEAN"), ("AST", "AST_MEAN")]
 
@@ -99,7 +105,7 @@ def _side_sql(side: str, key: str, sfx: str) -> str:
     dif = "avg(POINT_DIFFERENTIAL)"
     if side != "HOME":
         win, dif = f"1 - {win}", f"-{dif}"
-    rates = ", ".join(f"avg({s}_{sfx}) AS {side}_{d}" for s, d in _RATES)
+    rates = ", ".join(f"{_exact_avg(f'{s}_{sfx}')} AS {side}_{d}" for s, d in _RATES)
     return (f"SELECT {key} AS TEAM_ID, SEASON, avg(PTS_{sfx}) AS {side}_PTS_MEAN, "
             f"stddev_samp(PTS_{sfx}) AS {side}_PTS_STD, count(PTS_{sfx}) AS {side}_GAMES_COUNT, "
             f"{rates}, {win} AS {side}_WIN_PCT, {dif} AS {side}_PT_DIFF_MEAN "

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from duelframe.functions.columns import round_even
 from duelframe.operators import metrics
 from duelframe.plans.base import Stages, round_doubles, sql_with
 from duelframe.plans.registry import query
@@ -170,8 +171,8 @@ def best_classifier_lift(spark, sf_dir):
     # the baseline is one control value: carried as a literal, no join
     baseline = metrics.majority_baseline(preds.where(F.col("MODEL") == "home_always")).first()["BASELINE"]
     out = best.withColumn("BASELINE", F.lit(float(baseline)))
-    return out.select("BEST_MODEL", "BEST_ACCURACY", F.bround("BASELINE", 6).alias("BASELINE"),
-                      F.bround((F.col("BEST_ACCURACY") - F.col("BASELINE")) / F.col("BASELINE") * 100, 4)
+    return out.select("BEST_MODEL", "BEST_ACCURACY", round_even("BASELINE", 6).alias("BASELINE"),
+                      round_even((F.col("BEST_ACCURACY") - F.col("BASELINE")) / F.col("BASELINE") * 100, 4)
                       .alias("LIFT_PCT"))
 
 
@@ -189,8 +190,8 @@ def rule_comparison(spark, sf_dir):
     s = round_doubles(metrics.classification_scores(cls_predictions(st), group=["MODEL", "ORDINAL"]))
     j = s.agg(F.max(F.when(F.col("MODEL") == "win_share_diff", F.col("ACCURACY"))).alias("WITH"),
               F.max(F.when(F.col("MODEL") == "home_always", F.col("ACCURACY"))).alias("WITHOUT"))
-    return j.select("WITH", "WITHOUT", F.bround(F.col("WITH") - F.col("WITHOUT"), 6).alias("GAIN"),
-                    F.bround((F.col("WITH") - F.col("WITHOUT")) / F.col("WITHOUT") * 100, 4).alias("GAIN_PCT"),
+    return j.select("WITH", "WITHOUT", round_even(F.col("WITH") - F.col("WITHOUT"), 6).alias("GAIN"),
+                    round_even((F.col("WITH") - F.col("WITHOUT")) / F.col("WITHOUT") * 100, 4).alias("GAIN_PCT"),
                     metrics.improvement(None).alias("VERDICT"))
 
 
@@ -234,6 +235,6 @@ def prediction_ranking_by_team(spark, sf_dir):
     p = reg_predictions(Stages(spark, sf_dir)).where(
         (F.col("TARGET") == "local_strength") & (F.col("MODEL") == "season_mean"))
     r = p.groupBy(F.col("HOME_TEAM_ID").alias("TEAM_ID")).agg(
-        F.bround(F.avg("prediction"), 2).alias("PRED_MEAN"), F.count(F.lit(1)).alias("GAMES"),
-        F.bround(F.stddev_samp("prediction"), 2).alias("PRED_STD"))
+        round_even(F.avg("prediction"), 2).alias("PRED_MEAN"), F.count(F.lit(1)).alias("GAMES"),
+        round_even(F.stddev_samp("prediction"), 2).alias("PRED_STD"))
     return r.where(F.col("GAMES") >= 5)

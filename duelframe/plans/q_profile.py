@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from duelframe.functions.columns import round_even
 from duelframe.operators import profile, quality, reports
 from duelframe.plans.base import DERIVED_DOUBLES, GAME_DOUBLES, TF_FEATURES, Stages, round_doubles, sql_with
 from duelframe.plans.registry import query
@@ -77,7 +78,7 @@ def _corr_sql():
 def correlation_matrix_games(spark, sf_dir):
     """Pearson correlation of every pair of numeric games columns (long form)."""
     out = profile.correlation_long(Stages(spark, sf_dir).games_validated, _CORR_COLS)
-    return out.withColumn("CORR", F.bround("CORR", 4))
+    return out.withColumn("CORR", round_even("CORR", 4))
 
 
 _TC_COLS = GAME_DOUBLES + ["YEAR", "MONTH", "DAY_OF_WEEK", "SEASON"]
@@ -92,7 +93,7 @@ def target_correlation_top10(spark, sf_dir):
     """Ten columns most correlated (absolute) with the home-win outcome."""
     out = profile.target_correlation_top(Stages(spark, sf_dir).games_validated, _TC_COLS,
                                          F.col("HOME_TEAM_WINS").cast("int"))
-    return out.withColumns({"CORR": F.bround("CORR", 4), "ABS_CORR": F.bround("ABS_CORR", 4)})
+    return out.withColumns({"CORR": round_even("CORR", 4), "ABS_CORR": round_even("ABS_CORR", 4)})
 
 
 def _hist_sql(col, bins):

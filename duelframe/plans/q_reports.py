@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from duelframe.functions.columns import round_even
 from duelframe.operators import reports
 from duelframe.plans.base import Stages, round_doubles, sql_round, sql_with
 from duelframe.plans.registry import query
@@ -59,7 +60,7 @@ def top10_home_win_pct(spark, sf_dir):
     """Ten sides with the best home-win percentage, rounded to 2 digits."""
     g = Stages(spark, sf_dir).games_validated.withColumnRenamed("HOME_TEAM_ID", "TEAM_ID")
     s = reports.share_by(g, "TEAM_ID", "HOME_TEAM_WINS", "HOME_WIN_PCT")
-    s = s.withColumn("HOME_WIN_PCT", F.bround("HOME_WIN_PCT", 2))
+    s = s.withColumn("HOME_WIN_PCT", round_even("HOME_WIN_PCT", 2))
     return reports.top_k(s, "HOME_WIN_PCT", 10, tie="TEAM_ID")
 
 
@@ -97,7 +98,7 @@ def quick_team_ranking(spark, sf_dir):
     st = Stages(spark, sf_dir)
     feats = st.team_features
     r = reports.quick_ranking(feats.withColumn("__x", F.lit(0)).drop("__x"))
-    r = r.withColumn("METRIC_MEAN", F.bround("METRIC_MEAN", 3))
+    r = r.withColumn("METRIC_MEAN", round_even("METRIC_MEAN", 3))
     r = r.orderBy(F.col("METRIC_MEAN").desc(), "TEAM_ID").limit(10)
     return r.join(_names(st), "TEAM_ID", "left")
 

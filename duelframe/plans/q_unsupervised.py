@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from duelframe.functions.columns import round_even
 from duelframe.operators import cluster
 from duelframe.plans.base import TF_FEATURES, Stages, round_doubles, sql_with
 from duelframe.plans.q_learning_prep import SEGMENT_SQL, edge_segments, standardized_team_features
@@ -61,7 +62,7 @@ def cluster_metrics_embeddings(spark, sf_dir):
                                            for k in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")))]
     out = spark.createDataFrame(row, "N_CLUSTERS int, N_NOISE int, SILHOUETTE double, CALINSKI_HARABASZ double, "
                                      "DAVIES_BOULDIN double")
-    return out.withColumns({c: F.bround(c, 4) for c in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")})
+    return out.withColumns({c: round_even(c, 4) for c in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")})
 
 
 @query("kmeans_k_selection", "K2 K3 W1")

@@ -42,17 +42,22 @@ def _side_aggregates(lineitem: DataFrame) -> DataFrame:
     def on(cond, c):
         return F.when(cond, c)
 
-    price = F.col("l_extendedprice") / F.lit(100000.0)
+    def exact_avg(cond, c):
+        # sums of exact numbers: the same in every order of the rows
+        total = F.sum(on(cond, F.col(c).cast("decimal(18,2)"))).cast("double")
+        return total / F.nullif(F.count(on(cond, F.lit(1))), F.lit(0))
+
+    scale = F.lit(100000.0)
     return lineitem.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("sk"),
         F.sum(on(home, F.col("l_quantity"))).alias("q_h"),
         F.sum(on(away, F.col("l_quantity"))).alias("q_a"),
-        F.avg(on(home, F.col("l_discount"))).alias("d_h"),
-        F.avg(on(away, F.col("l_discount"))).alias("d_a"),
-        F.avg(on(home, F.col("l_tax"))).alias("t_h"),
-        F.avg(on(away, F.col("l_tax"))).alias("t_a"),
-        F.avg(on(home, price)).alias("p_h"),
-        F.avg(on(away, price)).alias("p_a"),
+        exact_avg(home, "l_discount").alias("d_h"),
+        exact_avg(away, "l_discount").alias("d_a"),
+        exact_avg(home, "l_tax").alias("t_h"),
+        exact_avg(away, "l_tax").alias("t_a"),
+        (exact_avg(home, "l_extendedprice") / scale).alias("p_h"),
+        (exact_avg(away, "l_extendedprice") / scale).alias("p_a"),
         F.count(on(home, F.lit(1))).cast("double").alias("n_h"),
         F.count(on(away, F.lit(1))).cast("double").alias("n_a"),
         F.max(on(home, F.col("l_quantity"))).alias("k_h"),
@@ -157,15 +162,18 @@ SELECT o.o_orderkey AS GAME_ID, CAST(o.o_orderdate AS DATE) AS GAME_DATE_EST, CA
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN (SELECT l_orderkey, min(l_suppkey) AS sk,
         sum(CASE WHEN l_linenumber <= 3 THEN l_quantity END) AS q_h, sum(CASE WHEN l_linenumber > 3 THEN l_quantity END) AS q_a,
-        avg(CASE WHEN l_linenumber <= 3 THEN l_discount END) AS d_h, avg(CASE WHEN l_linenumber > 3 THEN l_discount END) AS d_a,
-        avg(CASE WHEN l_linenumber <= 3 THEN l_tax END) AS t_h, avg(CASE WHEN l_linenumber > 3 THEN l_tax END) AS t_a,
-        avg(CASE WHEN l_linenumber <= 3 THEN l_extendedprice/100000 END) AS p_h, avg(CASE WHEN l_linenumber > 3 THEN l_extendedprice/100000 END) AS p_a,
+        {d_h} AS d_h, {d_a} AS d_a, {t_h} AS t_h, {t_a} AS t_a,
+        {p_h} / 100000.0::DOUBLE AS p_h, {p_a} / 100000.0::DOUBLE AS p_a,
         CAST(count(CASE WHEN l_linenumber <= 3 THEN 1 END) AS DOUBLE) AS n_h, CAST(count(CASE WHEN l_linenumber > 3 THEN 1 END) AS DOUBLE) AS n_a,
         max(CASE WHEN l_linenumber <= 3 THEN l_quantity END) AS k_h, max(CASE WHEN l_linenumber > 3 THEN l_quantity END) AS k_a
       FROM lineitem GROUP BY l_orderkey) a ON a.l_orderkey = o.o_orderkey
 JOIN supplier s ON s.s_suppkey = a.sk
 WHERE c.c_nationkey <> s.s_nationkey
-"""
+""".format(**{
+    f"{short}_{side}": f"CAST(sum(CASE WHEN l_linenumber {cond} 3 THEN CAST({col} AS DECIMAL(18, 2)) END) AS DOUBLE) "
+                       f"/ count(CASE WHEN l_linenumber {cond} 3 THEN 1 END)"
+    for short, col in (("d", "l_discount"), ("t", "l_tax"), ("p", "l_extendedprice"))
+    for side, cond in (("h", "<="), ("a", ">"))})
 
 DETAILS_SQL = """
 SELECT g.GAME_ID, CASE WHEN l.l_linenumber <= 3 THEN g.HOME_TEAM_ID ELSE g.VISITOR_TEAM_ID END AS TEAM_ID,

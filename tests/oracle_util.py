@@ -23,11 +23,13 @@ def duck(sf_dir: str):
     return con
 
 
+#: floats are compared as they are, but for the last bits of sums whose order differs
+DIGITS = 12
+
+
 def _norm(v):
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 5)
+        return "nan" if math.isnan(v) else float(f"{v:.{DIGITS}g}") + 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
