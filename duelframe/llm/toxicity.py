@@ -24,7 +24,7 @@ from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, ddl, mix, slices,
 
 AFFIXES = (3, 4, 5, 6)         # bytes of a word's first and last characters used as features
 WIDTH = 1 << 18                # hashed feature weights
-SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000   # labelled documents used at most, by smallest hash of the id
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000   # labelled documents used at most, by smallest hash of the id
 WINDOW = 24                    # tokens of a training window
 WINDOWS = 6000                 # training windows of each kind at most
 ROUNDS = 60
@@ -68,8 +68,10 @@ class Field:
 
     def emissions(self, features: np.ndarray) -> np.ndarray:
         """Score of the toxic state for feature rows (the other state's is 0)."""
-        idx = (features & np.uint64(WIDTH - 1)).astype(np.int64)
-        return (self.weights[idx] * (features != 0)).sum(axis=1) + self.bias
+        out = np.full(len(features), self.bias)
+        for f in features.T:
+            out += np.where(f != 0, self.weights[f & np.uint64(WIDTH - 1)], 0.0)
+        return out
 
 
 def forward_backward(em: np.ndarray, trans: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,8 +188,8 @@ def marginals(em: np.ndarray, trans: np.ndarray, first: np.ndarray, step: int =
 
 # -- training ---------------------------------------------------------------------
 
-def _evidence(feat: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature hashes that speak for toxic documents: (sorted hashes, log-likelihood ratios)."""
+def _evidence(feat: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Feature hashes that speak significantly for toxic documents (by log-likelihood ratio)."""
     ids, inv = np.unique(feat, return_inverse=True)
     pair = np.unique(inv.astype(np.int64) * (len(toxic) + 1) + doc)
     f, d = pair // (len(toxic) + 1), pair % (len(toxic) + 1)
@@ -202,7 +204,7 @@ def _evidence(feat: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> tuple[np.
     both = (k1 + k0) / (n1 + n0)
     g = ll(k1, n1, k1 / n1) + ll(k0, n0, k0 / n0) - ll(k1, n1, both) - ll(k0, n0, both)
     strong = (g >= EVIDENCE / 2) & (k1 / n1 > 4 * k0 / n0) & (ids != 0)
-    return ids[strong], g[strong]
+    return ids[strong]
 
 
 def train(texts: list[str | None], labels: list[int], seed: int = 42) -> Field:
@@ -214,21 +216,23 @@ def train(texts: list[str | None], labels: list[int], seed: int = 42) -> Field:
     for part, data, off in slices(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])] if texts else [])):
         _, _, first, f, inv = tokens(data, off)
         feats.append(f)
-        rows.append(inv + base)
-        docs.append(np.repeat(np.arange(part.num_rows), np.diff(first)) + n)
+        rows.append((inv + base).astype(np.int32))
+        docs.append((np.repeat(np.arange(part.num_rows), np.diff(first)) + n).astype(np.int32))
         firsts.extend((first[1:] + firsts[-1]).tolist())
         base, n = base + len(f), n + part.num_rows
     field = Field(np.zeros(WIDTH), 0.0, np.zeros((2, 2)), np.array([_prior(toxic), 0.0, 0.0]))
     if not feats or toxic.min() == toxic.max() or not sum(map(len, rows)):
         return field
     feats, rows, docs, first = np.concatenate(feats), np.concatenate(rows), np.concatenate(docs), np.array(firsts)
+    words = np.unique(feats[:, 0], return_index=True, return_inverse=True)   # the same word in different slices
+    feats, rows = feats[words[1]], words[2].astype(np.int32)[rows]
+    del words
     pair = np.unique(rows.astype(np.int64) * n + docs)
     r, d = pair // n, pair % n
-    ids, strength = _evidence(feats[r].ravel(), np.repeat(d, feats.shape[1]), toxic)
     # token labels: a toxic document's words that hold a strong feature
-    at = np.minimum(np.searchsorted(ids, feats), max(len(ids) - 1, 0))
-    power = np.where(ids[at] == feats, strength[at], 0.0).max(axis=1) if len(ids) else np.zeros(len(feats))
-    word_toxic = power > 0
+    word_toxic = np.zeros(len(feats), bool)
+    for k in range(feats.shape[1]):
+        word_toxic |= np.isin(feats[:, k], _evidence(feats[r, k], d, toxic))
     y = word_toxic[rows] & (toxic[docs] == 1)
     # windows of tokens: around toxic tokens, and from clean documents (those with look-alikes first)
     starts = np.arange(0, len(rows), WINDOW)
