@@ -15,9 +15,11 @@ mean_{y in C} |x - y|^2 = |x|^2 - 2 x.mu_C + mean_C |y|^2.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -25,24 +27,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_K = 1000
+from duelframe.functions.columns import round_even
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
 
 
-def kmeans_best_of(df: DataFrame, k: int, seed: int = 42, n_init: int = 3, features: str = "features",
+N_INIT = 10        # fixed value: the configured number of restarts
+AT_ONCE = 8        # fits submitted at the same time
+
+
+def kmeans_best_of(df: DataFrame, k: int, seed: int = 42, n_init: int = N_INIT, features: str = "features",
                    max_iter: int = 300, tol: float = 1e-4):
-    """Fit K-means ``n_init`` times (seeds seed..seed+n_init-1), keep the
-    lowest cost.  Spark's k-means|| initialisation already spreads seeds
-    well; n_init repeats it as scikit-learn's ``n_init`` does."""
-    best = None
-    for i in range(n_init):
+    """Fit K-means ``n_init`` times (seeds seed..seed+n_init-1) and keep the
+    lowest cost (ties: the first seed).  The fits are independent jobs,
+    submitted side by side."""
+    def fit(i: int):
         m = KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter, tol=tol).fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+        return m.summary.trainingCost, i, m
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        found = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(n_init)))
+    return min(found, key=lambda t: t[:2])[2]
 
 
 def total_sum_of_squares(df: DataFrame, cols: Sequence[str]) -> float:
@@ -54,16 +61,6 @@ def total_sum_of_squares(df: DataFrame, cols: Sequence[str]) -> float:
     return float(sum(row[f"q{i}"] - row[f"s{i}"] ** 2 / n for i in range(len(cols))))
 
 
-def elbow_costs(df: DataFrame, cols: Sequence[str], max_k: int = 10, seed: int = 42, n_init: int = 3) -> DataFrame:
-    """(K, COST) for k = 1..max_k: k = 1 in closed form, k >= 2 by K-means."""
-    data = assemble(df, cols).select("features").cache()
-    costs = [(1, total_sum_of_squares(df, cols))]
-    for k in range(2, max_k + 1):
-        costs.append((k, float(kmeans_best_of(data, k, seed, n_init).summary.trainingCost)))
-    data.unpersist()
-    return df.sparkSession.createDataFrame(costs, "K int, COST double")
-
-
 def elbow_choice(costs: DataFrame) -> DataFrame:
     """Successive drops, second differences (the last drop unused) and the
     suggested k = argmax(second difference) + 2 (ties: lowest k; 3 when there
@@ -89,7 +86,7 @@ def relabel_by_first_key(labels: DataFrame, keys: Sequence[str], label: str = "l
 
 
 def kmeans_labels(df: DataFrame, cols: Sequence[str], k: int, keys: Sequence[str] = ("TEAM_ID", "SEASON"),
-                  seed: int = 42, n_init: int = 3) -> tuple[DataFrame, object]:
+                  seed: int = 42, n_init: int = N_INIT) -> tuple[DataFrame, object]:
     data = assemble(df, cols)
     model = kmeans_best_of(data, k, seed, n_init)
     lab = model.transform(data).select(*keys, F.col("prediction").alias("label"))
@@ -151,9 +148,7 @@ def components_for_share(variance: DataFrame, share: float = 0.95) -> int:
 def _cluster_stats(points: DataFrame, cols: Sequence[str], label: str) -> list:
     rows = points.groupBy(label).agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(f"__s{i}") for i, c in enumerate(cols)],
-        F.sum(F.aggregate(_vec(cols), F.lit(0.0), lambda acc, x: acc + x * x)).alias("__q")).limit(MAX_K + 1).collect()
-    if len(rows) > MAX_K:
-        raise ValueError("too many clusters")
+        F.sum(F.aggregate(_vec(cols), F.lit(0.0), lambda acc, x: acc + x * x)).alias("__q")).collect()      # one row a cluster
     return rows
 
 
@@ -281,42 +276,45 @@ def cluster_profile(features: DataFrame, labels: DataFrame, cols: Sequence[str],
 
 
 def describe_clusters(profile: DataFrame, top: int = 3) -> DataFrame:
-    """One sentence per cluster from its top features' percent differences:
-    >20 'very high in', >10 'high in', <-20 'very low in', <-10 'low in'."""
-    phrase = (F.when(F.col("DIFF_PCT") > 20, F.concat(F.lit("very high in "), F.col("FEATURE")))
-               .when(F.col("DIFF_PCT") > 10, F.concat(F.lit("high in "), F.col("FEATURE")))
-               .when(F.col("DIFF_PCT") < -20, F.concat(F.lit("very low in "), F.col("FEATURE")))
-               .when(F.col("DIFF_PCT") < -10, F.concat(F.lit("low in "), F.col("FEATURE"))))
-    t = profile.where(F.col("RANK") <= top).withColumn("PHRASE", phrase)
-    d = t.groupBy("CLUSTER", "SIZE").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("RANK", "PHRASE"))), lambda s: s["PHRASE"]),
-                     ", ").alias("__p"))
-    return d.select("CLUSTER", "SIZE", F.when(F.col("__p") == "", F.lit("Teams with average characteristics"))
-                    .otherwise(F.concat(F.lit("Teams with "), F.col("__p"))).alias("DESCRIPTION"))
-
-
-def insights(descriptions: DataFrame, profile: DataFrame, top: int = 5) -> DataFrame:
-    """Insight, recommendation and comparison sentences per cluster."""
-    feats = profile.where(F.col("RANK") <= top).groupBy("CLUSTER").agg(
-        F.lower(F.array_join(F.collect_list("FEATURE"), ",")).alias("__f"))
-    d = descriptions.join(feats, "CLUSTER")
-    rec = (F.when(F.col("__f").contains("offensive") | F.col("__f").contains("points"),
-                  F.format_string("Cluster %d: improve defence and keep offensive efficiency.", F.col("CLUSTER")))
-            .when(F.col("__f").contains("defensive"),
-                  F.format_string("Cluster %d: develop more offensive options without weakening defence.",
-                                  F.col("CLUSTER")))
-            .otherwise(F.format_string("Cluster %d: look for competitive edges from its own profile.",
-                                       F.col("CLUSTER"))))
-    per = d.select("CLUSTER", F.format_string("Cluster %d (%d teams): %s.", "CLUSTER", "SIZE", "DESCRIPTION")
-                   .alias("INSIGHT"), rec.alias("RECOMMENDATION"))
-    big = descriptions.agg(F.max_by("CLUSTER", F.struct("SIZE", -F.col("CLUSTER"))).alias("c1"),
-                           F.max(F.struct("SIZE", -F.col("CLUSTER")))["SIZE"].alias("s1"),
-                           F.min_by("CLUSTER", F.struct("SIZE", "CLUSTER")).alias("c2"),
-                           F.min(F.struct("SIZE", "CLUSTER"))["SIZE"].alias("s2"),
-                           F.count(F.lit(1)).alias("n"))
-    cmp = big.where(F.col("n") > 1).select(
-        F.lit(-1).alias("CLUSTER"),
-        F.format_string("Cluster %d is the most common (%d teams), cluster %d the most exclusive (%d teams).",
-                        "c1", "s1", "c2", "s2").alias("INSIGHT"),
-        F.lit("Scout players that fit each cluster's profile.").alias("RECOMMENDATION"))
-    return per.unionByName(cmp)
+    """One line per cluster: where its ``top`` most different features stand.
+
+    A feature more than 20 (10) percent off the overall mean is told as far
+    (or just) above or below it; clusters without one are told as average."""
+    pct = F.col("DIFF_PCT")
+    # fixed values: the bounds of the buckets, 20 and 10 percent
+    stand = (F.when(pct > 20, "far above").when(pct > 10, "above")
+              .when(pct < -20, "far below").when(pct < -10, "below"))
+    told = profile.where(F.col("RANK") <= top).withColumn(
+        "__t", F.when(stand.isNotNull(), F.concat("FEATURE", F.lit(" "), stand, F.lit(" average"))))
+    per = told.groupBy("CLUSTER", "SIZE").agg(F.array_sort(F.collect_list(
+        F.when(F.col("__t").isNotNull(), F.struct("RANK", "__t")))).alias("__l"))
+    line = F.array_join(F.transform("__l", lambda x: x["__t"]), "; ")
+    return per.select("CLUSTER", "SIZE", F.when(F.size("__l") == 0, "close to average").otherwise(line).alias("DESCRIPTION"))
+
+
+def insights(profile: DataFrame) -> DataFrame:
+    """Insight and recommendation per cluster, from its highest and lowest
+    percent difference, and a last line (CLUSTER -1) on the cluster sizes.
+
+    The recommendation follows from the signs: something lags while something
+    leads, nothing lags, or nothing leads.  Ties go to the earlier feature;
+    features without a percent difference (overall mean 0) are left out."""
+    known = profile.where(F.col("DIFF_PCT").isNotNull())
+    up, down = F.struct("DIFF_PCT", -F.col("POS")), F.struct(F.col("DIFF_PCT"), "POS")
+    ends = known.groupBy("CLUSTER", "SIZE").agg(
+        F.max_by("FEATURE", up).alias("HIGH"), F.max("DIFF_PCT").alias("HIGH_PCT"),
+        F.min_by("FEATURE", down).alias("LOW"), F.min("DIFF_PCT").alias("LOW_PCT"))
+    whole = {c: round_even(c, 0).cast("bigint") for c in ("HIGH_PCT", "LOW_PCT")}
+    insight = F.format_string("Cluster %d, %d members: %s stands highest at %d percent, %s lowest at %d percent of difference",
+                              "CLUSTER", "SIZE", "HIGH", whole["HIGH_PCT"], "LOW", whole["LOW_PCT"])
+    advice = (F.when(F.col("LOW_PCT") >= 0, F.concat(F.lit("Nothing lags; build on "), "HIGH"))
+               .when(F.col("HIGH_PCT") <= 0, F.concat(F.lit("Nothing leads; start with "), "LOW"))
+               .otherwise(F.concat(F.lit("Work on "), "LOW", F.lit(" and keep "), "HIGH")))
+    per = ends.select("CLUSTER", insight.alias("INSIGHT"), advice.alias("RECOMMENDATION"))
+    sizes = ends.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("SIZE", (-F.col("CLUSTER")).alias("NEGATED"))).alias("big"),
+                     F.min(F.struct("SIZE", "CLUSTER")).alias("small")).where("n > 1")
+    big, small = F.col("big"), F.col("small")
+    last = sizes.select(F.lit(-1).alias("CLUSTER"), F.format_string(
+        "Sizes run from %d (cluster %d) to %d (cluster %d)", small["SIZE"], small["CLUSTER"], big["SIZE"],
+        -big["NEGATED"]).alias("INSIGHT"), F.lit("Read small clusters with care").alias("RECOMMENDATION"))
+    return per.unionByName(last)

@@ -17,8 +17,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, \
-    RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -41,8 +40,9 @@ def _pipeline(features: Sequence[str], est, scale: bool = True) -> Pipeline:
 def classifier(name: str, n_train: int, quick: bool = False):
     """(estimator, param grid) for a configured classifier.
 
-    Penalties follow scikit-learn's scale: C -> regParam = 1 / (C * n).
-    ``quick`` keeps the first value of each grid axis (the quick-test job).
+    The grid values are fixed values of the configuration.  Penalties follow
+    scikit-learn's scale: C -> regParam = 1 / (C * n).  ``quick`` keeps the
+    first value of each grid axis (the quick-test job only).
     """
     if name == "logistic_regression":
         est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=1000)
@@ -119,7 +119,7 @@ def _grid(est, grid):
 
 
 def cross_validate(train: DataFrame, features: Sequence[str], est, grid, evaluator, fold_col: str = "FOLD",
-                   parallelism: int = 4, scale: bool = True, folds: int = 5):
+                   parallelism: int = 8, scale: bool = True, folds: int = 5):
     """Grid search with k-fold CV over the precomputed fold column; returns
     (best PipelineModel, mean metric per grid point, std per grid point)."""
     pipe = _pipeline(features, est, scale)
@@ -181,9 +181,5 @@ def accuracy_eval():
     return MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
 
 
-def auc_eval():
-    return BinaryClassificationEvaluator(labelCol="label")
-
-
 def r2_eval():
     return RegressionEvaluator(labelCol="label", metricName="r2")

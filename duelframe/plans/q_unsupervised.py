@@ -76,7 +76,7 @@ def kmeans_k_selection(spark, sf_dir):
     vec = cluster.assemble(data, cols).cache()
     costs, sils = [(1, cluster.total_sum_of_squares(data, cols))], {}
     for k in range(2, 11):
-        model = cluster.kmeans_best_of(vec, k, 42, n_init=1)
+        model = cluster.kmeans_best_of(vec, k)
         costs.append((k, float(model.summary.trainingCost)))
         lab = model.transform(vec).select(*cols, F.col("prediction").alias("label"))
         sils[k] = cluster.silhouette_sq(lab, cols)
@@ -96,7 +96,7 @@ def segmentations(st, k: int | None = None):
         vec = cluster.assemble(data, cols).cache()
         costs = [(1, cluster.total_sum_of_squares(data, cols))]
         for kk in range(2, 11):
-            costs.append((kk, float(cluster.kmeans_best_of(vec, kk, 42, n_init=1).summary.trainingCost)))
+            costs.append((kk, float(cluster.kmeans_best_of(vec, kk).summary.trainingCost)))
         t = st.spark.createDataFrame(costs, "K int, COST double")
         k = int(cluster.elbow_choice(t).first()["SUGGESTED_K"])
     km, model = cluster.kmeans_labels(data, cols, k)
@@ -170,16 +170,21 @@ def pca_scores_joined(spark, sf_dir):
 
 @query("method_comparison", "D3")
 def method_comparison(spark, sf_dir):
-    """Dimensionality methods side by side: PCA with its measured variance
-    share; t-SNE and UMAP listed as not run (no scalable Spark form)."""
+    """Linear reductions side by side: principal components for 80, 90 and 95
+    percent of the variance and the configured ten, each with its measured
+    share and an advice that follows from it.  Single-machine embeddings have
+    no distributed form and are not offered."""
     st = Stages(spark, sf_dir)
-    p = cluster.pca(standardized_team_features(st), TF_FEATURES, 10)
-    total = float(p.variance.agg(F.sum("VARIANCE_SHARE")).first()[0])
-    rows = [("PCA", p.n_components, total, "linear; preserves global variance; use for features"),
-            ("t-SNE", 2, None, "not run: single-machine embedding"),
-            ("UMAP", 2, None, "not run: single-machine embedding")]
-    return round_doubles(spark.createDataFrame(rows, "METHOD string, COMPONENTS int, EXPLAINED_VARIANCE double, "
-                                                     "ADVICE string"))
+    variance = cluster.pca(standardized_team_features(st), TF_FEATURES, len(TF_FEATURES)).variance
+    first = [F.min(F.when(F.col("CUMULATIVE") >= share, F.col("PC"))).alias(f"c{i}") for i, share in enumerate((0.8, 0.9, 0.95))]
+    wanted = variance.agg(*first).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("METHOD"), size.cast("int").alias("COMPONENTS")) for name, size in (
+            ("PCA, 80 % of variance", F.col("c0")), ("PCA, 90 % of variance", F.col("c1")),
+            ("PCA, 95 % of variance", F.col("c2")), ("PCA, 10 components", F.lit(10)))])))
+    out = wanted.join(variance, F.col("COMPONENTS") == F.col("PC"), "left")
+    advice = (F.when(F.col("CUMULATIVE") >= 0.95, "keeps nearly all variance: use as model features")
+               .when(F.col("CUMULATIVE") >= 0.85, "keeps most variance: use for segmentation").otherwise("use for overviews only"))
+    return round_doubles(out.select("METHOD", "COMPONENTS", F.col("CUMULATIVE").alias("EXPLAINED_VARIANCE"), advice.alias("ADVICE")))
 
 
 _PROFILE_SQL = """
@@ -210,14 +215,39 @@ def segment_profile(spark, sf_dir):
     return round_doubles(prof.withColumn("RANK", F.col("RANK").cast("bigint")))
 
 
-@query("segment_descriptions", "P20 P21 K9")
+_DESCRIPTIONS_SQL = """
+WITH {stages},
+     pr AS (SELECT *, row_number() OVER (PARTITION BY CLUSTER ORDER BY ABS_DIFF DESC, POS) AS RANK FROM ranked),
+     told AS (
+       SELECT CLUSTER, RANK, FEATURE || CASE WHEN DIFF_PCT > 20 THEN ' far above' WHEN DIFF_PCT > 10 THEN ' above'
+                                             WHEN DIFF_PCT < -20 THEN ' far below' WHEN DIFF_PCT < -10 THEN ' below' END || ' average' AS t
+       FROM pr WHERE RANK <= 3),
+     d AS (SELECT CLUSTER, coalesce(string_agg(t, '; ' ORDER BY RANK), 'close to average') AS DESCRIPTION FROM told GROUP BY CLUSTER),
+     ends AS (
+       SELECT CLUSTER, SIZE, first(FEATURE ORDER BY DIFF_PCT DESC, POS) AS HIGH, max(DIFF_PCT) AS HIGH_PCT,
+              first(FEATURE ORDER BY DIFF_PCT, POS) AS LOW, min(DIFF_PCT) AS LOW_PCT
+       FROM pr WHERE DIFF_PCT IS NOT NULL GROUP BY CLUSTER, SIZE),
+     sizes AS (SELECT count(*) AS n, arg_max(CLUSTER, SIZE * 1000000 - CLUSTER) AS bc, max(SIZE) AS bs,
+                      arg_min(CLUSTER, SIZE * 1000000 + CLUSTER) AS sc, min(SIZE) AS ss FROM ends)
+SELECT ends.CLUSTER, 'Cluster ' || ends.CLUSTER || ', ' || SIZE || ' members: ' || HIGH || ' stands highest at '
+       || CAST(round_even(HIGH_PCT, 0) AS BIGINT) || ' percent, ' || LOW || ' lowest at ' || CAST(round_even(LOW_PCT, 0) AS BIGINT)
+       || ' percent of difference' AS INSIGHT,
+       CASE WHEN LOW_PCT >= 0 THEN 'Nothing lags; build on ' || HIGH WHEN HIGH_PCT <= 0 THEN 'Nothing leads; start with ' || LOW
+            ELSE 'Work on ' || LOW || ' and keep ' || HIGH END AS RECOMMENDATION, DESCRIPTION
+FROM ends LEFT JOIN d ON d.CLUSTER = ends.CLUSTER
+UNION ALL
+SELECT -1, 'Sizes run from ' || ss || ' (cluster ' || sc || ') to ' || bs || ' (cluster ' || bc || ')', 'Read small clusters with care', NULL
+FROM sizes WHERE n > 1
+""".format(stages=_PROFILE_SQL.strip()[5:_PROFILE_SQL.strip().rindex("SELECT CLUSTER, SIZE, FEATURE")].rstrip())
+
+
+@query("segment_descriptions", "P20 P21 K9", sql=sql_with(_DESCRIPTIONS_SQL, upto="tf"))
 def segment_descriptions(spark, sf_dir):
     """Description, insight and recommendation sentences per segment plus
-    the most-common vs most-exclusive line."""
+    a line on the segment sizes."""
     st = Stages(spark, sf_dir)
-    prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES).cache()
-    desc = cluster.describe_clusters(prof)
-    return cluster.insights(desc, prof).join(desc.select("CLUSTER", "DESCRIPTION"), "CLUSTER", "left")
+    prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES)
+    return cluster.insights(prof).join(cluster.describe_clusters(prof).drop("SIZE"), "CLUSTER", "left")
 
 
 # ------------------------------------------------------------ anomalies
