@@ -6,7 +6,8 @@ sampling rate; an ``explode`` of tree ids bounded by n_trees, then a
 per-tree cap by ``row_number`` over a bounded hash order).  Trees are grown
 in ``groupBy(tree).applyInPandas``: each group holds at most ``max_samples``
 rows, so no task ever sees more.  The grown forest is a few thousand nodes
-(bounded by n_trees * 2 * max_samples) and is broadcast to score all rows
+(bounded by n_trees * 2 * max_samples; max_samples = 256 is the algorithm's
+own definition of a tree) and is broadcast to score all rows
 with ``mapInPandas`` (Arrow batches).  The contamination threshold is a
 percentile of the scores.
 
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from duelframe.operators.quantiles import exact_quantiles
+
 _SCALE = float(2 ** 63)
 
 
@@ -79,10 +82,14 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], keys: Sequence[str], n_
     n = df.count()
     psi = min(max_samples, n)
     rate = min(1.0, 2.0 * psi / max(n, 1))
-    trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("TREE")
-    cand = df.select(*keys, *cols, trees)
-    h = F.abs(F.xxhash64(*[F.col(k) for k in keys], F.col("TREE"), F.lit(seed)).cast("double")) / F.lit(_SCALE)
-    cand = cand.withColumn("__h", h).where(F.col("__h") < F.lit(rate))
+
+    def draw(tree):
+        return F.abs(F.xxhash64(*[F.col(k) for k in keys], tree, F.lit(seed)).cast("double")) / F.lit(_SCALE)
+
+    # a row's trees are picked first, so a row is copied only for those
+    own = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(t.alias("TREE"), draw(t).alias("__h"))),
+                   lambda x: x["__h"] < F.lit(rate))
+    cand = df.withColumn("__own", own).where(F.size("__own") > 0).select(*keys, *cols, F.inline("__own"))
     cand = cand.withColumn("__r", F.row_number().over(W.partitionBy("TREE").orderBy("__h", *keys))) \
                .where(F.col("__r") <= psi).drop("__h", "__r")
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -121,7 +128,7 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], keys: Sequence[str], n_
 
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
     scored = df.select(*keys, *cols).mapInPandas(score, f"{key_schema}, ANOMALY_SCORE double")
-    thr = scored.agg(F.percentile("ANOMALY_SCORE", 1.0 - contamination).alias("t")).first()["t"]
+    thr = exact_quantiles(scored, ["ANOMALY_SCORE"], [1.0 - contamination])["ANOMALY_SCORE"][0]
     return scored.withColumns({"DECISION": F.lit(float(thr)) - F.col("ANOMALY_SCORE"),
                                "IS_ANOMALY": (F.col("ANOMALY_SCORE") > F.lit(float(thr))).cast("int")})
 
@@ -143,18 +150,30 @@ def rff_one_class(df: DataFrame, cols: Sequence[str], keys: Sequence[str], nu: f
     Wm = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_features, d))
     b = rng.uniform(0.0, 2 * math.pi, size=n_features)
     scale = math.sqrt(2.0 / n_features)
-    vec = F.array(*[F.col(c).cast("double") for c in cols])
-
-    def feat(j):
-        w = F.array(*[F.lit(float(x)) for x in Wm[j]])
-        dot = F.aggregate(F.zip_with(vec, w, lambda a, c: a * c), F.lit(0.0), lambda acc, x: acc + x)
-        return F.lit(scale) * F.cos(dot + F.lit(float(b[j])))
-    z = df.select(*keys, F.array(*[feat(j) for j in range(n_features)]).alias("__z")).cache()
-    mean = z.agg(*[F.avg(F.col("__z")[j]).alias(f"z{j}") for j in range(n_features)]).first()
-    mu = F.array(*[F.lit(float(mean[f"z{j}"])) for j in range(n_features)])
-    s = F.aggregate(F.zip_with(F.col("__z"), mu, lambda a, c: a * c), F.lit(0.0), lambda acc, x: acc + x)
-    scored = z.select(*keys, s.alias("SCORE"))
-    thr = scored.agg(F.percentile("SCORE", nu).alias("t")).first()["t"]
+    names = list(cols)
+
+    def features(pdf: pd.DataFrame) -> np.ndarray:
+        return scale * np.cos(pdf[names].to_numpy(dtype=float) @ Wm.T + b)
+
+    def sums(it):                                       # one row a task: its count and sum of features
+        n, total = 0, np.zeros(n_features)
+        for pdf in it:
+            n, total = n + len(pdf), total + features(pdf).sum(axis=0)
+        yield pd.DataFrame({"n": [n], "z": [total.tolist()]})
+
+    part = df.select(*cols).mapInPandas(sums, "n long, z array<double>").select("n", F.posexplode("z").alias("j", "z"))
+    rows = part.groupBy("j").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).collect()
+    mu = np.zeros(n_features)
+    for r in rows:
+        mu[r["j"]] = r["z"] / max(r["n"], 1)
+
+    def score(it):
+        for pdf in it:
+            yield pdf[list(keys)].assign(SCORE=features(pdf) @ mu)
+
+    key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+    scored = df.select(*keys, *cols).mapInPandas(score, f"{key_schema}, SCORE double")
+    thr = exact_quantiles(scored, ["SCORE"], [nu])["SCORE"][0]
     return scored.withColumns({"DECISION": F.col("SCORE") - F.lit(float(thr)),
                                "IS_ANOMALY": (F.col("SCORE") < F.lit(float(thr))).cast("int")})
 
@@ -166,7 +185,7 @@ def zscore_detector(df: DataFrame, cols: Sequence[str], keys: Sequence[str], con
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     terms = [((F.col(c) - F.lit(stats[f"m{i}"])) / F.lit(stats[f"s{i}"] or 1.0)) ** 2 for i, c in enumerate(cols)]
     scored = df.select(*keys, sum(terms, F.lit(0.0)).alias("SCORE"))
-    thr = scored.agg(F.percentile("SCORE", 1.0 - contamination).alias("t")).first()["t"]
+    thr = exact_quantiles(scored, ["SCORE"], [1.0 - contamination])["SCORE"][0]
     return scored.withColumns({"DECISION": F.lit(float(thr)) - F.col("SCORE"),
                                "IS_ANOMALY": (F.col("SCORE") > F.lit(float(thr))).cast("int")})
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from duelframe.functions.columns import (
     concat_null, numeric_columns, string_columns, upper_columns, weekday_monday0,
 )
+from duelframe.operators.quantiles import exact_quantiles, mode
 
 
 def clean_games(games: DataFrame, date_col: str = "GAME_DATE_EST", season_col: str = "SEASON",
@@ -39,7 +40,7 @@ def clean_teams(teams: DataFrame, city_col: str = "CITY", founded_col: str = "YE
     t = upper_columns(teams)
     fills = {city_col: "Unknown"}
     if founded_col in t.columns:
-        med = t.agg(F.median(founded_col).alias("m")).first()["m"]
+        med = exact_quantiles(t, [founded_col], [0.5])[founded_col][0]
         if med is not None:
             fills[founded_col] = med
     t = t.fillna(fills)
@@ -57,21 +58,14 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def columns_with_nulls(df: DataFrame) -> list[str]:
-    row = null_counts(df).first()
-    return [c for c in df.columns if row[c] > 0]
-
-
 def impute_median_mode(df: DataFrame) -> DataFrame:
     """Fill NULLs of numeric columns with their exact median and of string
     columns with their mode (smallest value on ties), only in columns that
     hold a NULL.  Booleans are not numeric and stay as they are.
 
-    Two narrow passes: NULL counts of every column (cheap counters), then
-    the exact median / mode of only the columns that need filling.  Those
-    aggregates combine map-side and their buffers grow with the number of
-    distinct values of the column, so key columns without NULLs (ids) never
-    get one.
+    NULL counts of every column come first (cheap counters); only columns
+    that need filling get an exact median (two bounded passes for all of
+    them) or a mode.
     """
     nums = numeric_columns(df)
     strs = string_columns(df)
@@ -84,13 +78,7 @@ def impute_median_mode(df: DataFrame) -> DataFrame:
     fill_strs = [c for c in strs if c in need]
     if not need:
         return df
-    stats = df.agg(*[F.median(c).alias(f"m__{i}") for i, c in enumerate(fill_nums)],
-                   *[F.mode(c, True).alias(f"o__{i}") for i, c in enumerate(fill_strs)]).first()
-    fills = {}
-    for i, c in enumerate(fill_nums):
-        if stats[f"m__{i}"] is not None:
-            fills[c] = stats[f"m__{i}"]
-    for i, c in enumerate(fill_strs):
-        if stats[f"o__{i}"] is not None:
-            fills[c] = stats[f"o__{i}"]
+    fills = {c: q[0] for c, q in exact_quantiles(df, fill_nums, [0.5]).items()}
+    fills |= {c: mode(df, c) for c in fill_strs}
+    fills = {c: v for c, v in fills.items() if v is not None}
     return df.fillna(fills) if fills else df

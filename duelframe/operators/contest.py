@@ -117,16 +117,18 @@ def games_teams_details(games: DataFrame, teams: DataFrame, details: DataFrame |
           .drop("__ht", "__at"))
     if details is None:
         return g
-    box = team_box_totals(details)
-
-    def side(tag: str) -> DataFrame:
-        return box.select(F.col("GAME_ID").alias(f"__g{tag}"), F.col("TEAM_ID").alias(f"__t{tag}"),
-                          *[F.col(c).alias(f"{c}_{tag}") for c in
-                            ("DETAIL_PTS", "DETAIL_REB", "DETAIL_AST", "PLAYER_COUNT")])
-    h, a = side("HOME"), side("AWAY")
-    return (g.join(h, (F.col("GAME_ID") == F.col("__gHOME")) & (F.col(home_col) == F.col("__tHOME")), "left")
-             .join(a, (F.col("GAME_ID") == F.col("__gAWAY")) & (F.col(away_col) == F.col("__tAWAY")), "left")
-             .drop("__gHOME", "__tHOME", "__gAWAY", "__tAWAY"))
+    # the teams' totals of a game in one row (a handful of teams), joined once for both sides
+    totals = ("DETAIL_PTS", "DETAIL_REB", "DETAIL_AST", "PLAYER_COUNT")
+    box = team_box_totals(details).groupBy(F.col("GAME_ID").alias("__g")).agg(
+        F.collect_list(F.struct("TEAM_ID", *totals)).alias("__box"))
+    g = g.join(box, F.col("GAME_ID") == F.col("__g"), "left")
+
+    def of_team(key: str) -> Column:
+        return F.get(F.filter("__box", lambda x: x["TEAM_ID"] == F.col(key)), F.lit(0))
+
+    for tag, key in (("HOME", home_col), ("AWAY", away_col)):
+        g = g.withColumns({f"{c}_{tag}": of_team(key)[c] for c in totals})
+    return g.drop("__g", "__box")
 
 
 # fixed values: default feature lists of the reference configuration

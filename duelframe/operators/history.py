@@ -1,19 +1,18 @@
-"""Ordered (window) operators over contests: form, head-to-head, history.
-
-A contest row is unpivoted into two side rows (one per participant) so that
-every per-entity window is a plain ``partitionBy(entity, season)`` window.
-Partitioning by (entity, season) rather than entity alone bounds each window
-partition by one season of one entity; the frame (``rowsBetween``) streams
-through the sorted partition with memory bounded by the frame, so even a hot
-entity-season spills instead of failing.  Order is (date, game id): unique
-per entity, so results are deterministic.
+"""Ordered operators over contests: form, head-to-head, history.
+
+A contest row is unpivoted into two side rows (one per participant).  Running
+values are taken in two levels: inside a bucket (one date of one side and
+season, or of one pair of sides), and over the buckets' totals, which are one
+row a date.  So no window holds more than one date's rows or one season's
+dates, however many contests a side has.  Order is (date, game id): unique
+per side, so results are deterministic.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,38 +35,69 @@ def side_rows(games: DataFrame, home_col: str = "HOME_TEAM_ID", away_col: str =
 def recent_form(games: DataFrame, n: int = 5, date_col: str = "GAME_DATE_EST") -> DataFrame:
     """Per (game, side): win share, points for/against over the side's
     previous ``n`` games of the season (the game itself excluded) and how
-    many games that window held."""
+    many games that window held.
+
+    The last ``n`` games before a date are carried from the dates before it;
+    within the date the earlier games are added."""
     s = side_rows(games, date_col=date_col)
-    w = W.partitionBy("TEAM_ID", "SEASON").orderBy(date_col, "GAME_ID").rowsBetween(-n, -1)
-    return s.select("GAME_ID", "TEAM_ID", "SEASON", "IS_HOME",
-                    F.avg("WIN").over(w).alias("FORM_WIN_PCT"),
-                    F.avg("PTS_FOR").over(w).alias("FORM_PTS_FOR"),
-                    F.avg("PTS_AGAINST").over(w).alias("FORM_PTS_AGAINST"),
-                    F.count("WIN").over(w).alias("FORM_GAMES"))
+    day = ["TEAM_ID", "SEASON", date_col]
+    entry = F.struct("GAME_ID", "WIN", "PTS_FOR", "PTS_AGAINST")
+    back = W.partitionBy(*day).orderBy(F.col("GAME_ID").desc())
+    tails = (s.withColumn("__r", F.row_number().over(back)).where(F.col("__r") <= n)
+              .groupBy(*day).agg(F.array_sort(F.collect_list(entry)).alias("__t")))
+    dates = W.partitionBy("TEAM_ID", "SEASON").orderBy(date_col).rowsBetween(-n, -1)
+    carried = tails.select(*day, F.flatten(F.collect_list("__t").over(dates)).alias("__c"))
+    here = W.partitionBy(*day).orderBy("GAME_ID").rowsBetween(-n, -1)
+    rows = s.withColumn("__own", F.collect_list(entry).over(here)).join(carried, day)
+    rows = rows.withColumn("__p", F.concat("__c", "__own"))
+    rows = rows.withColumn("__p", F.when(F.size("__p") > n, F.slice("__p", -n, n)).otherwise(F.col("__p")))
+
+    def mean(field: str):
+        known = F.filter(F.transform("__p", lambda x: x[field].cast("double")), lambda x: x.isNotNull())
+        return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
+
+    return rows.select("GAME_ID", "TEAM_ID", "SEASON", "IS_HOME", mean("WIN").alias("FORM_WIN_PCT"),
+                       mean("PTS_FOR").alias("FORM_PTS_FOR"), mean("PTS_AGAINST").alias("FORM_PTS_AGAINST"),
+                       F.size(F.filter("__p", lambda x: x["WIN"].isNotNull())).cast("long").alias("FORM_GAMES"))
+
+
+def running_before(rows: DataFrame, keys: Sequence[str], date_col: str, order: str, sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with, for each named expression, its sum over the earlier rows
+    of the same keys: totals of earlier dates plus earlier rows of the date."""
+    day = [*keys, date_col]
+    rows = rows.withColumns({f"__v_{k}": v for k, v in sums.items()})
+    totals = rows.groupBy(*day).agg(*[F.sum(f"__v_{k}").alias(f"__d_{k}") for k in sums])
+    dates = W.partitionBy(*keys).orderBy(date_col).rowsBetween(W.unboundedPreceding, -1)
+    before = totals.select(*day, *[F.coalesce(F.sum(f"__d_{k}").over(dates), F.lit(0)).alias(f"__b_{k}") for k in sums])
+    here = W.partitionBy(*day).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    out = rows.withColumns({f"__h_{k}": F.coalesce(F.sum(f"__v_{k}").over(here), F.lit(0)) for k in sums}).join(before, day)
+    return out.withColumns({k: F.col(f"__b_{k}") + F.col(f"__h_{k}") for k in sums}).drop(
+        *[f"__{x}_{k}" for x in "vbh" for k in sums])
 
 
 def season_to_date(games: DataFrame, date_col: str = "GAME_DATE_EST") -> DataFrame:
     """Leak-free history: per (game, side) the side's win share and mean
     points over its EARLIER games of the same season."""
     s = side_rows(games, date_col=date_col)
-    w = (W.partitionBy("TEAM_ID", "SEASON").orderBy(date_col, "GAME_ID")
-          .rowsBetween(W.unboundedPreceding, -1))
-    return s.select("GAME_ID", "TEAM_ID", "SEASON", "IS_HOME",
-                    F.avg("WIN").over(w).alias("PRIOR_WIN_PCT"),
-                    F.avg("PTS_FOR").over(w).alias("PRIOR_PTS_MEAN"),
-                    F.count("WIN").over(w).alias("PRIOR_GAMES"))
+    r = running_before(s, ["TEAM_ID", "SEASON"], date_col, "GAME_ID", {
+        "__wins": F.col("WIN"), "__games": F.col("WIN").isNotNull().cast("long"),
+        "__pts": F.col("PTS_FOR"), "__scored": F.col("PTS_FOR").isNotNull().cast("long")})
+    return r.select("GAME_ID", "TEAM_ID", "SEASON", "IS_HOME",
+                    F.try_divide(F.col("__wins").cast("double"), F.col("__games")).alias("PRIOR_WIN_PCT"),
+                    F.try_divide("__pts", "__scored").alias("PRIOR_PTS_MEAN"),
+                    F.col("__games").alias("PRIOR_GAMES"))
 
 
 def leak_free_game_features(games: DataFrame, date_col: str = "GAME_DATE_EST") -> DataFrame:
     """Each game with both sides' season-to-date history (no same-game or
     later information), plus the home-minus-away differences."""
     h = season_to_date(games, date_col)
-    home = h.where("IS_HOME = 1").select("GAME_ID", *[F.col(c).alias(f"HOME_{c}") for c in
-                                                     ("PRIOR_WIN_PCT", "PRIOR_PTS_MEAN", "PRIOR_GAMES")])
-    away = h.where("IS_HOME = 0").select("GAME_ID", *[F.col(c).alias(f"AWAY_{c}") for c in
-                                                     ("PRIOR_WIN_PCT", "PRIOR_PTS_MEAN", "PRIOR_GAMES")])
+    cols = ("PRIOR_WIN_PCT", "PRIOR_PTS_MEAN", "PRIOR_GAMES")
+    # both sides of a game in one row, joined once
+    both = h.groupBy("GAME_ID").agg(*[F.max(F.when(F.col("IS_HOME") == flag, F.col(c))).alias(f"{side}_{c}")
+                                      for side, flag in (("HOME", 1), ("AWAY", 0)) for c in cols])
     g = games.select("GAME_ID", "SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "HOME_TEAM_WINS")
-    out = g.join(home, "GAME_ID", "left").join(away, "GAME_ID", "left")
+    out = g.join(both, "GAME_ID", "left")
     return out.withColumns({
         "PRIOR_WIN_PCT_DIFF": F.col("HOME_PRIOR_WIN_PCT") - F.col("AWAY_PRIOR_WIN_PCT"),
         "PRIOR_PTS_DIFF": F.col("HOME_PRIOR_PTS_MEAN") - F.col("AWAY_PRIOR_PTS_MEAN"),
@@ -85,9 +115,7 @@ def head_to_head(games: DataFrame, home_col: str = "HOME_TEAM_ID", away_col: str
     low_won = F.when(F.col(home_col) == F.col("__lo"), F.col(outcome_col).cast("int")) \
                .otherwise(F.lit(1) - F.col(outcome_col).cast("int"))
     g = g.withColumn("__low_won", low_won)
-    w = W.partitionBy("__lo", "__hi").orderBy(date_col, "GAME_ID").rowsBetween(W.unboundedPreceding, -1)
-    g = g.withColumns({"H2H_GAMES": F.count(F.lit(1)).over(w),
-                       "__low_wins": F.coalesce(F.sum("__low_won").over(w), F.lit(0))})
+    g = running_before(g, ["__lo", "__hi"], date_col, "GAME_ID", {"H2H_GAMES": F.lit(1).cast("long"), "__low_wins": F.col("__low_won")})
     home_wins = F.when(F.col(home_col) == F.col("__lo"), F.col("__low_wins")) \
                  .otherwise(F.col("H2H_GAMES") - F.col("__low_wins"))
     return g.select("GAME_ID", home_col, away_col, "H2H_GAMES", home_wins.cast("bigint").alias("H2H_HOME_WINS"))

@@ -3,9 +3,7 @@
 Each profile is ONE aggregation over the table (all columns together, partial
 aggregation map-side), followed by an ``inline`` of a one-row array to turn
 the wide result into a long (column, statistic...) table.  Exact quantiles
-use ``percentile``, whose buffers grow with the number of distinct values per
-column (not rows); pass ``exact=False`` to use ``percentile_approx`` for
-continuous columns with very many distinct values.
+come from ``operators.quantiles`` (bracketed, then counted).
 """
 
 from __future__ import annotations
@@ -13,13 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _quantiles(c: str, probs: Sequence[float], exact: bool) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(c, arr) if exact else F.percentile_approx(c, arr, 100000)
+from duelframe.operators.quantiles import exact_quantiles
 
 
 def _long(wide: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -29,28 +26,27 @@ def _long(wide: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFr
     return wide.select(F.inline(F.array(*structs)))
 
 
-def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """count / mean / sample std / min / 25-50-75 % / max per column."""
-    aggs = []
-    for i, c in enumerate(cols):
-        q = _quantiles(c, [0.25, 0.5, 0.75], exact)
-        aggs += [F.count(c).alias(f"{i}__COUNT"), F.avg(c).cast("double").alias(f"{i}__MEAN"),
-                 F.stddev_samp(c).alias(f"{i}__STD"), F.min(c).cast("double").alias(f"{i}__MIN"),
-                 q.alias(f"{i}__Q")]
-        aggs.append(F.max(c).cast("double").alias(f"{i}__MAX"))
-    wide = df.agg(*aggs)
-    wide = wide.select(*[x for i in range(len(cols)) for x in (
-        F.col(f"{i}__COUNT"), F.col(f"{i}__MEAN"), F.col(f"{i}__STD"), F.col(f"{i}__MIN"),
-        F.col(f"{i}__Q")[0].cast("double").alias(f"{i}__Q25"), F.col(f"{i}__Q")[1].cast("double").alias(f"{i}__Q50"),
-        F.col(f"{i}__Q")[2].cast("double").alias(f"{i}__Q75"), F.col(f"{i}__MAX"))])
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """count / mean / sample std / min / exact 25-50-75 % / max per column."""
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    wide = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"{i}__COUNT"), F.avg(c).cast("double").alias(f"{i}__MEAN"),
+        F.stddev_samp(c).alias(f"{i}__STD"), F.min(c).cast("double").alias(f"{i}__MIN"),
+        F.max(c).cast("double").alias(f"{i}__MAX"),
+        *[F.any_value(F.lit(q[c][k]).cast("double")).alias(f"{i}__{name}") for k, name in enumerate(("Q25", "Q50", "Q75"))])])
     return _long(wide, cols, ["COUNT", "MEAN", "STD", "MIN", "Q25", "Q50", "Q75", "MAX"])
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Distinct non-NULL values per column (``nunique``)."""
-    f = F.count_distinct if exact else F.approx_count_distinct
-    wide = df.agg(*[f(c).alias(f"{i}__N_DISTINCT") for i, c in enumerate(cols)])
-    return _long(wide, cols, ["N_DISTINCT"])
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct non-NULL values per column (``nunique``): one grouped count a
+    column, each reading only that column, instead of every row expanded
+    once per column."""
+    parts = [df.select(F.col(c).alias("v")).where("v is not null").distinct().agg(
+        F.lit(c).alias("COLUMN"), F.lit(i).alias("POS"), F.count(F.lit(1)).alias("N_DISTINCT")) for i, c in enumerate(cols)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -77,8 +73,14 @@ def columns_with_missing(df: DataFrame, cols: Sequence[str] | None = None) -> Da
 
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair (pairwise-complete rows), as
-    (A, B, CORR).  One pass computes the upper triangle; the lower one is a
-    mirror."""
+    (A, B, CORR).  Columns without NULLs share one pass over a vector (a
+    Gramian); pairs with a NULL column are computed pair by pair."""
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    if not any(nulls):
+        vec = VectorAssembler(inputCols=list(cols), outputCol="v").transform(df).select("v")
+        m = Correlation.corr(vec, "v").first()[0].toArray()
+        rows = [(a, b, None if math.isnan(m[i, j]) else float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+        return df.sparkSession.createDataFrame(rows, "A string, B string, CORR double")
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     wide = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in pairs])
     structs = []
@@ -141,10 +143,9 @@ def kde_grid(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> Data
     return sums.select(F.inline(F.array(*structs)))
 
 
-def box_stats(df: DataFrame, col: str, whisker: float = 1.5, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, IQR fences and the number of points outside them."""
-    q = df.agg(_quantiles(col, [0.25, 0.5, 0.75], exact).alias("q")).first()["q"]
-    q1, med, q3 = (float(v) for v in q)
+    q1, med, q3 = exact_quantiles(df, [col], [0.25, 0.5, 0.75])[col]
     iqr = q3 - q1
     lo, hi = q1 - whisker * iqr, q3 + whisker * iqr
     c = F.col(col)

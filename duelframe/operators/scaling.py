@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duelframe.operators.quantiles import exact_quantiles
+
 
 @dataclass(frozen=True)
 class Standardizer:
@@ -38,7 +40,8 @@ def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def median_fill(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULLs of the given columns -> exact column median (one pass)."""
-    row = df.agg(*[F.median(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    fills = {c: float(row[f"m{i}"]) for i, c in enumerate(cols) if row[f"m{i}"] is not None}
+    """NULLs of the given columns -> exact column median."""
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    need = [c for i, c in enumerate(cols) if nulls[f"n{i}"]]
+    fills = {c: q[0] for c, q in exact_quantiles(df, need, [0.5]).items() if q[0] is not None}
     return df.fillna(fills) if fills else df

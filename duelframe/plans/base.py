@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelframe.functions.columns import round_even
 from duelframe.operators import clean, contest
-from duelframe.session import tune
+from duelframe.session import materialise
 from duelframe.sources.adapter import Contest, DETAILS_SQL, GAMES_SQL, TEAMS_SQL
 
 ROUND = 6
@@ -35,15 +34,15 @@ def sql_round(cols, digits: int = ROUND) -> str:
 
 class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = tune(spark)
+        self.spark = spark
         self.c = Contest(spark, sf_dir)
 
     @cached_property
     def games_cleaned(self) -> DataFrame:
         # fan-out point: the median pass, both side aggregations and the
-        # game-level joins all read it, so it is computed once and kept
-        # (memory, spilling to disk; lost blocks are recomputed from lineage)
-        return clean.clean_games(self.c.games).persist(StorageLevel.MEMORY_AND_DISK)
+        # game-level joins all read it, so it is written once to the shared
+        # folder; readers prune its columns and plans stay shallow
+        return materialise(clean.clean_games(self.c.games), "games_cleaned")
 
     @cached_property
     def games_validated(self) -> DataFrame:
@@ -55,11 +54,12 @@ class Stages:
 
     @cached_property
     def details_cleaned(self) -> DataFrame:
-        return clean.clean_details(self.c.details)
+        return clean.clean_details(self.c.details_of(self.games_cleaned))
 
     @cached_property
     def team_features(self) -> DataFrame:
-        return contest.team_features_base(self.games_validated, self.teams_cleaned)
+        # one row a team and season, read by many joins: written once
+        return materialise(contest.team_features_base(self.games_validated, self.teams_cleaned), "team_features")
 
     @cached_property
     def game_features(self) -> DataFrame:

@@ -52,26 +52,20 @@ REG_PRED_SQL = " UNION ALL ".join(
 
 def cls_predictions(st: Stages):
     g = st.game_features.where(F.col("WIN_PCT_DIFF").isNotNull() & F.col("PTS_DIFF_HIST").isNotNull())
-    out = None
+    rules = []                                          # all rules in one projection: the features are read once
     for name, ordinal, expr in CLS_RULES:
         p = F.expr(expr).cast("double")
-        part = g.select("GAME_ID", "HOME_TEAM_ID", F.lit(name).alias("MODEL"), F.lit(ordinal).alias("ORDINAL"),
-                        F.col("HOME_TEAM_WINS").cast("int").alias("label"), p.alias("probability"),
-                        (p >= 0.5).cast("int").alias("prediction"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        rules.append(F.struct(F.lit(name).alias("MODEL"), F.lit(ordinal).alias("ORDINAL"),
+                              F.col("HOME_TEAM_WINS").cast("int").alias("label"), p.alias("probability"),
+                              (p >= 0.5).cast("int").alias("prediction")))
+    return g.select("GAME_ID", "HOME_TEAM_ID", F.inline(F.array(*rules)))
 
 
 def reg_predictions(st: Stages):
-    g = st.game_features
-    out = None
-    for target, y, model, expr in REG_RULES:
-        p = F.expr(expr).cast("double")
-        part = g.where(p.isNotNull() & F.col(y).isNotNull()).select(
-            "GAME_ID", "HOME_TEAM_ID", F.lit(target).alias("TARGET"), F.lit(model).alias("MODEL"),
-            F.col(y).cast("double").alias("label"), p.alias("prediction"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    rules = [F.struct(F.lit(target).alias("TARGET"), F.lit(model).alias("MODEL"), F.col(y).cast("double").alias("label"),
+                      F.expr(expr).cast("double").alias("prediction")) for target, y, model, expr in REG_RULES]
+    return st.game_features.select("GAME_ID", "HOME_TEAM_ID", F.inline(F.array(*rules))).where(
+        "label is not null and prediction is not null")
 
 
 def _sw(body, extra=()):

@@ -15,7 +15,7 @@ from duelframe.operators import contest, metrics, models, split
 from duelframe.plans.base import Stages, round_doubles
 from duelframe.plans.q_learning_prep import edge_segments
 from duelframe.plans.registry import query
-from duelframe.session import checkpoint_dir, cut_lineage
+from duelframe.session import checkpoint_dir, materialise
 
 CLASSIFIERS = ["logistic_regression", "random_forest", "decision_tree", "svm_linear", "naive_bayes"]
 REGRESSORS = ["ridge", "lasso", "elastic_net", "random_forest", "gradient_boosting"]
@@ -30,7 +30,7 @@ def classification_data(st: Stages):
     feats = [c for c in enh.columns if c not in ("GAME_ID", "label")]
     # the enhanced set is a deep plan (feature joins); fits read it many
     # times, so it is written once to the shared checkpoint folder
-    enh = cut_lineage(split.fold_ids(enh, ["GAME_ID"], 5, 42, label="label"))
+    enh = materialise(split.fold_ids(enh, ["GAME_ID"], 5, 42, label="label"), "cls")
     train, test = split.split_frac(enh, ["GAME_ID"], 0.2, 42, label="label")
     return train, test.drop("FOLD"), feats
 
@@ -88,7 +88,7 @@ def regression_data(st: Stages, target: str):
     others = [t for t in contest.REGRESSION_TARGETS.values() if t != target]
     enh = enh.withColumn("label", F.col(target).cast("double")).drop(target, *others)
     feats = [c for c in enh.columns if c not in ("GAME_ID", "label")]
-    enh = cut_lineage(split.fold_ids(enh, ["GAME_ID"], 5, 42))
+    enh = materialise(split.fold_ids(enh, ["GAME_ID"], 5, 42), "reg")
     train, test = split.split_frac(enh, ["GAME_ID"], 0.2, 42)
     return train, test.drop("FOLD"), feats
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,44 +15,32 @@ def get_session(master: str | None = None, app: str = "duelframe",
 
     AQE is on so that shuffle partitions coalesce at run time, skewed
     join partitions split, and sort-merge joins whose side turns out to be
-    small at run time become broadcast joins (Spark checks the size).
+    small at run time become broadcast joins (Spark checks the size).  The
+    number of shuffle partitions is Spark's own unless given (AQE only merges
+    partitions, so a cluster needs a high initial number).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("DUELFRAME_SHUFFLE_PARTITIONS", "8"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):          # all tasks run in the driver's heap
+        builder = builder.config("spark.driver.memory", os.environ.get("DUELFRAME_DRIVER_MEMORY", "8g"))
     spark = (
         builder
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("DUELFRAME_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Runtime SQL settings the library's plans need on any session.
-
-    Constraint propagation is exponential in the number of aliased columns
-    that carry NOT NULL constraints; the wide feature tables (70+ columns,
-    role-playing joins, rounding projections) make the optimizer spin for
-    minutes.  Filters the library needs are written explicitly instead.
-    """
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-    if spark.conf.get("spark.sql.adaptive.enabled", "true") != "true":
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    return spark
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -71,7 +60,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: computed
+    once, lineage cut, columns pruned by each reader; a lost executor costs
+    nothing that was written."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -140,7 +140,11 @@ class Contest:
 
     @property
     def details(self) -> DataFrame:
-        return details(self.spark, self.sf_dir, self.games)
+        return self.details_of(self.games)
+
+    def details_of(self, games_df: DataFrame) -> DataFrame:
+        """Player lines of games that are already at hand."""
+        return details(self.spark, self.sf_dir, games_df)
 
     @property
     def teams(self) -> DataFrame:
@@ -186,9 +190,3 @@ SELECT CAST(n.n_nationkey AS INT) AS TEAM_ID, n.n_name AS NICKNAME, r.r_name AS
        1940 + n.n_nationkey AS YEARFOUNDED
 FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 """
-
-
-def with_views(body: str, *extra: tuple[str, str]) -> str:
-    """Prefix ``body`` with the contest views (and extra named CTEs) for DuckDB."""
-    ctes = [("games", GAMES_SQL), ("details", DETAILS_SQL), ("teams", TEAMS_SQL), *extra]
-    return "WITH " + ",\n".join(f"{n} AS ({s.strip()})" for n, s in ctes) + "\n" + body.strip()
