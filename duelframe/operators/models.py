@@ -168,13 +168,28 @@ def save_versioned(model: PipelineModel, root: str, name: str) -> str:
     return path
 
 
-def load_latest(spark, root: str, name: str) -> PipelineModel:
-    """Load the newest saved version of ``name`` (listing through Hadoop FS)."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+def _versions(spark, root: str, name: str) -> list[str]:
+    """Version folders of ``name``, oldest first (listed through Hadoop's file system)."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory())
-    return PipelineModel.load(f"{root.rstrip('/')}/{name}/{versions[-1]}")
+    return sorted(st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory())
+
+
+def load_latest(spark, root: str, name: str) -> PipelineModel:
+    """Load the newest saved version of ``name``."""
+    return PipelineModel.load(f"{root.rstrip('/')}/{name}/{_versions(spark, root, name)[-1]}")
+
+
+def save_results(df: DataFrame, root: str, name: str) -> str:
+    """Write a result table as the next version of ``name``; return the path."""
+    path = f"{root.rstrip('/')}/{name}/version={int(time.time() * 1000)}"
+    df.write.parquet(path)
+    return path
+
+
+def latest_results(spark, root: str, name: str) -> DataFrame:
+    """The newest version of a result table."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{_versions(spark, root, name)[-1]}")
 
 
 def accuracy_eval():

@@ -1,188 +1,232 @@
-"""Supervised learning queries.
+"""Supervised learning queries.
 
-The model inputs are the segment-enhanced sets of ``q_learning_prep``.  The
-registered queries run the quick-test grids (first value of every grid axis,
-the reference's quick-test composition); ``models.classifier/regressor``
-hold the full configured grids for the jobs.
+The model inputs are the segment-enhanced sets, with K-means segments (k from
+the elbow).  Every model is fitted, tested and scored on all rows of its set,
+over the configured grids; the quick grids belong to the quick-test job only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.operators import cluster_features as cf
 from duelframe.operators import contest, metrics, models, split
 from duelframe.plans.base import Stages, round_doubles
-from duelframe.plans.q_learning_prep import edge_segments
+from duelframe.plans.q_unsupervised import kmeans_segments
 from duelframe.plans.registry import query
 from duelframe.session import checkpoint_dir, materialise
 
+# fixed values: the configured models, in the order that settles ties
 CLASSIFIERS = ["logistic_regression", "random_forest", "decision_tree", "svm_linear", "naive_bayes"]
 REGRESSORS = ["ridge", "lasso", "elastic_net", "random_forest", "gradient_boosting"]
 
+CLS_RESULT = ("MODEL string, ORDINAL int, CV_ACCURACY double, CV_STD double, ACCURACY double, PRECISION double, "
+              "RECALL double, F1 double, ROC_AUC double")
+REG_RESULT = ("TARGET string, MODEL string, ORDINAL int, CV_R2 double, CV_STD double, R2 double, MAE double, "
+              "MSE double, RMSE double")
+
 
-def classification_data(st: Stages):
-    """Enhanced classification set with label, key and fold columns."""
-    cls = st.game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.CLASSIFICATION_FEATURES,
-                                  "HOME_TEAM_WINS").dropna()
-    enh = cf.enhance_classification(cls, edge_segments(st), st.team_features)
-    enh = enh.withColumn("label", F.col("HOME_TEAM_WINS").cast("double")).drop("HOME_TEAM_WINS")
-    feats = [c for c in enh.columns if c not in ("GAME_ID", "label")]
-    # the enhanced set is a deep plan (feature joins); fits read it many
-    # times, so it is written once to the shared checkpoint folder
-    enh = materialise(split.fold_ids(enh, ["GAME_ID"], 5, 42, label="label"), "cls")
-    train, test = split.split_frac(enh, ["GAME_ID"], 0.2, 42, label="label")
+def _parts(data: DataFrame, label: str | None, tag: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(train with FOLD, test, feature names), written once: the fits read them many times."""
+    feats = [c for c in data.columns if c not in ("GAME_ID", "label")]
+    data = materialise(split.fold_ids(data, ["GAME_ID"], 5, 42, label=label), tag)
+    train, test = split.split_frac(data, ["GAME_ID"], 0.2, 42, label=label)
     return train, test.drop("FOLD"), feats
 
 
-def run_classifiers(st: Stages, names=CLASSIFIERS, quick: bool = True):
-    train, test, feats = classification_data(st)
+def classification_set(game_features: DataFrame, team_features: DataFrame, segments: DataFrame | None) -> DataFrame:
+    """GAME_ID, features and label; segment features too when labels are given."""
+    data = game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.CLASSIFICATION_FEATURES, "HOME_TEAM_WINS").dropna()
+    if segments is not None:
+        data = cf.enhance_classification(data, segments, team_features)
+    return data.withColumn("label", F.col("HOME_TEAM_WINS").cast("double")).drop("HOME_TEAM_WINS")
+
+
+def regression_set(game_features: DataFrame, team_features: DataFrame, segments: DataFrame | None, target: str) -> DataFrame:
+    """GAME_ID, features and the target as label; the other targets are left out."""
+    targets = list(contest.REGRESSION_TARGETS.values())
+    data = game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.REGRESSION_FEATURES, *targets).dropna()
+    if segments is not None:
+        data = cf.enhance_regression(data, segments, team_features)
+    return data.withColumn("label", F.col(target).cast("double")).drop(*targets)
+
+
+def fit_classifiers(parts, names: Sequence[str] = CLASSIFIERS, quick: bool = False) -> tuple[list, dict]:
+    """Result rows and fitted models: grid search by 5-fold accuracy, exact metrics on the test part."""
+    train, test, feats = parts
     n = train.count()
     rows, fitted = [], {}
     for i, name in enumerate(names):
         est, grid = models.classifier(name, n, quick)
         best, avg, std = models.cross_validate(train, feats, est, grid, models.accuracy_eval())
         j = max(range(len(avg)), key=lambda t: avg[t])
-        scored = models.scored_classification(best, test, ["GAME_ID"])
-        m = models.classification_test_metrics(scored)
-        rows.append((name, i, float(avg[j]), float(std[j]), m["ACCURACY"], m["PRECISION"], m["RECALL"], m["F1"],
-                     m["ROC_AUC"]))
+        m = models.classification_test_metrics(models.scored_classification(best, test, ["GAME_ID"]))
+        rows.append((name, i, float(avg[j]), float(std[j]), m["ACCURACY"], m["PRECISION"], m["RECALL"], m["F1"], m["ROC_AUC"]))
+        fitted[name] = best
+    return rows, fitted
+
+
+def fit_regressors(parts, target: str, names: Sequence[str] = REGRESSORS, quick: bool = False) -> tuple[list, dict]:
+    """Result rows and fitted models: grid search by 5-fold R2, exact metrics on the test part."""
+    train, test, feats = parts
+    row = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+    rows, fitted = [], {}
+    for i, name in enumerate(names):
+        est, grid = models.regressor(name, row[1] or 1.0, row[0], quick)
+        best, avg, std = models.cross_validate(train, feats, est, grid, models.r2_eval())
+        j = max(range(len(avg)), key=lambda t: avg[t])
+        m = metrics.regression_scores(best.transform(test).select("label", "prediction")).first()
+        rows.append((target, name, i, float(avg[j]), float(std[j]), m["R2"], m["MAE"], m["MSE"], m["RMSE"]))
         fitted[name] = best
-    return rows, fitted, feats, test
+    return rows, fitted
+
+
+# Several queries report on the same fits; within a session and folder they are made once.
+@cache
+def _sets(spark: SparkSession, sf_dir: str):
+    st = Stages(spark, sf_dir)
+    game_features = materialise(st.game_features, "game_features")
+    return game_features, st.team_features, kmeans_segments(st)
+
+
+@cache
+def _classification_parts(spark: SparkSession, sf_dir: str, with_segments: bool = True):
+    games, teams, segments = _sets(spark, sf_dir)
+    return _parts(classification_set(games, teams, segments if with_segments else None), "label", "classification")
+
+
+@cache
+def _regression_parts(spark: SparkSession, sf_dir: str, target: str):
+    return _parts(regression_set(*_sets(spark, sf_dir), target), None, "regression")
+
+
+@cache
+def _classifiers(spark: SparkSession, sf_dir: str):
+    return fit_classifiers(_classification_parts(spark, sf_dir))
+
+
+@cache
+def _regressors(spark: SparkSession, sf_dir: str, target: str):
+    return fit_regressors(_regression_parts(spark, sf_dir, target), target)
 
 
 @query("classifier_comparison", "L0 L1 L2 L3 L4 L5 L8 L9 M2 M4 X6 V1 V2")
 def classifier_comparison(spark, sf_dir):
-    """Home-win classifiers (logistic, forest, tree, linear SVM, Gaussian
-    NB) on the segment-enhanced set: 5-fold CV accuracy (mean, std) and
-    exact test accuracy/precision/recall/F1/AUC."""
-    rows, _, _, _ = run_classifiers(Stages(spark, sf_dir))
-    return round_doubles(spark.createDataFrame(
-        rows, "MODEL string, ORDINAL int, CV_ACCURACY double, CV_STD double, ACCURACY double, PRECISION double, "
-              "RECALL double, F1 double, ROC_AUC double"), 4)
+    """Home-win classifiers (logistic, forest, tree, linear SVM, Gaussian NB)
+    on the set enhanced with K-means segments: configured grids, 5-fold CV
+    accuracy (mean, std) and exact test accuracy/precision/recall/F1/AUC."""
+    return round_doubles(spark.createDataFrame(_classifiers(spark, sf_dir)[0], CLS_RESULT), 4)
 
 
 @query("best_classifier_importance", "L10 L11 T6 T7 A25")
 def best_classifier_importance(spark, sf_dir):
-    """Best classifier by test accuracy (ties: declared order), the
-    majority baseline and lift, and its ten most important features."""
-    st = Stages(spark, sf_dir)
-    names = ["logistic_regression", "random_forest"]
-    rows, fitted, feats, test = run_classifiers(st, names)
+    """Best of the five classifiers by test accuracy (ties: declared order),
+    the majority baseline and lift, and its ten most important features
+    (none for naive Bayes, which has no importances)."""
+    rows, fitted = _classifiers(spark, sf_dir)
+    _, test, feats = _classification_parts(spark, sf_dir)
     best = max(rows, key=lambda r: (r[4], -r[1]))
     base = test.agg(F.avg("label")).first()[0]
     baseline = max(base, 1 - base)
-    imp = models.importances(fitted[best[0]], feats, 10)
-    out = [(best[0], best[4], baseline, (best[4] - baseline) / baseline * 100, r + 1, f, v)
-           for r, (f, v) in enumerate(imp)]
+    top = models.importances(fitted[best[0]], feats, 10) or [(None, None)]
+    out = [(best[0], best[4], baseline, (best[4] - baseline) / baseline * 100, r + 1, f, v) for r, (f, v) in enumerate(top)]
     return round_doubles(spark.createDataFrame(
         out, "BEST_MODEL string, ACCURACY double, BASELINE double, LIFT_PCT double, RANK int, FEATURE string, "
              "IMPORTANCE double"), 4)
 
 
-def regression_data(st: Stages, target: str):
-    reg = st.game_features.select("GAME_ID", *contest.TEAM_IDS, *contest.REGRESSION_FEATURES,
-                                  *contest.REGRESSION_TARGETS.values()).dropna()
-    reg = split.sample_n(reg, 10000, ["GAME_ID"], 42)
-    enh = cf.enhance_regression(reg, edge_segments(st), st.team_features)
-    others = [t for t in contest.REGRESSION_TARGETS.values() if t != target]
-    enh = enh.withColumn("label", F.col(target).cast("double")).drop(target, *others)
-    feats = [c for c in enh.columns if c not in ("GAME_ID", "label")]
-    enh = materialise(split.fold_ids(enh, ["GAME_ID"], 5, 42), "reg")
-    train, test = split.split_frac(enh, ["GAME_ID"], 0.2, 42)
-    return train, test.drop("FOLD"), feats
-
-
-def run_regressors(st: Stages, target: str, names=REGRESSORS, quick: bool = True):
-    train, test, feats = regression_data(st, target)
-    n = train.count()
-    sd = train.agg(F.stddev_pop("label")).first()[0] or 1.0
-    rows, fitted = [], {}
-    for i, name in enumerate(names):
-        est, grid = models.regressor(name, sd, n, quick)
-        best, avg, std = models.cross_validate(train, feats, est, grid, models.r2_eval(), scale=True)
-        j = max(range(len(avg)), key=lambda t: avg[t])
-        scored = best.transform(test).select("label", "prediction")
-        m = metrics.regression_scores(scored).first()
-        rows.append((target, name, i, float(avg[j]), float(std[j]), m["R2"], m["MAE"], m["MSE"], m["RMSE"]))
-        fitted[name] = best
-    return rows, fitted, feats
+@query("segment_gain", "L12")
+def segment_gain(spark, sf_dir):
+    """Test accuracy of the grid-searched logistic regression with and
+    without segment features: gain in points and percent, and the verdict."""
+    with_, without = (fit_classifiers(_classification_parts(spark, sf_dir, flag), ["logistic_regression"])[0][0][4]
+                      for flag in (True, False))
+    df = spark.createDataFrame([("logistic_regression", with_, without)], "MODEL string, WITH double, WITHOUT double")
+    gain = F.col("WITH") - F.col("WITHOUT")
+    return round_doubles(df.select("*", gain.alias("GAIN"), F.try_divide(gain * 100, F.col("WITHOUT")).alias("GAIN_PCT"),
+                                   metrics.improvement(None).alias("VERDICT")), 4)
 
 
-@query("regressor_comparison", "R0 R1 R2 R3 R4 R5 R7 R8 V5 M1 M3")
+@query("regressor_comparison", "R0 R1 R2 R3 R4 R5 R7 R8 V5 M3")
 def regressor_comparison(spark, sf_dir):
     """Ridge, lasso, elastic net, forest and boosting for home points, away
-    points and the differential (10,000-row key-hash sample, 80/20 split,
-    5-fold CV R2) with exact test R2/MAE/MSE/RMSE and the best model per
-    target by test R2."""
-    st = Stages(spark, sf_dir)
-    rows = []
-    for t in contest.REGRESSION_TARGETS.values():
-        r, _, _ = run_regressors(st, t, ["ridge", "lasso", "elastic_net", "random_forest"])
-        rows += r
-    df = spark.createDataFrame(rows, "TARGET string, MODEL string, ORDINAL int, CV_R2 double, CV_STD double, "
-                                     "R2 double, MAE double, MSE double, RMSE double")
+    points and the differential: 80/20 split of all rows, configured grids,
+    5-fold CV R2, exact test R2/MAE/MSE/RMSE, best model per target by test R2."""
+    rows = [r for t in contest.REGRESSION_TARGETS.values() for r in _regressors(spark, sf_dir, t)[0]]
+    df = spark.createDataFrame(rows, REG_RESULT)
     best = df.groupBy("TARGET").agg(F.max_by("MODEL", F.struct("R2", -F.col("ORDINAL"))).alias("BEST_MODEL"))
     return round_doubles(df.join(best, "TARGET"), 4)
 
 
-@query("regression_cluster_importance", "R9 R10 T6")
-def regression_cluster_importance(spark, sf_dir):
-    """Forest importances for home points: top ten features and the share
-    of segment-derived (CLUSTER) features in the total importance."""
-    st = Stages(spark, sf_dir)
-    rows, fitted, feats = run_regressors(st, "PTS_home", ["random_forest"])
+def cluster_share(fitted: dict, feats: list[str]) -> tuple[list[tuple[str, float]], float]:
+    """Forest importances, largest first, and the share of segment features in them."""
     imp = models.importances(fitted["random_forest"], feats, len(feats))
-    total = sum(v for _, v in imp) or 1.0
-    share = sum(v for f, v in imp if "CLUSTER" in f) / total
+    return imp, sum(v for f, v in imp if "CLUSTER" in f) / (sum(v for _, v in imp) or 1.0)
+
+
+@query("regression_cluster_importance", "R9 T6")
+def regression_cluster_importance(spark, sf_dir):
+    """Forest importances for home points: top ten features and the share of
+    segment-derived (CLUSTER) features in the total importance."""
+    imp, share = cluster_share(_regressors(spark, sf_dir, "PTS_home")[1], _regression_parts(spark, sf_dir, "PTS_home")[2])
     out = [(r + 1, f, v, share) for r, (f, v) in enumerate(imp[:10])]
-    return round_doubles(spark.createDataFrame(out, "RANK int, FEATURE string, IMPORTANCE double, "
-                                                    "CLUSTER_SHARE double"), 4)
+    return round_doubles(spark.createDataFrame(out, "RANK int, FEATURE string, IMPORTANCE double, CLUSTER_SHARE double"), 4)
+
+
+def consolidated(rows: list, shares: dict[str, float], spark: SparkSession) -> DataFrame:
+    """One row a target: best model by test R2, its metrics, the mean R2 of all models, the segment features' share."""
+    df = spark.createDataFrame(rows, REG_RESULT)
+    share = spark.createDataFrame(list(shares.items()), "TARGET string, CLUSTER_SHARE double")
+    best = F.max_by(F.struct("MODEL", "CV_R2", "R2", "MAE", "RMSE"), F.struct("R2", -F.col("ORDINAL"))).alias("b")
+    out = df.groupBy("TARGET").agg(best, F.avg("R2").alias("MEAN_R2"), F.count(F.lit(1)).alias("MODELS")).join(share, "TARGET")
+    return out.select("TARGET", F.col("b.MODEL").alias("BEST_MODEL"), "b.CV_R2", "b.R2", "b.MAE", "b.RMSE", "MEAN_R2", "MODELS", "CLUSTER_SHARE")
+
+
+@query("regression_report", "R10 S4 S5")
+def regression_report(spark, sf_dir):
+    """Consolidated report over the three targets: written as the next
+    version in the result store, read back as the latest one."""
+    rows, shares = [], {}
+    for t in contest.REGRESSION_TARGETS.values():
+        r, fitted = _regressors(spark, sf_dir, t)
+        rows += r
+        shares[t] = cluster_share(fitted, _regression_parts(spark, sf_dir, t)[2])[1]
+    root = f"{checkpoint_dir(spark)}/results"
+    models.save_results(round_doubles(consolidated(rows, shares, spark), 4), root, "regression_report")
+    return models.latest_results(spark, root, "regression_report")
 
 
 @query("home_win_as_number", "R11")
 def home_win_as_number(spark, sf_dir):
-    """Ridge and forest regression of the home-win outcome taken as a number."""
-    st = Stages(spark, sf_dir)
-    rows = []
-    train, test, feats = classification_data(st)
-    n = train.count()
-    sd = train.agg(F.stddev_pop("label")).first()[0] or 1.0
-    for i, name in enumerate(["ridge", "random_forest"]):
-        est, grid = models.regressor(name, sd, n, True)
-        best, avg, std = models.cross_validate(train, feats, est, grid, models.r2_eval())
-        m = metrics.regression_scores(best.transform(test).select("label", "prediction")).first()
-        rows.append(("home_advantage", name, float(max(avg)), m["R2"], m["MAE"], m["RMSE"]))
-    return round_doubles(spark.createDataFrame(rows, "TARGET string, MODEL string, CV_R2 double, R2 double, "
-                                                     "MAE double, RMSE double"), 4)
+    """The five regressors for the home-win outcome taken as a number."""
+    rows, _ = fit_regressors(_classification_parts(spark, sf_dir), "home_advantage")
+    return round_doubles(spark.createDataFrame(rows, REG_RESULT), 4)
 
 
 @query("saved_model_scoring", "S5 S6 R12")
 def saved_model_scoring(spark, sf_dir):
     """Fit ridge for home points, save it under a version folder in the
-    shared checkpoint location, load the latest version and score every
-    regression-set game with the training columns."""
-    st = Stages(spark, sf_dir)
-    train, test, feats = regression_data(st, "PTS_home")
-    n = train.count()
-    sd = train.agg(F.stddev_pop("label")).first()[0] or 1.0
-    est, grid = models.regressor("ridge", sd, n, True)
-    best, _, _ = models.cross_validate(train, feats, est, grid, models.r2_eval())
-    root = checkpoint_dir(spark) + "/models"
-    models.save_versioned(best, root, "local_strength")
+    shared checkpoint location, load the latest version and score every game
+    of the regression set."""
+    parts = _regression_parts(spark, sf_dir, "PTS_home")
+    _, fitted = fit_regressors(parts, "PTS_home", ["ridge"])
+    root = f"{checkpoint_dir(spark)}/models"
+    models.save_versioned(fitted["ridge"], root, "local_strength")
     loaded = models.load_latest(spark, root, "local_strength")
-    full = train.drop("FOLD").unionByName(test)
-    return round_doubles(loaded.transform(full).select("GAME_ID", "HOME_TEAM_ID", "label", "prediction"), 4)
+    everything = parts[0].drop("FOLD").unionByName(parts[1])
+    return round_doubles(loaded.transform(everything).select("GAME_ID", "HOME_TEAM_ID", "label", "prediction"), 4)
 
 
 @query("gbt_classifier", "L6")
 def gbt_classifier(spark, sf_dir):
     """Gradient-boosted trees for the home win (registered in the model
     factory though not configured): CV accuracy and exact test metrics."""
-    rows, _, _, _ = run_classifiers(Stages(spark, sf_dir), ["gradient_boosting"])
-    return round_doubles(spark.createDataFrame(
-        rows, "MODEL string, ORDINAL int, CV_ACCURACY double, CV_STD double, ACCURACY double, PRECISION double, "
-              "RECALL double, F1 double, ROC_AUC double"), 4)
+    rows, _ = fit_classifiers(_classification_parts(spark, sf_dir), ["gradient_boosting"])
+    return round_doubles(spark.createDataFrame(rows, CLS_RESULT), 4)
 
 
 @query("association_rules", "Z5")

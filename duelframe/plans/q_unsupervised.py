@@ -10,6 +10,7 @@ from duelframe.operators import cluster
 from duelframe.plans.base import TF_FEATURES, Stages, round_doubles, sql_with
 from duelframe.plans.q_learning_prep import SEGMENT_SQL, edge_segments, standardized_team_features
 from duelframe.plans.registry import query
+from duelframe.session import materialise
 
 EMB_DIM = 64  # fixed value: width of the driver's embedding vectors
 
@@ -55,9 +56,8 @@ SELECT CAST((SELECT count(*) FROM cl WHERE label <> -1) AS INT) AS N_CLUSTERS,
 def cluster_metrics_embeddings(spark, sf_dir):
     """Squared-Euclidean silhouette, Calinski-Harabasz and Davies-Bouldin of
     the labelled embedding vectors, with cluster and noise counts."""
-    pts = embedding_points(spark, sf_dir).cache()
+    pts = embedding_points(spark, sf_dir)
     m = cluster.evaluate(pts, [f"e{i}" for i in range(EMB_DIM)], "label")
-    pts.unpersist()
     row = [(m["N_CLUSTERS"], m["N_NOISE"], *(None if m[k] is None else round(float(m[k]), 4)
                                            for k in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")))]
     out = spark.createDataFrame(row, "N_CLUSTERS int, N_NOISE int, SILHOUETTE double, CALINSKI_HARABASZ double, "
@@ -71,9 +71,9 @@ def kmeans_k_selection(spark, sf_dir):
     and squared-Euclidean silhouette for k = 2..10 on the team-season
     clustering input."""
     st = Stages(spark, sf_dir)
-    data = standardized_team_features(st).cache()
+    data = clustering_table(st)
     cols = TF_FEATURES
-    vec = cluster.assemble(data, cols).cache()
+    vec = cluster.assemble(data, cols)
     costs, sils = [(1, cluster.total_sum_of_squares(data, cols))], {}
     for k in range(2, 11):
         model = cluster.kmeans_best_of(vec, k)
@@ -88,18 +88,32 @@ def kmeans_k_selection(spark, sf_dir):
     return round_doubles(out)
 
 
+def elbow_k(st, data) -> int:
+    """The elbow's k for k = 1..10 (k = 1 in closed form)."""
+    vec = cluster.assemble(data, TF_FEATURES)
+    costs = [(1, cluster.total_sum_of_squares(data, TF_FEATURES))]
+    costs += [(k, float(cluster.kmeans_best_of(vec, k).summary.trainingCost)) for k in range(2, 11)]
+    return int(cluster.elbow_choice(st.spark.createDataFrame(costs, "K int, COST double")).first()["SUGGESTED_K"])
+
+
+def clustering_table(st):
+    """The standardised team-season features, written once for the many fits."""
+    return materialise(standardized_team_features(st), "clustering_input")
+
+
+def kmeans_segments(st, data=None, k: int | None = None):
+    """(TEAM_ID, SEASON, label) by K-means, k from the elbow unless given."""
+    data = clustering_table(st) if data is None else data
+    labels, _ = cluster.kmeans_labels(data, TF_FEATURES, elbow_k(st, data) if k is None else k)
+    return materialise(labels, "kmeans_segments")
+
+
 def segmentations(st, k: int | None = None):
     """Labels of K-means, bisecting (hierarchical) and PCA + K-means."""
-    data = standardized_team_features(st).cache()
+    data = clustering_table(st)
     cols = TF_FEATURES
-    if k is None:
-        vec = cluster.assemble(data, cols).cache()
-        costs = [(1, cluster.total_sum_of_squares(data, cols))]
-        for kk in range(2, 11):
-            costs.append((kk, float(cluster.kmeans_best_of(vec, kk).summary.trainingCost)))
-        t = st.spark.createDataFrame(costs, "K int, COST double")
-        k = int(cluster.elbow_choice(t).first()["SUGGESTED_K"])
-    km, model = cluster.kmeans_labels(data, cols, k)
+    k = elbow_k(st, data) if k is None else k
+    km = kmeans_segments(st, data, k)
     bk = cluster.bisecting_labels(data, cols, k)
     p = cluster.pca(data, cols, len(cols))
     m = cluster.components_for_share(p.variance, 0.95)
@@ -117,7 +131,7 @@ def segmentation_evaluation(spark, sf_dir):
     data, labs, k = segmentations(st)
     rows = []
     for i, (name, lab) in enumerate(labs.items()):
-        pts = data.join(lab, ["TEAM_ID", "SEASON"]).cache()
+        pts = materialise(data.join(lab, ["TEAM_ID", "SEASON"]), "segmented")
         m = cluster.evaluate(pts, TF_FEATURES)
         rows.append((name, i, k, m["N_CLUSTERS"], m["N_NOISE"], m["SILHOUETTE"], m["CALINSKI_HARABASZ"],
                      m["DAVIES_BOULDIN"]))
@@ -134,8 +148,7 @@ def segmentation_evaluation(spark, sf_dir):
 def kmeans_team_segments(spark, sf_dir):
     """Team-season features with their K-means segment (k from the elbow)."""
     st = Stages(spark, sf_dir)
-    _, labs, _ = segmentations(st)
-    return round_doubles(st.team_features.join(labs["kmeans"], ["TEAM_ID", "SEASON"]))
+    return round_doubles(st.team_features.join(kmeans_segments(st), ["TEAM_ID", "SEASON"]))
 
 
 @query("pca_team_features", "D1 D2 D4 W2")
@@ -144,7 +157,7 @@ def pca_team_features(spark, sf_dir):
     per component the variance share, running share, and the five largest
     loadings (component x sqrt(eigenvalue))."""
     st = Stages(spark, sf_dir)
-    data = standardized_team_features(st).cache()
+    data = clustering_table(st)
     p = cluster.pca(data, TF_FEATURES, 10)
     pcs = [f"PC_{i + 1}" for i in range(p.n_components)]
     eig = p.scores.agg(*[F.var_samp(c).alias(c) for c in pcs]).first()
@@ -161,7 +174,7 @@ def pca_scores_joined(spark, sf_dir):
     """Team-season features with the first ten principal-component scores
     and the total explained variance."""
     st = Stages(spark, sf_dir)
-    data = standardized_team_features(st).cache()
+    data = clustering_table(st)
     p = cluster.pca(data, TF_FEATURES, 10)
     total = p.variance.agg(F.sum("VARIANCE_SHARE")).first()[0]
     return round_doubles(st.team_features.join(p.scores, ["TEAM_ID", "SEASON"])
@@ -253,7 +266,7 @@ def segment_descriptions(spark, sf_dir):
 # ------------------------------------------------------------ anomalies
 def _detectors(st):
     from duelframe.operators import anomaly
-    data = standardized_team_features(st).cache()
+    data = clustering_table(st)
     keys = ["TEAM_ID", "SEASON"]
     return {
         "isolation_forest": anomaly.isolation_forest(data, TF_FEATURES, keys, 100, 256, 0.1, 42),
