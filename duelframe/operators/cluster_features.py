@@ -2,7 +2,8 @@
 
 Labels live in a (TEAM_ID, SEASON, label) table; rows are matched by key,
 never by position.  The per-cluster tables have one row per cluster (a
-handful): they are broadcast behind a checked bound.
+handful) and are joined as tables; the planner broadcasts them when their
+measured size is small.
 """
 
 from __future__ import annotations
@@ -12,11 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.operators.joins import broadcast_if_bounded
-
-MAX_CLUSTERS = 1000  # bound for collecting label values / broadcasting per-cluster rows
-
-
 def team_cluster_map(labels: DataFrame, entity: str = "TEAM_ID", season: str = "SEASON",
                      label: str = "label") -> DataFrame:
     """Entity -> label of its latest season (last season wins)."""
@@ -24,11 +20,8 @@ def team_cluster_map(labels: DataFrame, entity: str = "TEAM_ID", season: str = "
 
 
 def label_values(df: DataFrame, col: str) -> list[int]:
-    """Distinct label values (a handful), checked against MAX_CLUSTERS."""
-    vals = df.select(col).distinct().limit(MAX_CLUSTERS + 1).collect()
-    if len(vals) > MAX_CLUSTERS:
-        raise ValueError("too many distinct labels for one-hot columns")
-    return sorted(int(r[0]) for r in vals if r[0] is not None)
+    """Distinct label values, sorted: each becomes a one-hot column."""
+    return sorted(int(r[0]) for r in df.select(col).distinct().collect() if r[0] is not None)
 
 
 def one_hot(df: DataFrame, col: str, prefix: str, values: Sequence[int]) -> DataFrame:
@@ -57,6 +50,21 @@ def cluster_statistics(features: DataFrame, labels: DataFrame, cols: Sequence[st
     return j.where(F.col(label) != -1).groupBy(F.col(label).alias("CLUSTER")).agg(*aggs)
 
 
+def centroid_distances(features: DataFrame, labels: DataFrame, cols: Sequence[str],
+                       entity: str = "TEAM_ID", season: str = "SEASON", label: str = "label") -> DataFrame:
+    """(entity, CLUSTER_DIST_k ...): Euclidean distance from the entity's latest
+    season to each cluster's mean in ``cols`` (noise -1 has no mean)."""
+    j = features.join(labels.select(entity, season, label), [entity, season]).where(F.col(label) != -1)
+    means = j.groupBy(label).agg(*[F.avg(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    latest = features.groupBy(entity).agg(F.max_by(F.struct(*cols), season).alias("__x"))
+    # one row a cluster, turned into one row of literals: the columns are known by their labels
+    out = {}
+    for r in means.collect():
+        out[f"CLUSTER_DIST_{r[label]}"] = F.sqrt(sum((F.pow(F.col("__x")[c] - F.lit(float(r[f"__m{i}"])), 2)
+                                                      for i, c in enumerate(cols)), F.lit(0.0)))
+    return latest.select(entity, *[v.alias(k) for k, v in sorted(out.items())])
+
+
 def _attach(df: DataFrame, mapping: DataFrame, key: str, out: str) -> DataFrame:
     m = mapping.select(F.col("TEAM_ID").alias("__k"), F.col("CLUSTER").alias(out))
     return (df.join(m, F.col(key) == F.col("__k"), "left").drop("__k")
@@ -72,7 +80,7 @@ def enhance_classification(X: DataFrame, labels: DataFrame, features: DataFrame,
                            home_col: str = "HOME_TEAM_ID", away_col: str = "VISITOR_TEAM_ID") -> DataFrame:
     """Add HOME_CLUSTER_k / AWAY_CLUSTER_k one-hots, SAME_CLUSTER,
     CLUSTER_DIFF and both sides' cluster statistics; NULLs -> 0."""
-    mapping = broadcast_if_bounded(team_cluster_map(labels))
+    mapping = team_cluster_map(labels)
     x = _attach(_attach(X, mapping, home_col, "HOME_TEAM_CLUSTER"), mapping, away_col, "AWAY_TEAM_CLUSTER")
     hv = label_values(x, "HOME_TEAM_CLUSTER")
     av = label_values(x, "AWAY_TEAM_CLUSTER")
@@ -81,7 +89,7 @@ def enhance_classification(X: DataFrame, labels: DataFrame, features: DataFrame,
         "SAME_CLUSTER": (F.col("HOME_TEAM_CLUSTER") == F.col("AWAY_TEAM_CLUSTER")).cast("int"),
         "CLUSTER_DIFF": F.col("HOME_TEAM_CLUSTER") - F.col("AWAY_TEAM_CLUSTER"),
     })
-    stats = broadcast_if_bounded(cluster_statistics(features, labels), MAX_CLUSTERS)
+    stats = cluster_statistics(features, labels)
     x = x.join(_prefixed_stats(stats, "HOME_CLUSTER_STATS_", "__hc"), F.col("HOME_TEAM_CLUSTER") == F.col("__hc"), "left")
     x = x.join(_prefixed_stats(stats, "AWAY_CLUSTER_STATS_", "__ac"), F.col("AWAY_TEAM_CLUSTER") == F.col("__ac"), "left")
     x = x.drop("__hc", "__ac", "HOME_TEAM_CLUSTER", "AWAY_TEAM_CLUSTER")
@@ -95,11 +103,11 @@ def enhance_regression(data: DataFrame, labels: DataFrame, features: DataFrame,
     the distance is 0 for members (as the reference); pass
     ``real_distance`` (TEAM_ID, CLUSTER_DIST_k...) for true centroid
     distances.  NULLs -> 0."""
-    mapping = broadcast_if_bounded(team_cluster_map(labels))
+    mapping = team_cluster_map(labels)
     x = _attach(data, mapping, team_col, "TEAM_CLUSTER")
     vals = label_values(x, "TEAM_CLUSTER")
     x = one_hot(x, "TEAM_CLUSTER", "CLUSTER", vals)
-    stats = broadcast_if_bounded(cluster_statistics(features, labels), MAX_CLUSTERS)
+    stats = cluster_statistics(features, labels)
     x = x.join(_prefixed_stats(stats, "CLUSTER_STATS_", "__c"), F.col("TEAM_CLUSTER") == F.col("__c"), "left").drop("__c")
     member_vals = [v for v in label_values(mapping, "CLUSTER") if v != -1]
     flags = {}

@@ -1,4 +1,4 @@
-"""Joins: fact-fact, suffixed lookups, size-checked broadcast."""
+"""Joins: fact-fact and suffixed lookups; broadcasts are left to the planner."""
 
 from __future__ import annotations
 
@@ -6,18 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
-    frame is returned unchanged and the planner falls back to a shuffle join.
-    Use on dimension tables and on results bounded by construction (one row
-    per cluster, per model, per metric).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def players_with_games(details: DataFrame, games: DataFrame, home_col: str = "HOME_TEAM_ID") -> DataFrame:
     """Player lines left-joined to their game on GAME_ID (sort-merge join of
     two fact tables; AQE splits skewed game partitions) and TEAM_TYPE = HOME
@@ -31,14 +19,3 @@ def left_join_suffixed(left: DataFrame, right: DataFrame, key: str, suffix: str
     clash = {c for c in right.columns if c != key and c.upper() in {x.upper() for x in left.columns}}
     r = right.withColumnsRenamed({c: c + suffix for c in clash})
     return left.join(r, key, "left")
-
-
-def lookup(df: DataFrame, mapping: DataFrame, key_left: str, key_right: str, value: str,
-           alias: str, default=None) -> DataFrame:
-    """Map a key column through a two-column table (left join), with an
-    optional default for unmatched keys."""
-    m = mapping.select(F.col(key_right).alias("__k"), F.col(value).alias(alias))
-    out = df.join(m, F.col(key_left) == F.col("__k"), "left").drop("__k")
-    if default is not None:
-        out = out.withColumn(alias, F.coalesce(F.col(alias), F.lit(default)))
-    return out

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from duelframe.functions.columns import columns_containing, round_even
 
@@ -131,31 +130,6 @@ def entity_trend(features: DataFrame, entity_id, cols: Sequence[str], entity: st
     return features.where(F.col(entity) == F.lit(entity_id)).select(entity, season, *cols).orderBy(season)
 
 
-def filter_entity(df: DataFrame, entity_id, season=None, entity: str = "TEAM_ID",
-                  season_col: str = "SEASON") -> DataFrame:
-    """Rows of one entity, of one season unless ``season`` is None / 'all'."""
-    out = df.where(F.col(entity) == F.lit(entity_id))
-    if season is not None and season != "all":
-        out = out.where(F.col(season_col) == F.lit(season))
-    return out
-
-
-def win_probability(features_home: DataFrame, features_away: DataFrame,
-                    entity: str = "TEAM_ID") -> DataFrame:
-    """Blend ``(home win share of the home side + 1 - away win share of the
-    visitor) / 2`` and its verdict bucket (>0.6 strong, >0.5 slight, else
-    upset) for given (home, away) pairs.
-
-    ``features_home``/``features_away`` are (pair, entity-row) tables already
-    joined by equi-join on the pair's ids; no all-pairs product is built.
-    """
-    p = (F.col("HOME_WIN_PCT") + (F.lit(1.0) - F.col("AWAY_WIN_PCT_V"))) / F.lit(2.0)
-    return features_home.join(features_away, "PAIR_ID").withColumn("HOME_WIN_PROB", p).withColumn(
-        "VERDICT", F.when(F.col("HOME_WIN_PROB") > 0.6, "strong home favourite")
-                    .when(F.col("HOME_WIN_PROB") > 0.5, "slight home favourite")
-                    .otherwise("possible away upset"))
-
-
 def quick_ranking(features: DataFrame, entity: str = "TEAM_ID", k: int = 10,
                   needles: Sequence[str] = ("WIN", "PCT")) -> DataFrame:
     """Rank entities by the mean of the first column whose name holds
@@ -166,7 +140,3 @@ def quick_ranking(features: DataFrame, entity: str = "TEAM_ID", k: int = 10,
     metric = cand[0]
     m = features.groupBy(entity).agg(F.avg(metric).alias("METRIC_MEAN")).withColumn("METRIC", F.lit(metric))
     return m.orderBy(F.col("METRIC_MEAN").desc(), F.col(entity).asc()).limit(k)
-
-
-def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence, name: str = "RANK") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*partition).orderBy(*order)))
