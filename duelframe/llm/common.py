@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,18 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fit_in_task(sample: DataFrame, fit: Callable[[list[tuple]], Any]) -> Any:
+    """``fit`` applied to the rows of a bounded sample, in order of the first
+    column, inside one task; only the fitted model comes to the driver."""
+    def run(batches):
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        rows.sort(key=lambda r: (r[0] is None, r[0]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], ["model"])
+
+    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else fit([])
+
+
 def fold_remainder(id_col: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (null id: null)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(mod)

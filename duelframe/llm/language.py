@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import byte_class, core, slices, utf8_view
+from duelframe.llm.common import byte_class, core, fit_in_task, slices, utf8_view
 
 LETTER = byte_class((0x00, 0x60), (0x7B, 0x7F))   # a-z and the bytes of non-ASCII characters
 HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -124,8 +124,8 @@ def fit(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", te
         return train([], [])
     shares = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rows = known.where(draw < shares[F.col("lang")]).orderBy("id").collect()
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    rows = known.where(draw < shares[F.col("lang")])
+    return fit_in_task(rows, lambda r: train([x[1] for x in r], [x[2] for x in r]))
 
 
 def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import NONSPACE, SpanHash, core, slices, word_spans
+from duelframe.llm.common import NONSPACE, SpanHash, core, fit_in_task, slices, word_spans
 from duelframe.llm.toxicity import labelled_sample
 
 BUCKETS = 4096
@@ -141,7 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", learn: C
     allowed = F.lit(True) if learn is None else learn
     rows = labelled_sample(docs, labels, label_col, allowed, id_col, text_col, {1: sample, 0: sample})
     counts = labels.where(allowed & F.col(label_col).isNotNull()).groupBy(F.col(label_col).cast("int").alias("y")).count().collect()
-    return train(rows, {r["y"]: r["count"] for r in counts if r["y"] in (0, 1)}, *document_frequencies(docs, text_col))
+    totals = {r["y"]: r["count"] for r in counts if r["y"] in (0, 1)}
+    df, n = document_frequencies(docs, text_col)
+    return fit_in_task(rows, lambda r: train([(x[1], x[2]) for x in r], totals, df, n))
 
 
 def score(docs: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, ddl, mix, slices, word_spans
+from duelframe.llm.common import ALNUM, LOWER, SpanHash, core, ddl, fit_in_task, mix, slices, word_spans
 
 AFFIXES = (3, 4, 5, 6)         # bytes of a word's first and last characters used as features
 WIDTH = 1 << 18                # hashed feature weights
@@ -322,8 +322,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-2) -> np.ndarray:
 # -- Spark ----------------------------------------------------------------------------
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                    most: dict[int, int] | None = None) -> list[tuple[str | None, int]]:
-    """At most ``most[label]`` labelled (text, label) rows of each label, by smallest hash of the id.
+                    most: dict[int, int] | None = None) -> DataFrame:
+    """At most ``most[label]`` labelled (id, text, label) rows of each label, by smallest hash of the id.
 
     The ids are picked from the label table first, so only their documents are
     read out; ids with several labels use the smallest.
@@ -336,8 +336,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
         one = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(n)
         ids = one if ids is None else ids.unionByName(one)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")  # bounded by ``most``
-    found = texts.groupBy("id", "label").agg(F.min("text").alias("text")).orderBy("id").collect()
-    return [(r["text"], r["label"]) for r in found]
+    return texts.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -377,4 +376,4 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", learn: Col
         text_col: str = "text", most: dict[int, int] | None = None) -> Field:
     """Train on a bounded, hash-picked sample of the labelled documents that ``learn`` (on the label table) allows."""
     rows = labelled_sample(docs, labels, label_col, F.lit(True) if learn is None else learn, id_col, text_col, most)
-    return train([t for t, _ in rows], [y for _, y in rows])
+    return fit_in_task(rows, lambda r: train([x[1] for x in r], [x[2] for x in r]))
