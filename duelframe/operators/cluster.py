@@ -131,13 +131,26 @@ def pca(df: DataFrame, cols: Sequence[str], k: int, keys: Sequence[str] = ("TEAM
     scores = model.transform(data).select(*keys, *[(arr[i] * F.lit(float(signs[i]))).alias(f"PC_{i + 1}")
                                                    for i in range(k)])
     var_rows = [(i + 1, float(ratio[i])) for i in range(k)]
-    variance = spark.createDataFrame(var_rows, "PC int, VARIANCE_SHARE double").withColumn(
-        "CUMULATIVE", F.sum("VARIANCE_SHARE").over(W.orderBy("PC").rowsBetween(W.unboundedPreceding, 0)))
+    variance = running_share(spark.createDataFrame(var_rows, "PC int, VARIANCE_SHARE double"))
     load_rows = [(j + 1, cols[i], float(comps[i, j] * signs[j])) for j in range(k) for i in range(len(cols))]
     loadings = spark.createDataFrame(load_rows, "PC int, FEATURE string, COMPONENT double")
     return PCAResult(scores, variance, loadings, k)
 
 
+def running_share(variance: DataFrame) -> DataFrame:
+    """Running sum of the variance shares in component order (one row a component)."""
+    return variance.withColumn(
+        "CUMULATIVE", F.sum("VARIANCE_SHARE").over(W.orderBy("PC").rowsBetween(W.unboundedPreceding, 0)))
+
+
+def best_valid(evaluation: DataFrame, name: str = "ALGORITHM", default: str = "kmeans") -> DataFrame:
+    """Add BEST_<name>: the highest silhouette among rows with at least two
+    clusters and a score (ties: lowest ORDINAL), else ``default``."""
+    every = W.orderBy("ORDINAL").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    valid = F.when((F.col("N_CLUSTERS") >= 2) & F.col("SILHOUETTE").isNotNull(), F.struct("SILHOUETTE", -F.col("ORDINAL")))
+    return evaluation.withColumn(f"BEST_{name}", F.coalesce(F.max_by(name, valid).over(every), F.lit(default)))
+
+
 def components_for_share(variance: DataFrame, share: float = 0.95) -> int:
     """Smallest number of components whose cumulative share exceeds ``share``."""
     r = variance.where(F.col("CUMULATIVE") >= share).agg(F.min("PC").alias("m")).first()["m"]

@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 from duelframe.plans.base import GAME_DOUBLES, Stages, round_doubles, sql_round, sql_with
+from duelframe.plans.q_profile import validation_sql
 from duelframe.plans.registry import query
 from duelframe.session import checkpoint_dir
 from duelframe.sources import io
@@ -42,7 +43,7 @@ def team_features_parquet_roundtrip(spark, sf_dir):
     return round_doubles(back)
 
 
-@query("validation_report_json", "S4 Q0")
+@query("validation_report_json", "S4 Q0", sql=sql_with(validation_sql(), upto="gl"))
 def validation_report_json(spark, sf_dir):
     """The quality report written with the JSON sink and read back."""
     from duelframe.operators import quality

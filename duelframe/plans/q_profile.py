@@ -187,7 +187,7 @@ def _nulls_sql(table, cols):
     return "(SELECT " + " + ".join(f"count_if({c} IS NULL)" for c in cols) + f" FROM {table})"
 
 
-def _validation_sql():
+def validation_sql():
     from duelframe.plans.base import GL_SQL  # noqa: F401
     gv_cols = GC_ALL
     tf_cols = ["TEAM_ID", "SEASON"] + TF_FEATURES + ["NICKNAME", "CITY"]
@@ -200,8 +200,10 @@ def _validation_sql():
         ("games_not_empty", "CAST((SELECT count(*) FROM gv) > 0 AS BIGINT)"),
         ("team_features_not_empty", "CAST((SELECT count(*) FROM tf) > 0 AS BIGINT)"),
         ("game_features_not_empty", "CAST((SELECT count(*) FROM gl) > 0 AS BIGINT)"),
-        ("correct_dtypes", "CAST(1 AS BIGINT)"),
-        ("essential_columns_exist", "CAST(1 AS BIGINT)"),
+        ("correct_dtypes", "(SELECT CAST(typeof(GAME_DATE_EST) = 'DATE' AND typeof(SEASON) = 'INTEGER' AND "
+                           "typeof(HOME_TEAM_WINS) = 'BOOLEAN' AS BIGINT) FROM gv LIMIT 1)"),
+        ("essential_columns_exist", "(SELECT CAST(count(*) > 0 AS BIGINT) FROM (SELECT GAME_ID, SEASON, HOME_TEAM_ID, "
+                                    "VISITOR_TEAM_ID, PTS_home, PTS_away, HOME_TEAM_WINS FROM gv LIMIT 1))"),
         ("summary.total_games", "(SELECT count(*) FROM gv)"),
         ("summary.total_teams", "(SELECT count(DISTINCT TEAM_ID) FROM tf)"),
         ("summary.total_features", f"CAST({len(gl_cols)} AS BIGINT)"),
@@ -211,7 +213,7 @@ def _validation_sql():
     return _union([f"SELECT '{k}' AS \"CHECK\", {v} AS VALUE" for k, v in rows])
 
 
-@query("validation_report", "Q0", sql=sql_with(_validation_sql(), upto="gl"))
+@query("validation_report", "Q0", sql=sql_with(validation_sql(), upto="gl"))
 def validation_report(spark, sf_dir):
     """Eight 0/1 quality checks and the summary over the engineering outputs."""
     st = Stages(spark, sf_dir)

@@ -21,9 +21,14 @@ def embedding_points(spark, sf_dir):
     return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
 
 
-_EMB_METRICS_SQL = """
-WITH pts AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS j
-             FROM embeddings),
+def _emb_metrics_sql(label: str = "label") -> str:
+    return _EMB_METRICS.replace("@LABEL@", label)
+
+
+_EMB_METRICS = """
+WITH emb AS (SELECT vec_id, CAST(@LABEL@ AS INT) AS label, embedding FROM embeddings),
+     pts AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS j
+             FROM emb),
      px AS (SELECT vec_id, label, sum(x * x) AS x2 FROM pts GROUP BY vec_id, label),
      cent AS (SELECT label, j, avg(x) AS mu FROM pts GROUP BY label, j),
      cl AS (SELECT label, count(*) AS n, avg(x2) AS msq FROM px GROUP BY label),
@@ -44,15 +49,15 @@ WITH pts AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, gener
      db AS (SELECT avg(w) AS dbi FROM (SELECT l1, max((s1.s + s2.s) / m) AS w FROM cdist
             JOIN spread s1 ON s1.label = l1 JOIN spread s2 ON s2.label = l2 GROUP BY l1))
 SELECT CAST((SELECT count(*) FROM cl WHERE label <> -1) AS INT) AS N_CLUSTERS,
-       CAST((SELECT count(*) FROM embeddings WHERE label = -1) AS INT) AS N_NOISE,
+       CAST((SELECT count(*) FROM emb WHERE label = -1) AS INT) AS N_NOISE,
        round_even((SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM sil), 4) AS SILHOUETTE,
-       round_even((SELECT bss FROM between_ss) * ((SELECT count(*) FROM embeddings) - (SELECT count(*) FROM cl))
+       round_even((SELECT bss FROM between_ss) * ((SELECT count(*) FROM emb) - (SELECT count(*) FROM cl))
                   / ((SELECT wss FROM within_ss) * ((SELECT count(*) FROM cl) - 1)), 4) AS CALINSKI_HARABASZ,
        round_even((SELECT dbi FROM db), 4) AS DAVIES_BOULDIN
 """
 
 
-@query("cluster_metrics_embeddings", "E1 E2 E3 A26 F5", sql=_EMB_METRICS_SQL)
+@query("cluster_metrics_embeddings", "E1 E2 E3 A26 F5", sql=_emb_metrics_sql())
 def cluster_metrics_embeddings(spark, sf_dir):
     """Squared-Euclidean silhouette, Calinski-Harabasz and Davies-Bouldin of
     the labelled embedding vectors, with cluster and noise counts."""
@@ -65,6 +70,67 @@ def cluster_metrics_embeddings(spark, sf_dir):
     return out.withColumns({c: round_even(c, 4) for c in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")})
 
 
+# fixed values: labellings of the embeddings that the selection is checked on
+LABELLINGS = [("given", "label"), ("halves", "label % 2"), ("one", "0"), ("thirds", "label % 3")]
+
+
+@query("labelling_selection", "K8 F7 T7 A26", sql=f"""
+WITH e AS ({" UNION ALL ".join(f"SELECT '{name}' AS LABELLING, {i} AS ORDINAL, * FROM ({_emb_metrics_sql(expr)})" for i, (name, expr) in enumerate(LABELLINGS))})
+SELECT LABELLING, ORDINAL, N_CLUSTERS, CASE WHEN N_CLUSTERS >= 2 THEN SILHOUETTE END AS SILHOUETTE,
+       coalesce((SELECT LABELLING FROM e WHERE N_CLUSTERS >= 2 AND SILHOUETTE IS NOT NULL ORDER BY SILHOUETTE DESC, ORDINAL LIMIT 1), 'given')
+       AS BEST_LABELLING FROM e""")
+def labelling_selection(spark, sf_dir):
+    """Four labellings of the embeddings compared by silhouette; those with
+    fewer than two clusters are no candidates; best one named in every row."""
+    pts = embedding_points(spark, sf_dir)
+    rows = []
+    for i, (name, expr) in enumerate(LABELLINGS):
+        m = cluster.evaluate(pts.withColumn("label", F.expr(expr).cast("int")), [f"e{j}" for j in range(EMB_DIM)], "label")
+        rows.append((name, i, m["N_CLUSTERS"], m["SILHOUETTE"]))
+    t = spark.createDataFrame(rows, "LABELLING string, ORDINAL int, N_CLUSTERS int, SILHOUETTE double")
+    return cluster.best_valid(round_doubles(t, 4), "LABELLING", "given")
+
+
+_BINNED_COSTS = " UNION ALL ".join(
+    f"SELECT {k} AS K, CAST(sum(s) AS DOUBLE) AS COST FROM (SELECT sum(x * x) - sum(x) * sum(x) / count(*) AS s "
+    f"FROM (SELECT POINT_DIFFERENTIAL AS x FROM gv) GROUP BY least(floor((x + 200) / 400 * {k}), {k - 1}))" for k in range(1, 11))
+
+
+@query("elbow_of_binned_costs", "W1 K2", sql=sql_with("""
+WITH d AS (SELECT *, lag(COST) OVER (ORDER BY K) - COST AS DROP FROM costs),
+     c AS (SELECT *, CASE WHEN K < 10 THEN lag(DROP) OVER (ORDER BY K) - DROP END AS CURVATURE FROM d)
+SELECT K, round_even(COST, 3) AS COST, round_even(DROP, 3) AS DROP, round_even(CURVATURE, 3) AS CURVATURE,
+       CAST(coalesce((SELECT K - 1 FROM c WHERE CURVATURE IS NOT NULL ORDER BY CURVATURE DESC, K LIMIT 1), 3) AS INT) AS SUGGESTED_K
+FROM c""", upto="gv", extra=[("costs", _BINNED_COSTS)]))
+def elbow_of_binned_costs(spark, sf_dir):
+    """Elbow over a cost curve without a fit: within-bin sums of squares of the
+    point differential for 1 to 10 equal bins of [-200, 200]; drops, second
+    differences and the suggested k."""
+    x = Stages(spark, sf_dir).games_validated.select(F.col("POINT_DIFFERENTIAL").alias("x"))
+    bins = F.array(*[F.struct(F.lit(k).alias("K"), F.least(F.floor((F.col("x") + 200) / 400 * k), F.lit(k - 1)).alias("b"))
+                     for k in range(1, 11)])
+    per = x.select("x", F.inline(bins)).groupBy("K", "b").agg(
+        (F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.sum("x") / F.count(F.lit(1))).alias("s"))
+    return round_doubles(cluster.elbow_choice(per.groupBy("K").agg(F.sum("s").alias("COST"))), 3)
+
+
+@query("variance_shares", "W2 A20", sql=sql_with(
+    "SELECT PC, FEATURE, round_even(v / sum(v) OVER (), 6) AS VARIANCE_SHARE, "
+    "round_even(sum(v) OVER (ORDER BY PC) / sum(v) OVER (), 6) AS CUMULATIVE FROM ("
+    "SELECT CAST(row_number() OVER (ORDER BY v DESC, i) AS INT) AS PC, FEATURE, v FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS FEATURE, {i} AS i, var_samp({c}) AS v FROM tf" for i, c in enumerate(TF_FEATURES)) + "))",
+    upto="tf"))
+def variance_shares(spark, sf_dir):
+    """Team-season features by their share of the total variance, with the
+    running sum that principal components use too."""
+    from duelframe.operators import profile
+    top = profile.top_variance(Stages(spark, sf_dir).team_features, TF_FEATURES, len(TF_FEATURES))
+    place = F.row_number().over(W.orderBy(F.col("VARIANCE").desc(), "POS"))          # one row a feature
+    total = F.sum("VARIANCE").over(W.partitionBy(F.lit(0)))
+    shares = top.select(place.alias("PC"), F.col("COLUMN").alias("FEATURE"), (F.col("VARIANCE") / total).alias("VARIANCE_SHARE"))
+    return round_doubles(cluster.running_share(shares))
+
+
 @query("kmeans_k_selection", "K2 K3 W1")
 def kmeans_k_selection(spark, sf_dir):
     """Elbow (cost for k = 1..10, drops, second differences, suggested k)
@@ -137,11 +203,7 @@ def segmentation_evaluation(spark, sf_dir):
                      m["DAVIES_BOULDIN"]))
     t = spark.createDataFrame(rows, "ALGORITHM string, ORDINAL int, K int, N_CLUSTERS int, N_NOISE int, "
                                     "SILHOUETTE double, CALINSKI_HARABASZ double, DAVIES_BOULDIN double")
-    every = W.orderBy("ORDINAL").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    valid = F.when((F.col("N_CLUSTERS") >= 2) & F.col("SILHOUETTE").isNotNull(),
-                   F.struct("SILHOUETTE", -F.col("ORDINAL")))
-    best = F.coalesce(F.max_by("ALGORITHM", valid).over(every), F.lit("kmeans"))
-    return round_doubles(t.withColumn("BEST_ALGORITHM", best))
+    return round_doubles(cluster.best_valid(t))
 
 
 @query("kmeans_team_segments", "K4 J10")
@@ -317,3 +379,54 @@ def anomaly_features(spark, sf_dir):
     out = st.team_features.join(s, ["TEAM_ID", "SEASON"]).withColumn("ANOMALY_CONFIDENCE",
                                                                     anomaly_confidence("DECISION"))
     return round_doubles(out)
+
+
+# Detectors without a fit: distance from the mean over three groups of features.
+DETECTOR_GROUPS = {
+    "home": [c for c in TF_FEATURES if c.startswith("HOME_") and "ADVANTAGE" not in c],
+    "away": [c for c in TF_FEATURES if c.startswith("AWAY_")],
+    "advantage": [c for c in TF_FEATURES if "ADVANTAGE" in c],
+}
+_FILLED = ("filled", "SELECT TEAM_ID, SEASON, " + ", ".join(
+    f"coalesce({c}, (SELECT median({c}) FROM tf)) AS {c}" for c in TF_FEATURES) + " FROM tf")
+_DETECTOR_CTES = [_FILLED] + [(f"sc_{name}", "SELECT TEAM_ID, SEASON, " + " + ".join(
+    f"power(({c} - (SELECT avg({c}) FROM filled)) / (SELECT stddev_pop({c}) FROM filled), 2)" for c in cols) + " AS SCORE FROM filled")
+    for name, cols in DETECTOR_GROUPS.items()] + [
+    (f"det_{name}", f"SELECT *, (SELECT quantile_cont(SCORE, 0.9) FROM sc_{name}) - SCORE AS DECISION, "
+                    f"CAST(SCORE > (SELECT quantile_cont(SCORE, 0.9) FROM sc_{name}) AS INT) AS IS_ANOMALY FROM sc_{name}")
+    for name in DETECTOR_GROUPS]
+
+
+def _group_detectors(st):
+    from duelframe.operators import anomaly
+    from duelframe.operators.scaling import median_fill
+    data = median_fill(st.team_features, TF_FEATURES)
+    return {name: anomaly.zscore_detector(data, cols, ["TEAM_ID", "SEASON"], 0.1) for name, cols in DETECTOR_GROUPS.items()}
+
+
+@query("detector_comparison_by_group", "N4", sql=sql_with(" UNION ALL ".join(
+    f"SELECT count(*) AS ROWS, CAST(sum(IS_ANOMALY) AS BIGINT) AS ANOMALIES, '{name}' AS DETECTOR, "
+    f"round_even(sum(IS_ANOMALY) * 100.0 / count(*), 6) AS ANOMALY_PCT FROM det_{name}" for name in DETECTOR_GROUPS),
+    upto="tf", extra=_DETECTOR_CTES))
+def detector_comparison_by_group(spark, sf_dir):
+    """Rows flagged (count and %) by the distance detectors of home, away and
+    advantage features."""
+    from duelframe.operators import anomaly
+    return round_doubles(anomaly.compare_detectors(_group_detectors(Stages(spark, sf_dir))))
+
+
+@query("detector_consensus_by_group", "N5 N6 P18 J10", sql=sql_with("""
+SELECT h.TEAM_ID, h.SEASON, h.IS_ANOMALY + a.IS_ANOMALY + d.IS_ANOMALY AS VOTES,
+       CAST(h.IS_ANOMALY + a.IS_ANOMALY + d.IS_ANOMALY >= 2 AS INT) AS IS_CONSENSUS, round_even(h.SCORE, 6) AS HOME_SCORE,
+       round_even(1 - 1 / (1 + exp(-abs(h.DECISION))), 6) AS HOME_CONFIDENCE
+FROM det_home h JOIN det_away a ON h.TEAM_ID = a.TEAM_ID AND h.SEASON = a.SEASON
+JOIN det_advantage d ON h.TEAM_ID = d.TEAM_ID AND h.SEASON = d.SEASON""", upto="tf", extra=_DETECTOR_CTES))
+def detector_consensus_by_group(spark, sf_dir):
+    """Votes and 2-of-3 consensus of the distance detectors, with the home
+    detector's score and confidence joined as features by key."""
+    from duelframe.functions.columns import anomaly_confidence
+    from duelframe.operators import anomaly
+    keys = ["TEAM_ID", "SEASON"]
+    det = _group_detectors(Stages(spark, sf_dir))
+    home = det["home"].select(*keys, F.col("SCORE").alias("HOME_SCORE"), anomaly_confidence("DECISION").alias("HOME_CONFIDENCE"))
+    return round_doubles(anomaly.consensus(det, keys).join(home, keys))
