@@ -130,6 +130,13 @@ def entity_trend(features: DataFrame, entity_id, cols: Sequence[str], entity: st
     return features.where(F.col(entity) == F.lit(entity_id)).select(entity, season, *cols).orderBy(season)
 
 
+def filter_entity(df: DataFrame, entity_id, season=None, entity: str = "TEAM_ID",
+                  season_col: str = "SEASON") -> DataFrame:
+    """Rows of one entity, of one season unless ``season`` is None or 'all'."""
+    out = df.where(F.col(entity) == F.lit(entity_id))
+    return out if season is None or season == "all" else out.where(F.col(season_col) == F.lit(season))
+
+
 def quick_ranking(features: DataFrame, entity: str = "TEAM_ID", k: int = 10,
                   needles: Sequence[str] = ("WIN", "PCT")) -> DataFrame:
     """Rank entities by the mean of the first column whose name holds

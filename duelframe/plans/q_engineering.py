@@ -152,14 +152,14 @@ def team_type_counts(spark, sf_dir):
 
 @query("redundant_id_mismatches", "F4", sql=sql_with("""
 SELECT count_if(coalesce(HOME_TEAM_ID <> VISITOR_TEAM_ID, true)) AS MISMATCHES,
-       count_if(coalesce(HOME_TEAM_ID <> HOME_TEAM_ID, true)) AS SELF_MISMATCHES FROM gv""", upto="gv"))
+       count_if(coalesce(YEAR <> SEASON, true)) AS YEAR_MISMATCHES FROM gv""", upto="gv"))
 def redundant_id_mismatches(spark, sf_dir):
     """Mismatch counts between two id columns (pandas != semantics: NULL
-    counts as a mismatch), here home vs visitor and a column with itself."""
+    counts as a mismatch), here home vs visitor and calendar year vs season."""
     from duelframe.operators import quality
     g = Stages(spark, sf_dir).games_validated
     return g.agg(quality.mismatch_count("HOME_TEAM_ID", "VISITOR_TEAM_ID").alias("MISMATCHES"),
-                 quality.mismatch_count("HOME_TEAM_ID", "HOME_TEAM_ID").alias("SELF_MISMATCHES"))
+                 quality.mismatch_count("YEAR", "SEASON").alias("YEAR_MISMATCHES"))
 
 
 # fixed values: the reference configuration's required game columns and drop / rename lists

@@ -202,8 +202,8 @@ def validation_sql():
         ("game_features_not_empty", "CAST((SELECT count(*) FROM gl) > 0 AS BIGINT)"),
         ("correct_dtypes", "(SELECT CAST(typeof(GAME_DATE_EST) = 'DATE' AND typeof(SEASON) = 'INTEGER' AND "
                            "typeof(HOME_TEAM_WINS) = 'BOOLEAN' AS BIGINT) FROM gv LIMIT 1)"),
-        ("essential_columns_exist", "(SELECT CAST(count(*) > 0 AS BIGINT) FROM (SELECT GAME_ID, SEASON, HOME_TEAM_ID, "
-                                    "VISITOR_TEAM_ID, PTS_home, PTS_away, HOME_TEAM_WINS FROM gv LIMIT 1))"),
+        ("essential_columns_exist", "(SELECT CAST(count(*) > 0 AS BIGINT) FROM (SELECT HOME_TEAM_ID, VISITOR_TEAM_ID, "
+                                    "POINT_DIFFERENTIAL FROM gl LIMIT 1))"),
         ("summary.total_games", "(SELECT count(*) FROM gv)"),
         ("summary.total_teams", "(SELECT count(DISTINCT TEAM_ID) FROM tf)"),
         ("summary.total_features", f"CAST({len(gl_cols)} AS BIGINT)"),

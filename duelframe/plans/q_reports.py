@@ -119,6 +119,21 @@ def _first_team(st):
     return st.team_features.agg(F.min("TEAM_ID").alias("t")).first()["t"]
 
 
+@query("team_season_filter", "F2", sql=sql_with("""
+WITH one AS (SELECT * FROM tf WHERE TEAM_ID = (SELECT min(TEAM_ID) FROM tf))
+SELECT 'all' AS SCOPE, TEAM_ID, SEASON, HOME_GAMES_COUNT, AWAY_GAMES_COUNT FROM one
+UNION ALL SELECT 'latest' AS SCOPE, TEAM_ID, SEASON, HOME_GAMES_COUNT, AWAY_GAMES_COUNT FROM one
+WHERE SEASON = (SELECT max(SEASON) FROM one)""", upto="tf"))
+def team_season_filter(spark, sf_dir):
+    """One side's games by season under the dashboard's two filters: all
+    seasons, and one season (its latest)."""
+    f = Stages(spark, sf_dir).team_features.select("TEAM_ID", "SEASON", "HOME_GAMES_COUNT", "AWAY_GAMES_COUNT")
+    first = f.agg(F.min("TEAM_ID").alias("t"), F.min_by("SEASON", F.struct("TEAM_ID", -F.col("SEASON"))).alias("s")).first()
+    parts = [reports.filter_entity(f, first["t"], season).withColumn("SCOPE", F.lit(scope))
+             for scope, season in (("all", "all"), ("latest", first["s"]))]
+    return parts[0].unionByName(parts[1])
+
+
 _TVL_COLS = ["HOME_WIN_PCT", "AWAY_WIN_PCT", "HOME_PTS_MEAN", "AWAY_PTS_MEAN"]
 
 
@@ -165,10 +180,10 @@ def game_kpis(spark, sf_dir):
 
 
 @query("dashboard_kpis", "A9", sql=sql_with("""
-SELECT 'team_features' AS "TABLE", count(*) AS ROWS, 27 AS COLUMNS, count(DISTINCT TEAM_ID) AS TEAMS,
+SELECT 'team_features' AS "TABLE", count(*) AS ROWS, any_value(len(json_keys(to_json(tf)))) AS COLUMNS, count(DISTINCT TEAM_ID) AS TEAMS,
        count(DISTINCT SEASON) AS SEASONS FROM tf
-UNION ALL SELECT 'game_features', count(*), 72, count(DISTINCT HOME_TEAM_ID), count(DISTINCT SEASON) FROM gl
-UNION ALL SELECT 'teams', count(*), 5, count(DISTINCT TEAM_ID), CAST(NULL AS BIGINT) FROM tc""", upto="gl"))
+UNION ALL SELECT 'game_features', count(*), any_value(len(json_keys(to_json(gl)))), count(DISTINCT HOME_TEAM_ID), count(DISTINCT SEASON) FROM gl
+UNION ALL SELECT 'teams', count(*), any_value(len(json_keys(to_json(tc)))), count(DISTINCT TEAM_ID), CAST(NULL AS BIGINT) FROM tc""", upto="gl"))
 def dashboard_kpis(spark, sf_dir):
     """Per table: rows, columns, distinct teams and seasons (status page)."""
     st = Stages(spark, sf_dir)
