@@ -67,7 +67,8 @@ def test_constant_column_standardises_to_zero_and_rounding(spark):
     out = scaling.standardize(df, ["c", "x"]).collect()
     assert all(r.c == 0.0 for r in out)
     assert abs(sum(r.x for r in out)) < 1e-12
-    assert spark.range(1).select(F.bround(F.lit(2.5), 0)).first()[0] == 2.0
+    from duelframe.functions.columns import round_even
+    assert spark.range(1).select(round_even(F.lit(2.5), 0)).first()[0] == 2.0
 
 
 def test_metrics_no_positive_prediction_and_auc_tie(spark):
@@ -139,5 +140,7 @@ def test_cluster_description_buckets(spark):
                                  "CLUSTER int, SIZE long, FEATURE string, POS int, CLUSTER_MEAN double, "
                                  "OVERALL_MEAN double, ABS_DIFF double, DIFF_PCT double, RANK int")
     d = {r.CLUSTER: r.DESCRIPTION for r in cluster.describe_clusters(prof).collect()}
-    assert d[0] == "Teams with very high in A" and d[1] == "Teams with high in A"
-    assert d[2] == "Teams with average characteristics"
+    assert d[0] == "A far above average" and d[1] == "A above average"
+    assert d[2] == "close to average"
+    told = {r.CLUSTER: r for r in cluster.insights(prof).collect()}
+    assert told[0].RECOMMENDATION == "Nothing lags; build on A" and "(cluster 2) to 10 (cluster 0)" in told[-1].INSIGHT
