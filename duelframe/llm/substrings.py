@@ -178,6 +178,7 @@ def shard_starts(contents: list[bytes], counts: list[int], anchors: list[int], l
     middle bytes; a piece whose middle no other segment has at these offsets
     is settled.  The runs of the other pieces are sorted, equal runs once.
     """
+    step = max(1, min(STEP, length // 4))
     size = np.array([len(c) for c in contents], np.int64)
     begin = np.concatenate(([0], np.cumsum(size)))
     data = np.frombuffer(b"".join(contents), np.uint8)
@@ -190,13 +191,13 @@ def shard_starts(contents: list[bytes], counts: list[int], anchors: list[int], l
     who, index = np.unique(owner[at], return_index=True)
     offset = np.zeros(len(size), np.int64)
     offset[who] = at[index] - begin[who]
-    # pieces: starts t in [lo, hi) have offsets offset - t within [k * STEP, (k + 1) * STEP)
-    low, high = (offset - n + 1) // STEP, offset // STEP
+    # pieces: starts t in [lo, hi) have offsets offset - t within [k * step, (k + 1) * step)
+    low, high = (offset - n + 1) // step, offset // step
     seg = np.repeat(np.arange(len(n)), high - low + 1)
     k = np.arange(len(seg)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[seg]
-    lo, hi = np.maximum(offset[seg] - (k + 1) * STEP + 1, 0), np.minimum(offset[seg] - k * STEP + 1, n[seg])
-    mid = begin[seg] + offset[seg] - k * STEP
-    key = mix(h.of(mid, mid + length - STEP + 1) + mix(anchor[seg].view(np.uint64)) * np.uint64(STEP) + k.astype(np.uint64))
+    lo, hi = np.maximum(offset[seg] - (k + 1) * step + 1, 0), np.minimum(offset[seg] - k * step + 1, n[seg])
+    mid = begin[seg] + offset[seg] - k * step
+    key = mix(h.of(mid, mid + length - step + 1) + mix(anchor[seg].view(np.uint64)) * np.uint64(step) + k.astype(np.uint64))
     _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
     keep = times[inverse] > 1
     out = [np.zeros(c, bool) for c in counts]

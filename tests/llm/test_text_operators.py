@@ -194,8 +194,7 @@ def brute_removal(rows, length):
 
 
 @pytest.mark.parametrize("length,gram,shard_bytes", [(40, 8, 1 << 20), (40, 8, 500), (100, 32, 300), (200, 16, 1 << 16)])
-def test_substrings_match_brute_force(make_docs, words, length, gram, shard_bytes, monkeypatch):
-    monkeypatch.setattr(substrings, "STEP", 16)
+def test_substrings_match_brute_force(make_docs, words, length, gram, shard_bytes):
     rng = random.Random(length)
     passages = [prose(rng, 60, words) for _ in range(6)] + ["ab" * 150, "z" * 400]
     rows = [(1, None), (2, ""), (3, "short"), (None, passages[0])]
