@@ -105,8 +105,16 @@ def _regression_parts(spark: SparkSession, sf_dir: str, target: str):
 
 
 @cache
+def _classifier(spark: SparkSession, sf_dir: str, name: str, with_segments: bool = True):
+    """Result row and model of one classifier; its ordinal is its configured place."""
+    rows, fitted = fit_classifiers(_classification_parts(spark, sf_dir, with_segments), [name])
+    place = CLASSIFIERS.index(name) if name in CLASSIFIERS else len(CLASSIFIERS)
+    return (rows[0][0], place, *rows[0][2:]), fitted[name]
+
+
 def _classifiers(spark: SparkSession, sf_dir: str):
-    return fit_classifiers(_classification_parts(spark, sf_dir))
+    found = {name: _classifier(spark, sf_dir, name) for name in CLASSIFIERS}
+    return [row for row, _ in found.values()], {name: model for name, (_, model) in found.items()}
 
 
 @cache
@@ -114,6 +122,12 @@ def _regressors(spark: SparkSession, sf_dir: str, target: str):
     return fit_regressors(_regression_parts(spark, sf_dir, target), target)
 
 
+@query("random_forest_classifier", "L2 L8 L9")
+def random_forest_classifier(spark, sf_dir):
+    """The random forest over its configured grid: CV accuracy and exact test metrics."""
+    return round_doubles(spark.createDataFrame([_classifier(spark, sf_dir, "random_forest")[0]], CLS_RESULT), 4)
+
+
 @query("classifier_comparison", "L0 L1 L2 L3 L4 L5 L8 L9 M2 M4 X6 V1 V2")
 def classifier_comparison(spark, sf_dir):
     """Home-win classifiers (logistic, forest, tree, linear SVM, Gaussian NB)
@@ -143,14 +157,31 @@ def best_classifier_importance(spark, sf_dir):
 def segment_gain(spark, sf_dir):
     """Test accuracy of the grid-searched logistic regression with and
     without segment features: gain in points and percent, and the verdict."""
-    with_, without = (fit_classifiers(_classification_parts(spark, sf_dir, flag), ["logistic_regression"])[0][0][4]
-                      for flag in (True, False))
+    with_, without = (_classifier(spark, sf_dir, "logistic_regression", flag)[0][4] for flag in (True, False))
     df = spark.createDataFrame([("logistic_regression", with_, without)], "MODEL string, WITH double, WITHOUT double")
     gain = F.col("WITH") - F.col("WITHOUT")
     return round_doubles(df.select("*", gain.alias("GAIN"), F.try_divide(gain * 100, F.col("WITHOUT")).alias("GAIN_PCT"),
                                    metrics.improvement(None).alias("VERDICT")), 4)
 
 
+@query("home_points_regressors", "R0 R1 R2 R3 R4 R5 R7 R8")
+def home_points_regressors(spark, sf_dir):
+    """The five regressors for home points over their configured grids."""
+    return round_doubles(spark.createDataFrame(_regressors(spark, sf_dir, "PTS_home")[0], REG_RESULT), 4)
+
+
+@query("away_points_regressors", "R8 R2")
+def away_points_regressors(spark, sf_dir):
+    """The five regressors for away points over their configured grids."""
+    return round_doubles(spark.createDataFrame(_regressors(spark, sf_dir, "PTS_away")[0], REG_RESULT), 4)
+
+
+@query("differential_regressors", "R8 R2")
+def differential_regressors(spark, sf_dir):
+    """The five regressors for the point differential over their configured grids."""
+    return round_doubles(spark.createDataFrame(_regressors(spark, sf_dir, "POINT_DIFFERENTIAL")[0], REG_RESULT), 4)
+
+
 @query("regressor_comparison", "R0 R1 R2 R3 R4 R5 R7 R8 V5 M3")
 def regressor_comparison(spark, sf_dir):
     """Ridge, lasso, elastic net, forest and boosting for home points, away
@@ -225,8 +256,7 @@ def saved_model_scoring(spark, sf_dir):
 def gbt_classifier(spark, sf_dir):
     """Gradient-boosted trees for the home win (registered in the model
     factory though not configured): CV accuracy and exact test metrics."""
-    rows, _ = fit_classifiers(_classification_parts(spark, sf_dir), ["gradient_boosting"])
-    return round_doubles(spark.createDataFrame(rows, CLS_RESULT), 4)
+    return round_doubles(spark.createDataFrame([_classifier(spark, sf_dir, "gradient_boosting")[0]], CLS_RESULT), 4)
 
 
 @query("association_rules", "Z5")
