@@ -19,8 +19,24 @@ def con():
     return duck(SF)
 
 
+@pytest.fixture(scope="module")
+def shared_tables():
+    """All oracle queries here read one folder: its fan-out tables are written once."""
+    from duelframe.plans import base
+    plain, kept = base.materialise, {}
+
+    def once(df, tag):
+        if tag not in kept:
+            kept[tag] = plain(df, tag)
+        return kept[tag]
+
+    base.materialise = once
+    yield
+    base.materialise = plain
+
+
 @pytest.mark.parametrize("name", WITH_ORACLE)
-def test_query_matches_oracle(spark, con, name):
+def test_query_matches_oracle(spark, con, shared_tables, name):
     q = load_all()[name]
     ok, msg = compare(spark, con, name, q.build, q.sql, SF)
     assert ok, msg
