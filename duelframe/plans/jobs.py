@@ -8,7 +8,7 @@ job; any scheduler can call it, or its steps one by one.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,12 +93,13 @@ def _segments(st: Saved, with_clusters: bool) -> tuple[DataFrame | None, str]:
     return (st.read("clustering_labels_kmeans"), "with_clusters") if with_clusters else (None, "without_clusters")
 
 
-def classification(spark: SparkSession, sf_dir: str, out: str, with_clusters: bool = True, quick: bool = False) -> None:
+def classification(spark: SparkSession, sf_dir: str, out: str, with_clusters: bool = True, quick: bool = False,
+                   names: Sequence[str] = sup.CLASSIFIERS) -> None:
     """Grid-searched classifiers, the best one's importances, its saved model."""
     st = Saved(spark, out)
     segments, tag = _segments(st, with_clusters)
     parts = sup._parts(sup.classification_set(st.game_features, st.team_features, segments), "label", "classification")
-    rows, fitted = sup.fit_classifiers(parts, quick=quick)
+    rows, fitted = sup.fit_classifiers(parts, names, quick)
     st.save(spark.createDataFrame(rows, sup.CLS_RESULT), f"classification_results_{tag}")
     best = max(rows, key=lambda r: (r[4], -r[1]))[0]
     top = models.importances(fitted[best], parts[2], 10)
@@ -107,14 +108,15 @@ def classification(spark: SparkSession, sf_dir: str, out: str, with_clusters: bo
     models.save_versioned(fitted[best], f"{st.out}/models", f"classifier_{tag}")
 
 
-def regression(spark: SparkSession, sf_dir: str, out: str, with_clusters: bool = True, quick: bool = False) -> None:
+def regression(spark: SparkSession, sf_dir: str, out: str, with_clusters: bool = True, quick: bool = False,
+               names: Sequence[str] = sup.REGRESSORS) -> None:
     """Grid-searched regressors of the three targets, their saved best models and the consolidated report."""
     st = Saved(spark, out)
     segments, tag = _segments(st, with_clusters)
     rows, shares = [], {}
     for name, target in contest.REGRESSION_TARGETS.items():
         parts = sup._parts(sup.regression_set(st.game_features, st.team_features, segments, target), None, "regression")
-        r, fitted = sup.fit_regressors(parts, target, quick=quick)
+        r, fitted = sup.fit_regressors(parts, target, names, quick)
         rows += r
         shares[target] = sup.cluster_share(fitted, parts[2])[1]
         models.save_versioned(fitted[max(r, key=lambda x: (x[5], -x[2]))[1]], f"{st.out}/models", f"{name}_{tag}")
