@@ -4,9 +4,12 @@ Equal vectors are merged first.  A neighbour graph starts from the leaves of
 random-hyperplane trees and is refined by neighbours-of-neighbours joins:
 the members of each vector's forward and reverse lists are compared with
 each other, and whoever improves a list enters it, until little changes.
-Edges at the threshold make components.  A list that is full of such edges
-is saturated: the fixed length may hide links.  Lists are therefore enlarged
-to the whole component, where links are counted rather than listed.  Members
+The lists steer the search only: of all pairs that a leaf or a round compares,
+those at the threshold are kept as a spanning forest, whatever the lists hold,
+and make components.  A list that is full of such pairs is saturated: the
+fixed length may hide links to others.  The search is then run again with
+lists that pass over the vector's own component, until no list is full.
+Within a component links are counted rather than listed.  Members
 within half the threshold's angle of the component's pivot are all linked to
 each other by the triangle inequality; only pairs with a member beyond it
 are computed, block by block.  Recall is audited by an exact scan for a
@@ -65,8 +68,33 @@ def valid_nodes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFram
     return rows.select("id", "node"), nodes.withColumn("dim", F.size("emb"))
 
 
-def first_lists(nodes: DataFrame, n: int, k: int, trees: range, leaf: int) -> DataFrame:
-    """(u, v, sim): each vector's nearest within its leaf of each tree."""
+def forest(hit: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``hit`` that connect whatever ``hit`` connects, where the ``joined`` members are connected already."""
+    seen = joined.copy()
+    todo = np.flatnonzero(joined).tolist()
+    some = hit.any(axis=1)
+    left, right = [], []
+    for root in [None, *np.flatnonzero(some & ~joined).tolist()]:
+        if root is not None:
+            if seen[root]:
+                continue
+            seen[root] = True
+            todo = [root]
+        while todo:
+            i = todo.pop()
+            if some[i]:
+                new = np.flatnonzero(hit[i] & ~seen)
+                if len(new):
+                    seen[new] = True
+                    left.append(np.full(len(new), i))
+                    right.append(new)
+                    todo += new.tolist()
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def first_lists(nodes: DataFrame, n: int, k: int, trees: range, leaf: int, threshold: float) -> DataFrame:
+    """(u, v, sim, link): each vector's nearest of other components within its leaf of each tree, and the leaf's links."""
     bits = min(40, max(0, math.ceil(math.log2(max(1, n) / leaf))))
 
     def codes(batches: Iterator[pa.RecordBatch]):
@@ -79,27 +107,31 @@ def first_lists(nodes: DataFrame, n: int, k: int, trees: range, leaf: int) -> Da
                     plane = np.random.default_rng((t, x.shape[1])).normal(size=(x.shape[1], bits))
                     out[rows, j] = (x @ plane > 0) @ (1 << np.arange(bits, dtype=np.int64))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * len(trees)), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column("node"), part.column("dim"), emb, flat], ["node", "dim", "emb", "codes"])
+            yield pa.RecordBatch.from_arrays([part.column("node"), part.column("label"), part.column("dim"), emb, flat], ["node", "label", "dim", "emb", "codes"])
 
     kind = nodes.schema["emb"].dataType.simpleString()
-    coded = nodes.select("node", "dim", "emb").mapInArrow(codes, f"node long, dim int, emb {kind}, codes array<long>")
-    coded = coded.select("node", "dim", "emb", F.posexplode("codes").alias("tree", "leaf"))
+    coded = nodes.select("node", "label", "dim", "emb").mapInArrow(codes, f"node long, label long, dim int, emb {kind}, codes array<long>")
+    coded = coded.select("node", "label", "dim", "emb", F.posexplode("codes").alias("tree", "leaf"))
     # a leaf that many vectors share is dealt to chunks; lists meet again in the descent
     sizes = coded.groupBy("tree", "dim", "leaf").agg(F.ceil(F.count("*") / F.lit(2.0 * leaf)).cast("int").alias("chunks"))
     dealt = coded.join(sizes, ["tree", "dim", "leaf"]).withColumn("chunk", F.pmod(F.hash("node", "tree"), F.col("chunks")))
 
     def nearest(table: pa.Table) -> pa.Table:
-        ids = table.column("node").to_numpy()
+        ids, label = table.column("node").to_numpy(), table.column("label").to_numpy()
         sim = matrix(table.column("emb"))
         sim = sim @ sim.T
-        np.fill_diagonal(sim, -2)
+        sim[label[:, None] == label[None, :]] = -2
         m = min(k, len(ids) - 1)
         near = np.argpartition(-sim, max(m - 1, 0), axis=1)[:, :m] if m else np.zeros((len(ids), 0), int)
-        return pa.table({"u": np.repeat(ids, m), "v": ids[near].ravel(), "sim": np.take_along_axis(sim, near, axis=1).ravel()})
+        i, j = forest(sim >= threshold, np.zeros(len(ids), bool))
+        u, v = np.concatenate((np.repeat(np.arange(len(ids)), m), i)), np.concatenate((near.ravel(), j))
+        link = np.arange(len(u)) >= len(ids) * m
+        other = sim[u, v] > -2
+        u, v, link = u[other], v[other], link[other]
+        return pa.table({"u": ids[u], "v": ids[v], "sim": sim[u, v], "link": link})
 
-    found = dealt.select("tree", "dim", "leaf", "chunk", "node", "emb").groupBy("tree", "dim", "leaf", "chunk").applyInArrow(
-        nearest, "u long, v long, sim double")
-    return found.groupBy("u", "v").agg(F.max("sim").alias("sim"))
+    return dealt.select("tree", "dim", "leaf", "chunk", "node", "label", "emb").groupBy("tree", "dim", "leaf", "chunk").applyInArrow(
+        nearest, "u long, v long, sim double, link boolean")
 
 
 def best(edges: DataFrame, k: int) -> DataFrame:
@@ -108,14 +140,24 @@ def best(edges: DataFrame, k: int) -> DataFrame:
     return edges.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).drop("place")
 
 
-def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """One round: compare the members of every list with a new entry, keep the best; (u, v, sim, new)."""
-    back = best(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "new"), k)
-    lists = graph.select("u", "v", "new").union(back.select("u", "v", "new")).groupBy("u", "v").agg(F.max("new").alias("new"))
-    worst = graph.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(-2.0).alias("worst"))
-    members = nodes.select(F.col("node").alias("v"), "emb").join(worst.withColumnRenamed("u", "v"), "v")
+def relist(found: DataFrame, k: int) -> DataFrame:
+    """(u, v, sim, link, new, listed): the ``k`` most similar of each ``u`` are listed, links stay beyond them."""
+    pairs = found.repartition("u").groupBy("u", "v").agg(
+        F.max("sim").alias("sim"), F.max("link").alias("link"), F.min("new").alias("new"))
+    w = Window.partitionBy("u").orderBy(F.col("sim").desc(), "v")
+    return pairs.withColumn("listed", F.row_number().over(w) <= k).where("listed or link")
+
+
+def descend(graph: DataFrame, nodes: DataFrame, k: int, threshold: float) -> DataFrame:
+    """One round: compare the members of every list with a new entry, keep the best and all links; rows as of ``relist``."""
+    listed = graph.where("listed").select("u", "v", "sim", "new")
+    back = best(listed.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "new"), k)
+    lists = listed.union(back).groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("new").alias("new"))
+    worst = listed.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(-2.0).alias("worst"))
+    members = nodes.select(F.col("node").alias("v"), "label", "emb").join(worst.withColumnRenamed("u", "v"), "v")
+    joined = (F.col("sim") >= threshold).alias("joined")     # linked to u, so to each other
     full = lists.join(members, "v").groupBy("u").agg(
-        F.max("new").alias("new"), F.collect_list(F.struct("v", "worst", "emb")).alias("m")).where("new = 1").select("m")
+        F.max("new").alias("new"), F.collect_list(F.struct("v", "worst", "emb", "label", joined)).alias("m")).where("new = 1").select("m")
 
     def compare(batches: Iterator[pa.RecordBatch]):
         for big in batches:
@@ -124,38 +166,44 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
                 column = part.column("m")
                 size = np.asarray(column.value_lengths())
                 flat = column.flatten()
-                ids, worst_ = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+                ids, worst_, label = (flat.field(c).to_numpy() for c in (0, 1, 3))
+                joined_ = flat.field(4).to_numpy(zero_copy_only=False)
                 x = matrix(flat.field(2)) if len({len_ for len_ in np.asarray(flat.field(2).value_lengths())}) <= 1 else None
                 starts = np.concatenate(([0], np.cumsum(size)))
-                us, vs, sims = [], [], []
+                us, vs, sims, links = [], [], [], []
                 for a, b in zip(starts[:-1], starts[1:]):
                     own = x[a:b] if x is not None else matrix(flat.field(2).slice(a, b - a))
                     s = own @ own.T
-                    i, j = np.nonzero(s > worst_[a:b, None])
-                    off = i != j
-                    us.append(ids[a:b][i[off]])
-                    vs.append(ids[a:b][j[off]])
-                    sims.append(s[i[off], j[off]])
+                    s[label[a:b, None] == label[None, a:b]] = -2
+                    for link, (i, j) in enumerate((np.nonzero(s > worst_[a:b, None]),
+                                                   forest(s >= threshold, joined_[a:b]))):
+                        us.append(ids[a:b][i])
+                        vs.append(ids[a:b][j])
+                        sims.append(s[i, j])
+                        links.append(np.full(len(i), link == 1))
                 if us:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (us, vs, sims)], ["u", "v", "sim"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (us, vs, sims, links)], ["u", "v", "sim", "link"])
 
-    found = full.mapInArrow(compare, "u long, v long, sim double").groupBy("u", "v").agg(F.max("sim").alias("sim"))
-    both = graph.select("u", "v", "sim", F.lit(0).alias("new")).unionByName(found.withColumn("new", F.lit(1)))
-    return best(both.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("new").alias("new")), k)
+    found = full.mapInArrow(compare, "u long, v long, sim double, link boolean")
+    known = graph.select("u", "v", "sim", "link", F.lit(0).alias("new"))
+    return relist(known.unionByName(found.withColumn("new", F.lit(1))), k)
 
 
 def neighbour_graph(nodes: DataFrame, n: int, k: int = LIST, trees: range = range(TREES), leaf: int = LEAF,
-                    rounds: int = ROUNDS, start: DataFrame | None = None) -> DataFrame:
-    """(u, v, sim) with up to ``k`` neighbours a vector."""
-    first = first_lists(nodes, n, k, trees, leaf)
-    if start is not None:
-        first = first.unionByName(start.select("u", "v", "sim")).groupBy("u", "v").agg(F.max("sim").alias("sim"))
-    graph = save(best(first, k).withColumn("new", F.lit(1)), "nn-graph")
+                    rounds: int = ROUNDS, threshold: float = THRESHOLD) -> DataFrame:
+    """(u, v, sim, listed): up to ``k`` listed neighbours a vector, all of other labels, and links beyond them."""
+    graph = save(relist(first_lists(nodes, n, k, trees, leaf, threshold).withColumn("new", F.lit(1)), k), "nn-graph")
     for _ in range(rounds):
-        graph = save(descend(graph, nodes, k), "nn-graph")
+        graph = save(descend(graph, nodes, k, threshold), "nn-graph")
         if (graph.agg(F.sum("new")).first()[0] or 0) <= SETTLED * n * k:
             break
-    return graph.drop("new")
+    return graph.drop("new", "link")
+
+
+def saturated(graph: DataFrame, k: int, threshold: float) -> bool:
+    """Whether some list is full of links."""
+    links = graph.where(F.col("listed") & (F.col("sim") >= threshold)).groupBy("u").count()
+    return not links.where(F.col("count") >= k).isEmpty()
 
 
 def audit(nodes: DataFrame, labels: DataFrame, threshold: float, size: int = AUDIT) -> float:
@@ -255,12 +303,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     rows, nodes = valid_nodes(src, id_col, vec_col)
     rows, nodes = save(rows, "nn-rows"), save(nodes, "nn-nodes")
     n = nodes.count()
-    graph, labels = None, None
-    for step in range(PASSES):
-        graph = neighbour_graph(nodes, n, k, range(step * trees, (step + 1) * trees), leaf, rounds, graph)
+    labelled, labels, step, audits = nodes.withColumn("label", F.col("node")), None, 0, 0
+    while True:
+        graph = neighbour_graph(labelled, n, k, range(step * trees, (step + 1) * trees), leaf, rounds, threshold)
+        step += 1
         edges = graph.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
+        if labels is not None:
+            edges = edges.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = save(connected_components(edges), "nn-labels")
-        if audit(nodes, labels, threshold) >= RECALL:
+        labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        if saturated(graph, k, threshold):          # the next lists pass over the components found
+            continue
+        audits += 1
+        if audits == PASSES or audit(nodes, labels, threshold) >= RECALL:
             break
     links = count_links(nodes, labels, threshold, block)
     named = nodes.select("node", "rep", "mult").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

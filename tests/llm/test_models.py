@@ -222,6 +222,37 @@ def test_neighbours_match_brute_force(spark, block):
     assert all(got[i] == (0, i, True) for i, _ in rows if i not in want)
 
 
+def test_neighbours_of_full_lists(spark):
+    """Two tight groups, each larger than a list, that link to each other: all 60 are one component."""
+    rng = np.random.default_rng(8)
+    a, b = np.eye(16)[0], 0.955 * np.eye(16)[0] + math.sqrt(1 - 0.955 ** 2) * np.eye(16)[1]
+    rows = [(i, ((a if i < 30 else b) + rng.normal(size=16) * 3e-4).astype(np.float32).tolist()) for i in range(60)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VEC).repartition(4)
+    want = brute_links(rows)
+    assert set(want.values()) == {(59, 0, True), (59, 0, False)}
+    assert {r["vec_id"]: tuple(r)[1:] for r in neighbours.near_duplicates(df).collect()} == want
+
+
+def test_forest_connects_what_hits_connect():
+    rng = np.random.default_rng(9)
+    for m in (1, 2, 9, 40):
+        for share in (0.0, 0.03, 0.1, 1.0):
+            hit = rng.random((m, m)) < share
+            hit = (hit | hit.T) & ~np.eye(m, dtype=bool)
+            joined = rng.random(m) < 0.2
+            i, j = neighbours.forest(hit, joined)
+            assert hit[i, j].all() and len(i) < m
+
+            def closure(pairs):
+                reach = np.eye(m, dtype=bool) | (joined[:, None] & joined[None, :]) | pairs | pairs.T
+                for _ in range(7):
+                    reach = reach @ reach
+                return reach
+            own = np.zeros((m, m), bool)
+            own[i, j] = True
+            assert (closure(own) == closure(hit)).all()
+
+
 def test_neighbours_edges(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (3, [0.0, 1.0], None)], VEC)
     df = df.withColumns({c: F.lit("x") for c in ("id", "node", "emb", "rep", "u", "v", "sim")})
