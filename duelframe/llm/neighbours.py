@@ -12,8 +12,10 @@ lists that pass over the vector's own component, until no list is full.
 Within a component links are counted rather than listed.  Members
 within half the threshold's angle of the component's pivot are all linked to
 each other by the triangle inequality; only pairs with a member beyond it
-are computed, block by block.  Recall is audited by an exact scan for a
-fixed number of sampled vectors; while it is short, further trees are added.
+are computed, block by block.  Recall is audited by exact scans of drawn
+vectors against all rows, until a stated number of them has links or all are
+drawn; links that a scan finds are kept.  While recall is short, further trees
+are added, and after the last pass every vector is scanned.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ from duelframe.llm.components import connected_components
 THRESHOLD = 0.95
 LIST = 10                      # neighbours kept a vector
 LEAF = 128                     # vectors of a tree's leaf, about
-TREES = 6
+TREES = 6                      # at least; more where leaves are many, see ``enough_trees``
 ROUNDS = 3
 SETTLED = 0.01                 # share of list entries that a last round may change
 BLOCK = 512
-AUDIT, RECALL, PASSES = 256, 0.95, 3
+AUDIT, RECALL, PASSES = 256, 0.95, 3   # vectors with links that an audit needs, wanted share of their links, passes before the full scan
+FIRST_DRAW, MOST_DRAW = 1024, 4096     # vectors that one scan holds against all rows
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -93,9 +96,19 @@ def forest(hit: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
+def plane_bits(n: int, leaf: int) -> int:
+    return min(40, max(0, math.ceil(math.log2(max(1, n) / leaf))))
+
+
+def enough_trees(n: int, leaf: int, threshold: float, least: int = TREES) -> int:
+    """Trees of which one leaf at least holds a pair at the threshold, with chance ``RECALL``."""
+    together = (1 - math.acos(threshold) / math.pi) ** plane_bits(n, leaf)
+    return least if together >= 1 else max(least, math.ceil(math.log(1 - RECALL) / math.log1p(-together)))
+
+
 def first_lists(nodes: DataFrame, n: int, k: int, trees: range, leaf: int, threshold: float) -> DataFrame:
     """(u, v, sim, link): each vector's nearest of other components within its leaf of each tree, and the leaf's links."""
-    bits = min(40, max(0, math.ceil(math.log2(max(1, n) / leaf))))
+    bits = plane_bits(n, leaf)
 
     def codes(batches: Iterator[pa.RecordBatch]):
         for part in batches:
@@ -206,36 +219,65 @@ def saturated(graph: DataFrame, k: int, threshold: float) -> bool:
     return not links.where(F.col("count") >= k).isEmpty()
 
 
-def audit(nodes: DataFrame, labels: DataFrame, threshold: float, size: int = AUDIT) -> float:
-    """Share of true links that lie within a component, averaged over those of ``size`` sampled vectors that have any."""
-    named = nodes.join(labels, "node", "left").select("node", "emb", F.coalesce("label", "node").alias("label"))
-    picked = named.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(size).collect()
-    sample: dict[int, tuple] = {}
-    for d in {len(r["emb"]) for r in picked}:
-        own = [r for r in picked if len(r["emb"]) == d]
-        q = np.array([r["emb"] for r in own], np.float64)
-        sample[d] = (q / np.linalg.norm(q, axis=1, keepdims=True), np.array([r["node"] for r in own]), np.array([r["label"] for r in own]))
-    shared = nodes.sparkSession.sparkContext.broadcast(sample)
-
-    def scan(batches: Iterator[pa.RecordBatch]):
-        true, found = {}, {}
-        for part in batches:
-            emb, ids, label = part.column("emb"), part.column("node").to_numpy(), part.column("label").to_numpy()
-            for rows in by_length(emb):
-                x = matrix(emb.take(pa.array(rows)))
-                if x.shape[1] not in shared.value:
-                    continue
-                q, q_id, q_label = shared.value[x.shape[1]]
-                hit = (x @ q.T >= threshold) & (ids[rows][:, None] != q_id[None, :])
-                own = label[rows][:, None] == q_label[None, :]
-                for node, t, f in zip(q_id.tolist(), hit.sum(axis=0).tolist(), (hit & own).sum(axis=0).tolist()):
-                    true[node], found[node] = true.get(node, 0) + t, found.get(node, 0) + f
-        yield pa.RecordBatch.from_arrays([pa.array(list(true), pa.int64()), pa.array(list(true.values()), pa.int64()),
-                                          pa.array(list(found.values()), pa.int64())], ["node", "true", "found"])
+def scan(labelled: DataFrame, drawn: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Exact links of the ``drawn`` vectors with all: (node, true, found) with those inside a component, and (a, b) labels that links join."""
+    table = drawn.select("node", "label", "emb").toArrow().combine_chunks()
+    held: dict[int, tuple] = {}
+    emb = table.column("emb").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.float64()))
+    for rows in by_length(emb):
+        take = pa.array(rows)
+        held[len(emb[int(rows[0])])] = (matrix(emb.take(take)), table.column("node").to_numpy()[rows], table.column("label").to_numpy()[rows])
+    shared = labelled.sparkSession.sparkContext.broadcast(held)
 
-    per = named.mapInArrow(scan, "node long, true long, found long").groupBy("node").agg(
-        (F.sum("found") / F.when(F.sum("true") > 0, F.sum("true"))).alias("r"))
-    return per.agg(F.coalesce(F.avg("r"), F.lit(1.0))).first()[0]
+    def compare(batches: Iterator[pa.RecordBatch]):
+        true, found, joins = {}, {}, set()
+        for big in batches:
+            for at in range(0, big.num_rows, 1024):
+                part = big.slice(at, 1024)
+                emb, ids, label = part.column("emb"), part.column("node").to_numpy(), part.column("label").to_numpy()
+                for rows in by_length(emb):
+                    x = matrix(emb.take(pa.array(rows)))
+                    if x.shape[1] not in shared.value:
+                        continue
+                    q, q_id, q_label = shared.value[x.shape[1]]
+                    hit = (x @ q.T >= threshold) & (ids[rows][:, None] != q_id[None, :])
+                    own = label[rows][:, None] == q_label[None, :]
+                    all_, inside = hit.sum(axis=0), (hit & own).sum(axis=0)
+                    for z in np.flatnonzero(all_).tolist():
+                        node = int(q_id[z])
+                        true[node], found[node] = true.get(node, 0) + int(all_[z]), found.get(node, 0) + int(inside[z])
+                    i, j = np.nonzero(hit & ~own)
+                    if len(i):
+                        joins |= set(map(tuple, np.unique(np.stack((label[rows][i], q_label[j]), 1), axis=0).tolist()))
+        yield pa.RecordBatch.from_arrays([
+            pa.array([*true, *(a for a, _ in joins)], pa.int64()), pa.array([*true.values(), *(0 for _ in joins)], pa.int64()),
+            pa.array([*found.values(), *(0 for _ in joins)], pa.int64()), pa.array([*(None for _ in true), *(b for _, b in joins)], pa.int64())],
+            ["node", "true", "found", "other"])
+
+    got = save(labelled.select("node", "label", "emb").mapInArrow(compare, "node long, true long, found long, other long"), "nn-scan")
+    counts = got.where("other is null").groupBy("node").agg(F.sum("true").alias("true"), F.sum("found").alias("found"))
+    return counts, got.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+
+
+def audit(labelled: DataFrame, n: int, threshold: float, wanted: int | None) -> tuple[float, DataFrame]:
+    """(recall, joins): the share of true links that lie within a component, averaged
+    over drawn vectors that have any, and the labels (a, b) that the scans found linked.
+
+    Vectors are drawn until ``wanted`` of them have links or, if there are not
+    so many or it is None, until all are drawn; then the joins are complete and
+    recall is 1.
+    """
+    space = 1 << 40
+    place = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(space))
+    linked, total, joins, low, size = 0, 0.0, None, 0, FIRST_DRAW if wanted else MOST_DRAW
+    while low < space and (wanted is None or linked < wanted):
+        high = min(space, low + math.ceil(space * size / max(1, n)))
+        counts, found = scan(labelled, labelled.where((place >= low) & (place < high)), threshold)
+        row = counts.agg(F.count("*"), F.sum(F.col("found") / F.col("true"))).first()
+        linked, total = linked + row[0], total + (row[1] or 0.0)
+        joins = found if joins is None else joins.unionByName(found)
+        low, size = high, min(2 * size, MOST_DRAW)
+    return 1.0 if low >= space else total / linked, joins
 
 
 def count_links(nodes: DataFrame, labels: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -303,19 +345,29 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     rows, nodes = valid_nodes(src, id_col, vec_col)
     rows, nodes = save(rows, "nn-rows"), save(nodes, "nn-nodes")
     n = nodes.count()
+    trees = enough_trees(n, leaf, threshold, trees)
     labelled, labels, step, audits = nodes.withColumn("label", F.col("node")), None, 0, 0
-    while True:
-        graph = neighbour_graph(labelled, n, k, range(step * trees, (step + 1) * trees), leaf, rounds, threshold)
-        step += 1
-        edges = graph.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+    def join_components(edges: DataFrame) -> None:
+        nonlocal labels, labelled
         if labels is not None:
             edges = edges.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = save(connected_components(edges), "nn-labels")
         labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    while True:
+        graph = neighbour_graph(labelled, n, k, range(step * trees, (step + 1) * trees), leaf, rounds, threshold)
+        step += 1
+        join_components(graph.where(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b")))
         if saturated(graph, k, threshold):          # the next lists pass over the components found
             continue
         audits += 1
-        if audits == PASSES or audit(nodes, labels, threshold) >= RECALL:
+        recall, joins = audit(labelled, n, threshold, AUDIT)
+        if recall < RECALL and audits == PASSES:    # the graph does not reach the bound: scan every vector
+            recall, joins = audit(labelled, n, threshold, None)
+        if not joins.isEmpty():
+            join_components(joins)
+        if recall >= RECALL:
             break
     links = count_links(nodes, labels, threshold, block)
     named = nodes.select("node", "rep", "mult").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

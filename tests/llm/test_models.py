@@ -233,6 +233,45 @@ def test_neighbours_of_full_lists(spark):
     assert {r["vec_id"]: tuple(r)[1:] for r in neighbours.near_duplicates(df).collect()} == want
 
 
+def rare_pairs(n, pairs):
+    """``n`` unrelated vectors, of which the first ``pairs`` have one near copy each."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(n, 32))
+    x = np.concatenate((x, x[:pairs] + rng.normal(size=(pairs, 32)) * 0.1))
+    return [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+
+
+def test_neighbours_reach_links_that_the_graph_misses(spark, monkeypatch):
+    """A graph without any edge: the audit must see it though links are rare, and the scan must find them."""
+    real = neighbours.neighbour_graph
+    monkeypatch.setattr(neighbours, "neighbour_graph", lambda *a, **k: real(*a, **k).limit(0))
+    for name in ("FIRST_DRAW", "MOST_DRAW"):
+        monkeypatch.setattr(neighbours, name, 500, raising=False)
+    rows = rare_pairs(1500, 3)
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VEC).repartition(4)
+    want = brute_links(rows)
+    assert sum(n for n, _, _ in want.values()) == 6
+    assert {r["vec_id"]: tuple(r)[1:] for r in neighbours.near_duplicates(df, rounds=0).collect()} == want
+
+
+def test_full_scan_after_short_audits(spark, monkeypatch):
+    """Audits of few vectors that stay short on every pass end in a scan of all."""
+    real = neighbours.neighbour_graph
+    monkeypatch.setattr(neighbours, "neighbour_graph", lambda *a, **k: real(*a, **k).limit(0))
+    for name, value in (("FIRST_DRAW", 30), ("MOST_DRAW", 200), ("AUDIT", 2), ("PASSES", 1)):
+        monkeypatch.setattr(neighbours, name, value, raising=False)
+    rows = rare_pairs(200, 100)
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VEC).repartition(4)
+    assert {r["vec_id"]: tuple(r)[1:] for r in neighbours.near_duplicates(df, rounds=0).collect()} == brute_links(rows)
+
+
+def test_trees_grow_with_the_leaves():
+    assert neighbours.enough_trees(100, 128, 0.95) == neighbours.TREES
+    for n in (70_000, 10_000_000, 10 ** 9):
+        together = (1 - math.acos(0.95) / math.pi) ** math.ceil(math.log2(n / 128))
+        assert 1 - (1 - together) ** neighbours.enough_trees(n, 128, 0.95) >= neighbours.RECALL
+
+
 def test_forest_connects_what_hits_connect():
     rng = np.random.default_rng(9)
     for m in (1, 2, 9, 40):
