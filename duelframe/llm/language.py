@@ -22,7 +22,7 @@ from duelframe.llm.common import byte_class, core, fit_in_task, slices, utf8_vie
 LETTER = byte_class((0x00, 0x60), (0x7B, 0x7F))   # a-z and the bytes of non-ASCII characters
 HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 SAMPLE = 1000                  # learning documents of each language, expected number
-MOST_GRAMS = 1 << 16           # n-grams of a language in the filter, the most frequent ones
+ENOUGH = 20                    # documents of a language from which an n-gram must occur in two of them
 SLOTS_A_GRAM = 16
 RARE = 0.1                     # an n-gram belongs to a language if at least so frequent against where it is most frequent
 UNKNOWN = "und"
@@ -90,16 +90,14 @@ def train(texts: list[str], langs: list[str]) -> Filters:
             code, doc = grams(*utf8_view(pc.utf8_lower(part.column(0))))
             codes.append((np.unique((code.astype(np.uint64) << np.uint64(24)) | doc.astype(np.uint64)) >> np.uint64(24)).astype(np.uint32))
         g, c = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.uint32), return_counts=True)
-        tables.append((g, c / max(1, len(own)), c))
+        tables.append((g, c / max(1, len(own)), c >= (2 if len(own) >= ENOUGH else 1)))
     every = np.unique(np.concatenate([t[0] for t in tables])) if tables else np.zeros(0, np.uint32)
     most = np.zeros(len(every))
     for g, share, _ in tables:
         at = np.searchsorted(every, g)
         most[at] = np.maximum(most[at], share)
-    for g, share, c in tables:
-        keep = (share >= RARE * most[np.searchsorted(every, g)]) & (c >= 2)
-        order = np.lexsort((g[keep], -c[keep]))[:MOST_GRAMS]
-        chosen.append(g[keep][order])
+    for g, share, supported in tables:
+        chosen.append(g[(share >= RARE * most[np.searchsorted(every, g)]) & supported])
     largest = max([len(g) for g in chosen], default=1)
     width = max(10, int(np.ceil(np.log2(max(2, largest * SLOTS_A_GRAM)))))
     planes = [np.zeros(1 << width, np.uint8) for _ in range(-(-len(names) // 8))]

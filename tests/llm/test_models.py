@@ -142,6 +142,24 @@ def test_filters_hold_their_grams():
     assert (f.false_rate < 0.05).all()
 
 
+def test_language_of_one_document(spark, make_docs):
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)), "aa") for i in range(30)]
+    rare = " ".join("".join(rng.choice("qrstuvwx") for _ in range(6)) for _ in range(60))
+    docs = make_docs([*rows, (100, rare, "bb")])
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, language.fit(docs)).collect()}
+    assert got == {i: "aa" for i in range(30)} | {100: "bb"}
+
+
+def test_filters_hold_more_grams_than_65536():
+    letters = "abcdefghijklmnopqrst"
+    text = " ".join(map("".join, itertools.product(letters, repeat=4)))
+    f = language.train([text] * 2, ["aa"] * 2)
+    code, _ = language.grams(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+    mask = np.bitwise_and.reduce([f.planes[0][a] for a in f.slots(code)])
+    assert len(np.unique(code)) > 1 << 16 and (mask & 1).all()
+
+
 def test_more_than_eight_languages(spark, make_docs):
     rng = random.Random(4)
     rows = []
