@@ -8,7 +8,7 @@ of proportion solves "expected words = remainder".  Documents are ranked by
 random odds over inclusion odds, u/(1-u) : p/(1-p), and taken in that order
 up to the fixed size, which is counted in words as the targets are.  The
 first document that does not fit ends a pass; further passes go on in the
-same order with the documents that fit what is left.
+same order with the documents that fit what is left, until none does.
 
 The rank's running sums are built in two levels: sums by bucket of the rank
 first (combined map-side), then rows of the one bucket in which the fixed
@@ -28,7 +28,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 BUCKETS = 1 << 16
-PASSES = 4
+PASSES = 4                     # those that the SQL twin spells out; the fill itself goes on until nothing fits
 
 
 def word_count(text: Column) -> Column:
@@ -127,8 +127,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ranked = save(ranked, "mix-ranked")
     left = save(goal.select("source", "rest"), "mix-left")
     pool, chosen = ranked.drop("rest"), None
-    for _ in range(PASSES):
-        pool = join_on(pool, left, ["source"]).where(F.col("size") <= F.col("rest"))
+    while True:
+        pool = save(join_on(pool, left, ["source"]).where(F.col("size") <= F.col("rest")), "mix-pool")
+        if chosen is not None and pool.isEmpty():
+            break
         part = save(_prefix(pool), "mix-chosen")
         chosen = part if chosen is None else chosen.unionByName(part)
         used = part.groupBy("source").agg(F.sum("size").alias("used"))

@@ -367,6 +367,17 @@ def test_mix_meets_targets(make_docs, words):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_mix_fills_until_nothing_fits(make_docs):
+    sizes = [1 << e for e in range(9) for _ in range(3)]
+    rows = [(k * 100 + i, "w " * n, "en", f"s{k:02d}") for k in range(40) for i, n in enumerate([*sizes, k + 1])]
+    left, open_ = {}, {}
+    for r in mixing.mix(make_docs(rows), weights=(1,), share=0.5).collect():
+        left[r["source"]] = left.get(r["source"], r["target"]) - r["taken"]
+        if not r["copies"]:
+            open_.setdefault(r["source"], []).append(r["size"])
+    assert len(left) == 40 and all(rest >= 0 and rest < min(open_[k]) for k, rest in left.items())
+
+
 def test_mix_edges(edge_docs, empty_docs, clashing):
     rows = mixing.mix(edge_docs).collect()
     assert len(rows) == len(EDGE_ROWS) and mixing.mix(empty_docs).count() == 0
