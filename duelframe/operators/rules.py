@@ -6,15 +6,17 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duelframe.operators.quantiles import exact_quantiles
+
 
 def game_facts(games: DataFrame) -> DataFrame:
     """One basket per game: outcome, high/low scoring on each side (above
     the column median), rebound and assist edges, weekend flag."""
-    med = games.agg(F.median("PTS_home").alias("h"), F.median("PTS_away").alias("a")).first()
+    med = {c: q[0] for c, q in exact_quantiles(games, ["PTS_home", "PTS_away"], [0.5]).items()}
     items = [
         F.when(F.col("HOME_TEAM_WINS"), F.lit("home_win")).otherwise(F.lit("away_win")),
-        F.when(F.col("PTS_home") > F.lit(med["h"]), F.lit("home_pts_high")).otherwise(F.lit("home_pts_low")),
-        F.when(F.col("PTS_away") > F.lit(med["a"]), F.lit("away_pts_high")).otherwise(F.lit("away_pts_low")),
+        F.when(F.col("PTS_home") > F.lit(med["PTS_home"]), F.lit("home_pts_high")).otherwise(F.lit("home_pts_low")),
+        F.when(F.col("PTS_away") > F.lit(med["PTS_away"]), F.lit("away_pts_high")).otherwise(F.lit("away_pts_low")),
         F.when(F.col("REB_home") > F.col("REB_away"), F.lit("home_reb_edge")),
         F.when(F.col("AST_home") > F.col("AST_away"), F.lit("home_ast_edge")),
         F.when(F.col("DAY_OF_WEEK") >= 5, F.lit("weekend")),

@@ -227,3 +227,14 @@ def test_result_store_keeps_versions(spark, tmp_path):
         models.save_results(spark.createDataFrame([(k,)], "v int"), str(tmp_path), "report")
         time.sleep(0.01)
     assert models.latest_results(spark, str(tmp_path), "report").first()["v"] == 1
+
+
+def test_game_facts_take_bounded_medians(spark, monkeypatch):
+    def gathered(*_):
+        raise AssertionError("a median over all distinct values in one task")
+    monkeypatch.setattr(rules.F, "median", gathered)
+    g = spark.createDataFrame([(i, bool(i % 2), float(90 + i), float(100 - i), 40.0, 39.0, 20.0, 21.0, i % 7) for i in range(8)],
+                              "GAME_ID long, HOME_TEAM_WINS boolean, PTS_home double, PTS_away double, REB_home double, REB_away double, "
+                              "AST_home double, AST_away double, DAY_OF_WEEK int")
+    got = {r["GAME_ID"]: r["items"] for r in rules.game_facts(g).collect()}
+    assert all(("home_pts_high" in got[i]) == (i > 3) and ("away_pts_high" in got[i]) == (i < 4) for i in range(8))
