@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm import decontaminate, language, licences, mixing, neighbours, quality, secrets, simhash, substrings, toxicity
+from duelframe.llm import (decontaminate, filter_audit, importance, language, licences, mixing, neighbours, pieces, quality, secrets,
+                           simhash, substrings, toxicity)
 from duelframe.llm.common import fold_remainder
 from duelframe.llm.licence_texts import LICENCES, SPELLINGS
 
@@ -267,3 +269,101 @@ def op8_suffix_array_dedup(spark, sf_dir):
 def op7_embedding_near_duplicates(spark, sf_dir):
     """Near-duplicate vectors of all embeddings by NN-descent."""
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_importance_resampling(spark, sf_dir):
+    """Weights of all documents towards the benchmark's words, and the tenth drawn by them."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op11_importance_resampling"] = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) r(i))),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word FROM d),
+bytes AS (
+  SELECT word, list_transform(range(CAST(length(x) // 2 AS BIGINT)), lambda k: CAST('0x' || substr(x, 2 * k + 1, 2) AS BIGINT)) AS bs
+  FROM (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM dw UNION SELECT word FROM b))),
+bucket AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, bs), lambda c, v: xor(c >> 8, t[1 + xor(c & 255, v)])), 4294967295) % 10000 AS k
+  FROM bytes, crc),
+s AS (SELECT k, count(*) AS n FROM dw JOIN bucket USING (word) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM b JOIN bucket USING (word) GROUP BY k),
+gain AS (
+  SELECT k, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s)::DOUBLE + 10000)
+         / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t)::DOUBLE + 10000)))) AS g
+  FROM s LEFT JOIN t USING (k)),
+weighed AS (SELECT doc_id, CAST(sum(g) AS BIGINT) AS weight FROM dw JOIN bucket USING (word) JOIN gain USING (k) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT)
+                                          + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weighed USING (doc_id)),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+@register
+def op12_filter_audit(spark, sf_dir):
+    """What five filters remove of all documents, alone and together, in every order."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (
+  SELECT w.doc_id, part, unnest([
+    {'c': 'A', 'fails': len(words) < 200}, {'c': 'B', 'fails': 100 * len(list_distinct(words)) < 50 * len(words)},
+    {'c': 'C', 'fails': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text)},
+    {'c': 'D', 'fails': regexp_matches(text, '[#$%&*|]')}, {'c': 'E', 'fails': doc_id > min(doc_id) OVER (PARTITION BY text)}]) AS v
+  FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM (SELECT doc_id, part, string_agg(v.c, '' ORDER BY v.c) FILTER (WHERE v.fails) AS fails FROM f GROUP BY doc_id, part)
+  LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT c1.c || c2.c || c3.c || c4.c || c5.c AS filter_order FROM c c1, c c2, c c3, c c4, c c5
+  WHERE len(list_distinct([c1.c, c2.c, c3.c, c4.c, c5.c])) = 5),
+s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS c, left(filter_order, step - 1) AS before
+  FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, c,
+    sum(n) FILTER (WHERE fails IS NULL OR translate(fails, before || c, '') = fails) AS kept,
+    sum(n) FILTER (WHERE contains(fails, c) AND translate(fails, before, '') = fails) AS removed,
+    sum(n) FILTER (WHERE contains(fails, c) AND translate(fails, before, '') <> fails) AS redundant,
+    sum(n) FILTER (WHERE fails = c) AS unique_fails,
+    sum(good) FILTER (WHERE contains(fails, c) AND translate(fails, before, '') = fails) AS good_lost,
+    sum(toxic) FILTER (WHERE contains(fails, c) AND translate(fails, before, '') = fails) AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@register
+def op13_sentencepiece_round_trip(spark, sf_dir):
+    """Token ids of all documents and the texts that decoding makes of them."""
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

@@ -43,7 +43,9 @@ def test_oracle(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_on_edge_and_empty_tables(spark, edge_sf, empty_sf, name):
     table = "embeddings" if "embedding" in name else "documents"
-    assert QUERIES[name](spark, edge_sf).count() == spark.read.parquet(f"{edge_sf}/{table}.parquet").count()
+    rows = spark.read.parquet(f"{edge_sf}/{table}.parquet")
+    n = 600 * rows.select("lang").distinct().count() if "audit" in name else rows.count()
+    assert QUERIES[name](spark, edge_sf).count() == n
     assert QUERIES[name](spark, empty_sf).count() == 0
 
 
