@@ -29,7 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from duelframe.operators.neighbours import local_outlier_factor
 from duelframe.operators.quantiles import exact_quantiles
+from duelframe.session import materialise
 
 _SCALE = float(2 ** 63)
 
@@ -190,6 +192,17 @@ def zscore_detector(df: DataFrame, cols: Sequence[str], keys: Sequence[str], con
                                "IS_ANOMALY": (F.col("SCORE") > F.lit(float(thr))).cast("int")})
 
 
+def local_outliers(df: DataFrame, cols: Sequence[str], keys: Sequence[str], k: int = 20, contamination: float = 0.1) -> DataFrame:
+    """keys + K_DISTANCE, DENSITY, SCORE (local outlier factor, high =
+    anomalous), DECISION (threshold - score) and IS_ANOMALY (factors above
+    the 1 - ``contamination`` quantile; rows without a factor are none)."""
+    scored = materialise(local_outlier_factor(df, cols, keys, k).withColumnRenamed("OUTLIER_FACTOR", "SCORE"), "lof")
+    thr = exact_quantiles(scored, ["SCORE"], [1.0 - contamination])["SCORE"][0]
+    bound = F.lit(thr).cast("double")
+    return scored.withColumns({"DECISION": bound - F.col("SCORE"),
+                               "IS_ANOMALY": F.coalesce((F.col("SCORE") > bound).cast("int"), F.lit(0))})
+
+
 def compare_detectors(labels: dict[str, DataFrame]) -> DataFrame:
     """Per detector: rows, anomalies and anomaly percentage."""
     out = None

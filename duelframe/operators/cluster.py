@@ -6,19 +6,23 @@ aggregation).  Metrics are computed from per-cluster sufficient statistics
 control values, then one pass over the points.  No pair of points is ever
 materialised.
 
-Silhouette: Euclidean silhouette needs every pairwise distance, so the
-library computes the squared-Euclidean silhouette (the form Spark ML's
-``ClusteringEvaluator`` defines), which decomposes into per-cluster sums:
-mean_{y in C} |x - y|^2 = |x|^2 - 2 x.mu_C + mean_C |y|^2.
+Silhouette: the Euclidean form needs every pairwise distance.  Blocks of
+points meet pairwise (upper triangle) and a pair of blocks leaves one sum of
+distances a point and label, so no pair of points becomes a row; the work still
+grows with the square of the points.  The squared-Euclidean form (the one
+Spark ML's ``ClusteringEvaluator`` defines) decomposes into per-cluster sums,
+mean_{y in C} |x - y|^2 = |x|^2 - 2 x.mu_C + mean_C |y|^2, and takes one pass;
+it is a different number and has its own name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -28,6 +32,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from duelframe.functions.columns import round_even
+from duelframe.operators import neighbours as nb
+from duelframe.session import materialise
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -105,6 +111,167 @@ def bisecting_labels(df: DataFrame, cols: Sequence[str], k: int, keys: Sequence[
     return relabel_by_first_key(lab, keys)
 
 
+# ------------------------------------------------------------------ Ward
+SUMMARIES = 2000   # most clustering features that are agglomerated
+FAN_IN = 8         # tables of features that one task merges
+
+
+def _absorb(kept: list[np.ndarray], new: list[np.ndarray], limit: float, most: int) -> list[np.ndarray] | None:
+    """Clustering features with ``new`` ones merged in: each joins the nearest kept one if the radius of
+    both together stays within ``limit``, else it is kept itself.  None beyond ``most`` kept ones."""
+    n, s, q = new
+    while len(n):
+        if len(kept[0]):
+            c = kept[1] / kept[0][:, None]
+            at = nb.distances(s / n[:, None], c).argmin(axis=1)
+            m, t, u = kept[0][at] + n, kept[1][at] + s, kept[2][at] + q
+            joins = u / m - ((t / m[:, None]) ** 2).sum(axis=1) <= limit
+            for k, part in enumerate((n, s, q)):
+                np.add.at(kept[k], at[joins], part[joins])
+            n, s, q = n[~joins], s[~joins], q[~joins]
+        if len(n):                                          # the first that is far from all is kept
+            kept = [np.concatenate([x, y[:1]]) for x, y in zip(kept, (n, s, q))]
+            if len(kept[0]) > most:
+                return None
+            n, s, q = n[1:], s[1:], q[1:]
+    return kept
+
+
+def condense(n: np.ndarray, s: np.ndarray, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """At most ``most`` clustering features (count, sum, sum of squared norms) for the given ones.
+
+    Equal centres are added up, which loses nothing; if too many are left,
+    near ones are merged under a threshold that grows until few enough are."""
+    centre, at = np.unique(s / n[:, None], axis=0, return_inverse=True)
+    at = at.ravel()
+    out = [np.bincount(at, n, len(centre)), np.zeros_like(centre), np.bincount(at, q, len(centre))]
+    np.add.at(out[1], at, s)
+    limit = 0.0
+    while len(out[0]) > most:
+        # what it takes to merge the features of a part of them with their nearest ones
+        c = out[1] / out[0][:, None]
+        some = np.arange(0, len(c), max(1, len(c) // 100))
+        d = nb.distances(c[some], c) ** 2
+        d[np.arange(len(some)), some] = np.inf
+        limit = max(limit * 2, float(np.quantile(d.min(axis=1), 0.25)) / 4)
+        kept: list[np.ndarray] | None = [x[:0] for x in out]
+        for i in range(0, len(out[0]), nb.SLICE):
+            kept = _absorb(kept, [x[i:i + nb.SLICE] for x in out], limit, most)
+            if kept is None:
+                break
+        if kept is not None:
+            out = kept
+    return out[0], out[1], out[2]
+
+
+def ward_merges(n: np.ndarray, centre: np.ndarray) -> list[tuple[float, int, int]]:
+    """(cost, a, b) of Ward's agglomeration of weighted points by nearest-neighbour chains, cheapest first.
+
+    ``a`` and ``b`` are points that stand for their groups; a merge costs
+    n_a n_b / (n_a + n_b) times the squared distance of the centres."""
+    n, c = n.astype(float).copy(), centre.astype(float).copy()
+    alive = np.ones(len(n), bool)
+    chain: list[int] = []
+    out = []
+    while alive.sum() > 1:
+        if not chain:
+            chain.append(int(np.flatnonzero(alive)[0]))
+        a = chain[-1]
+        cost = n * n[a] / (n + n[a]) * ((c - c[a]) ** 2).sum(axis=1)
+        cost[~alive] = np.inf
+        cost[a] = np.inf
+        b = int(cost.argmin())
+        if len(chain) > 1 and cost[chain[-2]] <= cost[b]:
+            b = chain[-2]                                   # neighbours of each other
+            out.append((float(cost[b]), min(a, b), max(a, b)))
+            keep, drop = min(a, b), max(a, b)
+            c[keep] = (n[a] * c[a] + n[b] * c[b]) / (n[a] + n[b])
+            n[keep] = n[a] + n[b]
+            alive[drop] = False
+            del chain[-2:]
+        else:
+            chain.append(b)
+    return sorted(out, key=lambda m: m[0])
+
+
+def ward_cut(merges: list[tuple[float, int, int]], points: int, k: int) -> np.ndarray:
+    """Group number of every point after the cheapest merges that leave ``k`` groups."""
+    root = list(range(points))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for _, a, b in merges[:max(0, points - k)]:
+        ra, rb = find(a), find(b)
+        root[max(ra, rb)] = min(ra, rb)
+    return np.unique([find(i) for i in range(points)], return_inverse=True)[1]
+
+
+def ward_labels(df: DataFrame, cols: Sequence[str], k: int, keys: Sequence[str] = ("TEAM_ID", "SEASON"),
+                most: int = SUMMARIES, fan_in: int = FAN_IN) -> DataFrame:
+    """Ward agglomeration to ``k`` groups over clustering features (keys, label).
+
+    Every task condenses its points to at most ``most`` features, ``fan_in``
+    tables of them are merged and condensed at a time until one is left, and
+    those are agglomerated in one task; a point goes with the nearest of the
+    final features.  With at most ``most`` distinct points every point is a
+    feature of its own and the result is Ward's."""
+    cols = list(cols)
+    schema = "part long, n double, s array<double>, q double"
+
+    def batch(part: int, n, s, q) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), part)), pa.array(n), pa.array(s.tolist(), pa.list_(pa.float64())), pa.array(q)],
+                                          ["part", "n", "s", "q"])
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        held = None
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
+            new = (np.ones(len(x)), x, (x * x).sum(axis=1))
+            held = condense(*(new if held is None else [np.concatenate(p) for p in zip(held, new)]), most)
+        if held is not None and len(held[0]):
+            yield batch(TaskContext.get().partitionId(), *held)
+
+    def merge(key, table):
+        n, q = (table.column(c).to_numpy() for c in ("n", "q"))
+        s = np.array(table.column("s").to_pylist(), float)
+        return pa.Table.from_batches([batch(key[0].as_py(), *condense(n, s, q, most))])
+
+    found = materialise(df.select(*cols).mapInArrow(collect, schema), "features")
+    parts = (found.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        # round by round, so that no task merges more than fan_in tables
+        found = materialise(found.withColumn("part", F.floor(F.col("part") / fan_in)).groupBy("part").applyInArrow(merge, schema), "features")
+        parts = -(-parts // fan_in)
+        if parts == 1:
+            break
+
+    def agglomerate(key, table):
+        n = table.column("n").to_numpy()
+        centre = np.array(table.column("s").to_pylist(), float) / n[:, None]
+        label = ward_cut(ward_merges(n, centre), len(n), k)
+        return pa.table({"centre": pa.array(centre.tolist(), pa.list_(pa.float64())), "label": pa.array(label.astype(np.int32))})
+
+    groups = found.groupBy("part").applyInArrow(agglomerate, "centre array<double>, label int").collect()    # at most ``most`` rows
+    centres, label = np.array([g["centre"] for g in groups], float), np.array([g["label"] for g in groups], np.int32)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols])
+            at = [nb.distances(x[i:i + nb.SLICE], centres).argmin(axis=1) for i in range(0, len(x), nb.SLICE)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keys], pa.array(label[np.concatenate(at)] if at else label[:0])],
+                                             [*keys, "label"])
+
+    key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+    # a named key may also be a feature
+    named = df.select(*keys, *[c for c in cols if c not in keys]).mapInArrow(nearest, f"{key_schema}, label int")
+    return relabel_by_first_key(materialise(named, "ward"), keys)
+
+
 @dataclass
 class PCAResult:
     scores: DataFrame          # keys + PC_1..PC_m
@@ -209,6 +376,50 @@ def silhouette_sq(points: DataFrame, cols: Sequence[str], label: str = "label")
     return p.agg(F.avg(s).alias("s")).first()["s"]
 
 
+def silhouette(points: DataFrame, cols: Sequence[str], label: str = "label", block: int = nb.BLOCK) -> float | None:
+    """Mean Euclidean silhouette (every label, -1 included, is a cluster; a
+    point alone in its cluster scores 0).  None with fewer than two clusters.
+
+    Blocks of points are dealt by a hash and compared pairwise in numpy; a
+    pair of blocks yields sums of distances by point and label."""
+    rows = materialise(points.select(F.monotonically_increasing_id().alias("N"), F.col(label).cast("double").alias("w"),
+                                     _vec(cols).alias("x")), "silhouette")
+    n = rows.count()
+    count = max(1, -(-n // block))
+    blocks = materialise(rows.groupBy(F.pmod(F.xxhash64("N"), F.lit(count)).alias("block")).agg(
+        F.collect_list(F.struct("N", "w", "x")).alias("rows")), "blocks")
+    first = blocks.select(F.col("block").alias("qb"))
+    pairs = first.select("qb", F.explode(F.sequence("qb", F.lit(count - 1))).alias("pb"))
+
+    def sums(d: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> Iterator[tuple]:
+        own, at = np.unique(labels, return_inverse=True)
+        member = np.zeros((len(labels), len(own)))
+        member[np.arange(len(labels)), at] = 1.0
+        total = d @ member
+        yield np.repeat(ids, len(own)), np.tile(own, len(ids)), total.ravel(), np.tile(member.sum(axis=0), len(ids))
+
+    def compare(qb, pb, q, p):
+        out = []
+        for i in range(0, len(q[0]), nb.SLICE):
+            part = slice(i, i + nb.SLICE)
+            d = nb.distances(q[2][part], p[2])
+            out += sums(d, q[0][part], p[1])
+            if qb != pb:
+                out += sums(d.T, p[0], q[1][part])
+        return [np.concatenate(c) for c in zip(*out)]
+
+    found = nb.visit(pairs, blocks, blocks, compare, "n long, label double, total double, times double")
+    by_label = found.groupBy("n", "label").agg(F.sum("total").alias("total"), F.sum("times").alias("times"))
+    own = F.col("label") == F.col("w")
+    scored = by_label.join(rows.select(F.col("N").alias("n"), "w"), "n").groupBy("n").agg(
+        F.max(F.when(own & (F.col("times") > 1), F.col("total") / (F.col("times") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("total") / F.col("times"))).alias("b"))
+    most = F.greatest("a", "b")
+    s = F.when(F.col("a").isNull() | (most == 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / most)
+    found = scored.agg(F.count("b").alias("others"), F.avg(s).alias("s")).first()
+    return found["s"] if found["others"] else None
+
+
 def calinski_harabasz(points: DataFrame, cols: Sequence[str], label: str = "label") -> float | None:
     stats = _cluster_stats(points, cols, label)
     k = len(stats)
@@ -254,14 +465,15 @@ def davies_bouldin(points: DataFrame, cols: Sequence[str], label: str = "label")
 
 
 def evaluate(points: DataFrame, cols: Sequence[str], label: str = "label") -> dict:
-    """Silhouette (squared Euclidean), Calinski-Harabasz, Davies-Bouldin,
+    """Silhouette (Euclidean and squared), Calinski-Harabasz, Davies-Bouldin,
     cluster and noise counts; metrics only with >= 2 non-noise clusters."""
     c = points.agg(F.count_distinct(F.when(F.col(label) != -1, F.col(label))).alias("k"),
                    F.count_if(F.col(label) == -1).alias("noise")).first()
     out = {"N_CLUSTERS": int(c["k"]), "N_NOISE": int(c["noise"]),
-           "SILHOUETTE": None, "CALINSKI_HARABASZ": None, "DAVIES_BOULDIN": None}
+           "SILHOUETTE": None, "SILHOUETTE_SQUARED": None, "CALINSKI_HARABASZ": None, "DAVIES_BOULDIN": None}
     if c["k"] >= 2:
-        out["SILHOUETTE"] = silhouette_sq(points, cols, label)
+        out["SILHOUETTE"] = silhouette(points, cols, label)
+        out["SILHOUETTE_SQUARED"] = silhouette_sq(points, cols, label)
         out["CALINSKI_HARABASZ"] = calinski_harabasz(points, cols, label)
         out["DAVIES_BOULDIN"] = davies_bouldin(points, cols, label)
     return out

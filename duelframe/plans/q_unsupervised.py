@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from duelframe.functions.columns import round_even
-from duelframe.operators import cluster
+from duelframe.operators import cluster, density
 from duelframe.plans.base import TF_FEATURES, Stages, round_doubles, sql_with
 from duelframe.plans.q_learning_prep import SEGMENT_SQL, edge_segments, standardized_team_features
 from duelframe.plans.registry import query
@@ -38,6 +38,10 @@ WITH emb AS (SELECT vec_id, CAST(@LABEL@ AS INT) AS label, embedding FROM embedd
             FROM dots d JOIN px ON px.vec_id = d.vec_id JOIN cl ON cl.label = d.other),
      sil AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN m * n / (n - 1) END) AS a,
                     min(CASE WHEN own <> other THEN m END) AS b FROM md GROUP BY vec_id),
+     ev AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM emb),
+     pair AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS s, count(*) AS n FROM ev a, ev b GROUP BY ALL),
+     eucl AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+                     min(CASE WHEN own <> other THEN s / n END) AS b FROM pair GROUP BY vec_id),
      gmu AS (SELECT j, avg(x) AS g FROM pts GROUP BY j),
      between_ss AS (SELECT sum(cl.n * s) AS bss FROM (SELECT label, sum((mu - g) * (mu - g)) AS s FROM cent JOIN gmu USING (j)
                     GROUP BY label) t JOIN cl USING (label)),
@@ -50,7 +54,8 @@ WITH emb AS (SELECT vec_id, CAST(@LABEL@ AS INT) AS label, embedding FROM embedd
             JOIN spread s1 ON s1.label = l1 JOIN spread s2 ON s2.label = l2 GROUP BY l1))
 SELECT CAST((SELECT count(*) FROM cl WHERE label <> -1) AS INT) AS N_CLUSTERS,
        CAST((SELECT count(*) FROM emb WHERE label = -1) AS INT) AS N_NOISE,
-       round_even((SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM sil), 4) AS SILHOUETTE,
+       round_even((SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM eucl), 4) AS SILHOUETTE,
+       round_even((SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) FROM sil), 4) AS SILHOUETTE_SQUARED,
        round_even((SELECT bss FROM between_ss) * ((SELECT count(*) FROM emb) - (SELECT count(*) FROM cl))
                   / ((SELECT wss FROM within_ss) * ((SELECT count(*) FROM cl) - 1)), 4) AS CALINSKI_HARABASZ,
        round_even((SELECT dbi FROM db), 4) AS DAVIES_BOULDIN
@@ -59,15 +64,12 @@ SELECT CAST((SELECT count(*) FROM cl WHERE label <> -1) AS INT) AS N_CLUSTERS,
 
 @query("cluster_metrics_embeddings", "E1 E2 E3 A26 F5", sql=_emb_metrics_sql())
 def cluster_metrics_embeddings(spark, sf_dir):
-    """Squared-Euclidean silhouette, Calinski-Harabasz and Davies-Bouldin of
-    the labelled embedding vectors, with cluster and noise counts."""
-    pts = embedding_points(spark, sf_dir)
-    m = cluster.evaluate(pts, [f"e{i}" for i in range(EMB_DIM)], "label")
-    row = [(m["N_CLUSTERS"], m["N_NOISE"], *(None if m[k] is None else round(float(m[k]), 4)
-                                           for k in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")))]
-    out = spark.createDataFrame(row, "N_CLUSTERS int, N_NOISE int, SILHOUETTE double, CALINSKI_HARABASZ double, "
-                                     "DAVIES_BOULDIN double")
-    return out.withColumns({c: round_even(c, 4) for c in ("SILHOUETTE", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")})
+    """Silhouette (Euclidean over all pairs, and squared), Calinski-Harabasz and
+    Davies-Bouldin of the labelled embedding vectors, with cluster and noise counts."""
+    m = cluster.evaluate(embedding_points(spark, sf_dir), [f"e{i}" for i in range(EMB_DIM)], "label")
+    scores = ("SILHOUETTE", "SILHOUETTE_SQUARED", "CALINSKI_HARABASZ", "DAVIES_BOULDIN")
+    row = [(m["N_CLUSTERS"], m["N_NOISE"], *(None if m[k] is None else float(m[k]) for k in scores))]
+    return round_doubles(spark.createDataFrame(row, "N_CLUSTERS int, N_NOISE int, " + ", ".join(f"{c} double" for c in scores)), 4)
 
 
 # fixed values: labellings of the embeddings that the selection is checked on
@@ -134,8 +136,8 @@ def variance_shares(spark, sf_dir):
 @query("kmeans_k_selection", "K2 K3 W1")
 def kmeans_k_selection(spark, sf_dir):
     """Elbow (cost for k = 1..10, drops, second differences, suggested k)
-    and squared-Euclidean silhouette for k = 2..10 on the team-season
-    clustering input."""
+    and Euclidean silhouette for k = 2..10 on the team-season clustering
+    input."""
     st = Stages(spark, sf_dir)
     data = clustering_table(st)
     cols = TF_FEATURES
@@ -145,7 +147,7 @@ def kmeans_k_selection(spark, sf_dir):
         model = cluster.kmeans_best_of(vec, k)
         costs.append((k, float(model.summary.trainingCost)))
         lab = model.transform(vec).select(*cols, F.col("prediction").alias("label"))
-        sils[k] = cluster.silhouette_sq(lab, cols)
+        sils[k] = cluster.silhouette(lab, cols)
     rows = [(k, c, sils.get(k)) for k, c in costs]
     t = spark.createDataFrame(rows, "K int, COST double, SILHOUETTE double")
     out = cluster.elbow_choice(t)
@@ -175,24 +177,25 @@ def kmeans_segments(st, data=None, k: int | None = None):
 
 
 def segmentations(st, k: int | None = None):
-    """Labels of K-means, bisecting (hierarchical) and PCA + K-means."""
+    """Labels of K-means, DBSCAN (eps 0.5, 5 rows), Ward agglomeration and PCA + K-means."""
     data = clustering_table(st)
     cols = TF_FEATURES
     k = elbow_k(st, data) if k is None else k
     km = kmeans_segments(st, data, k)
-    bk = cluster.bisecting_labels(data, cols, k)
+    db = density.dbscan(data, cols, ["TEAM_ID", "SEASON"], 0.5, 5).drop("IS_CORE")
+    ward = cluster.ward_labels(data, cols, k)
     p = cluster.pca(data, cols, len(cols))
     m = cluster.components_for_share(p.variance, 0.95)
     pcs = [f"PC_{i + 1}" for i in range(m)]
     pk, _ = cluster.kmeans_labels(p.scores, pcs, k)
-    return data, {"kmeans": km, "agglo": bk, "pca_kmeans": pk}, k
+    return data, {"kmeans": km, "dbscan": db, "agglo": ward, "pca_kmeans": pk}, k
 
 
-@query("segmentation_evaluation", "K4 K6 K7 K8 F7 T7 A26")
+@query("segmentation_evaluation", "K4 K5 K6 K7 K8 F5 F7 T7 A26")
 def segmentation_evaluation(spark, sf_dir):
-    """K-means, hierarchical (bisecting) and PCA(95 %) + K-means with the
-    elbow's k: cluster counts, silhouette, Calinski-Harabasz, Davies-Bouldin
-    and the best algorithm by silhouette (ties: declared order)."""
+    """K-means, DBSCAN, Ward agglomeration and PCA(95 %) + K-means (k from the
+    elbow): cluster and noise counts, Euclidean silhouette, Calinski-Harabasz,
+    Davies-Bouldin and the best algorithm by silhouette (ties: declared order)."""
     st = Stages(spark, sf_dir)
     data, labs, k = segmentations(st)
     rows = []
@@ -206,6 +209,13 @@ def segmentation_evaluation(spark, sf_dir):
     return round_doubles(cluster.best_valid(t))
 
 
+@query("ward_team_segments", "K6 J10")
+def ward_team_segments(spark, sf_dir):
+    """Team-season features with their segment by Ward agglomeration (four segments)."""
+    st = Stages(spark, sf_dir)
+    return round_doubles(st.team_features.join(cluster.ward_labels(clustering_table(st), TF_FEATURES, 4), ["TEAM_ID", "SEASON"]))
+
+
 @query("kmeans_team_segments", "K4 J10")
 def kmeans_team_segments(spark, sf_dir):
     """Team-season features with their K-means segment (k from the elbow)."""
@@ -333,7 +343,7 @@ def _detectors(st):
     return {
         "isolation_forest": anomaly.isolation_forest(data, TF_FEATURES, keys, 100, 256, 0.1, 42),
         "one_class_rff": anomaly.rff_one_class(data, TF_FEATURES, keys, 0.1),
-        "distance": anomaly.zscore_detector(data, TF_FEATURES, keys, 0.1),
+        "local_outlier_factor": anomaly.local_outliers(data, TF_FEATURES, keys, 20, 0.1),
     }
 
 
