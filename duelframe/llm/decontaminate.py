@@ -154,6 +154,10 @@ def words_of(text: str | None) -> list[bytes]:
     return [b[i:j] for i, j in zip(s.tolist(), e.tolist())]
 
 
+def _nulls_last(name: str | None) -> tuple[bool, str]:
+    return name is None, name or ""
+
+
 @dataclass
 class TestSet:
     """Vocabulary (sorted hashes, ids from 2) and distinct windows by length, with the items that hold them."""
@@ -162,20 +166,20 @@ class TestSet:
     ids: np.ndarray
     windows: dict[int, np.ndarray]
     holders: dict[int, list[np.ndarray]]
-    names: list[str]
+    names: list[str | None]
     shortest: int
 
     @staticmethod
-    def build(items: list[tuple[str, str | None]], window: int) -> "TestSet":
+    def build(items: list[tuple[str | None, str | None]], window: int) -> "TestSet":
         vocab: dict[bytes, int] = {}
         found: dict[int, dict[tuple, set[int]]] = {}
-        names = sorted({str(i) for i, _ in items})
+        names = sorted({i for i, _ in items}, key=_nulls_last)
         number = {x: k for k, x in enumerate(names)}
         for item, text in items:
             seq = [vocab.setdefault(w, len(vocab) + 2) for w in words_of(text)]
             n = min(window, len(seq))
             for k in range(len(seq) - n + 1 if seq else 0):
-                found.setdefault(n, {}).setdefault(tuple(seq[k:k + n]), set()).add(number[str(item)])
+                found.setdefault(n, {}).setdefault(tuple(seq[k:k + n]), set()).add(number[item])
         joined = np.frombuffer(b"".join(vocab), np.uint8)
         ends = np.cumsum([len(w) for w in vocab]) if vocab else np.zeros(0, np.int64)
         starts = np.concatenate(([0], ends[:-1])) if vocab else np.zeros(0, np.int64)
@@ -240,11 +244,11 @@ class Shard:
         self.size += total
         self.docs += len(off) - 1
 
-    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, first word, end word, item) of every occurrence of a window, from the index."""
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, first word, end word, window length, window) of every occurrence of a window, from the index."""
         none = np.zeros(0, np.int64)
         if not self.size:
-            return none, none, none, none
+            return none, none, none, none, none
         index = FMIndex(np.concatenate(self.text), len(self.tests.hashes) + 1)
         run_at, run_doc, run_word = np.concatenate(self.place, axis=1)
         out = []
@@ -259,25 +263,25 @@ class Shard:
             pos = index.locate(rows)
             run = np.searchsorted(run_at, pos, "right") - 1
             word = run_word[run] + pos - run_at[run]
-            holders = self.tests.holders[n]
-            size = np.array([len(holders[k]) for k in which])
-            items = np.concatenate([holders[k] for k in which])
-            out.append(np.stack([np.repeat(x, size) for x in (run_doc[run], word, word + n)] + [items]))
-        return tuple(np.concatenate(out, axis=1)) if out else (none, none, none, none)
+            out.append(np.stack([run_doc[run], word, word + n, np.full(len(which), n), which]))
+        return tuple(np.concatenate(out, axis=1)) if out else (none, none, none, none, none)
 
     def result(self) -> pa.RecordBatch:
-        """One row per document: merged word spans and the items found."""
-        doc, start, end, item = self.spans()
+        """One row per document: merged word spans and the items found.
+
+        A window's items are looked up once a document, however often it occurs there."""
+        doc, start, end, length, window = self.spans()
         n_words = np.concatenate(self.n_words)
         starts, ends, names = [[] for _ in n_words], [[] for _ in n_words], [[] for _ in n_words]
         o = np.argsort(doc, kind="stable")
-        doc, start, end, item = doc[o], start[o], end[o], item[o]
+        doc, start, end, length, window = doc[o], start[o], end[o], length[o], window[o]
         cut = np.flatnonzero(np.diff(doc)) + 1
         for k in np.split(np.arange(len(doc)), cut) if len(doc) else []:
             d = doc[k[0]]
             s, e = merge_spans(start[k], end[k])
             starts[d], ends[d] = s.tolist(), e.tolist()
-            names[d] = [self.tests.names[i] for i in np.unique(item[k])]
+            seen = np.unique(np.stack([length[k], window[k]]), axis=1).T.tolist()
+            names[d] = [self.tests.names[i] for i in np.unique(np.concatenate([self.tests.holders[n][w] for n, w in seen]))]
         kept = pa.Table.from_batches(self.rows).combine_chunks().to_batches()[0]
         longs = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
@@ -285,7 +289,7 @@ class Shard:
              pa.array(names, pa.list_(pa.string()))], [*kept.schema.names, "n_words", "span_starts", "span_ends", "items"])
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, str | None]], text_col: str, kept: list[str], window: int) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[str | None, str | None]], text_col: str, kept: list[str], window: int) -> DataFrame:
     tests = docs.sparkSession.sparkContext.broadcast(TestSet.build(items, window))
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -310,22 +314,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     a shorter one; words are runs of ASCII letters, digits and non-ASCII
     characters, A-Z lower-cased.  A null or empty text has no words, no spans
     and no items; an item without words is never found; an empty benchmark
-    finds nothing; items with equal ids count as one; repeated document rows
-    are each returned; other columns are ignored.
+    finds nothing; items with equal ids count as one; items whose id is null
+    are searched too and count together as one item, a null at the end of
+    ``items`` (a digest of ids leaves it out); repeated document rows are each
+    returned; other columns are ignored.
 
     The benchmark is split by its measured size into blocks that fit a task's
     memory; each block is one pass over the documents, and the passes' spans
     are merged per document row.
     """
     kept = list(dict.fromkeys((id_col, *carry)))
-    src, bench = core(docs, *dict.fromkeys((*kept, text_col))), core(benchmark, item_col, item_text).where(F.col(item_col).isNotNull())
+    src, bench = core(docs, *dict.fromkeys((*kept, text_col))), core(benchmark, item_col, item_text)
     bench = bench.withColumn("_n", F.ceil(F.coalesce(F.length(item_text), F.lit(0)) / 4) + 1)
     total = bench.agg(F.sum("_n")).first()[0] or 0
     n_blocks = max(1, -(-int(total) // block_words))
 
-    def items(k: int) -> list[tuple[str, str | None]]:
+    def items(k: int) -> list[tuple[str | None, str | None]]:
         own = bench if n_blocks == 1 else bench.where(F.pmod(F.xxhash64(item_col), F.lit(n_blocks)) == k)
-        return [(str(r[0]), r[1]) for r in own.select(F.col(item_col).cast("string"), item_text).collect()]
+        return [tuple(r) for r in own.select(F.col(item_col).cast("string"), item_text).collect()]
 
     if n_blocks == 1:
         return _scan(src, items(0), text_col, kept, window)
@@ -340,7 +346,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     def unite(pdf: pd.DataFrame) -> pd.DataFrame:
         s, e = merge_spans(np.concatenate(pdf.span_starts.tolist()), np.concatenate(pdf.span_ends.tolist()))
         return pd.DataFrame({"_row": [pdf["_row"].iloc[0]], "span_starts": [s], "span_ends": [e],
-                             "items": [sorted(set().union(*map(set, pdf["items"])))]})
+                             "items": [sorted(set().union(*map(set, pdf["items"])), key=_nulls_last)]})
 
     kind = keyed.schema["_row"].dataType.simpleString()
     merged = parts.groupBy("_row").applyInPandas(
