@@ -48,6 +48,8 @@ def matrix(column: pa.Array) -> np.ndarray:
         column = column.combine_chunks()
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = x.reshape(len(column), -1) if len(column) else x.reshape(0, 1)
+    # by powers of two, which change no digit: squares neither overflow nor vanish
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -62,9 +64,8 @@ def valid_nodes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFram
     """(rows (id, node), nodes (node, emb, rep, mult, dim)); rows without a usable vector have node null."""
     e = F.col(vec_col)
     number = F.transform(e, lambda x: x.cast("double"))
-    norm2 = F.aggregate(number, F.lit(0.0), lambda a, x: a + x * x)
-    finite = norm2.isNotNull() & ~F.isnan(norm2) & (norm2 > 0) & (norm2 < F.lit(float("inf")))
-    ok = F.col(id_col).isNotNull() & F.coalesce(finite, F.lit(False))
+    usable = F.forall(number, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False))) & F.exists(number, lambda x: x != 0)
+    ok = F.col(id_col).isNotNull() & F.coalesce(usable, F.lit(False))
     rows = vectors.select(F.col(id_col).alias("id"), F.when(ok, F.xxhash64(number)).alias("node"), e.alias("emb"))
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.first("emb").alias("emb"), F.min("id").alias("rep"), F.count_distinct("id").alias("mult"))
