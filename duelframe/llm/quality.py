@@ -99,14 +99,20 @@ class Voters:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
     def vote(self, x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
-        """Share of label 1 among the k nearest, each weighed by its positive cosine."""
+        """Share of label 1 among the k nearest, each weighed by its positive cosine; equal cosines go in the
+        order of the labelled rows.  A zero vector, near to none, gets the weighed share among all."""
         if len(self.vectors) == 0:
             return np.full(len(x), 0.5)
         sim = x @ self.vectors.T
         k = min(k, sim.shape[1])
-        near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+        last = -np.partition(-sim, k - 1, axis=1)[:, k - 1:k]
+        above = sim > last
+        level = sim == last
+        take = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        near = np.flatnonzero(take.ravel()).reshape(len(sim), k) - np.arange(len(sim))[:, None] * sim.shape[1]
         w = np.maximum(np.take_along_axis(sim, near, axis=1), 1e-6) ** 4 * self.weights[near]
-        return (w * self.labels[near]).sum(axis=1) / w.sum(axis=1)
+        share = (w * self.labels[near]).sum(axis=1) / w.sum(axis=1)
+        return np.where((x == 0).all(axis=1), (self.weights * self.labels).sum() / self.weights.sum(), share)
 
 
 def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -149,10 +155,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", learn: C
 def score(docs: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, score in [0, 1] (share of votes for label 1) and predicted 0/1.
 
-    Null, empty and very short texts have the zero vector, whose neighbours
-    all count alike.  Without labelled rows every score is 1/2.  Repeated
-    rows are each scored; other columns are ignored; an empty table gives no
-    rows.
+    Null, empty and very short texts have the zero vector, which is near to
+    none: their score is label 1's share among all labelled documents.  Equal
+    cosines go by the order of the labelled rows (their ids).  Without
+    labelled rows every score is 1/2.  Repeated rows and null ids are each
+    scored; other columns are ignored; an empty table gives no rows.
     """
     src = core(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(voters)
