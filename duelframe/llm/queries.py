@@ -262,7 +262,7 @@ def op8_suffix_array_dedup(spark, sf_dir):
     cut = substrings.deduplicate(table(spark, sf_dir, "documents"))
     removed = F.aggregate(F.zip_with("span_ends", "span_starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("span_starts").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"))
 
 
 @register

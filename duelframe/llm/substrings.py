@@ -320,7 +320,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     known = save(ranges, "sub-ranges").unionByName(twice)
     spans = occ.join(known, ["anchor", "seg"]).select(
         "id", "key", (F.col("start") + F.col("lo")).alias("s"), (F.col("start") + F.col("hi") + F.lit(length - 1)).alias("e"))
-    return spans.groupBy("id", "key").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    # equal rows share id and key, and each of them found the same spans
+    return spans.distinct().groupBy("id", "key").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
