@@ -235,7 +235,8 @@ def op3_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     field = toxicity.fit(docs, labels, learn=fold_remainder("doc_id", 5) != 0)
     scored = toxicity.score(docs, field)
-    return scored.select("doc_id", F.coalesce(fold_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted",
+                         "span_starts", "span_ends")
 
 
 @register

@@ -343,8 +343,9 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     """Per row: id, score in [0, 1], predicted 0/1, the offending spans (byte offsets) of the text, and the ``carry`` columns.
 
     A null or empty text, or one without words, has no spans and the score
-    of a text without toxic tokens.  Repeated rows are each scored; other
-    columns are ignored; an empty table gives no rows.
+    of a text without toxic tokens.  Repeated rows and null ids are each
+    scored, ties need no rule (a score of 0.5 predicts 1); other columns are
+    ignored; an empty table gives no rows.
     """
     src = core(docs, *dict.fromkeys((id_col, text_col, *carry)))
     shared = docs.sparkSession.sparkContext.broadcast(field)
