@@ -28,7 +28,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 BUCKETS = 1 << 16
-PASSES = 4                     # those that the SQL twin spells out; the fill itself goes on until nothing fits
 
 
 def word_count(text: Column) -> Column:

@@ -77,7 +77,7 @@ def op4_source_mixing(spark, sf_dir):
 
 
 _MIX_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id AS id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -108,7 +108,14 @@ u AS (
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND CAST(floor(log2(size)) AS INT) = class
   WHERE size > 0 AND p > 0 AND rest > 0),
 q AS (SELECT *, CASE WHEN p >= 1 THEN 0.0::DOUBLE ELSE (u / (1 - u)) / (p / (1 - p)) END AS q FROM u),
-@PASSES@
+-- passes of the fill: in the order of q, what fits the rest is taken; what does not fit waits for the next rest
+fill AS (
+  SELECT id, source, size, q, rest, FALSE AS taken FROM q
+  UNION ALL
+  SELECT id, source, size, q, rest - sum(CASE WHEN upto <= rest THEN size ELSE 0 END) OVER (PARTITION BY source), upto <= rest
+  FROM (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, id ROWS UNBOUNDED PRECEDING) AS upto
+        FROM fill WHERE NOT taken AND size <= rest)),
+chosen AS (SELECT id, source FROM fill WHERE taken)
 SELECT d.id AS doc_id, d.size, goal.source_size, goal.target,
        CAST(CASE WHEN d.size > 0 THEN (whole + CASE WHEN chosen.id IS NULL THEN 0 ELSE 1 END) * d.size ELSE 0 END AS BIGINT) AS taken
 FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
@@ -116,21 +123,7 @@ LEFT JOIN chosen ON chosen.id = d.id AND chosen.source IS NOT DISTINCT FROM d.so
 """
 
 
-def _mix_sql() -> str:
-    """The passes of the cut, each over what the ones before it left."""
-    passes = ["l0 AS (SELECT source, rest FROM goal), n0 AS (SELECT id, source, size, q FROM q)"]
-    for k in range(mixing.PASSES):
-        passes.append(f"""
-r{k} AS (SELECT n.*, rest, sum(size) OVER (PARTITION BY n.source ORDER BY q, id ROWS UNBOUNDED PRECEDING) AS upto
-  FROM n{k} n JOIN l{k} l ON n.source IS NOT DISTINCT FROM l.source WHERE size <= rest),
-c{k} AS (SELECT id, source, size FROM r{k} WHERE upto <= rest),
-l{k + 1} AS (SELECT l.source, rest - coalesce((SELECT sum(size) FROM c{k} c WHERE c.source IS NOT DISTINCT FROM l.source), 0) AS rest FROM l{k} l),
-n{k + 1} AS (SELECT id, source, size, q FROM r{k} WHERE upto > rest)""")
-    every = " UNION ALL ".join(f"SELECT id, source FROM c{k}" for k in range(mixing.PASSES))
-    return _MIX_SQL.replace("@PASSES@", ",".join(passes) + f",\nchosen AS ({every})")
-
-
-ORACLES["op4_source_mixing"] = _mix_sql()
+ORACLES["op4_source_mixing"] = _MIX_SQL
 
 
 @register
