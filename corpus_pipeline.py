@@ -28,13 +28,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     A row is named by its id and its text's digest, ids that are null last,
     so components of rows without ids keep one row too and repeated rows one
-    of them.
+    of them (the first by source, language and size, nulls before others).
     """
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), row_key(F.col("text")).alias("key"))
     named = simhash.near_duplicates(docs.select("text", name.alias("name")), id_col="name", shingle=3, max_bits=2)
     keep = named.where("name = component_id").select("name.id", "name.key").distinct()
     keyed = docs.select(*COLUMNS).withColumn("key", row_key(F.col("text"))).withColumn("id", F.col("doc_id"))
-    return join_on(keyed, keep, ["id", "key"], "left_semi").dropDuplicates(["id", "key"]).select(*COLUMNS)
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    one = join_on(keyed, keep, ["id", "key"], "left_semi").groupBy("id", "key").agg(
+        F.min("text").alias("text"), F.min(F.struct(*rest)).alias("rest"))
+    return one.select(F.col("id").alias("doc_id"), "text", "rest.*").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +57,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents the mix takes, with their sizes, targets, copies and words taken; the others go."""
     name = F.struct(F.col("doc_id").alias("id"), row_key(F.col("text")).alias("key"))
     mixed = mixing.mix(docs.select("text", "source", name.alias("name")), id_col="name").where("copies > 0")
-    mixed = mixed.select("name.id", "name.key", "size", "source_size", "target", "copies", "taken")
+    mixed = mixed.select("name.id", "name.key", "source", "size", "source_size", "target", "copies", "taken")
     keyed = docs.select(*COLUMNS).withColumn("key", row_key(F.col("text"))).withColumn("id", F.col("doc_id"))
     once = keyed.dropDuplicates(["id", "key", "source"])
-    return join_on(mixed, once, ["id", "key"]).select(*COLUMNS, "size", "source_size", "target", "copies", "taken")
+    return join_on(mixed, once, ["id", "key", "source"]).select(*COLUMNS, "size", "source_size", "target", "copies", "taken")
 
 
 STAGES = [
