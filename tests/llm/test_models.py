@@ -105,6 +105,20 @@ def test_votes_are_exact_cosines():
         assert np.isclose(got, (w * y[near]).sum() / w.sum(), atol=1e-5)
 
 
+def test_votes_of_zero_vectors_and_ties_do_not_depend_on_the_order():
+    rng = np.random.default_rng(3)
+    v = np.repeat(np.eye(4, dtype=np.float32), 10, axis=0)
+    y = (np.arange(40) % 10 < 3).astype(np.float32)
+    weights = np.where(y == 1, 2.0, 0.5).astype(np.float32)
+    share = (weights * y).sum() / weights.sum()
+    for order in (np.arange(40), rng.permutation(40), rng.permutation(40)):
+        voters = quality.Voters(np.ones(quality.TERMS, np.float32), np.zeros((quality.TERMS, 4), np.float32), v[order], y[order], weights[order])
+        assert np.isclose(voters.vote(np.zeros((2, 4), np.float32)), share).all()
+    # among equal cosines the first labelled rows vote
+    voters = quality.Voters(np.ones(quality.TERMS, np.float32), np.zeros((quality.TERMS, 4), np.float32), v, y, weights)
+    assert np.isclose(voters.vote(np.eye(4, dtype=np.float32), 3), 1.0).all()
+
+
 def test_document_frequencies_cover_all(spark, make_docs):
     texts = ["abc abc", "abcd", "", None, "xyz" * 10]
     df, n = quality.document_frequencies(make_docs(list(enumerate(texts))))
@@ -318,6 +332,14 @@ def test_neighbours_edges(spark):
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_very_large_and_very_small_vectors(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [2e200, 2.000001e200], 1), (3, [1e-200, 1e-200], 1), (4, [3e-320, 0.0], 1), (5, [1.0, 0.0], 1),
+            (6, [float("inf"), 1.0], 1), (7, [float("nan"), 1.0], 1), (8, [0.0, 0.0], 1), (9, [None, 1.0], 1), (10, [1e308, 1e308], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neighbours.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 10: (3, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7), 8: (0, 8), 9: (0, 9)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 50)] + [(100, 200), (300, 200), (7, 7)] + [(1000, i) for i in range(1001, 1100)]
     got = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from duelframe.llm import mixing
 from duelframe.llm.queries import ORACLES, QUERIES
 from tests.llm.conftest import EDGE_ROWS
 from tests.llm.test_text_operators import brute_base, brute_components, brute_contamination, brute_fingerprint
@@ -40,6 +41,12 @@ def test_oracle(spark, name):
     assert ok, message
 
 
+def test_mixing_oracle_where_few_passes_do_not_fill(spark):
+    name, sf = "op4_source_mixing", "/root/testdata/sf0.01"
+    ok, message = compare(spark, duck(sf), name, QUERIES[name], ORACLES[name], sf)
+    assert ok, message
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_on_edge_and_empty_tables(spark, edge_sf, empty_sf, name):
     table = "embeddings" if "embedding" in name else "documents"
@@ -101,3 +108,20 @@ def test_mixing_stage_returns_taken_documents(spark):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert all(r["copies"] in (1, 2, 3) and r["taken"] == r["copies"] * r["size"] and texts[r["doc_id"]] == r["text"] for r in rows)
     assert len({r["doc_id"] for r in rows}) == len(rows)
+
+
+def test_mixing_stage_tells_sources_apart(spark, make_docs):
+    words = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, words, "en", "s1"), (1, words, "en", "s2")] + [(k, words + f" x{k}", "en", "s3") for k in range(2, 30)]
+    docs = make_docs(rows)
+    name = F.struct(F.col("doc_id").alias("id"), F.col("source").alias("s"))
+    mixed = mixing.mix(docs.select("text", "source", name.alias("name")), id_col="name").where("copies > 0")
+    kept = cp.mixing_stage(spark, docs, SF).collect()
+    assert len(kept) == len({(r["doc_id"], r["source"]) for r in kept}) == mixed.count()
+
+
+def test_near_duplicate_stage_keeps_the_first_of_equal_rows(spark, make_docs):
+    rows = [(1, "a b c", "en", s) for s in ("t", "s", None, "z")]
+    for seed in range(3):
+        kept = cp.near_duplicate_stage(spark, make_docs(random.Random(seed).sample(rows, 4), 4), SF).collect()
+        assert [(r["doc_id"], r["source"]) for r in kept] == [(1, None)]

@@ -5,11 +5,13 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from duelframe.llm import decontaminate, licences, mixing, secrets, simhash, substrings
+from duelframe.llm.common import utf8_view
 from tests.llm.conftest import EDGE_ROWS
 
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -119,7 +121,7 @@ def brute_contamination(docs, items, window=13):
         w = ALNUM.findall(lower(t))
         n = min(window, len(w))
         for k in range(len(w) - n + 1 if w else 0):
-            wins[tuple(w[k:k + n])].add(str(i))
+            wins[tuple(w[k:k + n])].add(i if i is None else str(i))
     out = {}
     for d, t in docs:
         w = ALNUM.findall(lower(t))
@@ -130,7 +132,7 @@ def brute_contamination(docs, items, window=13):
                 if own:
                     hit |= set(range(k, k + n))
                     found |= own
-        out[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
+        out[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found - {None})).encode()).hexdigest(),
                   len(hit) > 0 and 20 * len(hit) >= len(w))
     return out
 
@@ -157,13 +159,36 @@ def test_contamination_edges(spark, edge_docs, empty_docs, clashing):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta", "x"), (1, "alpha beta gamma delta", "y"), (None, "one", "z")],
                                   "item_id long, text string, doc_id string")
     rows = decontaminate.digest(decontaminate.contamination(edge_docs, bench)).collect()
-    assert len(rows) == len(EDGE_ROWS)
-    assert sum(r["contaminated"] for r in rows) == 5 and all(r["n_items"] <= 1 for r in rows)
+    want = brute_contamination(list(enumerate(t for _, t in EDGE_ROWS)), [(r[0], r[1]) for r in bench.collect()])
+    assert sorted(map(str, (tuple(r) for r in rows))) == sorted(str((r[0], *want[i])) for i, r in enumerate(EDGE_ROWS))
     assert sorted(map(str, decontaminate.digest(decontaminate.contamination(clashing, bench)).collect())) == sorted(map(str, rows))
     assert decontaminate.contamination(empty_docs, bench).count() == 0
     assert not any(r["n_items"] for r in decontaminate.digest(decontaminate.contamination(edge_docs, bench.limit(0))).collect())
 
 
+@pytest.mark.parametrize("block_words", [1 << 20, 40])
+def test_null_item_ids_are_searched_and_count_as_one(spark, make_docs, words, block_words):
+    rng = random.Random(14)
+    items = [(i if i % 3 else None, prose(rng, rng.randint(1, 20), words[:40])) for i in range(25)] + [(None, None)]
+    docs = [(k, prose(rng, 30, words[:40]) + " " + items[k % 25][1]) for k in range(50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(make_docs(docs), bench, block_words=block_words)
+    assert {r[0]: tuple(r)[1:] for r in decontaminate.digest(found).collect()} == brute_contamination(docs, items)
+
+
+def test_items_of_one_window_are_not_multiplied_by_its_occurrences(spark, make_docs):
+    items = [(str(i), "the") for i in range(10_000)]
+    tests = decontaminate.TestSet.build(items, 13)
+    shard = decontaminate.Shard(tests)
+    text = pa.array(["the " * 10_000])
+    data, off = utf8_view(text)
+    shard.add(pa.RecordBatch.from_arrays([pa.array([1])], ["doc_id"]), data, off)
+    assert len(shard.spans()[0]) == 10_000
+    bench = spark.createDataFrame([(int(i), t) for i, t in items], "item_id long, text string")
+    got = decontaminate.contamination(make_docs([(1, "the " * 10_000)]), bench).collect()[0]
+    assert len(got["items"]) == 10_000 and got["span_starts"] == [0] and got["span_ends"] == [10_000]
+
+
 def test_fm_index_against_scanning():
     import numpy as np
     rng = np.random.default_rng(5)
@@ -218,6 +243,15 @@ def test_substrings_edges(edge_docs, empty_docs, clashing):
     assert len(substrings.deduplicate(clashing).collect()) == len(EDGE_ROWS)
 
 
+def test_equal_rows_do_not_multiply_their_spans(spark, make_docs, words):
+    text = prose(random.Random(2), 300, words)
+    rows = make_docs([(None, text)] * 50).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
+    spans = substrings.repeated_spans(rows, 40, 8, 1 << 16).collect()
+    assert len(spans) == 1 and len(spans[0]["spans"]) == len({(s["s"], s["e"]) for s in spans[0]["spans"]})
+    got = substrings.deduplicate(make_docs([(None, text)] * 50), length=40, gram=8).collect()
+    assert all(r["kept"] == b"" for r in got) and len(got) == 50
+
+
 def test_suffix_ranks_and_prefixes():
     import numpy as np
     rng = np.random.default_rng(0)
