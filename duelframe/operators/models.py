@@ -1,17 +1,24 @@
-"""Supervised models on Spark ML: grids, cross-validation, scoring, importances.
-
-Folds come from a key-hash fold column (``CrossValidator(foldCol=...)``), so
-they are repeatable and independent of partitioning.  Test metrics are the
-exact metric operators of ``duelframe.operators.metrics`` applied to the
-prediction table.  Models are saved with ``MLWritable`` under a version
-folder and loaded back for batch scoring.
+"""Supervised models: configured grids, cross-validation, scoring, importances, the versioned store.
+
+Folds come from a key-hash fold column, so they are repeatable and
+independent of partitioning.  A grid is searched with as few passes as its
+family allows: least squares from one aggregation (`gram`), logistic
+regression and support vectors of all folds side by side (`newton`), nested
+axes of trees from one fit a fold (`forests`); Spark ML grows the trees and fits
+naive Bayes.  Test metrics are the exact metric operators of
+``duelframe.operators.metrics``.  Models are saved under version folders,
+Spark ML pipelines by their own writer and plain ones as a table.
 """
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
@@ -25,8 +32,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.operators import metrics
-
+from duelframe.operators import forests, gram, metrics, newton
+from duelframe.session import materialise
 
 def _pipeline(features: Sequence[str], est, scale: bool = True) -> Pipeline:
     stages = [VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="error")]
@@ -37,6 +44,124 @@ def _pipeline(features: Sequence[str], est, scale: bool = True) -> Pipeline:
     return Pipeline(stages=stages + [est])
 
 
+# Spark ML's trees: node memory for whole levels at once
+_TREES = {"featuresCol": "features", "labelCol": "label", "seed": 42, "maxMemoryInMB": 1024}
+
+#: fixed values: the configured grids, penalties on scikit-learn's scale
+CLASSIFIER_GRIDS: dict[str, dict[str, list]] = {
+    "logistic_regression": {"C": [0.1, 1.0, 10.0]},
+    "random_forest": {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 3]},
+    "decision_tree": {"maxDepth": [5, 10, 15], "minInstancesPerNode": [1, 3, 5]},
+    "svm": {"C": [0.1, 1.0, 10.0], "kernel": ["rbf", "linear"]},
+    "naive_bayes": {},
+    "gradient_boosting": {"maxIter": [20, 50]},
+}
+REGRESSOR_GRIDS: dict[str, dict[str, list]] = {
+    "ridge": {"alpha": [0.1, 1.0, 10.0]},
+    "lasso": {"alpha": [0.1, 1.0, 10.0]},
+    "elastic_net": {"alpha": [0.1, 1.0], "l1": [0.2, 0.5, 0.8]},
+    "random_forest": {"numTrees": [50, 100], "maxDepth": [3, 5, 30]},
+    "gradient_boosting": {"maxIter": [50, 100], "stepSize": [0.01, 0.1]},
+    "svr": {"C": [0.1, 1.0, 10.0, 100.0], "kernel": ["rbf", "linear"]},
+}
+
+
+def grid_points(axes: dict[str, list], quick: bool = False) -> list[dict]:
+    """All combinations in order, the last axis fastest; ``quick`` keeps the
+    first value of each axis (the quick-test job only)."""
+    return [dict(zip(axes, values)) for values in itertools.product(*[v[:1] if quick else v for v in axes.values()])]
+
+
+def side_by_side(spark, calls: Sequence) -> list:
+    """Results of independent jobs, as many at once as half the cores."""
+    at_once = max(1, min(len(calls), spark.sparkContext.defaultParallelism // 2))
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda call: inheritable_thread_target(spark)(call)(), calls))
+
+
+# -- searches: (model, mean metric by grid point, std by grid point) ----------------
+
+def _chosen(scores: np.ndarray) -> tuple[int, list[float], list[float]]:
+    """Best grid point (ties: the first), means and stds over the folds."""
+    mean = scores.mean(axis=1)
+    return int(mean.argmax()), mean.tolist(), scores.std(axis=1).tolist()
+
+
+def _search_margin(train: DataFrame, features: Sequence[str], loss: str, points: list[dict], folds: list[int], kind: str):
+    """Logistic regression, support vector classifier or regressor: all folds and grid points side by side."""
+    p = gram.products(train, features, "label", "FOLD")
+    total = p.total()
+    target = p.shift[-1] + total[0, -1] / total[0, 0]
+    spread = float(np.sqrt(max(total[-1, -1] / total[0, 0] - (total[0, -1] / total[0, 0]) ** 2, 1e-12)))
+    maps = {(f, k): newton.feature_map(p, f, k) for f in (*folds, None) for k in {x.get("kernel", "linear") for x in points}}
+
+    def problem(point: dict, f: int | None) -> newton.Problem:
+        m = maps[f, point.get("kernel", "linear")]
+        start = np.append(np.zeros(m.width), target) if loss == "tube" else None
+        return newton.Problem(m, point["C"], loss, f, keep_intercept=loss == "logistic", scale=spread if loss == "tube" else 1.0, start=start)
+
+    problems = [problem(x, f) for x in points for f in (*folds, None)]
+    models = newton.minimise(train, features, problems, "label", "FOLD")
+    held = [m for q, m in zip(problems, models) if q.fold is not None]
+    scores = np.array(newton.fold_scores(train, held, folds * len(points), kind=kind)).reshape(len(points), len(folds))
+    best, mean, std = _chosen(scores)
+    model = models[best * (len(folds) + 1) + len(folds)]
+    if loss == "hinge":
+        model.platt = newton.platt(train, held[best * len(folds):(best + 1) * len(folds)], folds)
+    return model, mean, std
+
+
+def _estimator(name: str, regression: bool, point: dict):
+    kinds = {("random_forest", True): RandomForestRegressor, ("gradient_boosting", True): GBTRegressor, ("random_forest", False): RandomForestClassifier,
+             ("gradient_boosting", False): GBTClassifier, ("decision_tree", False): DecisionTreeClassifier}
+    return kinds[name, regression](**_TREES, **point)
+
+
+def _search_trees(train: DataFrame, features: Sequence[str], name: str, regression: bool, points: list[dict], folds: list[int]):
+    """Depth and size are nested: one fit a fold and value of the other axis, then one model at the best point."""
+    size = {"random_forest": "numTrees", "gradient_boosting": "maxIter"}.get(name)
+    sizes = sorted({x[size] for x in points}) if size else [1]
+    depths = sorted({x.get("maxDepth", 5) for x in points})
+    rest = [dict(r) for r in dict.fromkeys(tuple((k, v) for k, v in x.items() if k not in (size, "maxDepth")) for x in points)]
+    kind = {("random_forest", True): "mean", ("gradient_boosting", True): "sum", ("gradient_boosting", False): "margin"}.get((name, regression), "share")
+    vectors = materialise(VectorAssembler(inputCols=list(features), outputCol="features").transform(train).select("features", "label", "FOLD"), "vectors")
+    full = {"maxDepth": max(depths), **({size: max(sizes)} if size else {})}
+
+    def one(other: dict, f: int):
+        fitted = _estimator(name, regression, {**full, **other}).fit(vectors.where(F.col("FOLD") != f))
+        return forests.staged_scores(train.where(F.col("FOLD") == f), features, forests.trees_of(fitted, kind == "share"), depths, sizes, kind)
+
+    found = side_by_side(train.sparkSession, [lambda o=o, f=f: one(o, f) for o in rest for f in folds])
+    at = {(i, f): s for (i, f), s in zip(itertools.product(range(len(rest)), folds), found)}
+    scores = np.array([[at[rest.index({k: v for k, v in x.items() if k not in (size, "maxDepth")}), f][
+        sizes.index(x[size]) if size else 0, depths.index(x.get("maxDepth", 5))] for f in folds] for x in points])
+    best, mean, std = _chosen(scores)
+    return _pipeline(features, _estimator(name, regression, {"maxDepth": 5, **points[best]}), False).fit(train), mean, std
+
+
+def search_classifier(train: DataFrame, features: Sequence[str], name: str, quick: bool = False, folds: int = 5):
+    """Grid search of a configured classifier by accuracy over the FOLD column."""
+    points, every = grid_points(CLASSIFIER_GRIDS[name], quick), list(range(folds))
+    if name in ("logistic_regression", "svm"):
+        return _search_margin(train, features, "logistic" if name == "logistic_regression" else "hinge", points, every, "class")
+    if name == "naive_bayes":
+        est, _ = classifier(name, 0)
+        return cross_validate(train, features, est, [], accuracy_eval())
+    return _search_trees(train, features, name, False, points, every)
+
+
+def search_regressor(train: DataFrame, features: Sequence[str], name: str, quick: bool = False, folds: int = 5, known: gram.Products | None = None):
+    """Grid search of a configured regressor by R2 over the FOLD column; ``known`` are the train part's sums of products, if at hand."""
+    points = grid_points(REGRESSOR_GRIDS[name], quick)
+    if name in gram.SOLVERS:
+        return gram.grid_search(train, features, name, points, known=known)
+    if name == "svr":
+        return _search_margin(train, features, "tube", points, list(range(folds)), "number")
+    return _search_trees(train, features, name, True, points, list(range(folds)))
+
+
+# -- the same models as plain Spark ML estimators -------------------------------------
+
 def classifier(name: str, n_train: int, quick: bool = False):
     """(estimator, param grid) for a configured classifier.
 
@@ -119,9 +244,12 @@ def _grid(est, grid):
 
 
 def cross_validate(train: DataFrame, features: Sequence[str], est, grid, evaluator, fold_col: str = "FOLD",
-                   parallelism: int = 8, scale: bool = True, folds: int = 5):
-    """Grid search with k-fold CV over the precomputed fold column; returns
-    (best PipelineModel, mean metric per grid point, std per grid point)."""
+                   parallelism: int | None = None, scale: bool = True, folds: int = 5):
+    """Spark ML's grid search with k-fold CV over the precomputed fold column, at
+    most half the cores' number of fits at once; returns (best PipelineModel,
+    mean metric per grid point, std per grid point)."""
+    if parallelism is None:
+        parallelism = max(1, train.sparkSession.sparkContext.defaultParallelism // 2)
     pipe = _pipeline(features, est, scale)
     maps = _grid(est, grid) or [{}]
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator, foldCol=fold_col,
@@ -130,14 +258,21 @@ def cross_validate(train: DataFrame, features: Sequence[str], est, grid, evaluat
     return model.bestModel, list(model.avgMetrics), list(model.stdMetrics or [0.0] * len(maps))
 
 
-def scored_classification(model: PipelineModel, test: DataFrame, keys: Sequence[str]) -> DataFrame:
+def scored_classification(model, test: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, label, prediction and probability of class 1."""
+    if isinstance(model, newton.Margin):
+        p = model.transform(test, [*keys, "label"], "class")
+        return p.select(*keys, F.col("label").cast("int").alias("label"), "prediction", "probability")
     p = model.transform(test)
-    prob = vector_to_array("probability")[1] if "probability" in p.columns else F.col("rawPrediction").cast("double")
-    if "probability" not in p.columns:
-        prob = vector_to_array("rawPrediction")[1]
-        prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-prob))  # Platt-style squashing of the margin
-    return p.select(*keys, F.col("label").cast("int").alias("label"),
-                    F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
+    return p.select(*keys, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+                    vector_to_array("probability")[1].alias("probability"))
+
+
+def predicted(model, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and the predicted number."""
+    if isinstance(model, newton.Margin):
+        return model.transform(rows, list(keep), "number").drop("decision")
+    return model.transform(rows).select(*keep, "prediction")
 
 
 def classification_test_metrics(scored: DataFrame) -> dict:
@@ -146,38 +281,65 @@ def classification_test_metrics(scored: DataFrame) -> dict:
     return s
 
 
-def importances(model: PipelineModel, features: Sequence[str], k: int = 10) -> list[tuple[str, float]]:
-    """Feature importances (trees) or |coefficients| (linear), top k."""
-    last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
-        vals = last.featureImportances.toArray()
-    elif hasattr(last, "coefficients"):
-        vals = [abs(v) for v in last.coefficients.toArray()]
-    elif hasattr(last, "theta"):
-        return []
+def importances(model, features: Sequence[str], k: int = 10) -> list[tuple[str, float]]:
+    """Feature importances (trees) or |weights| of the standardised columns (linear), top k; none for others."""
+    if isinstance(model, (gram.LinearModel, newton.Margin)):
+        vals = model.importances() or []
     else:
-        return []
+        last = model.stages[-1]
+        vals = last.featureImportances.toArray() if hasattr(last, "featureImportances") else []
     pairs = sorted(zip(features, [float(v) for v in vals]), key=lambda t: (-t[1], features.index(t[0])))
     return pairs[:k]
 
 
-def save_versioned(model: PipelineModel, root: str, name: str) -> str:
+_PLAIN = "kind string, features array<string>, vectors map<string, array<double>>, numbers map<string, double>"
+
+
+def _plain(model) -> tuple:
+    """A linear or margin model as one row."""
+    if isinstance(model, gram.LinearModel):
+        return ("linear", model.features, {"coefficients": model.coefficients.tolist(), "weights": model.weights.tolist()}, {"intercept": model.intercept})
+    m = model.map
+    waves = {} if m.omega is None else {"omega": m.omega.ravel().tolist(), "phase": m.phase.tolist()}
+    numbers = {"intercept": model.intercept, "objective": model.objective, "gradient": model.gradient}
+    if model.platt is not None:
+        numbers |= {"slope": model.platt[0], "offset": model.platt[1]}
+    return ("margin", model.features, {"mean": m.mean.tolist(), "std": m.std.tolist(), "weights": model.weights.tolist(), **waves}, numbers)
+
+
+def _from_plain(row):
+    v, n = {k: np.array(x) for k, x in row["vectors"].items()}, row["numbers"]
+    if row["kind"] == "linear":
+        return gram.LinearModel(list(row["features"]), v["coefficients"], n["intercept"], v["weights"])
+    omega = v["omega"].reshape(len(v["phase"]), -1) if "phase" in v else None
+    return newton.Margin(list(row["features"]), newton.FeatureMap(v["mean"], v["std"], omega, v.get("phase")), v["weights"], n["intercept"],
+                         n["objective"], n["gradient"], (n["slope"], n["offset"]) if "slope" in n else None)
+
+
+def save_versioned(model, root: str, name: str) -> str:
     """Write the model under ``root/name/version=<ms>``; return the path."""
     path = f"{root.rstrip('/')}/{name}/version={int(time.time() * 1000)}"
-    model.write().overwrite().save(path)
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        from pyspark.sql import SparkSession
+        SparkSession.active().createDataFrame([_plain(model)], _PLAIN).coalesce(1).write.parquet(f"{path}/plain")
     return path
 
 
 def _versions(spark, root: str, name: str) -> list[str]:
     """Version folders of ``name``, oldest first (listed through Hadoop's file system)."""
-    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}".rstrip("/"))
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     return sorted(st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory())
 
 
-def load_latest(spark, root: str, name: str) -> PipelineModel:
+def load_latest(spark, root: str, name: str):
     """Load the newest saved version of ``name``."""
-    return PipelineModel.load(f"{root.rstrip('/')}/{name}/{_versions(spark, root, name)[-1]}")
+    path = f"{root.rstrip('/')}/{name}/{_versions(spark, root, name)[-1]}"
+    if _versions(spark, path, "") == ["plain"]:
+        return _from_plain(spark.read.parquet(f"{path}/plain").first())
+    return PipelineModel.load(path)
 
 
 def save_results(df: DataFrame, root: str, name: str) -> str:

@@ -3,25 +3,30 @@
 The model inputs are the segment-enhanced sets, with K-means segments (k from
 the elbow).  Every model is fitted, tested and scored on all rows of its set,
 over the configured grids; the quick grids belong to the quick-test job only.
+
+Several queries report on the same fits.  Within a session they are made once
+for a state of the folder (names, sizes and times of its files), so changed
+inputs are fitted anew; ``forget`` drops them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import cache
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.operators import cluster_features as cf
-from duelframe.operators import contest, metrics, models, split
+from duelframe.operators import contest, gram, metrics, models, split
 from duelframe.plans.base import Stages, round_doubles
 from duelframe.plans.q_unsupervised import kmeans_segments
 from duelframe.plans.registry import query
 from duelframe.session import checkpoint_dir, materialise
+from duelframe.sources import io
 
 # fixed values: the configured models, in the order that settles ties
-CLASSIFIERS = ["logistic_regression", "random_forest", "decision_tree", "svm_linear", "naive_bayes"]
+CLASSIFIERS = ["logistic_regression", "random_forest", "decision_tree", "svm", "naive_bayes"]
 REGRESSORS = ["ridge", "lasso", "elastic_net", "random_forest", "gradient_boosting"]
 
 CLS_RESULT = ("MODEL string, ORDINAL int, CV_ACCURACY double, CV_STD double, ACCURACY double, PRECISION double, "
@@ -58,13 +63,11 @@ def regression_set(game_features: DataFrame, team_features: DataFrame, segments:
 def fit_classifiers(parts, names: Sequence[str] = CLASSIFIERS, quick: bool = False) -> tuple[list, dict]:
     """Result rows and fitted models: grid search by 5-fold accuracy, exact metrics on the test part."""
     train, test, feats = parts
-    n = train.count()
     rows, fitted = [], {}
     for i, name in enumerate(names):
-        est, grid = models.classifier(name, n, quick)
-        best, avg, std = models.cross_validate(train, feats, est, grid, models.accuracy_eval())
+        best, avg, std = models.search_classifier(train, feats, name, quick)
         j = max(range(len(avg)), key=lambda t: avg[t])
-        m = models.classification_test_metrics(models.scored_classification(best, test, ["GAME_ID"]))
+        m = models.classification_test_metrics(materialise(models.scored_classification(best, test, ["GAME_ID"]), "scored"))
         rows.append((name, i, float(avg[j]), float(std[j]), m["ACCURACY"], m["PRECISION"], m["RECALL"], m["F1"], m["ROC_AUC"]))
         fitted[name] = best
     return rows, fitted
@@ -73,38 +76,55 @@ def fit_classifiers(parts, names: Sequence[str] = CLASSIFIERS, quick: bool = Fal
 def fit_regressors(parts, target: str, names: Sequence[str] = REGRESSORS, quick: bool = False) -> tuple[list, dict]:
     """Result rows and fitted models: grid search by 5-fold R2, exact metrics on the test part."""
     train, test, feats = parts
-    row = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+    known = gram.products(train, feats, "label", "FOLD") if set(names) & set(gram.SOLVERS) else None
     rows, fitted = [], {}
     for i, name in enumerate(names):
-        est, grid = models.regressor(name, row[1] or 1.0, row[0], quick)
-        best, avg, std = models.cross_validate(train, feats, est, grid, models.r2_eval())
+        best, avg, std = models.search_regressor(train, feats, name, quick, known=known)
         j = max(range(len(avg)), key=lambda t: avg[t])
-        m = metrics.regression_scores(best.transform(test).select("label", "prediction")).first()
+        m = metrics.regression_scores(models.predicted(best, test, ["label"])).first()
         rows.append((target, name, i, float(avg[j]), float(std[j]), m["R2"], m["MAE"], m["MSE"], m["RMSE"]))
         fitted[name] = best
     return rows, fitted
 
 
-# Several queries report on the same fits; within a session and folder they are made once.
-@cache
+_KEPT: dict[tuple, object] = {}
+
+
+def forget() -> None:
+    """Drop the fits that queries of this session share."""
+    _KEPT.clear()
+
+
+def _once(fn):
+    """Keeps a function's result by session, folder, state of the folder's files and arguments."""
+    @wraps(fn)
+    def kept(spark: SparkSession, sf_dir: str, *args, **named):
+        key = (spark.sparkContext.applicationId, sf_dir, io.folder_state(spark, sf_dir), fn.__name__, args, tuple(sorted(named.items())))
+        if key not in _KEPT:
+            _KEPT[key] = fn(spark, sf_dir, *args, **named)
+        return _KEPT[key]
+    return kept
+
+
+@_once
 def _sets(spark: SparkSession, sf_dir: str):
     st = Stages(spark, sf_dir)
     game_features = materialise(st.game_features, "game_features")
     return game_features, st.team_features, kmeans_segments(st)
 
 
-@cache
+@_once
 def _classification_parts(spark: SparkSession, sf_dir: str, with_segments: bool = True):
     games, teams, segments = _sets(spark, sf_dir)
     return _parts(classification_set(games, teams, segments if with_segments else None), "label", "classification")
 
 
-@cache
+@_once
 def _regression_parts(spark: SparkSession, sf_dir: str, target: str):
     return _parts(regression_set(*_sets(spark, sf_dir), target), None, "regression")
 
 
-@cache
+@_once
 def _classifier(spark: SparkSession, sf_dir: str, name: str, with_segments: bool = True):
     """Result row and model of one classifier; its ordinal is its configured place."""
     rows, fitted = fit_classifiers(_classification_parts(spark, sf_dir, with_segments), [name])
@@ -117,7 +137,7 @@ def _classifiers(spark: SparkSession, sf_dir: str):
     return [row for row, _ in found.values()], {name: model for name, (_, model) in found.items()}
 
 
-@cache
+@_once
 def _regressors(spark: SparkSession, sf_dir: str, target: str):
     return fit_regressors(_regression_parts(spark, sf_dir, target), target)
 
@@ -130,9 +150,9 @@ def random_forest_classifier(spark, sf_dir):
 
 @query("classifier_comparison", "L0 L1 L2 L3 L4 L5 L8 L9 M2 M4 X6 V1 V2")
 def classifier_comparison(spark, sf_dir):
-    """Home-win classifiers (logistic, forest, tree, linear SVM, Gaussian NB)
-    on the set enhanced with K-means segments: configured grids, 5-fold CV
-    accuracy (mean, std) and exact test accuracy/precision/recall/F1/AUC."""
+    """Home-win classifiers (logistic, forest, tree, SVM, Gaussian NB) on the
+    set enhanced with K-means segments: configured grids, 5-fold CV accuracy
+    (mean, std) and exact test accuracy/precision/recall/F1/AUC."""
     return round_doubles(spark.createDataFrame(_classifiers(spark, sf_dir)[0], CLS_RESULT), 4)
 
 
@@ -249,7 +269,7 @@ def saved_model_scoring(spark, sf_dir):
     models.save_versioned(fitted["ridge"], root, "local_strength")
     loaded = models.load_latest(spark, root, "local_strength")
     everything = parts[0].drop("FOLD").unionByName(parts[1])
-    return round_doubles(loaded.transform(everything).select("GAME_ID", "HOME_TEAM_ID", "label", "prediction"), 4)
+    return round_doubles(models.predicted(loaded, everything, ["GAME_ID", "HOME_TEAM_ID", "label"]), 4)
 
 
 @query("gbt_classifier", "L6")

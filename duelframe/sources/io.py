@@ -54,3 +54,10 @@ def names_or_default(spark: SparkSession, teams: DataFrame | None, default: dict
         col = "NICKNAME" if "NICKNAME" in teams.columns else "ABBREVIATION"
         return teams.select(F.col("TEAM_ID"), F.col(col).alias("TEAM_NAME"))
     return spark.createDataFrame(sorted(default.items()), "TEAM_ID long, TEAM_NAME string")
+
+
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the entries of a folder, read through Spark's file systems."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)
+    return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in found))
