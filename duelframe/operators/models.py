@@ -32,7 +32,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.operators import forests, gram, metrics, newton
+from duelframe.operators import bagging, forests, gram, metrics, newton
 from duelframe.session import materialise
 
 def _pipeline(features: Sequence[str], est, scale: bool = True) -> Pipeline:
@@ -45,7 +45,7 @@ def _pipeline(features: Sequence[str], est, scale: bool = True) -> Pipeline:
 
 
 # Spark ML's trees: node memory for whole levels at once
-_TREES = {"featuresCol": "features", "labelCol": "label", "seed": 42, "maxMemoryInMB": 1024}
+_TREES = {"featuresCol": "features", "labelCol": "label", "seed": 42, "maxMemoryInMB": 256}
 
 #: fixed values: the configured grids, penalties on scikit-learn's scale
 CLASSIFIER_GRIDS: dict[str, dict[str, list]] = {
@@ -72,9 +72,13 @@ def grid_points(axes: dict[str, list], quick: bool = False) -> list[dict]:
     return [dict(zip(axes, values)) for values in itertools.product(*[v[:1] if quick else v for v in axes.values()])]
 
 
-def side_by_side(spark, calls: Sequence) -> list:
-    """Results of independent jobs, as many at once as half the cores."""
-    at_once = max(1, min(len(calls), spark.sparkContext.defaultParallelism // 2))
+BOOST_DEPTH = 5            # fixed value: depth of a boosted tree
+PART_BYTES = 16 << 20      # of feature vectors in a partition that a fit reads
+
+
+def side_by_side(spark, calls: Sequence, parts: int = 1) -> list:
+    """Results of independent jobs of ``parts`` tasks, as many at once as the cores take."""
+    at_once = max(1, min(len(calls), spark.sparkContext.defaultParallelism // parts))
     with ThreadPoolExecutor(at_once) as pool:
         return list(pool.map(lambda call: inheritable_thread_target(spark)(call)(), calls))
 
@@ -119,24 +123,46 @@ def _estimator(name: str, regression: bool, point: dict):
 
 def _search_trees(train: DataFrame, features: Sequence[str], name: str, regression: bool, points: list[dict], folds: list[int]):
     """Depth and size are nested: one fit a fold and value of the other axis, then one model at the best point."""
+    if bagging.fits_in_a_task(train.count(), len(features)):
+        if name == "random_forest":
+            return _search_bagged(train, features, regression, points, folds)
+        if name == "gradient_boosting" and regression:
+            found = bagging.search_boosted(train, features, sorted({x["maxIter"] for x in points}), sorted({x["stepSize"] for x in points}), BOOST_DEPTH, folds)
+            best, mean, std = _chosen(np.array([found[x["maxIter"], x["stepSize"]] for x in points]))
+            return bagging.fit_boosted(train, features, points[best]["maxIter"], points[best]["stepSize"], BOOST_DEPTH), mean, std
     size = {"random_forest": "numTrees", "gradient_boosting": "maxIter"}.get(name)
     sizes = sorted({x[size] for x in points}) if size else [1]
     depths = sorted({x.get("maxDepth", 5) for x in points})
     rest = [dict(r) for r in dict.fromkeys(tuple((k, v) for k, v in x.items() if k not in (size, "maxDepth")) for x in points)]
     kind = {("random_forest", True): "mean", ("gradient_boosting", True): "sum", ("gradient_boosting", False): "margin"}.get((name, regression), "share")
-    vectors = materialise(VectorAssembler(inputCols=list(features), outputCol="features").transform(train).select("features", "label", "FOLD"), "vectors")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    # a fit is a chain of short jobs, so its rows lie in no more partitions than their size asks for
+    parts = max(1, -(-train.count() * (len(features) + 2) * 8 // PART_BYTES))
+    vectors = materialise(assembler.transform(train).select("features", "label", "FOLD").coalesce(parts), "vectors")
     full = {"maxDepth": max(depths), **({size: max(sizes)} if size else {})}
 
     def one(other: dict, f: int):
         fitted = _estimator(name, regression, {**full, **other}).fit(vectors.where(F.col("FOLD") != f))
         return forests.staged_scores(train.where(F.col("FOLD") == f), features, forests.trees_of(fitted, kind == "share"), depths, sizes, kind)
 
-    found = side_by_side(train.sparkSession, [lambda o=o, f=f: one(o, f) for o in rest for f in folds])
+    found = side_by_side(train.sparkSession, [lambda o=o, f=f: one(o, f) for o in rest for f in folds], parts)
     at = {(i, f): s for (i, f), s in zip(itertools.product(range(len(rest)), folds), found)}
     scores = np.array([[at[rest.index({k: v for k, v in x.items() if k not in (size, "maxDepth")}), f][
         sizes.index(x[size]) if size else 0, depths.index(x.get("maxDepth", 5))] for f in folds] for x in points])
     best, mean, std = _chosen(scores)
-    return _pipeline(features, _estimator(name, regression, {"maxDepth": 5, **points[best]}), False).fit(train), mean, std
+    last = _estimator(name, regression, {"maxDepth": 5, **points[best]}).fit(vectors)
+    return PipelineModel(stages=[assembler, last]), mean, std
+
+
+def _search_bagged(train: DataFrame, features: Sequence[str], regression: bool, points: list[dict], folds: list[int]):
+    """Forests whose training rows a task can hold: all folds, sizes and depths from one growth."""
+    def axis(name: str, default: float) -> list:
+        return sorted({x.get(name, default) for x in points})
+
+    found = bagging.search(train, features, regression, axis("numTrees", 20), axis("maxDepth", 5), axis("minInstancesPerNode", 1), folds)
+    at = [(x["numTrees"], x["maxDepth"], x.get("minInstancesPerNode", 1)) for x in points]
+    best, mean, std = _chosen(np.array([found[a] for a in at]))
+    return bagging.fit(train, features, regression, *at[best]), mean, std
 
 
 def search_classifier(train: DataFrame, features: Sequence[str], name: str, quick: bool = False, folds: int = 5):
@@ -263,6 +289,9 @@ def scored_classification(model, test: DataFrame, keys: Sequence[str]) -> DataFr
     if isinstance(model, newton.Margin):
         p = model.transform(test, [*keys, "label"], "class")
         return p.select(*keys, F.col("label").cast("int").alias("label"), "prediction", "probability")
+    if isinstance(model, bagging.Forest):
+        p = model.transform(test, [*keys, "label"])
+        return p.select(*keys, F.col("label").cast("int").alias("label"), "prediction", "probability")
     p = model.transform(test)
     return p.select(*keys, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
                     vector_to_array("probability")[1].alias("probability"))
@@ -272,6 +301,8 @@ def predicted(model, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` and the predicted number."""
     if isinstance(model, newton.Margin):
         return model.transform(rows, list(keep), "number").drop("decision")
+    if isinstance(model, bagging.Forest):
+        return model.transform(rows, list(keep))
     return model.transform(rows).select(*keep, "prediction")
 
 
@@ -283,7 +314,7 @@ def classification_test_metrics(scored: DataFrame) -> dict:
 
 def importances(model, features: Sequence[str], k: int = 10) -> list[tuple[str, float]]:
     """Feature importances (trees) or |weights| of the standardised columns (linear), top k; none for others."""
-    if isinstance(model, (gram.LinearModel, newton.Margin)):
+    if isinstance(model, (gram.LinearModel, newton.Margin, bagging.Forest)):
         vals = model.importances() or []
     else:
         last = model.stages[-1]
@@ -297,6 +328,10 @@ _PLAIN = "kind string, features array<string>, vectors map<string, array<double>
 
 def _plain(model) -> tuple:
     """A linear or margin model as one row."""
+    if isinstance(model, bagging.Forest):
+        t = model.trees
+        arrays = {c: np.asarray(getattr(t, c), float).tolist() for c in ("roots", "weights", "feature", "threshold", "left", "right", "value")}
+        return ("forest", model.features, {**arrays, "gains": model.gains.tolist()}, {"regression": float(model.regression), "base": model.base})
     if isinstance(model, gram.LinearModel):
         return ("linear", model.features, {"coefficients": model.coefficients.tolist(), "weights": model.weights.tolist()}, {"intercept": model.intercept})
     m = model.map
@@ -309,6 +344,10 @@ def _plain(model) -> tuple:
 
 def _from_plain(row):
     v, n = {k: np.array(x) for k, x in row["vectors"].items()}, row["numbers"]
+    if row["kind"] == "forest":
+        whole = {c: v[c].astype(int) for c in ("roots", "feature", "left", "right")}
+        return bagging.Forest(list(row["features"]), forests.Trees(weights=v["weights"], threshold=v["threshold"], value=v["value"], **whole),
+                              bool(n["regression"]), v["gains"], n["base"])
     if row["kind"] == "linear":
         return gram.LinearModel(list(row["features"]), v["coefficients"], n["intercept"], v["weights"])
     omega = v["omega"].reshape(len(v["phase"]), -1) if "phase" in v else None
