@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions.columns import round_even
 from duelframe.operators import neighbours as nb
+from duelframe.operators.gram import summed
 from duelframe.session import materialise
 
 
@@ -58,6 +59,68 @@ def kmeans_best_of(df: DataFrame, k: int, seed: int = 42, n_init: int = N_INIT,
     return min(found, key=lambda t: t[:2])[2]
 
 
+SEED_POINTS = 4096  # most points, drawn by a hash, that first centres are chosen from
+
+
+def _first_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++: each next centre is a point drawn in proportion to its squared distance from the chosen ones."""
+    out = [x[rng.integers(len(x))]]
+    near = ((x - out[0]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        p = near / near.sum() if near.sum() > 0 else np.full(len(x), 1 / len(x))
+        out.append(x[rng.choice(len(x), p=p)])
+        near = np.minimum(near, ((x - out[-1]) ** 2).sum(axis=1))
+    return np.array(out)
+
+
+def kmeans_grid(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 42, n_init: int = N_INIT,
+                max_iter: int = 300, tol: float = 1e-4) -> dict[int, tuple[float, np.ndarray]]:
+    """k -> (cost, centres) of the best of ``n_init`` K-means fits for every k.
+
+    All restarts of all k run side by side: a pass over the rows assigns them
+    to the centres of every fit that still moves and yields counts and sums by
+    centre.  First centres come from a bounded, hash-drawn set of points; ties
+    in cost go to the first restart.  ``df`` is read again in every pass."""
+    cols = list(cols)
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    drawn = np.array([list(r) for r in x.orderBy(F.xxhash64(*cols), *cols).limit(SEED_POINTS).collect()], float)
+    fits = [(k, i) for k in ks for i in range(n_init)]
+    centres = {f: _first_centres(drawn, k, np.random.default_rng([seed + i, k])) for f, (k, i) in enumerate(fits)}
+    open_, settled, cost = set(centres), set(), {}
+    for step in range(max_iter + 1):
+        todo = {f: centres[f] for f in sorted(open_)}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = {f: np.zeros(len(c) * (len(cols) + 1) + 1) for f, c in todo.items()}
+            for b in batches:
+                v = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols])
+                for i in range(0, len(v), 4096):
+                    part = v[i:i + 4096]
+                    norm = (part * part).sum(axis=1)
+                    for f, c in todo.items():
+                        d = norm[:, None] - 2 * part @ c.T + (c * c).sum(axis=1)
+                        at = d.argmin(axis=1)
+                        own = np.zeros((len(c), len(cols) + 1))
+                        np.add.at(own, at, np.column_stack([np.ones(len(part)), part]))
+                        total[f] += np.append(own.ravel(), np.maximum(d[np.arange(len(part)), at], 0).sum())
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.list_(pa.float64()))], ["k", "a"])
+
+        for f, a in summed(x.mapInArrow(run, "k long, a array<double>")).items():
+            cost[f] = float(a[-1])
+            own = a[:-1].reshape(len(centres[f]), -1)
+            new = np.where(own[:, :1] > 0, own[:, 1:] / np.maximum(own[:, :1], 1), centres[f])
+            if f in settled or step == max_iter:
+                open_.discard(f)                            # this pass took the cost of the last centres
+                continue
+            if np.sqrt(((new - centres[f]) ** 2).sum(axis=1).max()) <= tol:
+                settled.add(f)
+            centres[f] = new
+        if not open_:
+            break
+    best = {k: min((cost[f], i, f) for f, (q, i) in enumerate(fits) if q == k)[2] for k in ks}
+    return {k: (cost[f], centres[f]) for k, f in best.items()}
+
+
 def total_sum_of_squares(df: DataFrame, cols: Sequence[str]) -> float:
     """Within-cluster sum of squares for k = 1 (one pass)."""
     row = df.agg(F.count(F.lit(1)).alias("n"),
@@ -92,11 +155,17 @@ def relabel_by_first_key(labels: DataFrame, keys: Sequence[str], label: str = "l
 
 
 def kmeans_labels(df: DataFrame, cols: Sequence[str], k: int, keys: Sequence[str] = ("TEAM_ID", "SEASON"),
-                  seed: int = 42, n_init: int = N_INIT) -> tuple[DataFrame, object]:
-    data = assemble(df, cols)
-    model = kmeans_best_of(data, k, seed, n_init)
-    lab = model.transform(data).select(*keys, F.col("prediction").alias("label"))
-    return relabel_by_first_key(lab, keys), model
+                  seed: int = 42, n_init: int = N_INIT) -> tuple[DataFrame, np.ndarray]:
+    """(keys, label) of the best K-means fit, and its centres."""
+    centres = kmeans_grid(df, cols, [k], seed, n_init)[k][1]
+    return nearest_centres(df, cols, centres, keys), centres
+
+
+def nearest_centres(df: DataFrame, cols: Sequence[str], centres: np.ndarray, keys: Sequence[str] = ("TEAM_ID", "SEASON")) -> DataFrame:
+    """(keys, label) by the nearest centre (ties: the first), numbered by the clusters' first keys."""
+    far = [_sq_dist(_vec(cols), c) for c in centres]
+    place = F.array_position(F.array(*far), F.array_min(F.array(*far))) - 1
+    return relabel_by_first_key(materialise(df.select(*keys, place.cast("int").alias("label")), "kmeans"), keys)
 
 
 def bisecting_labels(df: DataFrame, cols: Sequence[str], k: int, keys: Sequence[str] = ("TEAM_ID", "SEASON"),

@@ -141,13 +141,11 @@ def kmeans_k_selection(spark, sf_dir):
     st = Stages(spark, sf_dir)
     data = clustering_table(st)
     cols = TF_FEATURES
-    vec = cluster.assemble(data, cols)
     costs, sils = [(1, cluster.total_sum_of_squares(data, cols))], {}
-    for k in range(2, 11):
-        model = cluster.kmeans_best_of(vec, k)
-        costs.append((k, float(model.summary.trainingCost)))
-        lab = model.transform(vec).select(*cols, F.col("prediction").alias("label"))
-        sils[k] = cluster.silhouette(lab, cols)
+    for k, (cost, centres) in cluster.kmeans_grid(data, cols, range(2, 11)).items():
+        costs.append((k, cost))
+        lab = cluster.nearest_centres(data, cols, centres)
+        sils[k] = cluster.silhouette(data.join(lab, ["TEAM_ID", "SEASON"]), cols)
     rows = [(k, c, sils.get(k)) for k, c in costs]
     t = spark.createDataFrame(rows, "K int, COST double, SILHOUETTE double")
     out = cluster.elbow_choice(t)
@@ -156,12 +154,11 @@ def kmeans_k_selection(spark, sf_dir):
     return round_doubles(out)
 
 
-def elbow_k(st, data) -> int:
-    """The elbow's k for k = 1..10 (k = 1 in closed form)."""
-    vec = cluster.assemble(data, TF_FEATURES)
-    costs = [(1, cluster.total_sum_of_squares(data, TF_FEATURES))]
-    costs += [(k, float(cluster.kmeans_best_of(vec, k).summary.trainingCost)) for k in range(2, 11)]
-    return int(cluster.elbow_choice(st.spark.createDataFrame(costs, "K int, COST double")).first()["SUGGESTED_K"])
+def elbow_fits(st, data) -> tuple[int, dict]:
+    """The elbow's k for k = 1..10 (k = 1 in closed form), and the fits for k = 2..10."""
+    fits = cluster.kmeans_grid(data, TF_FEATURES, range(2, 11))
+    costs = [(1, cluster.total_sum_of_squares(data, TF_FEATURES)), *((k, cost) for k, (cost, _) in fits.items())]
+    return int(cluster.elbow_choice(st.spark.createDataFrame(costs, "K int, COST double")).first()["SUGGESTED_K"]), fits
 
 
 def clustering_table(st):
@@ -172,7 +169,11 @@ def clustering_table(st):
 def kmeans_segments(st, data=None, k: int | None = None):
     """(TEAM_ID, SEASON, label) by K-means, k from the elbow unless given."""
     data = clustering_table(st) if data is None else data
-    labels, _ = cluster.kmeans_labels(data, TF_FEATURES, elbow_k(st, data) if k is None else k)
+    if k is None:
+        k, fits = elbow_fits(st, data)
+        labels = cluster.nearest_centres(data, TF_FEATURES, fits[k][1])
+    else:
+        labels, _ = cluster.kmeans_labels(data, TF_FEATURES, k)
     return materialise(labels, "kmeans_segments")
 
 
@@ -180,7 +181,7 @@ def segmentations(st, k: int | None = None):
     """Labels of K-means, DBSCAN (eps 0.5, 5 rows), Ward agglomeration and PCA + K-means."""
     data = clustering_table(st)
     cols = TF_FEATURES
-    k = elbow_k(st, data) if k is None else k
+    k = elbow_fits(st, data)[0] if k is None else k
     km = kmeans_segments(st, data, k)
     db = density.dbscan(data, cols, ["TEAM_ID", "SEASON"], 0.5, 5).drop("IS_CORE")
     ward = cluster.ward_labels(data, cols, k)
