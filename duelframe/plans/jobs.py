@@ -57,7 +57,7 @@ def engineering(spark: SparkSession, sf_dir: str, out: str) -> None:
 
 
 def clustering(spark: SparkSession, sf_dir: str, out: str, k: int | None = None) -> None:
-    """Three segmentations with their metrics; profile and sentences of the K-means segments."""
+    """Four segmentations with their metrics; profile and sentences of the K-means segments."""
     st = Saved(spark, out)
     data, labels, _ = uns.segmentations(st, k)
     rows = []

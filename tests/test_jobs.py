@@ -20,7 +20,7 @@ def folder(spark, tmp_path_factory):
 @pytest.mark.parametrize("name,rows", [
     ("games_validated", 1408), ("team_features_base", 68), ("game_level_features", 1408), ("games_teams_details", 1408),
     ("clustering_labels_kmeans", 68), ("clustering_labels_agglo", 68), ("clustering_labels_pca_kmeans", 68),
-    ("clustering_evaluation", 3), ("pca_team_features", 68), ("pca_variance", 10), ("anomaly_comparison", 3), ("anomaly_consensus", 68)])
+    ("clustering_labels_dbscan", 68), ("clustering_evaluation", 4), ("pca_team_features", 68), ("pca_variance", 10), ("anomaly_comparison", 3), ("anomaly_consensus", 68)])
 def test_unsupervised_steps(spark, folder, name, rows):
     assert spark.read.parquet(f"{folder}/{name}").count() == rows
 
