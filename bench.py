@@ -3,7 +3,7 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is fully executed with the ``noop`` sink (every row computed,
 nothing collected to the driver), cold: every run reads the input tables
-itself and no cached or saved table of another run is used.  The relational
+itself, and no cached or saved table and no fit of another run is used.  The relational
 queries run a second time on the warmed JVM (``warm``); model queries run
 once.  Prints ONE JSON line; ``value`` is the sum of the
 cold times of the relational queries.
@@ -42,6 +42,7 @@ MODELS = ["segment_gain", "saved_model_scoring"]
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    from duelframe.plans.q_supervised import forget
     from duelframe.plans.registry import load_all
     from duelframe.session import get_session
 
@@ -50,6 +51,7 @@ def main() -> None:
 
     def run(name: str, folder: str) -> float:
         spark.catalog.clearCache()
+        forget()
         t0 = time.perf_counter()
         reg[name].build(spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - t0, 3)

@@ -26,6 +26,7 @@ from duelframe.session import materialise
 WAVES = 200                    # random Fourier features of a kernel model
 WIDTHS = (2.0, 0.5, 0.1, 0.02) # stages of the smoothing width, as shares of a problem's scale
 PASSES = 60                    # most passes over the rows
+LOOSE = 1e-6                   # share of the objective that a step may still gain when a width but the last is left
 
 
 # -- losses: value, first and second derivative in the decision f -------------------
@@ -217,7 +218,8 @@ def minimise(df: DataFrame, features: Sequence[str], problems: list[Problem], la
         for k, (value, gradient, hessian) in got.items():
             if k in move and value > held[k][0] + 1e-4 * step[k] * (held[k][1] @ move[k]) + 1e-12 * abs(held[k][0]):
                 step[k] /= 2
-                if step[k] > 1e-8:
+                # steps that rounding alone turns down are not halved for long
+                if step[k] > (1e-4 if -(held[k][1] @ move[k]) > 1e-8 * max(1.0, abs(held[k][0])) else 0.2):
                     tried[k] = best[k] + step[k] * move[k]
                     continue
                 tried[k] = best[k]                           # no way down is left at this width
@@ -228,9 +230,10 @@ def minimise(df: DataFrame, features: Sequence[str], problems: list[Problem], la
             best[k], held[k] = tried[k], (value, gradient, hessian)
             ease = 1e-10 * (1 + np.trace(hessian) / len(gradient))
             down = -np.linalg.solve(hessian + ease * np.eye(len(gradient)), gradient)
-            if finished or -(gradient @ down) <= tol * max(1.0, abs(value)):
+            last = stage[k] + 1 == len(stages[k])
+            if finished or -(gradient @ down) <= (tol if last else LOOSE) * max(1.0, abs(value)):
                 move.pop(k, None)
-                if stage[k] + 1 < len(stages[k]):
+                if not last:
                     stage[k] += 1                            # the next width starts where this one ended
                     continue
                 open_.discard(k)

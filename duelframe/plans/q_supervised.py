@@ -251,6 +251,14 @@ def regression_report(spark, sf_dir):
     return models.latest_results(spark, root, "regression_report")
 
 
+@query("svr_regressor", "R6 R7")
+def svr_regressor(spark, sf_dir):
+    """Support vector regression for home points over its grid of costs and
+    kernels (linear, RBF by random Fourier features), on the standardised set."""
+    rows, _ = fit_regressors(_regression_parts(spark, sf_dir, "PTS_home"), "PTS_home", ["svr"])
+    return round_doubles(spark.createDataFrame(rows, REG_RESULT), 4)
+
+
 @query("home_win_as_number", "R11")
 def home_win_as_number(spark, sf_dir):
     """The five regressors for the home-win outcome taken as a number."""

@@ -343,7 +343,7 @@ def _detectors(st):
     keys = ["TEAM_ID", "SEASON"]
     return {
         "isolation_forest": anomaly.isolation_forest(data, TF_FEATURES, keys, 100, 256, 0.1, 42),
-        "one_class_rff": anomaly.rff_one_class(data, TF_FEATURES, keys, 0.1),
+        "one_class_svm": anomaly.one_class_svm(data, TF_FEATURES, keys, 0.1),
         "local_outlier_factor": anomaly.local_outliers(data, TF_FEATURES, keys, 20, 0.1),
     }
 
@@ -359,7 +359,17 @@ def isolation_forest_team_seasons(spark, sf_dir):
 
 @query("one_class_team_seasons", "N3")
 def one_class_team_seasons(spark, sf_dir):
-    """RBF-kernel one-class scoring (random Fourier features, nu 0.1)."""
+    """One-class support vector machine (RBF kernel by random Fourier
+    features, nu 0.1) on the standardised team-season features."""
+    from duelframe.operators import anomaly
+    data = standardized_team_features(Stages(spark, sf_dir))
+    return round_doubles(anomaly.one_class_svm(data, TF_FEATURES, ["TEAM_ID", "SEASON"], 0.1))
+
+
+@query("kernel_density_team_seasons", "N3")
+def kernel_density_team_seasons(spark, sf_dir):
+    """Kernel density of the standardised team-seasons (random Fourier
+    features of the RBF kernel); the lowest tenth is anomalous."""
     from duelframe.operators import anomaly
     data = standardized_team_features(Stages(spark, sf_dir))
     return round_doubles(anomaly.rff_one_class(data, TF_FEATURES, ["TEAM_ID", "SEASON"], 0.1))
