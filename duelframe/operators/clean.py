@@ -63,22 +63,13 @@ def impute_median_mode(df: DataFrame) -> DataFrame:
     columns with their mode (smallest value on ties), only in columns that
     hold a NULL.  Booleans are not numeric and stay as they are.
 
-    NULL counts of every column come first (cheap counters); only columns
-    that need filling get an exact median (two bounded passes for all of
-    them) or a mode.
+    The medians' first pass (sketches) counts the NULLs of the numeric
+    columns too; only columns that hold one are followed further.
     """
-    nums = numeric_columns(df)
+    fills = {c: q[0] for c, q in exact_quantiles(df, numeric_columns(df), [0.5], if_null=True).items()}
     strs = string_columns(df)
-    cols = nums + strs
-    if not cols:
-        return df
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n__{i}") for i, c in enumerate(cols)]).first()
-    need = {c for i, c in enumerate(cols) if counts[f"n__{i}"] > 0}
-    fill_nums = [c for c in nums if c in need]
-    fill_strs = [c for c in strs if c in need]
-    if not need:
-        return df
-    fills = {c: q[0] for c, q in exact_quantiles(df, fill_nums, [0.5]).items()}
-    fills |= {c: mode(df, c) for c in fill_strs}
+    if strs:
+        counts = null_counts(df, strs).first()
+        fills |= {c: mode(df, c) for c in strs if counts[c] > 0}
     fills = {c: v for c, v in fills.items() if v is not None}
     return df.fillna(fills) if fills else df

@@ -21,6 +21,9 @@ from duelframe.functions.columns import drop_existing, existing, prefix_columns
 SIDE_STATS = [("FG_PCT", "FG_PCT"), ("FT_PCT", "FT_PCT"), ("FG3_PCT", "FG3_PCT"),
               ("REB", "REB_MEAN"), ("AST", "AST_MEAN")]
 KEY_COLS = ["TEAM_ID", "SEASON"]
+# what side_performance reads of a game
+SIDE_COLUMNS = ["SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "HOME_TEAM_WINS", "POINT_DIFFERENTIAL",
+                *[f"{c}_{side}" for c in ("PTS", *(src for src, _ in SIDE_STATS)) for side in ("home", "away")]]
 
 
 def exact_mean(col: str) -> Column:

@@ -17,6 +17,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+# what the history operators read of a game
+GAME_COLUMNS = ["GAME_ID", "GAME_DATE_EST", "SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "PTS_home", "PTS_away", "HOME_TEAM_WINS"]
+MEETING_COLUMNS = ["GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "HOME_TEAM_WINS"]
+
+
 def side_rows(games: DataFrame, home_col: str = "HOME_TEAM_ID", away_col: str = "VISITOR_TEAM_ID",
               date_col: str = "GAME_DATE_EST", outcome_col: str = "HOME_TEAM_WINS") -> DataFrame:
     """One row per (game, participant): TEAM_ID, OPPONENT_ID, IS_HOME,

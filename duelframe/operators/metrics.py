@@ -9,13 +9,16 @@ sorts all scores.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from duelframe.functions.columns import safe_ratio
+from duelframe.session import materialise
 
 
 def binary_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -44,16 +47,21 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "probability",
     """Area under the ROC curve, ties counted half (Mann-Whitney form).
 
     AUC = sum over distinct scores v of pos(v) * (neg(< v) + neg(v)/2) / (P*N).
-    Counts per distinct score are aggregated first; the cumulative negative
-    count uses a window per (group, score bucket) plus a small window over
-    the bucket totals.  Scores are assumed in [0, 1] for bucketing (any order
-    preserving map works; the result does not depend on the buckets)."""
+    Counts per distinct score are written once; a sketch of the scores cuts
+    them into buckets of about equal size, however crowded they are, and the
+    cumulative negative count uses a window per (group, bucket) plus a small
+    one over the bucket totals.  The result does not depend on the buckets;
+    NULL scores count as lowest, NaN as highest."""
     g = list(group)
-    s = F.col(score).cast("double")
-    per_v = pred.groupBy(*g, s.alias("__v")).agg(
-        F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) != 1).alias("__neg"))
-    b = F.least(F.greatest(F.floor(F.col("__v") * F.lit(buckets)), F.lit(0)), F.lit(buckets - 1)).cast("int")
-    per_v = per_v.withColumn("__b", b)
+    per_v = materialise(pred.groupBy(*g, F.col(score).cast("double").alias("__v")).agg(
+        F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) != 1).alias("__neg")), "scores")
+    cuts = per_v.agg(F.percentile_approx("__v", [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0] or []
+    splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+    if len(splits) > 2:
+        per_v = Bucketizer(splits=splits, inputCol="__s", outputCol="__b", handleInvalid="keep").transform(
+            per_v.withColumn("__s", F.coalesce("__v", F.lit(-math.inf)))).drop("__s")
+    else:
+        per_v = per_v.withColumn("__b", F.lit(0.0))
     inner = W.partitionBy(*g, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
     per_v = per_v.withColumn("__neg_before_in_b", F.coalesce(F.sum("__neg").over(inner), F.lit(0)))
     totals = per_v.groupBy(*g, "__b").agg(F.sum("__neg").alias("__bneg"))

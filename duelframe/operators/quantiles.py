@@ -1,9 +1,10 @@
 """Exact quantiles and modes without gathering all distinct values in one task.
 
-Quantiles take two passes.  ``percentile_approx`` (bounded sketches, merged)
-brackets each wanted rank; the second pass counts what lies below a bracket
-and the values inside it, about ``2 / accuracy`` of the rows, and the exact
-rank is read off there.  A bracket that misses its rank is widened.
+``percentile_approx`` (bounded sketches, merged) brackets each wanted rank;
+a second pass counts the rows below and inside every bracket.  A bracket of
+one value is the answer; one of at most ``READ`` rows is read off in a third
+pass; a wider one is sketched again between its ends, and one that misses its
+rank is drawn wider.  So no task ever holds more than ``READ`` rows.
 """
 
 from __future__ import annotations
@@ -16,55 +17,108 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+READ = 100_000
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY,
+                    read: int = READ, if_null: bool = False) -> dict[str, list[float | None]]:
     """Interpolated quantiles (position ``p * (n - 1)``) of every column;
-    NULLs are ignored, a column without values gives None."""
+    NULLs are ignored, a column without values gives None.  ``if_null``:
+    only of the columns that hold a NULL, found by the same first pass."""
     if not cols:
         return {}
     data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    eps = 2.0 / accuracy
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
-    todo = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
-    while todo:
-        edges = [min(max(p + s * eps, 0.0), 1.0) for p in probs for s in (-1, 1)]
-        open_cols = sorted({i for i, _ in todo})
-        row = data.agg(*[x for i in open_cols for x in (
-            F.count(f"c{i}").alias(f"n{i}"),
-            F.percentile_approx(f"c{i}", F.array(*[F.lit(e) for e in edges]), accuracy).alias(f"q{i}"))]).first()
-        want = []                                       # (column, probability, low, high, rank)
-        for i, j in todo:
-            n = row[f"n{i}"]
-            if n:
-                at = probs[j] * (n - 1)
-                lo, hi = row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1]
-                want += [(i, j, float(lo), float(hi), k) for k in sorted({math.floor(at), math.ceil(at)})]
-        found = _ranks(data, want) if want else {}
-        left = []
-        for i, j in todo:
-            n = row[f"n{i}"]
-            if not n:
-                continue
-            at = probs[j] * (n - 1)
-            a, b = found.get((i, j, math.floor(at))), found.get((i, j, math.ceil(at)))
-            if a is None or b is None:
-                left.append((i, j))
+    edges = _edges(probs, 2.0 / accuracy)
+    row = data.agg(F.count(F.lit(1)).alias("n"), *[x for i in range(len(cols)) for x in (
+        F.count(f"c{i}").alias(f"n{i}"), F.percentile_approx(f"c{i}", edges, accuracy).alias(f"q{i}"))]).first()
+    chosen = [i for i in range(len(cols)) if not if_null or row[f"n{i}"] < row["n"]]
+    open_ranks: dict[tuple[int, int], tuple[float, float]] = {}         # (column, rank) -> bracket
+    for i in chosen:
+        for j, p in enumerate(probs if row[f"n{i}"] else ()):
+            at = p * (row[f"n{i}"] - 1)
+            for k in {math.floor(at), math.ceil(at)}:
+                open_ranks[i, k] = _bracket(row[f"q{i}"], j)
+    found = _find(data, open_ranks, accuracy, read) if open_ranks else {}
+    out: dict[str, list[float | None]] = {}
+    for i in chosen:
+        n = row[f"n{i}"]
+        out[cols[i]] = [_between(found, i, p * (n - 1)) if n else None for p in probs]
+    return out
+
+
+def _between(found: dict[tuple[int, int], float], i: int, at: float) -> float:
+    a, b = found[i, math.floor(at)], found[i, math.ceil(at)]
+    return a if a == b else a + (b - a) * (at - math.floor(at))
+
+
+def _bracket(sketch: Sequence[float], j: int) -> tuple[float, float]:
+    """The ends round probability ``j``; NaN sorts above all numbers."""
+    lo, hi = sketch[2 * j], sketch[2 * j + 1]
+    return (-math.inf, math.inf) if math.isnan(lo) else (lo, math.inf if math.isnan(hi) else hi)
+
+
+def _edges(probs: Sequence[float], eps: float):
+    return F.array(*[F.lit(float(min(max(p + s * eps, 0.0), 1.0))) for p in probs for s in (-1, 1)])
+
+
+def _find(data: DataFrame, open_ranks: dict[tuple[int, int], tuple[float, float]], accuracy: int,
+          read: int) -> dict[tuple[int, int], float]:
+    """The value at each 0-based rank of its column, from a first bracket."""
+    found: dict[tuple[int, int], float] = {}
+    while open_ranks:
+        spans = sorted({(i, lo, hi) for (i, _), (lo, hi) in open_ranks.items()})
+        counts = data.agg(*[x for m, (i, lo, hi) in enumerate(spans) for x in (
+            F.count_if(F.col(f"c{i}") < lo).alias(f"b{m}"), F.count_if(F.col(f"c{i}").between(lo, hi)).alias(f"w{m}"))]).first()
+        size = {s: (counts[f"b{m}"], counts[f"w{m}"]) for m, s in enumerate(spans)}
+        near: list[tuple[int, float, float, int, int]] = []
+        again: dict[tuple[int, int], tuple[float, float]] = {}
+        narrow: dict[tuple[int, float, float], list[int]] = {}
+        for (i, k), (lo, hi) in open_ranks.items():
+            below, within = size[i, lo, hi]
+            if k < below:
+                again[i, k] = (-math.inf, math.nextafter(lo, -math.inf))
+            elif k >= below + within and hi == math.inf:
+                found[i, k] = math.nan
+            elif k >= below + within:
+                again[i, k] = (math.nextafter(hi, math.inf), math.inf)
+            elif lo == hi:
+                found[i, k] = lo
+            elif within <= read:
+                near.append((i, lo, hi, k - below, k))
             else:
-                out[cols[i]][j] = a + (b - a) * (at - math.floor(at))
-        todo, eps = left, min(1.0, eps * 16)
+                narrow.setdefault((i, lo, hi), []).append(k)
+        if near:
+            found |= _ranks(data, near)
+        if narrow:
+            again |= _narrower(data, narrow, size, accuracy)
+        open_ranks = again
+    return found
+
+
+def _narrower(data: DataFrame, narrow: dict[tuple[int, float, float], list[int]],
+              size: dict[tuple[int, float, float], tuple[int, int]], accuracy: int) -> dict[tuple[int, int], tuple[float, float]]:
+    """Brackets of the same ranks from sketches of what lies inside the old ones."""
+    spans = list(narrow.items())
+    row = data.agg(*[F.percentile_approx(
+        F.when(F.col(f"c{i}").between(lo, hi), F.col(f"c{i}")),
+        _edges([(k - size[i, lo, hi][0]) / size[i, lo, hi][1] for k in ks], 2.0 / accuracy), accuracy).alias(f"q{m}")
+        for m, ((i, lo, hi), ks) in enumerate(spans)]).first()
+    out = {}
+    for m, ((i, lo, hi), ks) in enumerate(spans):
+        for j, k in enumerate(ks):
+            new = _bracket(row[f"q{m}"], j)
+            if new == (lo, hi):             # heavy values at both ends: their middle parts them
+                mid = 0.0 if lo < 0 < hi else lo / 2 + hi / 2
+                new = (lo, mid) if lo < mid < hi else (lo, lo)
+            out[i, k] = new
     return out
 
 
-def _ranks(data: DataFrame, want: list[tuple[int, int, float, float, int]]) -> dict[tuple[int, int, int], float]:
-    """Values at 0-based ranks that lie within [low, high] of their column."""
-    brackets = {(i, lo, hi) for i, _, lo, hi, _ in want}
-    below = data.agg(*[F.count_if(F.col(f"c{i}") < lo).alias(f"b{k}") for k, (i, lo, hi) in enumerate(sorted(brackets))]).first()
-    under = {b: below[f"b{k}"] for k, b in enumerate(sorted(brackets))}
-    by_col: dict[int, list[tuple[float, float]]] = {}
-    for i, lo, hi in brackets:
-        by_col.setdefault(i, []).append((lo, hi))
+def _ranks(data: DataFrame, near: list[tuple[int, float, float, int, int]]) -> dict[tuple[int, int], float]:
+    """Values at ranks counted from the low end of brackets of a bounded size."""
+    by_col: dict[int, set[tuple[float, float]]] = {}
+    for i, lo, hi, _, _ in near:
+        by_col.setdefault(i, set()).add((lo, hi))
 
     def inside(i: int, spans):
         hit = F.lit(False)
@@ -74,13 +128,11 @@ def _ranks(data: DataFrame, want: list[tuple[int, int, float, float, int]]) -> d
 
     kept = data.select(F.explode(F.filter(F.array(*[inside(i, s) for i, s in by_col.items()]), lambda x: x.isNotNull())).alias("x"))
     counts = kept.groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
-    ranks = data.sparkSession.createDataFrame(
-        [(i, j, lo, hi, k - under[(i, lo, hi)], k) for i, j, lo, hi, k in want],
-        "i int, j int, lo double, hi double, at long, k long")
+    ranks = data.sparkSession.createDataFrame(near, "i int, lo double, hi double, at long, k long")
     met = counts.join(F.broadcast(ranks), "i").where("v between lo and hi")        # ranks: two rows a quantile
-    upto = F.sum("n").over(W.partitionBy("i", "j", "k").orderBy("v"))
+    upto = F.sum("n").over(W.partitionBy("i", "k").orderBy("v"))
     rows = met.withColumn("upto", upto).where("at >= upto - n and at < upto").collect()
-    return {(r["i"], r["j"], r["k"]): r["v"] for r in rows}
+    return {(r["i"], r["k"]): r["v"] for r in rows}
 
 
 def mode(df: DataFrame, col: str):

@@ -7,6 +7,7 @@ stages as DuckDB CTE text, composed with ``sql_with``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,16 +34,21 @@ def sql_round(cols, digits: int = ROUND) -> str:
 
 
 class Stages:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """The engineering stages of one folder.  ``columns``: the game columns
+    that the query reads (None: all); no others are written or imputed."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None):
         self.spark = spark
         self.c = Contest(spark, sf_dir)
+        self.columns = columns
 
     @cached_property
     def games_cleaned(self) -> DataFrame:
         # fan-out point: the median pass, both side aggregations and the
         # game-level joins all read it, so it is written once to the shared
         # folder; readers prune its columns and plans stay shallow
-        return materialise(clean.clean_games(self.c.games), "games_cleaned")
+        games = clean.clean_games(self.c.games)
+        return materialise(games.select(*dict.fromkeys(self.columns)) if self.columns else games, "games_cleaned")
 
     @cached_property
     def games_validated(self) -> DataFrame:

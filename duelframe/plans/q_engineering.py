@@ -48,7 +48,7 @@ def details_cleaned(spark, sf_dir):
 def team_features_base(spark, sf_dir):
     """Per (team, season): home and away performance (inner join), home
     advantage differences, name and city."""
-    return round_doubles(Stages(spark, sf_dir).team_features)
+    return round_doubles(Stages(spark, sf_dir, contest.SIDE_COLUMNS).team_features)
 
 
 _GL_DOUBLES = (GAME_DOUBLES + DERIVED_DOUBLES

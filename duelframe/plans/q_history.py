@@ -25,7 +25,7 @@ WINDOW w AS (PARTITION BY TEAM_ID, SEASON ORDER BY GAME_DATE_EST, GAME_ID ROWS B
 def recent_form(spark, sf_dir):
     """Each side's win share and points over its previous five games of the
     season, for every game it plays."""
-    return round_doubles(history.recent_form(Stages(spark, sf_dir).games_validated, n=5))
+    return round_doubles(history.recent_form(Stages(spark, sf_dir, history.GAME_COLUMNS).games_validated, n=5))
 
 
 _STD_SQL = """
@@ -50,7 +50,7 @@ LEFT JOIN std a ON a.GAME_ID = g.GAME_ID AND a.IS_HOME = 0
 def leak_free_game_features(spark, sf_dir):
     """Each game with both sides' season-to-date win share and points from
     earlier games only (the honest feature set)."""
-    return round_doubles(history.leak_free_game_features(Stages(spark, sf_dir).games_validated))
+    return round_doubles(history.leak_free_game_features(Stages(spark, sf_dir, history.GAME_COLUMNS).games_validated))
 
 
 @query("head_to_head", "Z2", sql=sql_with("""
@@ -66,4 +66,4 @@ FROM (SELECT *, count(*) OVER w AS H2H_GAMES, coalesce(sum(low_won) OVER w, 0) A
 def head_to_head(spark, sf_dir):
     """Per game: earlier meetings of the two sides and the home side's wins
     in them."""
-    return history.head_to_head(Stages(spark, sf_dir).games_validated)
+    return history.head_to_head(Stages(spark, sf_dir, history.MEETING_COLUMNS).games_validated)

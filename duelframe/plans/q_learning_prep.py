@@ -27,7 +27,7 @@ def standardized_team_features(st: Stages):
 def clustering_input(spark, sf_dir):
     """The 23 team-season features, NULLs filled by the median, standardised
     with the population std (constant column -> 0); keys kept."""
-    return round_doubles(standardized_team_features(Stages(spark, sf_dir)))
+    return round_doubles(standardized_team_features(Stages(spark, sf_dir, contest.SIDE_COLUMNS)))
 
 
 # Segments for the oracle-checked feature queries: team-seasons whose home
@@ -49,7 +49,7 @@ def edge_segments(st: Stages):
     extra=[("seg", SEGMENT_SQL)]))
 def team_segment_map(spark, sf_dir):
     """Team -> segment of its latest season (last season wins)."""
-    return cf.team_cluster_map(edge_segments(Stages(spark, sf_dir)))
+    return cf.team_cluster_map(edge_segments(Stages(spark, sf_dir, contest.SIDE_COLUMNS)))
 
 
 _NUM_TF = ["HOME_PTS_MEAN", "HOME_PTS_STD", "HOME_GAMES_COUNT", "HOME_FG_PCT", "HOME_FT_PCT", "HOME_FG3_PCT",

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duelframe.functions.columns import round_even
-from duelframe.operators import metrics
+from duelframe.operators import contest, metrics
 from duelframe.plans.base import Stages, round_doubles, sql_with
 from duelframe.plans.registry import query
 
@@ -50,6 +50,9 @@ REG_PRED_SQL = " UNION ALL ".join(
     for t, y, m, e in REG_RULES)
 
 
+RULE_COLUMNS = ["GAME_ID", *contest.SIDE_COLUMNS]       # the games' columns that the rules and their features read
+
+
 def cls_predictions(st: Stages):
     g = st.game_features.where(F.col("WIN_PCT_DIFF").isNotNull() & F.col("PTS_DIFF_HIST").isNotNull())
     rules = []                                          # all rules in one projection: the features are read once
@@ -87,7 +90,7 @@ FROM (SELECT MODEL, ORDINAL, CAST(count_if(label = 1 AND prediction = 1) AS DOUB
 @query("classification_scores", "V1 L9", sql=_sw(_SCORES_SQL))
 def classification_scores(spark, sf_dir):
     """Accuracy, precision, recall, F1 of each baseline home-win rule."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, RULE_COLUMNS)
     return round_doubles(metrics.classification_scores(cls_predictions(st), group=["MODEL", "ORDINAL"]))
 
 
@@ -104,7 +107,7 @@ GROUP BY MODEL
 @query("classification_auc", "V2", sql=_sw(_AUC_SQL))
 def classification_auc(spark, sf_dir):
     """ROC AUC (ties half) of each baseline rule's probability."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, RULE_COLUMNS)
     return round_doubles(metrics.roc_auc(cls_predictions(st), group=["MODEL"]))
 
 
@@ -130,7 +133,7 @@ SELECT CLASS, round_even(PRECISION, 6) AS PRECISION, round_even(RECALL, 6) AS RE
 def classification_report(spark, sf_dir):
     """Per-class precision/recall/F1/support and macro/weighted rows of the
     win-share rule."""
-    p = cls_predictions(Stages(spark, sf_dir)).where(F.col("MODEL") == "win_share_diff")
+    p = cls_predictions(Stages(spark, sf_dir, RULE_COLUMNS)).where(F.col("MODEL") == "win_share_diff")
     return round_doubles(metrics.classification_report(p))
 
 
@@ -139,7 +142,7 @@ SELECT label AS LABEL, count_if(prediction = 0) AS PRED_0, count_if(prediction =
 FROM cp WHERE MODEL = 'win_share_diff' GROUP BY label"""))
 def confusion_matrix(spark, sf_dir):
     """Confusion matrix (true class x predicted class) of the win-share rule."""
-    p = cls_predictions(Stages(spark, sf_dir)).where(F.col("MODEL") == "win_share_diff")
+    p = cls_predictions(Stages(spark, sf_dir, RULE_COLUMNS)).where(F.col("MODEL") == "win_share_diff")
     return metrics.confusion_matrix(p)
 
 
@@ -158,7 +161,7 @@ FROM best, b
 def best_classifier_lift(spark, sf_dir):
     """Best rule by accuracy (ties: first declared), majority-class baseline
     and relative lift in percent."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, RULE_COLUMNS)
     preds = cls_predictions(st)
     scores = round_doubles(metrics.classification_scores(preds, group=["MODEL", "ORDINAL"]))
     best = metrics.best_by(scores, "MODEL", "ACCURACY")
@@ -180,7 +183,7 @@ FROM s a JOIN s b ON a.MODEL = 'win_share_diff' AND b.MODEL = 'home_always'""".f
 def rule_comparison(spark, sf_dir):
     """Accuracy gain of the win-share rule over the always-home rule, in
     points and percent, with the improvement verdict."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, RULE_COLUMNS)
     s = round_doubles(metrics.classification_scores(cls_predictions(st), group=["MODEL", "ORDINAL"]))
     j = s.agg(F.max(F.when(F.col("MODEL") == "win_share_diff", F.col("ACCURACY"))).alias("WITH"),
               F.max(F.when(F.col("MODEL") == "home_always", F.col("ACCURACY"))).alias("WITHOUT"))
@@ -201,7 +204,7 @@ FROM (SELECT TARGET, MODEL, count(*) AS n, sum((label - prediction) * (label - p
 @query("regression_scores", "V5 R8", sql=_sw(_REG_SQL))
 def regression_scores(spark, sf_dir):
     """R2, MAE, MSE, RMSE of each baseline rule for the three targets."""
-    return round_doubles(metrics.regression_scores(reg_predictions(Stages(spark, sf_dir)),
+    return round_doubles(metrics.regression_scores(reg_predictions(Stages(spark, sf_dir, RULE_COLUMNS)),
                                                    group=["TARGET", "MODEL"]))
 
 
@@ -213,7 +216,7 @@ SELECT MODEL,
 FROM ({reg}) GROUP BY MODEL""".format(reg=_REG_SQL.strip())))
 def r2_models_by_target(spark, sf_dir):
     """R2 pivoted: one row per model, one column per target."""
-    s = round_doubles(metrics.regression_scores(reg_predictions(Stages(spark, sf_dir)), group=["TARGET", "MODEL"]))
+    s = round_doubles(metrics.regression_scores(reg_predictions(Stages(spark, sf_dir, RULE_COLUMNS)), group=["TARGET", "MODEL"]))
     return s.groupBy("MODEL").pivot("TARGET", ["away_weakness", "local_strength", "point_differential"]).agg(
         F.first("R2"))
 
@@ -226,7 +229,7 @@ GROUP BY HOME_TEAM_ID HAVING count(*) >= 5"""))
 def prediction_ranking_by_team(spark, sf_dir):
     """Per home side: mean, count and std of its predicted home points
     (sides with at least five games), rounded to 2 digits."""
-    p = reg_predictions(Stages(spark, sf_dir)).where(
+    p = reg_predictions(Stages(spark, sf_dir, RULE_COLUMNS)).where(
         (F.col("TARGET") == "local_strength") & (F.col("MODEL") == "season_mean"))
     r = p.groupBy(F.col("HOME_TEAM_ID").alias("TEAM_ID")).agg(
         round_even(F.avg("prediction"), 2).alias("PRED_MEAN"), F.count(F.lit(1)).alias("GAMES"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duelframe.functions.columns import round_even
-from duelframe.operators import profile, quality, reports
+from duelframe.operators import contest, profile, quality, reports
 from duelframe.plans.base import DERIVED_DOUBLES, GAME_DOUBLES, TF_FEATURES, Stages, round_doubles, sql_with
 from duelframe.plans.registry import query
 
@@ -77,7 +77,7 @@ def _corr_sql():
 @query("correlation_matrix_games", "A14", sql=sql_with(_corr_sql(), upto="gv"))
 def correlation_matrix_games(spark, sf_dir):
     """Pearson correlation of every pair of numeric games columns (long form)."""
-    out = profile.correlation_long(Stages(spark, sf_dir).games_validated, _CORR_COLS)
+    out = profile.correlation_long(Stages(spark, sf_dir, _CORR_COLS).games_validated, _CORR_COLS)
     return out.withColumn("CORR", round_even("CORR", 4))
 
 
@@ -108,13 +108,13 @@ GROUP BY BIN, lo, w"""
 @query("histogram_point_differential", "A16", sql=sql_with(_hist_sql("POINT_DIFFERENTIAL", 50), upto="gv"))
 def histogram_point_differential(spark, sf_dir):
     """50-bin fixed-width histogram of the point differential."""
-    return round_doubles(profile.histogram(Stages(spark, sf_dir).games_validated, "POINT_DIFFERENTIAL", 50))
+    return round_doubles(profile.histogram(Stages(spark, sf_dir, ["POINT_DIFFERENTIAL"]).games_validated, "POINT_DIFFERENTIAL", 50))
 
 
 @query("histogram_pts_home", "A16", sql=sql_with(_hist_sql("PTS_home", 30), upto="gv"))
 def histogram_pts_home(spark, sf_dir):
     """30-bin fixed-width histogram of home points."""
-    return round_doubles(profile.histogram(Stages(spark, sf_dir).games_validated, "PTS_home", 30))
+    return round_doubles(profile.histogram(Stages(spark, sf_dir, ["PTS_home"]).games_validated, "PTS_home", 30))
 
 
 _KDE_SQL = """
@@ -130,7 +130,7 @@ GROUP BY POINT, X, h, n
 @query("kde_pts_home", "A17", sql=sql_with(_KDE_SQL, upto="gv"))
 def kde_pts_home(spark, sf_dir):
     """Gaussian kernel density of home points on a 200-point grid."""
-    return round_doubles(profile.kde_grid(Stages(spark, sf_dir).games_validated, "PTS_home"))
+    return round_doubles(profile.kde_grid(Stages(spark, sf_dir, ["PTS_home"]).games_validated, "PTS_home"))
 
 
 @query("box_stats_point_differential", "A19 Z4", sql=sql_with("""
@@ -142,7 +142,7 @@ FROM (SELECT quantile_cont(POINT_DIFFERENTIAL, 0.25) AS q1, quantile_cont(POINT_
              quantile_cont(POINT_DIFFERENTIAL, 0.75) AS q3 FROM gv)""", upto="gv"))
 def box_stats_point_differential(spark, sf_dir):
     """Quartiles, 1.5 IQR fences and outlier counts of the differential."""
-    return round_doubles(profile.box_stats(Stages(spark, sf_dir).games_validated, "POINT_DIFFERENTIAL"))
+    return round_doubles(profile.box_stats(Stages(spark, sf_dir, ["POINT_DIFFERENTIAL"]).games_validated, "POINT_DIFFERENTIAL"))
 
 
 @query("zscore_outliers_total_points", "Z4", sql=sql_with("""
@@ -159,7 +159,7 @@ def zscore_outliers_total_points(spark, sf_dir):
     "SELECT SEASON AS VALUE, count(*) AS COUNT FROM gv GROUP BY SEASON", upto="gv"))
 def season_counts(spark, sf_dir):
     """Games per season (countplot data)."""
-    return profile.value_counts(Stages(spark, sf_dir).games_validated, "SEASON")
+    return profile.value_counts(Stages(spark, sf_dir, ["SEASON"]).games_validated, "SEASON")
 
 
 @query("home_win_share_by_season", "A4 P23", sql=sql_with(
@@ -167,7 +167,7 @@ def season_counts(spark, sf_dir):
     upto="gv"))
 def home_win_share_by_season(spark, sf_dir):
     """Home-win percentage per season."""
-    return round_doubles(reports.share_by(Stages(spark, sf_dir).games_validated, "SEASON", "HOME_TEAM_WINS",
+    return round_doubles(reports.share_by(Stages(spark, sf_dir, ["SEASON", "HOME_TEAM_WINS"]).games_validated, "SEASON", "HOME_TEAM_WINS",
                                           "HOME_WIN_PCT"))
 
 
@@ -180,7 +180,7 @@ _TV_COLS = [c for c in TF_FEATURES]
         for i, c in enumerate(_TV_COLS)]) + ") ORDER BY VARIANCE DESC, POS LIMIT 5", upto="tf"))
 def top_variance_team_features(spark, sf_dir):
     """The five team-season features with the largest sample variance."""
-    return round_doubles(profile.top_variance(Stages(spark, sf_dir).team_features, _TV_COLS))
+    return round_doubles(profile.top_variance(Stages(spark, sf_dir, contest.SIDE_COLUMNS).team_features, _TV_COLS))
 
 
 def _nulls_sql(table, cols):

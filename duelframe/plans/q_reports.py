@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duelframe.functions.columns import round_even
-from duelframe.operators import reports
+from duelframe.operators import contest, reports
 from duelframe.plans.base import Stages, round_doubles, sql_round, sql_with
 from duelframe.plans.registry import query
 
@@ -26,7 +26,7 @@ ORDER BY m.AWAY_WIN_PCT, m.TEAM_ID LIMIT 10
 def weakest_away_teams(spark, sf_dir):
     """Ten sides with the lowest all-season away win share, with names and
     home-minus-away differences (the flagship query)."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     return round_doubles(reports.weakest_away(st.team_features, _names(st), k=10))
 
 
@@ -95,7 +95,7 @@ ORDER BY round_even(m.METRIC_MEAN, 3) DESC, m.TEAM_ID LIMIT 10""", upto="tf"))
 def quick_team_ranking(spark, sf_dir):
     """Rank sides on the first feature whose name holds WIN or PCT (chosen
     from the schema), rounded to 3 digits, top ten, with names."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     feats = st.team_features
     r = reports.quick_ranking(feats.withColumn("__x", F.lit(0)).drop("__x"))
     r = r.withColumn("METRIC_MEAN", round_even("METRIC_MEAN", 3))
@@ -112,7 +112,7 @@ FROM tf GROUP BY TEAM_ID""", upto="tf"))
 def team_overview(spark, sf_dir):
     """All-season means of home/away win share and points per side, with
     home-minus-away differences."""
-    return round_doubles(reports.entity_overview(Stages(spark, sf_dir).team_features))
+    return round_doubles(reports.entity_overview(Stages(spark, sf_dir, contest.SIDE_COLUMNS).team_features))
 
 
 def _first_team(st):
@@ -127,7 +127,7 @@ WHERE SEASON = (SELECT max(SEASON) FROM one)""", upto="tf"))
 def team_season_filter(spark, sf_dir):
     """One side's games by season under the dashboard's two filters: all
     seasons, and one season (its latest)."""
-    f = Stages(spark, sf_dir).team_features.select("TEAM_ID", "SEASON", "HOME_GAMES_COUNT", "AWAY_GAMES_COUNT")
+    f = Stages(spark, sf_dir, contest.SIDE_COLUMNS).team_features.select("TEAM_ID", "SEASON", "HOME_GAMES_COUNT", "AWAY_GAMES_COUNT")
     first = f.agg(F.min("TEAM_ID").alias("t"), F.min_by("SEASON", F.struct("TEAM_ID", -F.col("SEASON"))).alias("s")).first()
     parts = [reports.filter_entity(f, first["t"], season).withColumn("SCOPE", F.lit(scope))
              for scope, season in (("all", "all"), ("latest", first["s"]))]
@@ -144,7 +144,7 @@ _TVL_COLS = ["HOME_WIN_PCT", "AWAY_WIN_PCT", "HOME_PTS_MEAN", "AWAY_PTS_MEAN"]
 def team_vs_league(spark, sf_dir):
     """One side's means (the lowest id present) next to the league means,
     as two rows."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     return round_doubles(reports.entity_vs_league(st.team_features, _first_team(st), _TVL_COLS))
 
 
@@ -155,7 +155,7 @@ SELECT TEAM_ID, SEASON, round_even(HOME_WIN_PCT, 6) AS HOME_WIN_PCT, round_even(
 FROM tf QUALIFY row_number() OVER (PARTITION BY TEAM_ID ORDER BY SEASON DESC) = 1""", upto="tf"))
 def latest_season_per_team(spark, sf_dir):
     """Each side's latest season row (dashboard metric tiles)."""
-    f = Stages(spark, sf_dir).team_features.select(
+    f = Stages(spark, sf_dir, contest.SIDE_COLUMNS).team_features.select(
         "TEAM_ID", "SEASON", "HOME_WIN_PCT", "AWAY_WIN_PCT", "HOME_PTS_MEAN", "AWAY_PTS_MEAN",
         "HOME_ADVANTAGE_PTS", "HOME_PT_DIFF_MEAN")
     return round_doubles(reports.latest_per_entity(f))
@@ -167,7 +167,7 @@ SELECT TEAM_ID, SEASON, round_even(HOME_WIN_PCT, 6) AS HOME_WIN_PCT, round_even(
 FROM tf WHERE TEAM_ID = (SELECT min(TEAM_ID) FROM tf) ORDER BY SEASON""", upto="tf"))
 def team_trend(spark, sf_dir):
     """One side's (lowest id present) win shares and points by season."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     return round_doubles(reports.entity_trend(st.team_features, _first_team(st), _TVL_COLS))
 
 
@@ -215,7 +215,7 @@ def fixture_win_probability(spark, sf_dir):
     """Home-win blend and verdict for every (home, visitor) pairing that
     occurs in the games, from each side's first season row.  Pairs come from
     the fixtures (equi-joins), never from an all-pairs product."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     first = reports.latest_per_entity(st.team_features.select("TEAM_ID", "SEASON", "HOME_WIN_PCT", "AWAY_WIN_PCT"),
                                       earliest=True)
     pairs = st.games_validated.select("HOME_TEAM_ID", "VISITOR_TEAM_ID").distinct()
@@ -243,7 +243,7 @@ def best_home_worst_away(spark, sf_dir):
     """Per side over all games: home and away win share, points for and
     against on each side (best-home / worst-away report)."""
     from duelframe.operators import history
-    return round_doubles(history.home_away_record(Stages(spark, sf_dir).games_validated))
+    return round_doubles(history.home_away_record(Stages(spark, sf_dir, contest.SIDE_COLUMNS).games_validated))
 
 
 @query("min_games_team_seasons", "F3 Z3", sql=sql_with("""

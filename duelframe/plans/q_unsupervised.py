@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from duelframe.functions.columns import round_even
-from duelframe.operators import cluster, density
+from duelframe.operators import cluster, contest, density
 from duelframe.plans.base import TF_FEATURES, Stages, round_doubles, sql_with
 from duelframe.plans.q_learning_prep import SEGMENT_SQL, edge_segments, standardized_team_features
 from duelframe.plans.registry import query
@@ -108,7 +108,7 @@ def elbow_of_binned_costs(spark, sf_dir):
     """Elbow over a cost curve without a fit: within-bin sums of squares of the
     point differential for 1 to 10 equal bins of [-200, 200]; drops, second
     differences and the suggested k."""
-    x = Stages(spark, sf_dir).games_validated.select(F.col("POINT_DIFFERENTIAL").alias("x"))
+    x = Stages(spark, sf_dir, contest.SIDE_COLUMNS).games_validated.select(F.col("POINT_DIFFERENTIAL").alias("x"))
     bins = F.array(*[F.struct(F.lit(k).alias("K"), F.least(F.floor((F.col("x") + 200) / 400 * k), F.lit(k - 1)).alias("b"))
                      for k in range(1, 11)])
     per = x.select("x", F.inline(bins)).groupBy("K", "b").agg(
@@ -126,7 +126,7 @@ def variance_shares(spark, sf_dir):
     """Team-season features by their share of the total variance, with the
     running sum that principal components use too."""
     from duelframe.operators import profile
-    top = profile.top_variance(Stages(spark, sf_dir).team_features, TF_FEATURES, len(TF_FEATURES))
+    top = profile.top_variance(Stages(spark, sf_dir, contest.SIDE_COLUMNS).team_features, TF_FEATURES, len(TF_FEATURES))
     place = F.row_number().over(W.orderBy(F.col("VARIANCE").desc(), "POS"))          # one row a feature
     total = F.sum("VARIANCE").over(W.partitionBy(F.lit(0)))
     shares = top.select(place.alias("PC"), F.col("COLUMN").alias("FEATURE"), (F.col("VARIANCE") / total).alias("VARIANCE_SHARE"))
@@ -138,7 +138,7 @@ def kmeans_k_selection(spark, sf_dir):
     """Elbow (cost for k = 1..10, drops, second differences, suggested k)
     and Euclidean silhouette for k = 2..10 on the team-season clustering
     input."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     data = clustering_table(st)
     cols = TF_FEATURES
     costs, sils = [(1, cluster.total_sum_of_squares(data, cols))], {}
@@ -197,7 +197,7 @@ def segmentation_evaluation(spark, sf_dir):
     """K-means, DBSCAN, Ward agglomeration and PCA(95 %) + K-means (k from the
     elbow): cluster and noise counts, Euclidean silhouette, Calinski-Harabasz,
     Davies-Bouldin and the best algorithm by silhouette (ties: declared order)."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     data, labs, k = segmentations(st)
     rows = []
     for i, (name, lab) in enumerate(labs.items()):
@@ -213,14 +213,14 @@ def segmentation_evaluation(spark, sf_dir):
 @query("ward_team_segments", "K6 J10")
 def ward_team_segments(spark, sf_dir):
     """Team-season features with their segment by Ward agglomeration (four segments)."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     return round_doubles(st.team_features.join(cluster.ward_labels(clustering_table(st), TF_FEATURES, 4), ["TEAM_ID", "SEASON"]))
 
 
 @query("kmeans_team_segments", "K4 J10")
 def kmeans_team_segments(spark, sf_dir):
     """Team-season features with their K-means segment (k from the elbow)."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     return round_doubles(st.team_features.join(kmeans_segments(st), ["TEAM_ID", "SEASON"]))
 
 
@@ -229,7 +229,7 @@ def pca_team_features(spark, sf_dir):
     """PCA (10 components) of the standardised team-season features:
     per component the variance share, running share, and the five largest
     loadings (component x sqrt(eigenvalue))."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     data = clustering_table(st)
     p = cluster.pca(data, TF_FEATURES, 10)
     pcs = [f"PC_{i + 1}" for i in range(p.n_components)]
@@ -246,7 +246,7 @@ def pca_team_features(spark, sf_dir):
 def pca_scores_joined(spark, sf_dir):
     """Team-season features with the first ten principal-component scores
     and the total explained variance."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     data = clustering_table(st)
     p = cluster.pca(data, TF_FEATURES, 10)
     total = p.variance.agg(F.sum("VARIANCE_SHARE")).first()[0]
@@ -260,7 +260,7 @@ def method_comparison(spark, sf_dir):
     percent of the variance and the configured ten, each with its measured
     share and an advice that follows from it.  Single-machine embeddings have
     no distributed form and are not offered."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     variance = cluster.pca(standardized_team_features(st), TF_FEATURES, len(TF_FEATURES)).variance
     first = [F.min(F.when(F.col("CUMULATIVE") >= share, F.col("PC"))).alias(f"c{i}") for i, share in enumerate((0.8, 0.9, 0.95))]
     wanted = variance.agg(*first).select(F.inline(F.array(*[
@@ -296,7 +296,7 @@ FROM ranked
 def segment_profile(spark, sf_dir):
     """Per segment and feature: segment mean, overall mean, |difference|,
     percent difference and rank of the difference within the segment."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES)
     return round_doubles(prof.withColumn("RANK", F.col("RANK").cast("bigint")))
 
@@ -331,7 +331,7 @@ FROM sizes WHERE n > 1
 def segment_descriptions(spark, sf_dir):
     """Description, insight and recommendation sentences per segment plus
     a line on the segment sizes."""
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES)
     return cluster.insights(prof).join(cluster.describe_clusters(prof).drop("SIZE"), "CLUSTER", "left")
 
@@ -353,7 +353,7 @@ def isolation_forest_team_seasons(spark, sf_dir):
     """Isolation forest (100 trees, 256 samples, contamination 0.1) on the
     standardised team-season features: score, decision and label."""
     from duelframe.operators import anomaly
-    data = standardized_team_features(Stages(spark, sf_dir))
+    data = standardized_team_features(Stages(spark, sf_dir, contest.SIDE_COLUMNS))
     return round_doubles(anomaly.isolation_forest(data, TF_FEATURES, ["TEAM_ID", "SEASON"]))
 
 
@@ -362,7 +362,7 @@ def one_class_team_seasons(spark, sf_dir):
     """One-class support vector machine (RBF kernel by random Fourier
     features, nu 0.1) on the standardised team-season features."""
     from duelframe.operators import anomaly
-    data = standardized_team_features(Stages(spark, sf_dir))
+    data = standardized_team_features(Stages(spark, sf_dir, contest.SIDE_COLUMNS))
     return round_doubles(anomaly.one_class_svm(data, TF_FEATURES, ["TEAM_ID", "SEASON"], 0.1))
 
 
@@ -371,7 +371,7 @@ def kernel_density_team_seasons(spark, sf_dir):
     """Kernel density of the standardised team-seasons (random Fourier
     features of the RBF kernel); the lowest tenth is anomalous."""
     from duelframe.operators import anomaly
-    data = standardized_team_features(Stages(spark, sf_dir))
+    data = standardized_team_features(Stages(spark, sf_dir, contest.SIDE_COLUMNS))
     return round_doubles(anomaly.rff_one_class(data, TF_FEATURES, ["TEAM_ID", "SEASON"], 0.1))
 
 
@@ -380,7 +380,7 @@ def anomaly_comparison(spark, sf_dir):
     """Rows flagged per detector (count and %) and the number of team-seasons
     flagged by at least two of the three detectors."""
     from duelframe.operators import anomaly
-    det = _detectors(Stages(spark, sf_dir))
+    det = _detectors(Stages(spark, sf_dir, contest.SIDE_COLUMNS))
     comp = anomaly.compare_detectors(det)
     cons = anomaly.consensus(det, ["TEAM_ID", "SEASON"]).agg(
         F.count(F.lit(1)).alias("ROWS"), F.sum("IS_CONSENSUS").alias("ANOMALIES")).withColumn(
@@ -394,7 +394,7 @@ def anomaly_features(spark, sf_dir):
     confidence 1 - 1/(1 + exp(-|decision|))."""
     from duelframe.functions.columns import anomaly_confidence
     from duelframe.operators import anomaly
-    st = Stages(spark, sf_dir)
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
     data = standardized_team_features(st)
     s = anomaly.isolation_forest(data, TF_FEATURES, ["TEAM_ID", "SEASON"])
     out = st.team_features.join(s, ["TEAM_ID", "SEASON"]).withColumn("ANOMALY_CONFIDENCE",
@@ -433,7 +433,7 @@ def detector_comparison_by_group(spark, sf_dir):
     """Rows flagged (count and %) by the distance detectors of home, away and
     advantage features."""
     from duelframe.operators import anomaly
-    return round_doubles(anomaly.compare_detectors(_group_detectors(Stages(spark, sf_dir))))
+    return round_doubles(anomaly.compare_detectors(_group_detectors(Stages(spark, sf_dir, contest.SIDE_COLUMNS))))
 
 
 @query("detector_consensus_by_group", "N5 N6 P18 J10", sql=sql_with("""
@@ -448,6 +448,6 @@ def detector_consensus_by_group(spark, sf_dir):
     from duelframe.functions.columns import anomaly_confidence
     from duelframe.operators import anomaly
     keys = ["TEAM_ID", "SEASON"]
-    det = _group_detectors(Stages(spark, sf_dir))
+    det = _group_detectors(Stages(spark, sf_dir, contest.SIDE_COLUMNS))
     home = det["home"].select(*keys, F.col("SCORE").alias("HOME_SCORE"), anomaly_confidence("DECISION").alias("HOME_CONFIDENCE"))
     return round_doubles(anomaly.consensus(det, keys).join(home, keys))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from duelframe.operators import anomaly, clean, cluster, cluster_features, history, models, profile, quantiles, rules, split
+from duelframe.operators import anomaly, clean, cluster, cluster_features, history, metrics, models, profile, quantiles, rules, split
 from duelframe.sources import io
 
 KEYS = ["TEAM_ID", "SEASON"]
@@ -137,6 +137,45 @@ def test_exact_quantiles_and_mode(spark):
     assert quantiles.mode(spark.createDataFrame([], "s string"), "s") is None
 
 
+@pytest.mark.parametrize("read", [1, 7, 1000])
+def test_quantiles_of_brackets_wider_than_may_be_read(spark, read):
+    rng = np.random.default_rng(5)
+    n = 4000
+    cols = {
+        "smooth": rng.normal(size=n), "two": rng.integers(0, 2, n) * 3.0, "heavy": np.where(rng.random(n) < 0.7, -1.5, rng.normal(size=n)),
+        "near": 1.0 + rng.integers(0, 3, n) * 2.0 ** -52, "ends": np.where(rng.random(n) < 0.4, -np.inf, np.inf)}
+    df = spark.createDataFrame(list(zip(*[c.tolist() for c in cols.values()])), ", ".join(f"{c} double" for c in cols))
+    probs = [0.0, 0.25, 0.4, 0.5, 0.9, 1.0]
+    got = quantiles.exact_quantiles(df, list(cols), probs, accuracy=20, read=read)
+    for c, v in cols.items():
+        s = np.sort(v)
+        for p, q in zip(probs, got[c]):
+            lo, hi = s[int(np.floor(p * (n - 1)))], s[int(np.ceil(p * (n - 1)))]
+            at = p * (n - 1) - np.floor(p * (n - 1))
+            assert q == (lo if lo == hi else lo + (hi - lo) * at), (c, p)
+
+
+def test_quantiles_with_nan_and_only_where_null(spark):
+    df = spark.createDataFrame([(1.0, None, 3.0), (2.0, 4.0, float("nan")), (3.0, 6.0, float("nan"))], "a double, b double, c double")
+    assert quantiles.exact_quantiles(df, ["a", "b"], [0.5], if_null=True) == {"b": [5.0]}
+    got = quantiles.exact_quantiles(df, ["c"], [0.0, 1.0])["c"]
+    assert got[0] == 3.0 and np.isnan(got[1])
+    empty = df.where("a > 9")
+    assert quantiles.exact_quantiles(empty, ["a", "b"], [0.5]) == {"a": [None], "b": [None]}
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 1024])
+def test_auc_of_crowded_null_and_nan_scores(spark, buckets):
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.random() < 0.4), s) for s in (0.5 + rng.integers(0, 300, 900) * 1e-9).tolist() + [None, float("nan")] * 20]
+    got = metrics.roc_auc(spark.createDataFrame(rows, "label int, probability double"), buckets=buckets).first()["ROC_AUC"]
+    place = [(-1.0 if s is None else np.inf if np.isnan(s) else s) for _, s in rows]
+    pos = np.array([p for (y, _), p in zip(rows, place) if y == 1])
+    neg = np.array([p for (y, _), p in zip(rows, place) if y != 1])
+    want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
+    assert abs(got - want) < 1e-12
+
+
 def test_running_windows_against_loops(spark):
     rng = random.Random(9)
     import datetime as dt
