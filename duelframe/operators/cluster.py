@@ -586,6 +586,36 @@ def describe_clusters(profile: DataFrame, top: int = 3) -> DataFrame:
     return per.select("CLUSTER", "SIZE", F.when(F.size("__l") == 0, "close to average").otherwise(line).alias("DESCRIPTION"))
 
 
+# fixed values: words in the names of distinctive features that decide the advice
+ATTACK_WORDS, DEFENCE_WORDS = ("offensive", "points"), ("defensive",)
+
+
+def strategies(profile: DataFrame, top: int = 5, attack: Sequence[str] = ATTACK_WORDS,
+               defence: Sequence[str] = DEFENCE_WORDS) -> DataFrame:
+    """Advice per cluster by the names of its ``top`` most different features:
+    one that names attack wants a better defence, else one that names defence
+    wants more variety in attack, else the cluster's own strengths are sought.
+    Two general lines (CLUSTER NULL) follow; case does not matter."""
+    name = F.lower("FEATURE")
+
+    def named(words: Sequence[str]) -> Column:
+        hit = F.lit(False)
+        for word in words:
+            hit = hit | F.contains(name, F.lit(word))
+        return F.bool_or(hit)
+
+    per = profile.where(F.col("RANK") <= top).groupBy("CLUSTER").agg(named(attack).alias("a"), named(defence).alias("d"))
+    kind = F.when(F.col("a"), "defend better").when(F.col("d"), "vary the attack").otherwise("own strengths")
+    text = (F.when(F.col("a"), "keep the scoring, work on the defence")
+             .when(F.col("d"), "add ways to score, keep the defence")
+             .otherwise("look for an edge in what sets it apart"))
+    lines = per.select("CLUSTER", kind.alias("KIND"), F.format_string("Cluster %d: %s", "CLUSTER", text).alias("ADVICE"))
+    general = profile.limit(1).select(F.inline(F.array(*[F.struct(F.lit(None).cast("int").alias("CLUSTER"), F.lit(k).alias("KIND"), F.lit(t).alias("ADVICE"))
+                                                         for k, t in (("scouting", "Scout players by the profile that a cluster wants"),
+                                                                      ("matchups", "Prepare a plan for each cluster of opponents"))])))
+    return lines.unionByName(general)
+
+
 def insights(profile: DataFrame) -> DataFrame:
     """Insight and recommendation per cluster, from its highest and lowest
     percent difference, and a last line (CLUSTER -1) on the cluster sizes.

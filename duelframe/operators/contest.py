@@ -163,3 +163,25 @@ def model_inputs(game_features: DataFrame,
     cls = game_features.select(*cls_cols).dropna()
     reg = game_features.select(*reg_cols).dropna()
     return cls, reg
+
+
+def season_pairs(team_features: DataFrame, year: int, month: int, season: int | None = None) -> DataFrame:
+    """Every ordered pair of different sides of one season (the latest unless
+    given) as a game to come, with the columns of the regression features.
+
+    A statistic of the home side is its mean over its home games of the
+    season, one of the visitor its mean over its away games; YEAR and MONTH
+    are the given ones.  Pairs with a NULL feature are left out.  The result
+    has one row a pair of sides, whatever the number of games."""
+    if season is None:
+        season = team_features.agg(F.max("SEASON")).first()[0]
+    sides = team_features.where(F.col("SEASON") == season)
+
+    def one(side: str, key: str, tag: str) -> DataFrame:
+        return sides.select("SEASON", F.col("TEAM_ID").alias(key),
+                            *[F.col(f"{side}_{mean}").alias(f"{stat}_{tag}") for stat, mean in SIDE_STATS])
+
+    pairs = one("HOME", TEAM_IDS[0], "home").join(one("AWAY", TEAM_IDS[1], "away"), "SEASON")
+    pairs = pairs.where(F.col(TEAM_IDS[0]) != F.col(TEAM_IDS[1]))
+    stamped = pairs.withColumns({"YEAR": F.lit(year).cast("int"), "MONTH": F.lit(month).cast("int")})
+    return stamped.select("SEASON", *TEAM_IDS, *REGRESSION_FEATURES).dropna()

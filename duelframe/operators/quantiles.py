@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
+ACCURACY = 1_000          # entries a sketch: what every task sends for every column
 READ = 100_000
 
 

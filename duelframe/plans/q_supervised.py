@@ -11,6 +11,7 @@ inputs are fitted anew; ``forget`` drops them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import wraps
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from duelframe.operators import cluster_features as cf
 from duelframe.operators import contest, gram, metrics, models, split
-from duelframe.plans.base import Stages, round_doubles
+from duelframe.plans.base import Stages, round_doubles, sql_with
 from duelframe.plans.q_unsupervised import kmeans_segments
 from duelframe.plans.registry import query
 from duelframe.session import checkpoint_dir, materialise
@@ -280,6 +281,60 @@ def saved_model_scoring(spark, sf_dir):
     return round_doubles(models.predicted(loaded, everything, ["GAME_ID", "HOME_TEAM_ID", "label"]), 4)
 
 
+_PAIR_STATS = [(f"{stat}_{tag}", f"{alias}.{side}_{mean}") for stat, mean in contest.SIDE_STATS
+               for tag, alias, side in (("home", "h", "HOME"), ("away", "a", "AWAY"))]
+
+
+def _games_to_come(st: Stages) -> DataFrame:
+    """The pairs of the latest season, dated like the last game."""
+    last = st.games_validated.agg(F.max("GAME_DATE_EST").alias("d")).first()["d"]
+    return contest.season_pairs(st.team_features, last.year, last.month)
+
+
+@query("team_pair_features", "R12 X6", sql=sql_with(
+    "WITH last AS (SELECT max(GAME_DATE_EST) AS d FROM gv) "
+    "SELECT h.SEASON, h.TEAM_ID AS HOME_TEAM_ID, a.TEAM_ID AS VISITOR_TEAM_ID, CAST(year(d) AS INT) AS YEAR, CAST(month(d) AS INT) AS MONTH, "
+    + ", ".join(f"round_even({source}, 6) AS {name}" for name, source in _PAIR_STATS)
+    + " FROM tf h JOIN tf a ON a.SEASON = h.SEASON AND a.TEAM_ID <> h.TEAM_ID, last WHERE h.SEASON = (SELECT max(SEASON) FROM tf) AND "
+    + " AND ".join(f"{source} IS NOT NULL" for _, source in _PAIR_STATS), upto="tf"))
+def team_pair_features(spark, sf_dir):
+    """Every ordered pair of sides of the latest season with the regression
+    features of a game to come, from both sides' season means."""
+    return round_doubles(_games_to_come(Stages(spark, sf_dir, ["GAME_DATE_EST", *contest.SIDE_COLUMNS])))
+
+
+def pair_inputs(pairs: DataFrame, teams: DataFrame, segments: DataFrame | None, features: Sequence[str]) -> DataFrame:
+    """``pairs`` with the features that the models were fitted on; the one-hot
+    column of a segment (or of none, -1) that no home side of ``pairs`` is in is 0."""
+    data = pairs if segments is None else cf.enhance_regression(pairs, segments, teams)
+    absent = [c for c in features if c.startswith("CLUSTER_") and c not in data.columns]
+    return data.withColumns({c: F.lit(0) for c in absent})
+
+
+def scored_pairs(spark: SparkSession, pairs: DataFrame, data: DataFrame, root: str) -> DataFrame:
+    """``pairs`` with a column PRED_<target> from the latest saved model of each target on ``data``."""
+    out = pairs.select("SEASON", *contest.TEAM_IDS)
+    for name in contest.REGRESSION_TARGETS:
+        found = models.predicted(models.load_latest(spark, root, name), data, contest.TEAM_IDS)
+        out = out.join(found.withColumnRenamed("prediction", f"PRED_{name}"), contest.TEAM_IDS)
+    return out
+
+
+@query("team_pair_scoring", "R12 S6 S5")
+def team_pair_scoring(spark, sf_dir):
+    """Ridge models of the three targets, saved and loaded again, score every
+    ordered pair of sides of the latest season."""
+    games, teams, segments = _sets(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/models/pairs-{uuid.uuid4().hex}"
+    for name, target in contest.REGRESSION_TARGETS.items():
+        parts = _regression_parts(spark, sf_dir, target)
+        _, fitted = fit_regressors(parts, target, ["ridge"])
+        models.save_versioned(fitted["ridge"], root, name)
+    last = games.agg(F.max("GAME_DATE_EST").alias("d")).first()["d"]
+    pairs = materialise(contest.season_pairs(teams, last.year, last.month), "pairs")
+    return round_doubles(scored_pairs(spark, pairs, pair_inputs(pairs, teams, segments, parts[2]), root), 4)
+
+
 @query("gbt_classifier", "L6")
 def gbt_classifier(spark, sf_dir):
     """Gradient-boosted trees for the home win (registered in the model

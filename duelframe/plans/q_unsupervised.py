@@ -336,6 +336,28 @@ def segment_descriptions(spark, sf_dir):
     return cluster.insights(prof).join(cluster.describe_clusters(prof).drop("SIZE"), "CLUSTER", "left")
 
 
+_STRATEGY_SQL = """
+WITH {stages},
+     pr AS (SELECT *, row_number() OVER (PARTITION BY CLUSTER ORDER BY ABS_DIFF DESC, POS) AS RANK FROM ranked),
+     named AS (SELECT CLUSTER, bool_or(contains(lower(FEATURE), 'pts') OR contains(lower(FEATURE), 'pct')) AS a,
+                      bool_or(contains(lower(FEATURE), 'reb')) AS d FROM pr WHERE RANK <= 5 GROUP BY CLUSTER)
+SELECT CLUSTER, CASE WHEN a THEN 'defend better' WHEN d THEN 'vary the attack' ELSE 'own strengths' END AS KIND,
+       'Cluster ' || CLUSTER || ': ' || CASE WHEN a THEN 'keep the scoring, work on the defence'
+            WHEN d THEN 'add ways to score, keep the defence' ELSE 'look for an edge in what sets it apart' END AS ADVICE FROM named
+UNION ALL SELECT NULL, 'scouting', 'Scout players by the profile that a cluster wants'
+UNION ALL SELECT NULL, 'matchups', 'Prepare a plan for each cluster of opponents'
+""".format(stages=_PROFILE_SQL.strip()[5:_PROFILE_SQL.strip().rindex("SELECT CLUSTER, SIZE, FEATURE")].rstrip())
+
+
+@query("segment_strategies", "P21 K9", sql=sql_with(_STRATEGY_SQL, upto="tf"))
+def segment_strategies(spark, sf_dir):
+    """Advice per segment by the names of its five most different features
+    (points and shares stand for attack, rebounds for defence in this schema)."""
+    st = Stages(spark, sf_dir, contest.SIDE_COLUMNS)
+    prof = cluster.cluster_profile(st.team_features, edge_segments(st), TF_FEATURES)
+    return cluster.strategies(prof, attack=("pts", "pct"), defence=("reb",))
+
+
 # ------------------------------------------------------------ anomalies
 def _detectors(st):
     from duelframe.operators import anomaly

@@ -42,6 +42,6 @@ def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
     from duelframe.plans import (  # noqa: F401
         q_engineering, q_profile, q_reports, q_history, q_learning_prep, q_metrics,
-        q_unsupervised, q_neighbours, q_supervised, q_io,
+        q_unsupervised, q_neighbours, q_supervised, q_io, q_jobs,
     )
     return REGISTRY
