@@ -32,8 +32,9 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     wide = df.agg(*[x for i, c in enumerate(cols) for x in (
         F.count(c).alias(f"{i}__COUNT"), F.avg(c).cast("double").alias(f"{i}__MEAN"),
         F.stddev_samp(c).alias(f"{i}__STD"), F.min(c).cast("double").alias(f"{i}__MIN"),
-        F.max(c).cast("double").alias(f"{i}__MAX"),
-        *[F.any_value(F.lit(q[c][k]).cast("double")).alias(f"{i}__{name}") for k, name in enumerate(("Q25", "Q50", "Q75"))])])
+        F.max(c).cast("double").alias(f"{i}__MAX"))])
+    wide = wide.select("*", *[F.lit(q[c][k]).cast("double").alias(f"{i}__{name}")
+                              for i, c in enumerate(cols) for k, name in enumerate(("Q25", "Q50", "Q75"))])
     return _long(wide, cols, ["COUNT", "MEAN", "STD", "MIN", "Q25", "Q50", "Q75", "MAX"])
 
 
