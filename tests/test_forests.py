@@ -3,8 +3,10 @@
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
+from pyspark.sql import functions as F
 
 from duelframe.operators import bagging, forests, models
 from duelframe.operators.split import fold_ids
@@ -149,3 +151,36 @@ def test_classifiers_separate_rings(spark, rings, name):
     rows = models.scored_classification(model, train, ["GAME_ID"]).collect()
     assert mean[0] > 0.75 and np.mean([r["label"] == r["prediction"] for r in rows]) > 0.8
     assert all(0 <= r["probability"] <= 1 for r in rows)
+
+
+def test_boosted_classes_equal_spark_ml(spark, rings):
+    df, cols = rings
+    # few values, many zeros and one constant beside the drawn columns; shallow, so that no two splits gain the same
+    train = (df.withColumnRenamed("cls", "label").drop("y").withColumn("few", (F.col("GAME_ID") * 7 % 5).cast("double"))
+             .withColumn("half", F.when(F.col("GAME_ID") % 2 == 0, F.col("a") + F.col("c")).otherwise(0.0)).withColumn("one", F.lit(1.0)))
+    cols = [*cols, "few", "half", "one"]
+    found, model = bagging.boost_classes(train, cols, [4, 12], 0.1, 2, [0, 1, 2])
+    vec = VectorAssembler(inputCols=cols, outputCol="features").transform(train).cache()
+    for f in (0, 1, 2):
+        for rounds in (4, 12):
+            own = GBTClassifier(maxIter=rounds, maxDepth=2, seed=42).fit(vec.where(F.col("FOLD") != f)).transform(vec.where(F.col("FOLD") == f))
+            assert found[rounds][f] == pytest.approx(own.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
+    want = GBTClassifier(maxIter=4, maxDepth=2, seed=42).fit(vec).transform(vec).select("GAME_ID", "prediction", vector_to_array("probability")[1].alias("p"))
+    want = {r["GAME_ID"]: r for r in want.collect()}
+    for r in model(4).transform(train, ["GAME_ID"]).collect():
+        assert r["prediction"] == want[r["GAME_ID"]]["prediction"] and r["probability"] == pytest.approx(want[r["GAME_ID"]]["p"])
+
+
+def test_boosted_classifier_is_no_chain_of_jobs(spark, rings, tmp_path):
+    df, cols = rings
+    train = df.withColumnRenamed("cls", "label").drop("y")
+    sc = spark.sparkContext
+    sc.setJobGroup("boosting", "boosting")
+    model, mean, std = models.search_classifier(train, cols, "gradient_boosting", folds=3)
+    jobs = sc.statusTracker().getJobIdsForGroup("boosting")
+    sc.setJobGroup("tests", "tests")
+    assert 0 < len(jobs) < 40 and len(mean) == len(std) == 2
+    models.save_versioned(model, str(tmp_path), "boosted")
+    loaded = models.load_latest(spark, str(tmp_path), "boosted")
+    a, b = ({r["GAME_ID"]: r["probability"] for r in models.scored_classification(m, train, ["GAME_ID"]).collect()} for m in (model, loaded))
+    assert a == b and len(a) == 500
