@@ -252,6 +252,20 @@ def test_equal_rows_do_not_multiply_their_spans(spark, make_docs, words):
     assert all(r["kept"] == b"" for r in got) and len(got) == 50
 
 
+def test_starts_of_periodic_texts_match_brute_force():
+    for seed in range(100):
+        rng = random.Random(seed)
+        texts = []
+        for _ in range(rng.randint(2, 8)):
+            unit = "".join(rng.choice("ab") for _ in range(rng.randint(1, 9)))
+            head = "".join(rng.choice("abc") for _ in range(rng.randint(0, 5)))
+            texts.append(((head + unit * 60)[:rng.randint(45, 110)] + rng.choice(["", "x", "ab", "ba"])).encode())
+        texts = list(dict.fromkeys(texts))
+        seen = collections.Counter(b[p:p + 40] for b in texts for p in range(len(b) - 39))
+        got = substrings.suffix_starts(texts, 40)
+        assert [m.tolist() for m in got] == [[seen[b[p:p + 40]] > 1 for p in range(len(b) - 39)] for b in texts], seed
+
+
 def test_suffix_ranks_and_prefixes():
     import numpy as np
     rng = np.random.default_rng(0)
