@@ -252,6 +252,25 @@ def test_equal_rows_do_not_multiply_their_spans(spark, make_docs, words):
     assert all(r["kept"] == b"" for r in got) and len(got) == 50
 
 
+def test_passages_of_over_50_words_go_by_their_bytes(make_docs, words, tmp_path):
+    """The query removes 400 bytes and more that other documents hold, and leaves shorter passages and clean documents whole."""
+    from duelframe.llm import queries
+    rng = random.Random(8)
+    long = [prose(rng, 120, words) for _ in range(4)] + ["éß" * 100, ("x" + "ab" * 200)[:400]]
+    short = [" ".join(w[:5] for w in prose(rng, 55, words).split()) for _ in range(4)]
+    assert all(len(p.encode()) >= 400 for p in long) and all(len(p.split()) > 50 and len(p.encode()) < 380 for p in short)
+    rows, planted = [], {}
+    for i in range(60):
+        planted[i] = (long * 5 + short * 3 + [""] * 18)[i]
+        rows.append((i, " ".join([prose(rng, rng.randint(30, 90), words), planted[i], prose(rng, rng.randint(30, 90), words)])))
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_suffix_array_dedup"](make_docs([]).sparkSession, str(tmp_path)).collect()}
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["n_kept"]) for r in got.values()) == [
+        (i, n, removed, spans, hashlib.sha256(kept).hexdigest(), len(kept))
+        for i, n, removed, spans, kept in sorted(brute_removal([(i, t.encode()) for i, t in rows], 400))]
+    assert all((got[i]["n_removed"] >= len(p.encode())) if p in long else got[i]["n_removed"] == 0 for i, p in planted.items())
+
+
 def test_starts_of_periodic_texts_match_brute_force():
     for seed in range(100):
         rng = random.Random(seed)
