@@ -92,3 +92,41 @@ def test_silhouettes_of_several_labellings(spark):
     assert got["a"] == pytest.approx(plain(a), abs=1e-12) and got["b"] == pytest.approx(plain([i % 2 for i in range(60)]), abs=1e-12)
     assert got["b"] == pytest.approx(cluster.silhouette(df, ["u", "v"], "b"), abs=1e-12)
     assert cluster.silhouettes(df.where(F.lit(False)), ["u", "v"], ["a"]) == {"a": None}
+
+
+def test_codes_are_dealt_by_the_batch(spark):
+    df = spark.range(900).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"), F.col("id").cast("double").alias("label"), (F.col("id") % 3).alias("FOLD")).repartition(3)
+    edges = [np.arange(0.0, 900, 50), np.arange(0.5, 6)]
+    table = bagging.coded(df, ["a", "b"], edges)
+    assert table.count() <= 3
+    _, fold, y, codes = bagging._matrix(table.toArrow(), 2)
+    assert sorted(y.tolist()) == list(range(900)) and np.array_equal(fold, y % 3)
+    assert np.array_equal(codes, bagging.encode(np.column_stack([y, y % 7]), edges))
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_columns_of_few_codes_share_a_pass(monkeypatch, whole):
+    rng = np.random.default_rng(5)
+    codes = np.column_stack([rng.integers(0, 60, (400, 2)), rng.integers(0, 2, (400, 12)), np.zeros(400)]).astype(np.uint8)
+    y = rng.integers(-3, 9, 400) if whole else rng.normal(0, 1, 400)
+    bundles = bagging.bundled(codes)
+    assert len(bundles) <= 4 and sorted(j for cols, _, _ in bundles for j in cols) == list(range(15))
+    for w in (np.ones(400), rng.integers(0, 3, 400).astype(float)):
+        assert (bagging._Sums(w, w * y).unit is not None) == whole
+        grown = []
+        for dense in (1000, 4, 0):                              # bundles, sums by cell, sums of sorted rows
+            monkeypatch.setattr(bagging, "DENSE", dense)
+            grown.append(bagging.grow(codes, y, w, 15, 1.0, 6, np.random.default_rng(0)))
+        for other in grown[1:]:
+            assert all(np.allclose(grown[0][k], other[k]) for k in other)
+
+
+def test_boosted_numbers_have_their_model_from_the_same_job(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (300, 2))
+    df = spark.createDataFrame([(*map(float, r), float(r[0] * 3 + r[1]), i % 3) for i, r in enumerate(x)], "a double, b double, label double, FOLD int")
+    scores, model = bagging.boost_numbers(df, ["a", "b"], [3, 8], [0.1, 0.5], 2, [0, 1, 2])
+    assert set(scores) == {(3, 0.1), (3, 0.5), (8, 0.1), (8, 0.5)} and all(len(s) == 3 for s in scores.values())
+    alone = bagging.fit_boosted(df, ["a", "b"], 3, 0.5, 2)
+    a, b = ([r["prediction"] for r in m.transform(df, ["label"]).orderBy("label").collect()] for m in (model(3, 0.5), alone))
+    assert np.allclose(a, b)
