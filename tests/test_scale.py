@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from duelframe.operators import bagging, cluster, cluster_features, neighbours
+from duelframe.operators import bagging, cluster, cluster_features, gram, neighbours, newton
 from duelframe.plans import base
 from duelframe.session import materialise_spread
 
@@ -130,3 +130,41 @@ def test_boosted_numbers_have_their_model_from_the_same_job(spark):
     alone = bagging.fit_boosted(df, ["a", "b"], 3, 0.5, 2)
     a, b = ([r["prediction"] for r in m.transform(df, ["label"]).orderBy("label").collect()] for m in (model(3, 0.5), alone))
     assert np.allclose(a, b)
+
+
+def test_blocks_are_sent_once_a_tile_not_once_a_pair(spark):
+    pairs = spark.createDataFrame([(q, p) for q in range(20) for p in range(20)], "qb long, pb long")
+    rows = "array<struct<N: bigint, w: double, x: array<double>>>"
+    blocks = spark.createDataFrame([(b, [(b, 0.0, [float(b)])]) for b in range(20)], f"block long, rows {rows}")
+    sent = neighbours._sent(pairs, blocks, blocks, 2, 4)
+    assert sent.count() == 20 * 4 + 20 * 2 and sent.select("tile").distinct().count() == 8
+    assert sent.where("wanted IS NOT NULL").agg(F.sum(F.size("wanted"))).first()[0] == 400
+
+
+def test_nearest_of_several_blocks_are_the_plain_ones(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    p, q = rng.integers(0, 9, (600, 3)).astype(float), rng.integers(0, 9, (80, 3)).astype(float)
+    far = neighbours.distances(q, p)
+    want = {i: np.lexsort((np.arange(600), far[i]))[:4].tolist() for i in range(80)}
+    split = [(np.arange(i, i + 100), np.zeros(100), p[i:i + 100]) for i in range(0, 600, 100)]
+    ids, d, n, _ = neighbours._nearest_of_blocks(4)((np.arange(80), np.full(80, np.inf), q), split)
+    assert {i: n[ids == i].tolist() for i in range(80)} == want and np.array_equal(d, far[ids, n])
+    monkeypatch.setattr(neighbours, "TILE", 500)
+    points, asked = (spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(t)], "N long, x array<double>") for t in (p, q))
+    got = neighbours.k_nearest(asked, points, 4, block=40).collect()
+    assert {r["q"]: [t["n"] for t in r["near"]] for r in got} == want
+
+
+def test_early_hessians_of_fewer_rows_lead_to_the_same_model(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (400, 3))
+    df = spark.createDataFrame([(*map(float, r), float(r @ [1, -2, 0.5] + e)) for r, e in zip(x, rng.normal(0, 0.3, 400))], "a double, b double, c double, label double")
+    cols = ["a", "b", "c"]
+    problem = newton.Problem(newton.feature_map(gram.products(df, cols)), 1.0, "tube", scale=2.0)
+    want, rows = newton.minimise(df, cols, [problem])[0], []
+    plain = newton._derivatives
+    monkeypatch.setattr(newton, "_derivatives", lambda *a: rows.append(list(a[-1].values())[0]) or plain(*a))
+    monkeypatch.setattr(newton, "CURVED", 100)
+    got = newton.minimise(df, cols, [problem])[0]
+    assert 4 in rows and rows[-1] == 1
+    assert np.allclose(got.weights, want.weights, atol=1e-6) and got.objective == pytest.approx(want.objective, rel=1e-9)
